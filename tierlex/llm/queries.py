@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, line_dedup, mixing, token_counts, toxicity
+from . import decontamination, exact_dedup, language_id, line_dedup, lm_scoring, mixing, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,12 +40,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_read(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.train(language_id.sample(docs)))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_mixing, op5_toxicity, op6_exact_dedup, op7_token_counts, op8_decontamination, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_mixing, op5_toxicity, op6_exact_dedup, op7_token_counts, op8_decontamination, op9_lm_scoring, op10_language_id)}
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.SQL.format(docs="documents"),

@@ -1,6 +1,6 @@
 """Toxicity by logistic regression with FTRL-proximal updates over hashed features.
 
-Features of a text are the words, the pairs of neighbours and the pairs with one or two words between
+Features of a text are the words, their stems, the pairs of neighbours and the pairs with one or two words between
 them that occur in it (each counts once), hashed to 2 ** BITS places.  Every coordinate has its own
 learning rate, and the L1 penalty keeps most weights at nought, so the model is small enough to
 broadcast: at most 2 ** BITS weights, whatever the data.
@@ -19,7 +19,9 @@ from .shared import ship
 from .textarrays import U64, Words, flat, mix, small_batches
 
 BITS = 20
-ALPHA, BETA, L1, L2 = 0.15, 1.0, 1.2, 1.0
+#: A word also counts as its first bytes, so that inflected forms share a feature.
+STEMS = (4, 6)
+ALPHA, BETA, L1, L2 = 0.2, 1.0, 4.0, 1.0
 EPOCHS = 3
 #: Bound of the training sample: so many labelled rows of each class at most, the first by their ids' hashes.
 SAMPLE = {1: 5000, 0: 9000}
@@ -28,7 +30,7 @@ SAMPLE = {1: 5000, 0: 9000}
 def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """(row, place) of each occurrence of a feature."""
     h, doc = words.hash, words.doc
-    rows, places = [doc], [h]
+    rows, places = [doc] * (1 + len(STEMS)), [h, *(mix(words.stems(n) + U64(n)) for n in STEMS)]
     for gap in (1, 2, 3):
         same = doc[gap:] == doc[:-gap]
         rows.append(doc[gap:][same])
