@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, line_dedup, lm_scoring, mixing, token_counts, toxicity
+from . import decontamination, exact_dedup, jaccard_join, language_id, line_dedup, lm_scoring, mixing, suffix_dedup, token_counts, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,10 +17,18 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(_read(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(_read(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, _read(spark, sf_dir, "labels")))
@@ -49,7 +57,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(language_id.sample(docs)))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_mixing, op5_toxicity, op6_exact_dedup, op7_token_counts, op8_decontamination, op9_lm_scoring, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_mixing, op4_jaccard_join, op5_toxicity, op6_exact_dedup, op7_token_counts, op8_decontamination, op9_lm_scoring, op10_language_id)}
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.SQL.format(docs="documents"),

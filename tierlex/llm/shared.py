@@ -40,10 +40,18 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tierlex-{os.getpid()}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # the plan that was run is garbage now: without it Spark drops its shuffle files
+    spark.sparkContext._jvm.System.gc()
     atexit.register(_forget, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Delete a durable table that nothing reads any more."""
+    for path in {os.path.dirname(f) for f in df.inputFiles()}:
+        _forget(df.sparkSession, path)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, whatever the case of letters."""
     taken = {c.lower() for c in df.columns}
