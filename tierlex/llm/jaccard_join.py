@@ -104,7 +104,7 @@ def groups_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table
 
 def units(members: DataFrame, key: str, node: str, block: int) -> DataFrame:
     """Every member once for each pair of blocks that its block is in: columns lo, hi, and own, its block."""
-    sizes = members.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    sizes = durable(members.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
     out = members.join(sizes, key).withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64(node), F.col("_blocks")).cast("int"))
     out = out.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     out = out.withColumn("lo", F.least("own", "_k")).withColumn("hi", F.greatest("own", "_k")).drop("_n", "_k", "_blocks")
@@ -220,7 +220,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
 
     band = F.expr(f"transform(sequence(0, {bands - 1}), k -> xxhash64(k, substring(sig, k * {4 * rows} + 1, {4 * rows})))")
     each = classes.where("sig is not null").select("node", F.explode(band).alias("band"))
-    repeated = each.groupBy("band").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("band")
+    repeated = durable(each.groupBy("band").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("band"))
     members = durable(each.join(repeated, "band"))
     signs = members.select("node").distinct().join(classes.select("node", "sig"), "node")
     buckets = units(members.join(signs, "node"), "band", "node", BLOCK)

@@ -61,9 +61,10 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, gram: int, window: int) -
 def later_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """doc_id, body (hash of the text) and `starts`, the places of the runs that have an equal one before them."""
     runs = _runs(docs, id_col, text_col, gram, window)
-    repeated = runs.where("fresh").groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    # a table of its own, so that adaptive execution can split the join at fingerprints of many places
+    repeated = durable(runs.where("fresh").groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp"))
     matches = durable(runs.join(repeated, "fp").select("d1", "d2", "doc_id", "body", "s"))
-    first = matches.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    first = durable(matches.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "s")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     later = matches.join(first, ["d1", "d2"]).where(~F.struct("doc_id", "s").eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "body").agg(F.collect_list("s").alias("starts"))
 
