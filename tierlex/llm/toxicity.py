@@ -80,8 +80,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
     picked = own.withColumn("nth", nth).where(F.col("nth") <= F.when(F.col("toxic") == 1, sample[1]).otherwise(sample[0])).where(F.col("nth") <= max(sample.values())).select("id", "toxic")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    table = texts.join(F.broadcast(picked), "id").toArrow().sort_by([("id", "ascending"), ("text", "ascending")])  # bounded by `sample`
-    return fit(table["text"].combine_chunks(), table["toxic"].to_numpy().astype(float))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.Table.from_batches(batches, pa.schema([("id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())]))
+        places, values, bias = fit(held["text"].combine_chunks(), held["toxic"].to_numpy().astype(float))
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(places, -1)), pa.array(np.append(values, bias))], ["place", "value"])
+
+    # one task learns from the sample, which is bounded; the driver gets 2 ** BITS weights at most
+    table = texts.join(F.broadcast(picked), "id").select("id", "text", "toxic").repartition(1).sortWithinPartitions("id", "text").mapInArrow(learn, "place long, value double").toArrow()
+    places, values = table["place"].to_numpy(), table["value"].to_numpy()
+    return (places[:-1], values[:-1], float(values[-1])) if len(places) else (places, values, 0.0)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
