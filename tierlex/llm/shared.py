@@ -39,7 +39,7 @@ def durable(df: DataFrame) -> DataFrame:
     """The same rows as a table in the shared folder: lost executors cost no more than what reads it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tierlex-{os.getpid()}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     # the plan that was run is garbage now: without it Spark drops its shuffle files
     spark.sparkContext._jvm.System.gc()
     atexit.register(_forget, spark, path)

@@ -236,9 +236,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([*of.columns, pa.array(anchor.view(np.int64)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], ["doc_id", "body", "anchor", "start", "n"])
 
     found = durable(rows.mapInArrow(cut, "doc_id long, body long, anchor long, start int, n int"))
-    again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor")
+    # a table of its own, so that adaptive execution can split the join at anchors of many places
+    again = durable(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"))
     mine = durable(found.join(again, "anchor").groupBy("doc_id", "body").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("parts")))
     forget(found)
+    forget(again)
 
     def slice_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of a document without parts its result, else its text and its contexts; a task gives the bytes of equal contexts once."""
