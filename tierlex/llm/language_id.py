@@ -10,6 +10,7 @@ of table entries.  The language with the shortest code wins.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -105,13 +106,13 @@ def train(samples: dict[str, list[str]], least: int = LEAST, nodes: int = NODES)
             cost.extend(counts / whole + d / whole * np.asarray(cost)[parents])
             wide[chosen] = base + np.arange(len(chosen))
             place = wide
-        trees.place.append(place.astype(np.int32))
+        trees.place.append(place.astype(np.int16 if len(cost) < 1 << 15 else np.int32))
         trees.cost.append((-np.log2(np.asarray(cost))).astype(np.float32))
     return trees
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, bytes_: int = SAMPLE_BYTES) -> dict[str, list[str]]:
-    """At most `rows` whole training texts of each language, in the order of their ids' hashes, until `bytes_` are reached."""
+def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, bytes_: int = SAMPLE_BYTES) -> DataFrame:
+    """lang and text: at most `rows` whole training texts of each language, in the order of their ids' hashes, until `bytes_` are reached."""
     from pyspark.sql import Window
 
     pool = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4)) != 2))
@@ -121,11 +122,24 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     picked = pool.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= rows)
     picked = picked.withColumn("upto", F.sum("n").over(order)).where((F.col("upto") <= bytes_) | (F.col("nth") == 1)).select("id", "lang")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    found: dict[str, list[str]] = {}
-    for lang, text in texts.join(F.broadcast(picked.distinct()), ["id", "lang"]).select("lang", "text").collect():  # bounded by `rows` and `bytes_` a language
-        if text:
-            found.setdefault(lang, []).append(text)
-    return {lang: sorted(t) for lang, t in found.items()}
+    return texts.join(F.broadcast(picked.distinct()), ["id", "lang"]).select("lang", "text")
+
+
+def learn(docs: DataFrame, **columns) -> Trees:
+    """The trees of a sample of docs; see `sample`.  One task learns, as the sample is bounded; the driver gets the tables."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, list[str]] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if text:
+                    found.setdefault(lang, []).append(text)
+        t = train({lang: sorted(texts) for lang, texts in found.items()})
+        raw = pickle.dumps((t.langs, t.symbol, t.size, t.place, t.cost))
+        yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], ["trees"])
+
+    rows = sample(docs, **columns).repartition(1).mapInArrow(run, "trees binary").collect()
+    return Trees(*pickle.loads(rows[0].trees)) if rows else train({})
 
 
 def judge(trees: Trees, column: pa.Array) -> tuple[list[str], np.ndarray]:

@@ -54,7 +54,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    return language_id.identify(docs, language_id.train(language_id.sample(docs)))
+    return language_id.identify(docs, language_id.learn(docs))
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_mixing, op4_jaccard_join, op5_toxicity, op6_exact_dedup, op7_token_counts, op8_decontamination, op9_lm_scoring, op10_language_id)}
