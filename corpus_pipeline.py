@@ -10,7 +10,7 @@ from tierlex.llm.shared import durable
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go: null texts, texts without a letter, undecided ones."""
-    return language_id.accepted(docs, language_id.train(language_id.sample(docs)))
+    return language_id.accepted(docs, language_id.learn(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
