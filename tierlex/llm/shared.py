@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,7 @@ def durable(df: DataFrame) -> DataFrame:
     """The same rows as a table in the shared folder: lost executors cost no more than what reads it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tierlex-{os.getpid()}-{uuid.uuid4().hex}"
+    gc.collect()
     df.write.option("compression", "zstd").parquet(path)
     # the plan that was run is garbage now: without it Spark drops its shuffle files
     spark.sparkContext._jvm.System.gc()
@@ -60,17 +63,39 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) for every node of an edge: root is the least node of its connected component.
+#: Edges up to this number are joined up by one task; more of them by rounds of star steps.
+FEW_EDGES = 50_000
 
-    Alternating large-star and small-star steps; both only take minima by node, so a hub of any
-    degree is pre-aggregated, and the joins can be split by adaptive execution.
+
+def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for batch in batches:
+        for v, u in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(v), find(u)
+            root[max(a, b)] = min(a, b)
+    nodes = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], ["node", "root"])
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", few: int = FEW_EDGES) -> DataFrame:
+    """(node, root) for every node of an edge to another: root is the least node of its connected component.
+
+    More than `few` edges go through alternating large-star and small-star steps; both only take minima
+    by node, so a hub of any degree is pre-aggregated, and the joins can be split by adaptive execution.
     """
     hi, lo = F.greatest(a, b), F.least(a, b)
     e = durable(edges.select(hi.alias("v"), lo.alias("u")).where("v <> u").distinct())
     mark = lambda d: tuple(d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
     seen = mark(e)
-    while seen[0]:
+    if seen[0] <= few:
+        return e.repartition(1).mapInArrow(_union, "node long, root long")
+    while True:
         both = e.select(F.col("v").alias("n"), F.col("u").alias("m")).union(e.select(F.col("u").alias("n"), F.col("v").alias("m")))
         least = both.groupBy("n").agg(F.least(F.col("n"), F.min("m")).alias("low"))
         large = both.join(least, "n").where("m > n").select(F.col("m").alias("v"), F.col("low").alias("u")).distinct()
