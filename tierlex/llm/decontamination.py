@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ship
+from .shared import bound_batches, ship
 from .textarrays import U64, Words, flat, grams, small_batches
 
 SEED = 3
@@ -137,6 +137,7 @@ def matches(items: Items, w: Words, rows: int, least: float = LEAST) -> list[tup
 
 def chunks(bench: DataFrame, docs: DataFrame, id_col: str, text_col: str, doc_text: str, chunk_bytes: int, rare: float) -> Iterator[Items]:
     """The items in chunks of about `chunk_bytes`, their rare grams chosen by the words' frequencies in all documents."""
+    bound_batches(docs.sparkSession)
     rows = bench.where(f"`{text_col}` is not null and `{id_col}` is not null").select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // chunk_bytes)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, durable
+from .shared import bound_batches, components, durable
 from .textarrays import MIX2, U64, Words, flat, grams, mix, small_batches
 
 N = 5
@@ -201,6 +201,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     greater one above it.  Repeated rows are copies; ids that are null have the class null unless others
     share it.  An empty table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     bands, rows = bands_for(float(threshold), recall, values)
     width = bands * rows
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ship
+from .shared import bound_batches, ship
 from .textarrays import flat, small_batches, sums_by
 
 ORDER = 3
@@ -138,6 +138,7 @@ def learn(docs: DataFrame, **columns) -> Trees:
         raw = pickle.dumps((t.langs, t.symbol, t.size, t.place, t.cost))
         yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], ["trees"])
 
+    bound_batches(docs.sparkSession)
     rows = sample(docs, **columns).repartition(1).mapInArrow(run, "trees binary").collect()
     return Trees(*pickle.loads(rows[0].trees)) if rows else train({})
 
@@ -164,6 +165,7 @@ def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: st
     with score 0, where the text is null or has no letter, or nothing was learned.  score is the
     winner's share of the likelihood under equal priors.  Repeated rows are each judged.
     """
+    bound_batches(docs.sparkSession)
     model = ship(docs.sparkSession, trees)  # bounded by languages x (NODES x alphabet + alphabet ** ORDER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,6 +180,7 @@ def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: st
 
 def accepted(docs: DataFrame, trees: Trees, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The documents, all columns, whose language can be told: not `und`, and a score of `least` or more."""
+    bound_batches(docs.sparkSession)
     model, at = ship(docs.sparkSession, trees), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import durable
+from .shared import bound_batches, durable
 from .textarrays import small_batches
 
 GRAM, WINDOW = 1, 2
@@ -54,6 +54,7 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, gram: int, window: int) -
             of = batch.select([0, 1]).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([of.column(0), of.column(1), pa.array(starts, pa.int32()), pa.array(fp), pa.array(news, pa.bool_()), pa.array(two[:, 0]), pa.array(two[:, 1])], ["doc_id", "body", "s", "fp", "fresh", "d1", "d2"])
 
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"), F.col(text_col).alias("text"))
     return slim.mapInArrow(cut, "doc_id long, body long, s int, fp long, fresh boolean, d1 long, d2 long")
 

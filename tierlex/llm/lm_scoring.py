@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import durable, ship
+from .shared import bound_batches, durable, ship
 from .textarrays import U64, Words, flat, small_batches, sums_by
 
 #: Bounds of what is broadcast: words of the model, words whose counts go along.
@@ -203,6 +203,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head:
     A null or empty text is its end alone.  Rows whose crc32(id as text) mod 7 is 2 are held out; a
     null id isn't.  Repeated rows are each scored.  Without training texts every count is nought.
     """
+    bound_batches(docs.sparkSession)
     rows = _rows(docs, id_col, text_col)
     train = rows.where("not held_out")
     counts = durable(count_tokens(train))

@@ -28,6 +28,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Rows and bytes of an Arrow batch on its way to or from Python.
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Small Arrow batches from now on in this session: whole texts are long, and a task holds a batch several times."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

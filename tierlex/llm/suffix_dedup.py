@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .jaccard_join import groups_of
-from .shared import durable, forget
+from .shared import bound_batches, durable, forget
 from .textarrays import BASE, MASK, U64, flat, mix, small_batches
 
 LENGTH, GRAM = 200, 40
@@ -226,6 +226,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     occurrence too; a shorter text stays whole.  Repeated rows repeat each other.  Other columns are
     not looked at; an empty table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), text.alias("text"))
 

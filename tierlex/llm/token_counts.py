@@ -14,7 +14,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import ship
+from .shared import bound_batches, ship
 from .textarrays import small_batches
 
 SPACE = "▁"
@@ -99,6 +99,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     A null or empty text has 0 bytes and 0 tokens.  Repeated rows are each counted; an empty table
     gives no rows.  The path is opened on the driver alone; ranks travel with the tasks.
     """
+    bound_batches(docs.sparkSession)
     ranks = load_ranks(model_path)
     shared = ship(docs.sparkSession, ranks)  # as large as the vocabulary, whatever the data
 

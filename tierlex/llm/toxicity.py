@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ship
+from .shared import bound_batches, ship
 from .textarrays import U64, Words, flat, mix, small_batches
 
 BITS = 20
@@ -75,6 +75,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labelled twice counts as toxic if one of its labels says so.  Without labelled rows the score is
     the same for all texts.
     """
+    bound_batches(docs.sparkSession)
     own = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
     own = own.where(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(5)) != 0)
     nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
@@ -98,6 +99,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], id_col:
     held_out: crc32 of the id as text, modulo 5, is 0 (a null id is not held out).  A null or empty
     text has the score of the bias alone.  Repeated rows are each scored; an empty table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     shared = ship(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
