@@ -1 +1,10 @@
-"""tierlex: lexical hierarchy analytics expressed as lazy Spark plans."""
+"""tierlex: lexical hierarchy analytics expressed as lazy Spark plans.
+
+Its functions travel to the executors by value, so a cluster needs no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The 64-bit FNV-1a offset basis and prime.
 FNV_BASIS, FNV_PRIME = 14695981039346656037, 1099511628211
@@ -17,7 +18,7 @@ DOMAIN_STEPS = ((3, 2), (10, 1), (50, 0), (150, -1))
 PARTICLES = ("up", "down", "in", "out", "on", "off", "over", "away", "back", "around", "through", "along", "about", "by", "into")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def fnv1a(words: pd.Series) -> pd.Series:
     """FNV-1a of the UTF-8 bytes as a signed 64-bit integer; null stays null.  Bytes are folded place by place over the whole batch."""
     raw = [None if w is None else w.encode() for w in words]
