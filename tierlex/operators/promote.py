@@ -90,3 +90,10 @@ def level_overlap(index: DataFrame) -> DataFrame:
 def crosstab(levels: DataFrame) -> DataFrame:
     """Words by specificity and level: what promotion would do, without doing it."""
     return levels.groupBy("specificity").pivot("level", ["reef", "town", "island"]).agg(F.count(F.lit(1))).na.fill(0)
+
+
+def legacy_weights(rows: DataFrame, key: str) -> DataFrame:
+    """The older export's scale of `raw` by group: 255 where all are equal; members of weight 0 are left out."""
+    bounds = rows.groupBy(key).agg(F.min("raw").alias("lo"), F.max("raw").alias("hi"))
+    scaled = S.min_max_u8(F.col("raw"), F.col("lo"), F.col("hi"), flat=255.0)
+    return rows.join(bounds, key).withColumn("weight", scaled).where("weight > 0").drop("lo", "hi", "raw")

@@ -168,6 +168,24 @@ def level_overlap(t):
     return promote.level_overlap(index_of(t))
 
 
+@query(f"{BASE}, r AS (SELECT reef_id, word_id, max(cosine_sim) AS raw FROM rw GROUP BY ALL), x AS (SELECT *, min(raw) OVER (PARTITION BY reef_id) AS lo, max(raw) OVER (PARTITION BY reef_id) AS hi FROM r), y AS (SELECT reef_id, word_id, (CASE WHEN hi > lo THEN round_even(255::DOUBLE * (raw - lo) / (hi - lo), 0) ELSE 255 END)::INT AS weight FROM x) SELECT * FROM y WHERE weight > 0")
+def legacy_weights(t):
+    return promote.legacy_weights(t.reef_words().groupBy("reef_id", "word_id").agg(F.max("cosine_sim").alias("raw")), "reef_id")
+
+
+@query(f"{BASE}, d AS (SELECT island_id, island, arch_id, row_number() OVER (ORDER BY CASE WHEN is_bucket = 1 THEN 999 ELSE arch_id END, island) - 1 AS domain_no FROM isl), s AS (SELECT DISTINCT island_id, reef_id FROM rw), n AS (SELECT reef_id, row_number() OVER (ORDER BY domain_no, reef_id) - 1 AS sub_reef FROM s JOIN d USING (island_id)) SELECT DISTINCT w.word_id, coalesce(sub_reef, 65535) AS sub_reef FROM w LEFT JOIN rw USING (word_id) LEFT JOIN n USING (reef_id)")
+def legacy_sub_reefs(t):
+    """The older export's reef numbers: domains by archipelago (buckets last) and name, then reefs; 65535 for words without one."""
+    order = F.when(F.col("is_bucket") == 1, 999).otherwise(F.col("arch_id"))
+    domains = t.islands.withColumn("domain_no", F.row_number().over(Window.orderBy(order, "island")) - 1).select("island_id", "domain_no")
+    facts = t.reef_words().select("island_id", "reef_id", "word_id")
+    reefs = facts.select("island_id", "reef_id").distinct().join(F.broadcast(domains), "island_id")
+    sizes = reefs.groupBy("domain_no").agg(F.count(F.lit(1)).alias("k")).withColumn("before", F.coalesce(F.sum("k").over(Window.orderBy("domain_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    nth = F.row_number().over(Window.partitionBy("domain_no").orderBy("reef_id")) - 1
+    numbered = reefs.withColumn("nth", nth).join(sizes, "domain_no").select("reef_id", (F.col("nth") + F.col("before")).alias("sub_reef"))
+    return t.words.select("word_id").join(facts.select("word_id", "reef_id"), "word_id", "left").join(numbered, "reef_id", "left").select("word_id", F.coalesce("sub_reef", F.lit(65535)).alias("sub_reef")).distinct()
+
+
 # --- questions over the index
 
 _WORDS_OF = "wq AS (SELECT DISTINCT l_orderkey AS query, l_partkey AS word_id FROM lineitem WHERE l_orderkey % 10 = 0)"
