@@ -106,13 +106,13 @@ def island_health(t):
     return seeds.island_health(t.reef_words(), t.towns)
 
 
-_DOM = f"{TOK}, d AS (SELECT DISTINCT source AS domain, token AS word, CASE length(token) % 5 WHEN 0 THEN 'curated' WHEN 1 THEN 'wordnet' WHEN 2 THEN 'claude' WHEN 3 THEN 'pipeline' ELSE 'xgboost' END AS source FROM tok WHERE doc_id % 3 = 0 UNION SELECT DISTINCT source, token, 'xgboost' FROM tok WHERE doc_id % 3 = 1)"
+_DOM = f"{TOK}, d AS (SELECT DISTINCT source AS domain, token AS word, CASE length(token) % 5 WHEN 0 THEN 'curated' WHEN 1 THEN 'wordnet' WHEN 2 THEN 'claude' WHEN 3 THEN 'pipeline' ELSE 'xgboost' END AS source FROM tok UNION SELECT DISTINCT source, token, 'xgboost' FROM tok)"
 
 
 def domain_rows(t) -> DataFrame:
     kinds = F.element_at(F.array(*map(F.lit, ("curated", "wordnet", "claude", "pipeline", "xgboost"))), (F.length("token") % 5).cast("int") + 1)
-    a = t.tokens.where("doc_id % 3 = 0").select(F.col("source").alias("domain"), F.col("token").alias("word"), kinds.alias("source"))
-    b = t.tokens.where("doc_id % 3 = 1").select(F.col("source").alias("domain"), F.col("token").alias("word"), F.lit("xgboost").alias("source"))
+    a = t.tokens.select(F.col("source").alias("domain"), F.col("token").alias("word"), kinds.alias("source"))
+    b = t.tokens.select(F.col("source").alias("domain"), F.col("token").alias("word"), F.lit("xgboost").alias("source"))
     return a.union(b).distinct()
 
 
@@ -138,10 +138,10 @@ def domain_transfer(t):
     return seeds.transfer(domain_rows(t), F.broadcast(mapping))
 
 
-@query("SELECT word, len(string_split(word, ' '))::INT AS word_count, 'compound' AS category FROM (SELECT DISTINCT lower(p_name) AS word FROM part) WHERE word LIKE '% %' AND word NOT IN (SELECT DISTINCT lower(p_name) FROM part WHERE p_partkey % 97 = 0)")
+@query("SELECT word, len(string_split(word, ' '))::INT AS word_count, 'compound' AS category FROM (SELECT DISTINCT lower(p_name) AS word FROM part) WHERE word LIKE '% %' AND word NOT IN (SELECT DISTINCT lower(p_name) FROM part WHERE p_size = 1)")
 def compound_insert(t):
-    names = t.part.select(F.col("p_name").alias("word"), "p_partkey")
-    return seeds.add_compounds(names.select("word"), names.where("p_partkey % 97 = 0"))
+    names = t.part.select(F.col("p_name").alias("word"), "p_size")
+    return seeds.add_compounds(names.select("word"), names.where("p_size = 1"))
 
 
 @query(f"{BASE} SELECT island_id, count(DISTINCT tow.town_id) AS towns, count(DISTINCT word_id) AS words, array_to_string(list_sort(list_distinct(list(word_id)))[1:15], ',') AS sample FROM tow JOIN (SELECT DISTINCT town_id, word_id FROM rw) r USING (town_id) GROUP BY island_id")
@@ -300,9 +300,12 @@ def word_variants(t):
     return text.variants(t.tokens.select("token").distinct())
 
 
-@query(f"{_VAR}, l AS (SELECT *, length(base) % 4 AS specificity, base AS word_id FROM va) SELECT variant, base, source FROM (SELECT *, row_number() OVER (PARTITION BY variant ORDER BY CASE source WHEN 'base' THEN 0 ELSE 2 END, specificity DESC, word_id) AS k FROM l WHERE source <> 'base' OR length(variant) % 2 = 0) WHERE k = 1")
+@query(f"{_VAR}, l AS (SELECT *, length(base) % 4 AS specificity, base AS word_id FROM va) SELECT variant, base, source FROM (SELECT *, row_number() OVER (PARTITION BY variant ORDER BY CASE source WHEN 'base' THEN 0 ELSE 2 END, specificity DESC, word_id) AS k FROM l WHERE source <> 'base' OR variant IN (SELECT token FROM tok GROUP BY 1 HAVING count(DISTINCT doc_id) >= 2)) WHERE k = 1")
 def lookup_priority(t):
-    rows = text.variants(t.tokens.select("token").distinct()).where("source <> 'base' or length(variant) % 2 = 0")
+    """Base forms are tokens of two documents or more."""
+    known = t.tokens.groupBy(F.col("token").alias("variant")).agg(F.countDistinct("doc_id").alias("n")).where("n >= 2")
+    all_ = text.variants(t.tokens.select("token").distinct())
+    rows = all_.where("source = 'base'").join(known.select("variant"), "variant", "left_semi").unionByName(all_.where("source <> 'base'"))
     return export.lookup(rows.withColumn("specificity", F.length("base") % 4).withColumn("word_id", F.col("base"))).select("variant", "base", "source")
 
 
