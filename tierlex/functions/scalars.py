@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,3 +118,33 @@ def category(c: Column) -> Column:
 
 def normalize_name(c: Column) -> Column:
     return F.trim(F.lower(F.translate(c, "_", " ")))
+
+
+#: First words of names of taxa.
+TAXA = ("genus", "family", "order", "class", "phylum", "division", "kingdom", "suborder", "subclass", "subfamily")
+
+
+def word_kind(c: Column, is_verb: Column, is_instance: Column) -> Column:
+    """single, taxonomic, phrasal_verb, named_entity or compound, by the text and what a lexicon says of it."""
+    taxon = F.lower(c).rlike(f"^({'|'.join(TAXA)}) ")
+    return F.when(~F.contains(c, F.lit(" ")), "single").when(taxon, "taxonomic").when(is_verb, "phrasal_verb").when(is_instance, "named_entity").otherwise("compound")
+
+
+def sense_texts(senses: DataFrame, prefix: str) -> DataFrame:
+    """word_id, nth, text: prefix, word and sense, numbered by the senses' order; a sense equal to its word is left out."""
+    rows = senses.where(F.lower("word") != F.lower("sense"))
+    nth = F.row_number().over(Window.partitionBy("word_id").orderBy("sense"))
+    return rows.select("word_id", nth.alias("nth"), F.concat(F.lit(prefix), "word", F.lit(": "), "sense").alias("text"))
+
+
+def hashed_vectors(rows: DataFrame, c: str, size: int) -> DataFrame:
+    """c, i, x: each text's letter trigrams add plus or minus 1 at a hashed place; scaled to length 1, places of 0 left out.
+
+    Texts are distinct.  Empty ones and null have no rows.
+    """
+    framed = F.concat(F.lit("<"), F.col(c), F.lit(">"))
+    grams = F.transform(F.sequence(F.lit(1), F.length(framed) - 2), lambda i: F.substr(framed, i, F.lit(3)))
+    hashed = rows.where(F.length(c) > 0).select(c, F.explode(grams).alias("gram")).select(c, F.conv(F.substring(F.md5("gram"), 1, 7), 16, 10).cast("long").alias("h"))
+    sign = F.when(F.floor(F.col("h") / size) % 2 == 0, 1.0).otherwise(-1.0)
+    sums = hashed.groupBy(c, (F.col("h") % size).alias("i")).agg(F.sum(sign).alias("s")).where("s <> 0")
+    return sums.select(c, "i", (F.col("s") / F.sqrt(F.sum(F.col("s") * F.col("s")).over(Window.partitionBy(c)))).alias("x"))

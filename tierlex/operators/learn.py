@@ -41,6 +41,29 @@ def train_town(vectors: DataFrame, town: int):
     return model, scored
 
 
+def importances(spark, model, k: int = 15) -> DataFrame:
+    """dim, importance of the k features that a classifier uses most; there are as many as a vector has dimensions."""
+    rows = sorted(((float(x), -i) for i, x in enumerate(model.featureImportances.toArray())), reverse=True)[:k]
+    return spark.createDataFrame([(f"dim_{-i}", x) for x, i in rows], "dim string, importance double")
+
+
+def tune(vectors: DataFrame, town: int, depths=(2, 3), rounds=(4, 8)) -> DataFrame:
+    """depth, rounds, f1 of one town's classifier for each setting, by cross-validation over folds of ids."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    chosen = negatives(vectors, town).select("vec_id").union(vectors.where(F.col("town_id") == town).select("vec_id"))
+    rows = vectors.join(chosen, "vec_id").select((F.col("town_id") == town).cast("double").alias("label"), array_to_vector("v").alias("features"), fold(F.col("vec_id"), 3).cast("int").alias("fold"))
+    trees = GBTClassifier(seed=SEED)
+    settings = ParamGridBuilder().addGrid(trees.maxDepth, list(depths)).addGrid(trees.maxIter, list(rounds)).build()
+    f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
+    fitted = CrossValidator(estimator=trees, estimatorParamMaps=settings, evaluator=f1, numFolds=3, foldCol="fold").fit(rows)
+    found = [(p[trees.maxDepth], p[trees.maxIter], float(x)) for p, x in zip(settings, fitted.avgMetrics, strict=True)]
+    return vectors.sparkSession.createDataFrame(found, "depth int, rounds int, f1 double")
+
+
 def metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Precision, recall, F1 and accuracy; 0 where nothing is predicted."""
     yes, true = F.col("score") >= threshold, F.col("label") == 1

@@ -1,4 +1,4 @@
 """All queries of the engine."""
 
-from . import lexicon, membership  # noqa: F401
+from . import lexicon, membership, reefs  # noqa: F401
 from .catalog import ORACLE_SQL, QUERIES  # noqa: F401
