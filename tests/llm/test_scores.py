@@ -153,6 +153,29 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_an_item_leaked_into_a_third_of_the_rows(spark):
+    rng = random.Random(16)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    items = [" ".join(word() for _ in range(38)) for _ in range(4)]
+    texts = [" ".join(word() for _ in range(44)) for _ in range(300)]
+    for k in range(0, 300, 3):
+        copy = items[0].split()
+        for place in rng.sample(range(38), k % 5):
+            copy[place] = word()
+        texts[k] = word() + " " + " ".join(copy)
+    texts[1] = items[1]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    docs = frame(spark, texts)
+    expected = {(k, i) for k, t in enumerate(texts) for i, x in enumerate(items) if brute_align_words(x, t) >= decontamination.LEAST}
+    assert expected == {(k, 0) for k in range(0, 300, 3)} | {(1, 1)}
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(docs, bench).collect()} == expected
+    assert {r.doc_id for r in decontamination.clean(docs, bench).collect()} == set(range(300)) - {k for k, _ in expected}
+
+
+def brute_align_words(item, text):
+    return brute_align(item.split(), text.split()) / len(item.split()) if set(item.split()) & set(text.split()) else 0.0
+
+
 def lm_tokens(t):
     return re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode())) + [b"\x20"]
 

@@ -1,10 +1,11 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Words are runs of letters, digits and bytes above 127, ASCII in lower case.  A gram of SEED words of a
-test item is a seed if it is rare: the product of its words' corpus frequencies is at most RARE, so it
-doesn't turn up by chance, however often the item has leaked.  Around each seed that a document shares
-with an item, the item is aligned locally; the alignment's score over the item's length says how much
-of it was copied, edits included.
+test item is rare if the product of its words' corpus frequencies is at most RARE, so that it doesn't
+turn up by chance.  Around each gram that a document shares with an item, the item is aligned locally;
+the alignment's score over the item's length says how much of it was copied, edits included.  Where
+no shared gram is rare, which leaked copies bring about themselves, the alignment is left out only if
+the words in common can't reach the least score; so rarity decides the work, never the result.
 
 Items are handled in chunks of bounded size, each broadcast; a larger benchmark takes more scans.
 """
@@ -56,11 +57,8 @@ class Items:
         self.gram, self.place = self.gram[order], self.place[order]
         self.vocabulary = np.unique(w.hash)
 
-    def keep(self, rare: np.ndarray) -> None:
-        self.gram, self.place = self.gram[rare], self.place[rare]
-        self.index()
-
-    def index(self) -> None:
+    def index(self, rare: np.ndarray) -> None:
+        self.rare = rare
         self.bits = np.zeros(1 << 16, bool)
         self.bits[self.gram >> U64(48)] = True
         self.row = np.searchsorted(self.first, self.place, side="right") - 1
@@ -99,6 +97,12 @@ def _forward(item: np.ndarray, text: np.ndarray, stop: float = np.inf) -> tuple[
     return best, end
 
 
+def common(words: np.ndarray, counts: np.ndarray, text: np.ndarray) -> int:
+    """Number of an item's words, sorted and counted, that a text holds, repeats included; no alignment scores more."""
+    at = member(words, text)
+    return int(np.minimum(counts, np.bincount(at[at >= 0], minlength=len(words))).sum())
+
+
 def matches(items: Items, w: Words, rows: int, least: float = LEAST) -> list[tuple[int, int, float, int, int, int]]:
     """(row, item, score, begin, end, seeds) of the documents' best alignments that reach `least`."""
     if len(w.hash) < SEED or not len(items.gram):
@@ -108,35 +112,40 @@ def matches(items: Items, w: Words, rows: int, least: float = LEAST) -> list[tup
     near = near[w.doc[near] == w.doc[near + SEED - 1]]
     lo = np.searchsorted(items.gram, g[near], side="left")
     hi = np.searchsorted(items.gram, g[near], side="right")
-    found: dict[tuple[int, int], list[int]] = defaultdict(list)
+    found: dict[tuple[int, int], list[tuple[int, bool]]] = defaultdict(list)
     for p, a, b in zip(near[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
         for k in range(a, b):  # a gram has as many entries as the items repeat it
             item = int(items.row[k])
-            found[int(w.doc[p]), item].append(p - int(items.place[k] - items.first[item]))
+            found[int(w.doc[p]), item].append((p - int(items.place[k] - items.first[item]), bool(items.rare[k])))
     out = []
+    bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for (row, item), begins in found.items():
         word = items.hash[items.first[item] : items.first[item + 1]]
+        if item not in bags:
+            bags[item] = np.unique(word, return_counts=True)
         slack, top = len(word) // 2 + 2, (0.0, 0, 0)
         begins = sorted(set(begins))
-        lo_, hi_ = begins[0] - slack, begins[0] + len(word) + slack
+        lo_, hi_, sure = begins[0][0] - slack, begins[0][0] + len(word) + slack, False
         regions = []
-        for b in begins[1:]:
+        for b, rare in begins:
             if b - slack > hi_:
-                regions.append((lo_, hi_))
-                lo_ = b - slack
-            hi_ = b + len(word) + slack
-        for a, b in [*regions, (lo_, hi_)]:
+                regions.append((lo_, hi_, sure))
+                lo_, sure = b - slack, False
+            hi_, sure = b + len(word) + slack, sure or rare
+        for a, b, sure_ in [*regions, (lo_, hi_, sure)]:
             a, b = max(a, int(w.first[row])), min(b, int(w.first[row + 1]))
+            if not sure_ and MATCH * common(*bags[item], w.hash[a:b]) < least * MATCH * len(word):
+                continue
             score, s, e = align(word, w.hash[a:b])
             if score > top[0]:
                 top = score, a + s - int(w.first[row]), a + e - int(w.first[row])
         if (share := top[0] / (MATCH * len(word))) >= least:
-            out.append((row, item, share, top[1], top[2], len(begins)))
+            out.append((row, item, share, top[1], top[2], len({b for b, _ in begins})))
     return out
 
 
 def chunks(bench: DataFrame, docs: DataFrame, id_col: str, text_col: str, doc_text: str, chunk_bytes: int, rare: float) -> Iterator[Items]:
-    """The items in chunks of about `chunk_bytes`, their rare grams chosen by the words' frequencies in all documents."""
+    """The items in chunks of about `chunk_bytes`, their rare grams marked by the words' frequencies in all documents."""
     bound_batches(docs.sparkSession)
     rows = bench.where(f"`{text_col}` is not null and `{id_col}` is not null").select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -151,7 +160,7 @@ def chunks(bench: DataFrame, docs: DataFrame, id_col: str, text_col: str, doc_te
         chance = np.ones(len(items.place))
         for i in range(SEED):
             chance *= share[member(items.vocabulary, items.hash[items.place + i])]
-        items.keep(chance <= rare)
+        items.index(chance <= rare)
         yield items
 
 
@@ -185,7 +194,8 @@ def frequencies(docs: DataFrame, text_col: str, vocabulary: np.ndarray) -> tuple
 def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", least: float = LEAST, rare: float = RARE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per document and item that it holds: doc_id, item_id, score, start_word, end_word, n_seeds.
 
-    score: alignment score over the item's length, `least` to 1.  The span counts the document's words.
+    score: alignment score over the item's length, `least` to 1.  The span counts the document's words;
+    n_seeds, the places at which shared grams, rare or not, would have the item begin.
     Null or empty texts match nothing, nor do items of fewer than SEED words, or with a null id.  Items
     with equal texts are all reported; repeated documents too.  Empty tables give no rows.
     """
