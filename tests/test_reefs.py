@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierlex.functions import scalars as S
 from tierlex.functions import stemming
-from tierlex.operators import learn, reefs
+from tierlex.operators import learn, reefs, sweep
 
 VECTORS = "town_id long, vec_id long, v array<double>"
 
@@ -115,3 +115,26 @@ def test_importances_and_tuning(spark):
     assert learn.importances(spark, model).first().dim == "dim_0"
     tuned = learn.tune(rows, 1, depths=(2,), rounds=(1, 2)).collect()
     assert [r.f1 for r in tuned] == [1.0, 1.0]
+
+
+def test_every_town_has_rows(spark):
+    rows = spark.createDataFrame([(i, i % 3, 0, [float(i % 3), float(i % 5)]) for i in range(90)], "vec_id long, town_id long, island_id long, v array<double>")
+    got = learn.each_town(rows, lambda town: learn.metrics(learn.train_town(rows, town)[1])).collect()
+    assert [(r.town_id, r.f1) for r in got] == [(0, 1.0), (1, 1.0), (2, 1.0)]
+
+
+def test_sweep_margins(spark):
+    parts = spark.createDataFrame([(1, 1, 1.0, 1.0, 0.9, 0.0, 1), (1, 2, 1.0, 1.0, 0.3, 0.0, 1), (2, 1, 1.0, 1.0, 0.0, 0.0, 1), (2, 2, 1.0, 1.0, 0.6, 0.0, 1)], "word_id int, island_id int, idf double, quality double, c_own double, c_name double, n int")
+    params = sweep.grid(spark, {"own": (0.5,), "name": (0.1,), "floor": (0.9,), "blend": (1.0, 0.8), "power": (0.5,)})
+    asked = spark.createDataFrame([("q", 1), ("r", 2)], "query string, word_id int")
+    expected = spark.createDataFrame([("q", 1), ("r", 1)], "query string, expected int")
+    got = {r.param_id: (r.passed, r.questions, r.mean_margin) for r in sweep.evaluate(parts, params, asked, expected).collect()}
+    assert got == {0: (1, 2, 255 / 85), 1: (1, 2, 255 / 68)}
+
+
+def test_sweep_evaluates_the_whole_grid(spark):
+    from tierlex import plans
+
+    got = plans.QUERIES["sweep_evaluate"](spark, "/root/testdata/sf0.001")
+    assert {r.param_id for r in got.collect()} == {r.param_id for r in sweep.grid(spark).collect()}
+    assert "mean_margin" in got.columns

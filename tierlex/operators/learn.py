@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -41,6 +44,12 @@ def train_town(vectors: DataFrame, town: int):
     return model, scored
 
 
+def each_town(vectors: DataFrame, rows_of: Callable[[int], DataFrame]) -> DataFrame:
+    """The rows of every town, its id before them; towns are a tier of the hierarchy."""
+    towns = [r.town_id for r in vectors.where("town_id is not null").select("town_id").distinct().orderBy("town_id").collect()]
+    return reduce(DataFrame.unionByName, [rows_of(town).select(F.lit(town).alias("town_id"), "*") for town in towns])
+
+
 def importances(spark, model, k: int = 15) -> DataFrame:
     """dim, importance of the k features that a classifier uses most; there are as many as a vector has dimensions."""
     rows = sorted(((float(x), -i) for i, x in enumerate(model.featureImportances.toArray())), reverse=True)[:k]

@@ -408,15 +408,14 @@ def sweep_grid(t):
 
 @query()
 def sweep_evaluate(t):
-    """Passes of the grid's parameter sets on the questions; the expected island has the largest sum of own cosines."""
+    """Passes and mean margins of all the grid's parameter sets on the questions; the expected island has the largest sum of own cosines."""
     facts, _, _ = levels_of(t)
     rows = stats.source_quality(facts).groupBy("word_id", "island_id").agg(F.max("cosine_sim").alias("c_own"), F.max("island_cos").alias("c_name"), F.max("source_quality").alias("quality"))
     n = rows.groupBy("word_id").agg(F.count(F.lit(1)).alias("n"))
     parts = rows.join(n, "word_id").withColumn("idf", F.log2(F.lit(25.0) / F.col("n")))
     asked = questions(t)
     best = asked.join(parts, "word_id").groupBy("query", "island_id").agg(F.sum("c_own").alias("s")).groupBy("query").agg(F.max_by("island_id", F.struct("s", -F.col("island_id"))).alias("expected"))
-    few = sweep.grid(t.spark, {"own": (0.5,), "name": (0.2, 0.3), "floor": (0.9,), "blend": (0.6, 0.8), "power": (0.33,)})
-    return sweep.evaluate(parts, few, asked, best)
+    return sweep.evaluate(parts, sweep.grid(t.spark), asked, best)
 
 
 @query(f"{VEC}, p AS (SELECT vec_id, CASE WHEN island_id = 1 THEN 'sibling' ELSE 'global' END AS pool FROM vec WHERE town_id <> 4), k AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY md5(vec_id || ':42'), vec_id) AS nth FROM p), n AS (SELECT count(*) AS n FROM vec WHERE town_id = 4) SELECT vec_id, pool FROM k, n WHERE nth <= CASE pool WHEN 'sibling' THEN floor(n * 5 / 2) ELSE ceil(n * 5 / 2) END")
@@ -426,8 +425,8 @@ def negative_sample(t):
 
 @query()
 def town_classifier(t):
-    """Held-out metrics of one town's classifier."""
-    return learn.metrics(learn.train_town(t.vectors, 4)[1].where("held_out"))
+    """Held-out metrics of every town's classifier."""
+    return learn.each_town(t.vectors, lambda town: learn.metrics(learn.train_town(t.vectors, town)[1].where("held_out")))
 
 
 @query()

@@ -125,11 +125,11 @@ def hashed_vectors(t):
 
 @query()
 def feature_importances(t):
-    """The fifteen dimensions that a town's classifier uses most."""
-    return learn.importances(t.spark, learn.train_town(t.vectors, 4)[0])
+    """The fifteen dimensions that each town's classifier uses most."""
+    return learn.each_town(t.vectors, lambda town: learn.importances(t.spark, learn.train_town(t.vectors, town)[0]))
 
 
 @query()
 def classifier_tuning(t):
-    """F1 of each setting of a town's classifier, by folds of ids."""
-    return learn.tune(t.vectors, 4)
+    """F1 of each setting of every town's classifier, by folds of ids."""
+    return learn.each_town(t.vectors, lambda town: learn.tune(t.vectors, town))
