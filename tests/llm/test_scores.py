@@ -215,24 +215,29 @@ def test_lm_odd(spark):
     assert lm_scoring.score(frame(spark, ["x"]).limit(0)).count() == 0
 
 
-def brute_bits(samples, text, trees):
-    """Code length by walking contexts, with the same tree."""
+def brute_bits(samples, text, order):
+    """Code length by walking contexts, one byte after another."""
     seen = {}
     for t in samples:
-        s = [int(trees.symbol[b]) for b in t.encode()]
+        s = t.encode()
         for i, x in enumerate(s):
-            for k in range(language_id.ORDER + 1):
-                ctx = tuple(([0] * k + s[:i])[-k:]) if k else ()
-                seen.setdefault(ctx, Counter())[x] += 1
-    def chance(ctx, x):
-        if ctx and (ctx not in seen or (len(ctx) > 1 and sum(seen[ctx].values()) < language_id.LEAST)):
-            return chance(ctx[1:], x)
-        c = seen[ctx]
-        d, n = len(c), sum(c.values())
-        return c[x] / (n + d) + d / (n + d) * (chance(ctx[1:], x) if ctx else 1 / 256)
-    s = [int(trees.symbol[b]) for b in text.encode()]
-    k = language_id.ORDER
-    return -sum(math.log2(chance(tuple(([0] * k + s[:i])[-k:]), x)) for i, x in enumerate(s))
+            for k in range(order + 1):
+                seen.setdefault((b"\0" * k + s[:i])[-k:] if k else b"", Counter())[x] += 1
+
+    def cost(ctx, x):
+        bits = 0.0
+        while True:
+            if c := seen.get(ctx):
+                d, n = len(c), sum(c.values())
+                if x in c:
+                    return bits + math.log2((n + d) / c[x])
+                bits += math.log2((n + d) / d)
+            if not ctx:
+                return bits + 8
+            ctx = ctx[1:]
+
+    s = text.encode()
+    return sum(cost((b"\0" * order + s[:i])[-order:], x) for i, x in enumerate(s))
 
 
 def test_language_codes_are_exact():
@@ -240,12 +245,24 @@ def test_language_codes_are_exact():
 
     from tierlex.llm.textarrays import flat
 
-    samples = {"de": prose(8, 12, DE), "en": prose(9, 12, EN)}
-    trees = language_id.train(samples)
-    texts = ["the und", "würde schön", "Q?", "", *prose(10, 3, EN + DE)]
-    got = trees.bits(*flat(pa.array(texts)))
-    want = [[brute_bits(samples[x], t, trees) for x in trees.langs] for t in texts]
-    assert np.allclose(got, want, rtol=1e-4)
+    samples = {"de": prose(8, 12, DE), "en": prose(9, 12, EN), "ru": prose(18, 9, "что это для как они только было".split()), "zh": ["我们在这里学习语言", "他们的书在这里"], "xx": ["\0a\0", "q"]}
+    for order in (2, 4):
+        trees = language_id.train(samples, order)
+        texts = ["the und", "würde schön", "Q?", "", "это было", "这里的语言", "\0\0a", *prose(10, 3, EN + DE)]
+        got = trees.bits(*flat(pa.array(texts)))
+        want = [[brute_bits(samples[x], t, order) for x in trees.langs] for t in texts]
+        assert np.allclose(got, want, rtol=1e-4)
+
+
+def test_language_groups_hold_all_scripts():
+    """Every byte value of several scripts is its own symbol, and languages of different groups compare."""
+    import pyarrow as pa
+
+    words = {"en": EN, "de": DE, "ru": "что это для как они только было".split(), "el": "και το να με που από για".split(), "zh": [chr(0x4E00 + k) for k in range(300)], "ar": "في من على هذا كان".split()}
+    trees = language_id.train({x: prose(20 + i, 40, w) for i, (x, w) in enumerate(words.items())})
+    for i, (x, w) in enumerate(words.items()):
+        langs, scores = language_id.judge(trees, pa.array(prose(40 + i, 10, w)))
+        assert set(langs) == {x} and scores.min() > 0.9
 
 
 def test_language_id(spark):

@@ -118,6 +118,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", few: int = FEW_EDGE
     return e.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("root")).union(e.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
+#: Values of a row's place in the order of hashes.
+SPAN = 1 << 32
+
+
+def hash_place(c: str):
+    return F.pmod(F.xxhash64(c), F.lit(SPAN))
+
+
+def first_by_hash(rows: DataFrame, key: str, of: str, most: int | dict) -> DataFrame:
+    """The rows of each key whose hash of `of` is small enough that about a fifth more than `most` (or most[key]) are left.
+
+    Keys are few (classes, languages); their numbers of rows are counted first, so that what is sorted
+    by the hash afterwards is bounded by `most`, however many rows a key has.
+    """
+    counts = {r[0]: r[1] for r in rows.groupBy(key).agg(F.count(F.lit(1))).collect()}
+    few, rest = F.lit(False), []
+    for value, n in counts.items():
+        want = most[value] if isinstance(most, dict) else most
+        bound = SPAN if n <= want else min(SPAN, int(SPAN * (1.2 * want + 100) / n))
+        if bound < SPAN:
+            few = few | ((F.col(key) == value) & (hash_place(of) < bound))
+        else:
+            rest.append(value)
+    return rows.where(few | F.col(key).isin(rest))
+
+
 def ship(spark: SparkSession, value) -> Callable:
     """A function that gives the value on executors: it is broadcast with its classes, which they needn't have."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
