@@ -109,6 +109,52 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def plain_ftrl(texts, labels):
+    """The same updates, one feature at a time."""
+    import pyarrow as pa
+
+    from tierlex.llm.textarrays import Words, flat
+
+    examples = []
+    for t in texts:
+        _, places = toxicity.features(Words(*flat(pa.array([t]))))
+        examples.append([*sorted(set(places.tolist())), -1])
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        over = abs(z[i]) - (0 if i == -1 else toxicity.L1)
+        return -math.copysign(over, z[i]) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2) if over > 0 else 0.0
+
+    order = np.random.default_rng(7)
+    for _ in range(toxicity.EPOCHS):
+        for k in order.permutation(len(examples)):
+            w = {i: weight(i) for i in examples[k]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - labels[k]
+            for i in examples[k]:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA * w[i]
+                n[i] += g * g
+    return {i: w for i in z if (w := weight(i))}
+
+
+def test_toxicity_is_plain_ftrl(spark):
+    """Weights and scores of the query's path against a plain loop, with repeated rows and a very long text."""
+    rng = random.Random(14)
+    texts = [" ".join(rng.choice(EN) for _ in range(12)) + (" vile scum" if k % 3 == 0 else "") for k in range(120)]
+    texts += [" ".join(EN) * 20_000, texts[0], None, ""]
+    labels = [float(k % 3 == 0) for k in range(120)] + [0.0, 1.0]
+    docs = frame(spark, texts)
+    marks = spark.createDataFrame([(k, int(y)) for k, y in enumerate(labels)], "doc_id long, toxic int")
+    places, values, bias = toxicity.train(docs, marks)
+    place = {i: r for i, r in spark.range(len(labels)).select("id", toxicity.hash_place("id")).collect()}
+    mine = sorted((k for k in range(len(labels)) if zlib.crc32(str(k).encode()) % 5), key=lambda k: (place[k], k))
+    want = plain_ftrl([texts[k] for k in mine], [labels[k] for k in mine])
+    assert dict(zip([*places.tolist(), -1], [*values.tolist(), bias], strict=True)) == pytest.approx({-1: 0.0} | want)
+    both = docs.union(docs.where("doc_id = 0"))
+    rows = [(r.doc_id, r.score) for r in toxicity.score(both, (places, values, bias)).collect()]
+    assert len(rows) == len(texts) + 1 and len({x for i, x in rows if i in (0, 121)}) == 1
+    assert [x for i, x in rows if i >= 122] == pytest.approx([1 / (1 + math.exp(-bias))] * 2)
+
+
 def brute_align(item, text):
     best, h = 0.0, np.zeros((len(item) + 1, len(text) + 1))
     for i in range(1, len(item) + 1):

@@ -15,16 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bound_batches, ship
+from .shared import bound_batches, first_by_hash, hash_place, ship
 from .textarrays import U64, Words, flat, mix, small_batches
 
 BITS = 20
 #: A word also counts as its first bytes, so that inflected forms share a feature.
 STEMS = (4, 6)
-ALPHA, BETA, L1, L2 = 0.2, 1.0, 4.0, 1.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 1.0
 EPOCHS = 3
-#: Bound of the training sample: so many labelled rows of each class at most, the first by their ids' hashes.
+#: Bounds of the training sample: labelled rows of each class, the first by their ids' hashes, and bytes of text in all.
 SAMPLE = {1: 5000, 0: 9000}
+SAMPLE_BYTES = 64 << 20
 
 
 def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -72,23 +73,31 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on labelled rows whose crc32(id as text) mod 5 isn't 0, at most `sample` of each class.
 
     Labels that are null, or whose document is missing or has a null text, are left out; a doc_id
-    labelled twice counts as toxic if one of its labels says so.  Without labelled rows the score is
-    the same for all texts.
+    labelled twice counts as toxic if one of its labels says so, and each of its rows is learned from.
+    Texts are read whole, in the order of their ids' hashes, until SAMPLE_BYTES are reached.  Without
+    labelled rows the score is the same for all texts.
     """
     bound_batches(docs.sparkSession)
     own = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
     own = own.where(F.pmod(F.crc32(F.col("id").cast("string")), F.lit(5)) != 0)
-    nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
-    picked = own.withColumn("nth", nth).where(F.col("nth") <= F.when(F.col("toxic") == 1, sample[1]).otherwise(sample[0])).where(F.col("nth") <= max(sample.values())).select("id", "toxic")
+    # a bit over `sample` of each class are left for the window
+    nth = F.row_number().over(Window.partitionBy("toxic").orderBy(hash_place("id"), "id"))
+    few = first_by_hash(own, "toxic", "id", {k: sample.get(k, sample[0]) for k in range(2)})
+    picked = few.withColumn("nth", nth).where(F.col("nth") <= F.when(F.col("toxic") == 1, sample[1]).otherwise(sample[0])).select("id", "toxic", hash_place("id").alias("place"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("text is not null")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(batches, pa.schema([("id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())]))
-        places, values, bias = fit(held["text"].combine_chunks(), held["toxic"].to_numpy().astype(float))
+        held, size = [], 0
+        for batch in batches:
+            if size <= SAMPLE_BYTES:
+                held.append(batch)
+                size += batch.nbytes
+        table = pa.Table.from_batches(held, pa.schema([("id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32()), ("place", pa.int64())]))
+        places, values, bias = fit(table["text"].combine_chunks(), table["toxic"].to_numpy().astype(float))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(places, -1)), pa.array(np.append(values, bias))], ["place", "value"])
 
     # one task learns from the sample, which is bounded; the driver gets 2 ** BITS weights at most
-    table = texts.join(F.broadcast(picked), "id").select("id", "text", "toxic").repartition(1).sortWithinPartitions("id", "text").mapInArrow(learn, "place long, value double").toArrow()
+    table = texts.join(F.broadcast(picked), "id").select("id", "text", "toxic", "place").repartition(1).sortWithinPartitions("place", "id", "text").mapInArrow(learn, "place long, value double").toArrow()
     places, values = table["place"].to_numpy(), table["value"].to_numpy()
     return (places[:-1], values[:-1], float(values[-1])) if len(places) else (places, values, 0.0)
 
