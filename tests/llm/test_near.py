@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tierlex.llm import exact_dedup, jaccard_join, line_dedup, suffix_dedup
 from tierlex.llm.shared import components
@@ -109,6 +110,12 @@ def test_exact_dedup_odd_rows(spark):
     assert sorted((r.doc_id or -1, r.keep_id, r.group_size, r.kept) for r in rows) == [(-1, 3, 4, False), (-1, 3, 4, False), (-1, 4, 2, False), (3, 3, 4, False), (3, 3, 4, True), (4, 4, 2, True)]
     assert exact_dedup.deduplicate(df).count() == 2
     assert exact_dedup.decisions(df.limit(0)).count() == 0
+    assert exact_dedup.deduplicate(df.limit(0)).count() == 0
+    marked = df.withColumn("Keep_id", F.monotonically_increasing_id()).withColumn("nth", F.lit("x")).unionByName(df.withColumn("Keep_id", F.lit(99)).withColumn("nth", F.lit("y")))
+    for capacity in (1, 1024):
+        kept = [exact_dedup.deduplicate(marked.repartition(n), capacity=capacity) for n in (1, 4)]
+        assert kept[0].columns == marked.columns
+        assert len({tuple(sorted(map(tuple, k.select("doc_id", "nth").collect()))) for k in kept}) == 1
 
 
 def test_misra_gries_keeps_frequent():

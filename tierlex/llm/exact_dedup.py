@@ -54,6 +54,12 @@ def frequent(digests: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return some.repartition(1).mapInArrow(_summaries(capacity), kind)
 
 
+def heavy_winners(rows: DataFrame, capacity: int) -> DataFrame:
+    """digest, keep_id, group_size of the verified heavy hitters, at most `capacity` rows; rows: doc_id, digest."""
+    possible = frequent(rows, capacity).select("digest")
+    return durable(rows.join(F.broadcast(possible), "digest").groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1"))
+
+
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -63,10 +69,7 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = durable(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("digest")))
-    possible = frequent(rows, capacity).select("digest")
-    of_digest = [F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")]
-    # at most `capacity` rows, so they may be broadcast
-    winners = durable(rows.join(F.broadcast(possible), "digest").groupBy("digest").agg(*of_digest).where("group_size > 1"))
+    winners = heavy_winners(rows, capacity)
     heavy = rows.join(F.broadcast(winners), "digest")
     top = heavy.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).withColumn("nth", F.row_number().over(Window.partitionBy("digest").orderBy("doc_id")))
     heavy = heavy.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).withColumn("nth", F.lit(2)).unionByName(top)
@@ -81,10 +84,18 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """The documents that stay, with all their columns; see `decisions`."""
-    id_, sha, nth = (fresh(docs, f"_{x}") for x in ("id", "sha", "nth"))
-    kept = decisions(docs, id_col, text_col, capacity).where("kept").select(F.col("doc_id").alias(id_), F.col("text_sha256").alias("keep_sha"))
-    marked = docs.withColumn(sha, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    found = marked.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(id_)) & (F.col(sha) == F.col("keep_sha")), "left_semi")
-    first = Window.partitionBy(sha).orderBy(F.lit(0))
-    return found.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(sha, nth)
+    """The documents that stay, with all their columns; see `decisions`.
+
+    Copies of heavy hitters go where they are read, against the broadcast winners; what is left is
+    shuffled once, by digest, and each partition sends only its first row of a digest.  Rows with
+    equal doc_id and text are told apart by their other columns' hash, so the same one stays every time.
+    """
+    id_, digest, nth, mark = (fresh(docs, f"_{x}") for x in ("id", "digest", "nth", "mark"))
+    sha = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    rows = durable(docs.select(F.col(id_col).cast("long").alias("doc_id"), sha.alias("digest")))
+    winners = heavy_winners(rows, capacity).select(F.col("digest").alias(digest), F.col("keep_id").alias(id_))
+    left = docs.withColumn(digest, sha).join(F.broadcast(winners.withColumn(mark, F.lit(True))), digest, "left")
+    left = left.where(F.col(mark).isNull() | F.col(id_col).cast("long").eqNullSafe(F.col(id_)))
+    others = F.xxhash64(*(F.col(c) for c in docs.columns if c not in (id_col, text_col)), F.lit(0))
+    first = Window.partitionBy(digest).orderBy(F.col(id_col).cast("long").desc_nulls_last(), others)
+    return left.withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*docs.columns)
