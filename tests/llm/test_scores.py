@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tierlex.llm import decontamination, language_id, lm_scoring, mixing, token_counts, toxicity
 
@@ -226,11 +227,11 @@ def lm_tokens(t):
     return re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode())) + [b"\x20"]
 
 
-@pytest.mark.parametrize(("head", "broad"), [(5, 8), (1000, 400_000)])
-def test_lm_scoring(spark, head, broad):
-    texts = prose(7, 250, EN + DE + [f"rare{i}" for i in range(300)]) + ODD
-    docs = frame(spark, texts)
-    rows = {r.doc_id: r for r in lm_scoring.score(docs.union(docs.where("doc_id = 3")), head=head, broad=broad).collect()}
+@pytest.mark.parametrize(("own", "broad"), [(5, 40), (0, 0), (60_000, 400_000)])
+def test_lm_scoring(spark, own, broad):
+    texts = prose(7, 250, EN + DE + [f"rare{i}" for i in range(300)]) + [*ODD, " ".join(EN) * 3000]
+    docs = frame(spark, texts).withColumn("body", F.lit(1)).withColumn("N_TOKENS", F.lit("x"))
+    rows = {r.doc_id: r for r in lm_scoring.score(docs.union(docs.where("doc_id = 3")), own=own, broad=broad).collect()}
     held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
     c = Counter(w for i, t in [*enumerate(texts), (3, texts[3])] for w in lm_tokens(t) if not held(i))
     n, v = sum(c.values()), len(c)
@@ -241,18 +242,85 @@ def test_lm_scoring(spark, head, broad):
         assert math.isfinite(r.score) and r.score < 0
 
 
+def words_of(texts):
+    import pyarrow as pa
+
+    from tierlex.llm.textarrays import Words, flat
+
+    return lm_scoring.sequence(Words(*flat(pa.array(texts, pa.string()))))
+
+
+def test_lm_scores_are_plain_log_probabilities(spark):
+    """The query's scores against a plain softmax over all words and the share of a word in its class."""
+    rng = random.Random(21)
+    texts = [" ".join(f"{rng.choice(EN)}{rng.choice('abcd')}" if rng.random() < 0.3 else rng.choice(EN) for _ in range(rng.randint(1, 30))) for _ in range(120)]
+    docs = frame(spark, texts)
+    got = {r.doc_id: r.score for r in lm_scoring.score(docs, own=6, broad=30).collect()}
+    train = docs.where("pmod(crc32(cast(doc_id as string)), 7) <> 2").select("doc_id", "text")
+    counts = lm_scoring.count_tokens(train)
+    vocab = lm_scoring.vocabulary(counts, 6, 30)
+    assert 0 < len(vocab.hash) <= 30 and vocab.size == 1 + lm_scoring.TAILS + 6
+    model = lm_scoring.fit(train, vocab)
+    c = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2 for w in lm_tokens(t))
+    hashes, tails, _ = words_of([" ".join(x.decode() for x in c if x != b" ")])
+    row = {x: (0, 0) if x == b" " else (int(vocab.rows(vocab.find(h[None]), t[None])[0]), int(t)) for x, h, t in zip([x for x in c if x != b" "] + [b" "], hashes, tails, strict=True)}
+    mass = Counter()
+    for x, (r, t) in row.items():
+        if 0 < r <= lm_scoring.TAILS:
+            mass[r] += c[x] + 1
+
+    def plain(text):
+        total, before = 0.0, [0, 0]
+        for x in lm_tokens(text):
+            if x not in row:
+                (h,), (t,), _ = [y[:1] for y in words_of([x.decode()])]
+                r = int(t)
+            else:
+                r = row[x][0]
+            s = (model.P[before[1]] + model.Q[before[0]]) @ model.R.T + model.b[:, 0]
+            s = s.astype(np.float64)
+            p = s[r] - np.log(np.exp(s).sum())
+            if 0 < r <= lm_scoring.TAILS:
+                p += math.log((c[x] + 1) / (mass[r] + 1))
+            total += p / math.log(10)
+            before = [before[1], int(vocab.context[r])]
+        return total
+
+    for i in range(0, 120, 7):
+        assert got[i] == pytest.approx(plain(texts[i]), rel=1e-3)
+    assert sum((n + 1) / (mass[row[x][0]] + 1) for x, n in c.items() if 0 < row[x][0] <= lm_scoring.TAILS) + sum(1 / (m + 1) for m in mass.values()) == pytest.approx(len(mass))
+
+
+def test_lm_learns_and_shards_by_hash(spark):
+    """Held-out texts of a chain of words score far above the base; partitions of the input don't matter."""
+    rng = random.Random(22)
+    after = {w: rng.sample(EN + DE, 2) for w in EN + DE}
+    texts = []
+    for _ in range(1200):
+        words = [rng.choice(EN)]
+        for _ in range(40):
+            words.append(rng.choice(after[words[-1]]))
+        texts.append(" ".join(words))
+    docs = frame(spark, texts)
+    total = lambda d: lm_scoring.score(d).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    a, b = total(docs), total(docs.repartition(7))
+    assert a[0] == pytest.approx(b[0], rel=1e-5)
+    assert (a[0] - a[1]) / a[2] > 0.1
+
+
 def test_lm_is_normalised_and_learns():
     rng = np.random.default_rng(1)
     share = np.array([0.1, 0.1, 0.2, 0.2, 0.2, 0.2])
     w = np.array([2, 3, 4, 5] * 3000)
     c1, c2 = np.roll(w, 1), np.roll(w, 2)
-    m = lm_scoring.Model(share, 4)
-    for _ in range(4):
+    m = lm_scoring.Model(share, 6, 4)
+    for _ in range(40):
         for i in range(0, len(w), 512):
             k = rng.permutation(len(w))[:512]
             m.learn(w[k], c1[k], c2[k])
-    s1, s2, z = m.tables()
-    p = 10.0 ** (s1[:, None, :] + s2[None, :, :] - z[:, :, None])
+    z = m.normalisers(block=4)
+    every = np.arange(6)
+    p = np.array([[10.0 ** m.log10(z, every, np.full(6, a), np.full(6, b)) for b in range(6)] for a in range(6)])
     assert np.allclose(p.sum(2), 1, atol=1e-4)
     assert p[2, 5, 3] > 0.5
 

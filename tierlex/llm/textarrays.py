@@ -91,16 +91,20 @@ class Words:
         sums = np.zeros(n + 1, U64)
         np.cumsum((LOWER[data] if lower else data).astype(U64) * up[:n] + up[:n], out=sums[1:])
         self._sums, self._down = sums, down
-        self.hash = self._hash(self.end)
+        self.hash = self._hash(self.start, self.end)
         self.first = np.searchsorted(self.start, at)
         self.doc = np.repeat(np.arange(len(at) - 1), np.diff(self.first))
 
-    def _hash(self, end: np.ndarray) -> np.ndarray:
-        return mix((self._sums[end] - self._sums[self.start]) * self._down[self.start] + (end - self.start).astype(U64) * U64(MIX1))
+    def _hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self._sums[end] - self._sums[start]) * self._down[start] + (end - start).astype(U64) * U64(MIX1))
 
     def stems(self, n: int) -> np.ndarray:
         """Hashes of the words' first n bytes; a word that isn't longer has its own hash."""
-        return self._hash(np.minimum(self.end, self.start + n))
+        return self._hash(self.start, np.minimum(self.end, self.start + n))
+
+    def tails(self, n: int) -> np.ndarray:
+        """Hashes of the words' last n bytes."""
+        return self._hash(np.maximum(self.start, self.end - n), self.end)
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
