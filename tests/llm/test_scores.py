@@ -187,17 +187,52 @@ def test_decontamination(spark):
         edited[k] = word()
     del edited[15]
     texts = [filler(40) + " " + items[0].upper() + ", " + filler(30), filler(9) + " " + " ".join(edited), filler(200), " ".join(items[2].split()[:8]) + " " + filler(50), *ODD]
-    bench = spark.createDataFrame([*enumerate(items), (20, None), (None, "x"), (21, "a b"), (22, items[0])], "item_id long, text string")
-    docs = frame(spark, texts)
-    for size in (decontamination.CHUNK_BYTES, 300):
-        rows = {(r.doc_id, r.item_id): r for r in decontamination.contaminated(docs, bench, chunk_bytes=size, rare=0.1).collect()}
-        assert set(rows) == {(0, 0), (0, 22), (1, 1)}
-        assert rows[0, 0].score == 1 and (rows[0, 0].start_word, rows[0, 0].end_word) == (40, 70)
-        kept = decontamination.clean(docs, bench, chunk_bytes=size, rare=0.1)
-        assert kept.columns == docs.columns
-        assert sorted(r.doc_id for r in kept.collect()) == list(range(2, len(texts)))
+    bench = spark.createDataFrame([*enumerate(items), (20, None), (None, "x"), (21, "a b"), (22, items[0]), (22, items[0])], "item_id long, text string")
+    docs = frame(spark, texts).withColumn("words", F.lit(1)).withColumn("BODY", F.lit("x"))
+    rows = {(r.doc_id, r.item_id): r for r in decontamination.contaminated(docs, bench).collect()}
+    assert set(rows) == {(0, 0), (0, 22), (1, 1)}
+    assert rows[0, 0].score == 1 and (rows[0, 0].start_word, rows[0, 0].end_word) == (40, 70)
+    kept = decontamination.clean(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(2, len(texts)))
+    twice = docs.union(docs.where("doc_id < 2")).union(docs.where("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long")))
+    assert sorted((r.doc_id is None, r.item_id) for r in decontamination.contaminated(twice, bench).collect()) == sorted([(False, 0), (False, 22), (False, 1)] * 2 + [(True, 0), (True, 22)])
+    assert decontamination.clean(twice, bench).count() == len(texts) - 2
     assert decontamination.contaminated(docs, bench.limit(0)).count() == 0
     assert decontamination.contaminated(docs.limit(0), bench).count() == 0
+    assert decontamination.clean(docs, bench.limit(0)).count() == len(texts)
+
+
+@pytest.mark.parametrize("slots", [22, 4])
+def test_decontamination_is_brute_force(spark, monkeypatch, slots):
+    """The whole query at production values: items of common words alone, edits, insertions, several copies in one long text, and few slots."""
+    monkeypatch.setattr(decontamination, "SLOTS", slots)
+    rng = random.Random(26)
+    some = [f"{a}{b}" for a in EN for b in "xyz"]
+    text = lambda n: [rng.choice(some) for _ in range(n)]
+    items = [text(rng.choice([5, 12, 30, 45])) for _ in range(12)]
+    docs = []
+    for _ in range(90):
+        words = text(rng.randint(0, 80))
+        for _ in range(rng.randint(0, 3)):
+            copy = [x for x in rng.choice(items) if rng.random() > 0.08]
+            for _ in range(rng.randint(0, 6)):
+                copy.insert(rng.randrange(len(copy) + 1), rng.choice(some))
+            at = rng.randint(0, len(words))
+            words[at:at] = copy
+        docs.append(" ".join(words))
+    docs.append(" ".join(text(30_000) + items[2]))
+    grams = lambda w: {tuple(w[k : k + 3]) for k in range(len(w) - 2)}
+    want = {}
+    for k, t in enumerate(docs):
+        for i, x in enumerate(items):
+            words = t.split()[-200:] if k == 90 else t.split()
+            if grams(x) & grams(words) and (score := brute_align(x, words) / len(x)) >= decontamination.LEAST:
+                want[k, i] = score
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    rows = {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(frame(spark, docs), bench).collect()}
+    assert len(want) > 60 and set(want) <= set(rows)
+    assert {k: v for k, v in rows.items() if k[0] < 90} == pytest.approx({k: v for k, v in want.items() if k[0] < 90})
 
 
 def test_decontamination_of_an_item_leaked_into_a_third_of_the_rows(spark):
