@@ -136,7 +136,7 @@ def brute_links(texts):
     return sets, similar
 
 
-@pytest.mark.parametrize(("block", "set_block"), [(1024, 384), (2, 3)])
+@pytest.mark.parametrize(("block", "set_block"), [(1024, 256), (2, 3)])
 def test_jaccard_join(spark, monkeypatch, block, set_block):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
     monkeypatch.setattr(jaccard_join, "SET_BLOCK", set_block)
@@ -161,6 +161,39 @@ def test_jaccard_join(spark, monkeypatch, block, set_block):
 
 def test_jaccard_join_empty(spark):
     assert jaccard_join.join(frame(spark, ["x"]).limit(0)).count() == 0
+    assert jaccard_join.one_of_each(frame(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_one_of_each_tells_rows_with_equal_ids_apart(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a, 1), (2, a, 2), (2, b, 3), (3, b + " end", 4), (None, c, 5), (None, c, 6), (None, a, 7), (2, c, 8), (4, None, 9), (5, "", 10), (2, b, 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, BODY long").repartition(3)
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (2, c), (4, None)], key=str)
+    joined = sorted((str(r.doc_id), r.n_copies, r.n_linked_docs) for r in jaccard_join.join(docs).collect())
+    assert joined == sorted([("1", 3, 2), ("2", 3, 2), ("None", 3, 2), ("2", 2, 2), ("2", 2, 2), ("3", 1, 2), ("2", 3, 2), ("None", 3, 2), ("None", 3, 2), ("4", 2, 1), ("5", 2, 1)])
+
+
+@pytest.mark.parametrize(("block", "set_block"), [(1024, 256), (5, 4)])
+def test_jaccard_join_of_a_large_near_cluster(spark, monkeypatch, block, set_block):
+    """Sure links and verified ones add up to those of brute force in one group of many near copies."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "SET_BLOCK", set_block)
+    rng = random.Random(31)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for k in range(160):
+        words = base[: rng.choice([300, 290, 250])]
+        for _ in range(rng.choice([0, 1, 2, 6, 9, 14])):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(40)}"
+        texts.append(" ".join(words))
+    got = {r.doc_id: r for r in jaccard_join.join(frame(spark, texts)).collect()}
+    sets, similar = brute_links(texts)
+    for i, a in enumerate(sets):
+        assert got[i].n_links == len({b for b in sets if b != a and similar(a, b)})
+        assert got[i].n_linked_docs == sum(similar(a, b) for b in sets) - 1
 
 
 def test_bands_reach_the_recall():

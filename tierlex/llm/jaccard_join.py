@@ -2,11 +2,16 @@
 
 1. Texts with the same n-gram set form a class, known by a 128-bit digest; only classes go on.
 2. BANDS bands of ROWS MinHash values each are chosen for the target recall at the threshold.  Classes
-   are shuffled on their band hashes; within a bucket of two or more, pairs whose whole signatures
-   agree far less than the threshold asks for are left out, and the others become candidates.
-3. Candidates are tied into groups, and within a group every pair is verified on the full sets.
-
-Buckets and groups of any size are cut into blocks, and each pair of blocks is a unit of work of its
+   are shuffled on their band hashes.  In a bucket, classes are first compared with one of them, the
+   pivot, by their whole signatures; only those that agree with it too little, and are so not tied to
+   the others already, are compared with all others.
+3. Candidates are tied into groups, and within a group every pair is verified on the full sets.  There
+   too one set R is the pivot: if A and B lack ar and br of R's grams and have ao and bo others, they
+   share |R| - ar - br grams or more, so they are similar for sure where q (ar + br) + p (ao + bo) <=
+   (q - p) |R| for the threshold p / q.  These links are counted from the sets' distances to R alone,
+   without pairs; only sets that are far from R meet all others.
+
+What meets all others is cut into blocks on both sides, and each pair of blocks is a unit of work of its
 own, so a unit's size is bounded and no pair is lost.  Units give counts and a spanning forest of the
 links that they found, never the pairs.
 """
@@ -19,11 +24,11 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import bound_batches, components, durable
-from .textarrays import MIX2, U64, Words, flat, grams, mix, small_batches
+from .shared import bound_batches, components, durable, fresh
+from .textarrays import MIX1, MIX2, U64, Words, flat, grams, mix, small_batches
 
 N = 5
 THRESHOLD = Fraction(4, 5)
@@ -31,7 +36,7 @@ RECALL = 0.9999
 #: Most MinHash values of a signature.
 VALUES = 128
 #: Members of a block in buckets, and in groups.
-BLOCK, SET_BLOCK = 1024, 384
+BLOCK, SET_BLOCK = 1024, 256
 
 
 def bands_for(threshold: float, recall: float = RECALL, values: int = VALUES) -> tuple[int, int]:
@@ -102,13 +107,19 @@ def groups_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
-def units(members: DataFrame, key: str, node: str, block: int) -> DataFrame:
-    """Every member once for each pair of blocks that its block is in: columns lo, hi, and own, its block."""
-    sizes = durable(members.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
-    out = members.join(sizes, key).withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64(node), F.col("_blocks")).cast("int"))
-    out = out.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    out = out.withColumn("lo", F.least("own", "_k")).withColumn("hi", F.greatest("own", "_k")).drop("_n", "_k", "_blocks")
-    return out.repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi")
+def cross_units(loose: DataFrame, members: DataFrame, key: str, node: str, block: int) -> DataFrame:
+    """Every loose row meets every member of its key in one unit: columns key, lo, hi, role (0 loose, 1 member) and the others.
+
+    A loose row comes once for each block of members, a member once for each block of loose rows.
+    """
+    count = lambda d, n: d.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+    sizes = durable(count(loose, "_u").join(count(members, "_m"), key))
+    blocks = lambda n: F.ceil(F.col(n) / block).cast("int")
+    own = lambda n: F.pmod(F.xxhash64(node), blocks(n)).cast("int")
+    all_ = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    a = loose.join(sizes, key).withColumn("lo", own("_u")).withColumn("hi", all_("_m")).withColumn("role", F.lit(0))
+    b = members.join(sizes, key).withColumn("hi", own("_m")).withColumn("lo", all_("_u")).withColumn("role", F.lit(1))
+    return a.unionByName(b).drop("_u", "_m").repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi")
 
 
 def forest(linked: np.ndarray) -> np.ndarray:
@@ -126,41 +137,78 @@ def forest(linked: np.ndarray) -> np.ndarray:
     return label
 
 
-def _candidates(bands: int, rows: int, least: float) -> Callable:
-    """Edges between members of a bucket whose signatures agree in at least the share `least`."""
-    width = bands * rows
+def _edges_of(node: np.ndarray, role: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning forest of links between loose rows (role 0) and members (role 1); ok: one row a loose one, one column a member."""
+    ids, at = np.unique(node, return_inverse=True)
+    linked = np.zeros((len(ids), len(ids)), bool)
+    u, m = at[role == 0], at[role == 1]
+    i, j = np.nonzero(ok)
+    linked[u[i], m[j]] = linked[m[j], u[i]] = True
+    label = forest(linked)
+    some = label != np.arange(len(ids))
+    return ids[some], ids[label[some]]
+
+
+def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of equal values of each row of a with each row of b."""
+    out = np.zeros((len(a), len(b)), np.int16)
+    for i in range(0, len(a), 64):
+        for j in range(a.shape[1]):
+            out[i : i + 64] += a[i : i + 64, None, j] == b[None, :, j]
+    return out
+
+
+def _tie(width: int, least: float) -> Callable:
+    """Whether each row's signature agrees with its pivot's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, width) for c in (2, 3)]
+            tied = (both[0] == both[1]).sum(1) >= least * width
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tied)], ["node", "pivot", "tied"])
+
+    return run
+
+
+def _candidates(width: int, least: float) -> Callable:
+    """Edges between loose rows and members of a bucket whose signatures agree in at least the share `least`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups_of(batches, 3):
-            node, own = t["node"].to_numpy(), t["own"].to_numpy()
-            lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
-            sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(-1, width)
-            ok = np.zeros((len(node), len(node)), bool)
-            for a in range(0, len(node), 64):
-                same = np.zeros((min(64, len(node) - a), len(node)), np.int16)
-                for j in range(width):
-                    same += sig[a : a + 64, None, j] == sig[None, :, j]
-                ok[a : a + 64] = same >= least * width
-            if lo != hi:
-                ok &= own[:, None] != own[None, :]
-            label = forest(ok)
-            some = label != np.arange(len(node))
-            yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(node[label[some]])], ["a", "b"])
+            node, role = t["node"].to_numpy(), t["role"].to_numpy()
+            sig = np.frombuffer(b"".join(t["brief"].to_pylist()), np.uint8).reshape(-1, width)
+            ok = agreement(sig[role == 0], sig[role == 1]) >= least * width
+            a, b = _edges_of(node, role, ok & (node[role == 0][:, None] != node[role == 1][None, :]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _measure(threshold: Fraction) -> Callable:
+    """far: q (grams of the pivot that a set lacks) + p (grams it has beside them); room: the sum of two sets' far at which they are similar for sure."""
+    p, q = threshold.numerator, threshold.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            far, room = [], []
+            for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                a, r = np.frombuffer(x, U64), np.frombuffer(y, U64)
+                shared = len(np.intersect1d(a, r, assume_unique=True))
+                far.append(q * (len(r) - shared) + p * (len(a) - shared))
+                room.append((q - p) * len(r))
+            yield pa.RecordBatch.from_arrays([*batch.select([0, 1, 2]).columns, pa.array(far, pa.int64()), pa.array(room, pa.int64())], ["root", "node", "copies", "far", "room"])
 
     return run
 
 
 def _verify(threshold: Fraction) -> Callable:
-    """For each node of a unit its links there, and the least node of its component there."""
+    """For each node of a unit its links there that aren't sure, and an edge of the unit's forest or itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups_of(batches, 3):
-            node, own, copies = t["node"].to_numpy(), t["own"].to_numpy(), t["copies"].to_numpy()
-            lo, hi = t["lo"][0].as_py(), t["hi"][0].as_py()
-            _, once = np.unique(node, return_index=True)  # a repeated row brings its set twice
-            node, own, copies = node[once], own[once], copies[once]
-            raw = t["grams"].take(pa.array(once)).to_pylist()
-            sets = [np.frombuffer(x, U64) for x in raw]
+            node, role, copies, far = (t[c].to_numpy() for c in ("node", "role", "copies", "far"))
+            room, loose = t["room"][0].as_py(), 2 * far > t["room"][0].as_py()
+            sets = [np.frombuffer(x, U64) for x in t["grams"].to_pylist()]
             n = np.array([len(s) for s in sets])
             who = np.repeat(np.arange(len(sets)), n)
             _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -171,64 +219,80 @@ def _verify(threshold: Fraction) -> Callable:
             who, column = who[column >= 0], column[column >= 0]
             order = np.argsort(column, kind="stable")
             who, column = who[order], column[order]
-            both = np.zeros((len(sets), len(sets)), np.float32)
+            u, m = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+            both = np.zeros((len(u), len(m)), np.float32)
             for a in range(0, len(shared), 4096):
                 i, j = np.searchsorted(column, [a, a + 4096])
                 x = np.zeros((len(sets), min(4096, len(shared) - a)), np.float32)
                 x[who[i:j], column[i:j] - a] = 1
-                both += x @ x.T
-            ok = both * (threshold.numerator + threshold.denominator) >= threshold.numerator * (n[:, None] + n[None, :]).astype(np.float64)
-            np.fill_diagonal(ok, False)
-            if lo != hi:
-                ok &= own[:, None] != own[None, :]
-            leader = node[forest(ok)]
-            some = ok.any(1)
-            yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(leader[some]), pa.array(ok.sum(1)[some]), pa.array((ok * copies[None, :]).sum(1)[some])], ["node", "leader", "links", "docs"])
+                both += x[u] @ x[m].T
+            ok = both * (threshold.numerator + threshold.denominator) >= threshold.numerator * (n[u][:, None] + n[m][None, :]).astype(np.float64)
+            ok &= (node[u][:, None] != node[m][None, :]) & (far[u][:, None] + far[m][None, :] > room)
+            mine = ok & ~loose[m][None, :]  # a loose member counts its links itself
+            a, b = _edges_of(node, role, ok)
+            nodes = np.concatenate([node[u], node[m], a])
+            links = np.concatenate([ok.sum(1), mine.sum(0), np.zeros(len(a), np.int64)])
+            docs = np.concatenate([(ok * copies[m][None, :]).sum(1), (mine * copies[u][:, None]).sum(0), np.zeros(len(a), np.int64)])
+            leader = np.concatenate([node[u], node[m], b])
+            some = (links > 0) | (leader != nodes)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[some], pa.int64()), pa.array(leader[some], pa.int64()), pa.array(links[some].astype(np.int64)), pa.array(docs[some].astype(np.int64))], ["node", "leader", "links", "docs"])
 
     return run
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: Fraction = THRESHOLD, recall: float = RECALL, values: int = VALUES) -> DataFrame:
-    """One row per document: doc_id, class_id, copy_id, n_copies, n_links, n_linked_docs.
+def sure_links(measured: DataFrame) -> DataFrame:
+    """node, links, docs: how many sets of its group, and documents of them, are similar for sure, by the distances to the pivot.
 
-    copy_id: least doc_id of the documents with the same n-gram set, n_copies of them; n_links: how many
-    other sets are at least `threshold` similar; n_linked_docs: how many documents have one of these, or
-    the same one, besides this; class_id: least doc_id that a chain of links or copies leads to.
-
-    Words are lower-cased and parted by blanks, tabs and line ends.  A text of fewer than n words has
-    one gram of them all; texts without words (null ones too) have the empty set, are copies of each
-    other, and link to no other.  A link is found with probability `recall` at the threshold, and a
-    greater one above it.  Repeated rows are copies; ids that are null have the class null unless others
-    share it.  An empty table gives no rows.
+    Distances are counted by group and value first, so what a window holds grows with the length of
+    texts, not with the group.
     """
+    values = measured.groupBy("root", F.col("far").alias("at")).agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("c"))
+    asked = measured.where("far <= room").select("root", (F.col("room") - F.col("far")).alias("at")).distinct()
+    both = values.withColumn("ask", F.lit(0)).unionByName(asked.withColumn("ask", F.lit(1)), allowMissingColumns=True)
+    upto = Window.partitionBy("root").orderBy("at", "ask").rowsBetween(Window.unboundedPreceding, 0)
+    answers = both.withColumn("n", F.sum("n").over(upto)).withColumn("c", F.sum("c").over(upto)).where("ask = 1").select("root", "at", "n", "c")
+    itself = F.when(2 * F.col("far") <= F.col("room"), 1).otherwise(0)
+    mine = measured.where("far <= room").withColumn("at", F.col("room") - F.col("far")).join(answers, ["root", "at"])
+    return mine.select("node", (F.col("n") - itself).alias("links"), (F.col("c") - itself * F.col("copies")).alias("docs"))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: Fraction, recall: float, values: int) -> DataFrame:
+    """For each row doc_id, body (hash of the text), tied (a number of its class), and the columns of `join`."""
     bound_batches(docs.sparkSession)
     bands, rows = bands_for(float(threshold), recall, values)
     width = bands * rows
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("body"), F.col(text_col).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, limit=1 << 20):
-            sets = gram_sets(batch.column(1), n)
-            some = [s for s in sets if len(s)]
-            table = signatures(some, width)
-            marks = iter([x.tobytes() for x in table])
-            sig = [next(marks) if len(s) else None for s in sets]
+            sets = gram_sets(batch.column(2), n)
+            table = signatures([s for s in sets if len(s)], width)
+            keys = np.zeros((len(table), bands), U64)
+            for k in range(bands):
+                for j in range(k * rows, (k + 1) * rows):
+                    keys[:, k] = mix(keys[:, k] * U64(MIX1) + table[:, j].astype(U64) + U64(k + 1))
+            marks = iter(zip(keys.view(np.int64).tolist(), [x.tobytes() for x in table.astype(np.uint8)], strict=True))
             two = [digest(s) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_signed(a) for a, _ in two], pa.int64()), pa.array([_signed(b) for _, b in two], pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "node", "check", "sig"])
+            both = [next(marks) if len(s) else (None, None) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([_signed(a) for a, _ in two], pa.int64()), pa.array([_signed(b) for _, b in two], pa.int64()), pa.array([b for b, _ in both], pa.list_(pa.int64())), pa.array([b for _, b in both], pa.binary())], ["doc_id", "body", "node", "check", "bands", "brief"])
 
-    signed = durable(slim.mapInArrow(sign, "doc_id long, node long, check long, sig binary"))
-    classes = durable(signed.groupBy("node", "check").agg(F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("n_copies"), F.max("sig").alias("sig")))
+    # brief: a byte of each MinHash value, enough to leave out what agrees far too little
+    signed = durable(slim.mapInArrow(sign, "doc_id long, body long, node long, check long, bands array<long>, brief binary"))
+    classes = durable(signed.groupBy("node", "check").agg(F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("n_copies"), F.max("bands").alias("bands"), F.max("brief").alias("brief")))
 
-    band = F.expr(f"transform(sequence(0, {bands - 1}), k -> xxhash64(k, substring(sig, k * {4 * rows} + 1, {4 * rows})))")
-    each = classes.where("sig is not null").select("node", F.explode(band).alias("band"))
-    repeated = durable(each.groupBy("band").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("band"))
-    members = durable(each.join(repeated, "band"))
-    signs = members.select("node").distinct().join(classes.select("node", "sig"), "node")
-    buckets = units(members.join(signs, "node"), "band", "node", BLOCK)
+    each = classes.where("brief is not null").select("node", F.explode("bands").alias("band"))
+    repeated = durable(each.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot")).where("size > 1"))
+    members = durable(each.join(repeated, "band").where("node <> pivot"))
+    brief = classes.where("brief is not null").groupBy("node").agg(F.max("brief").alias("brief"))
     # five standard deviations of a signature's agreement below the threshold
     least = float(threshold) - 5 * math.sqrt(float(threshold) * (1 - float(threshold)) / width)
-    edges = buckets.select("band", "lo", "hi", "own", "node", "sig").mapInArrow(_candidates(bands, rows, least), "a long, b long")
-    groups = durable(components(edges))
+    pairs = members.select("node", "pivot").distinct().join(brief, "node").join(brief.select(F.col("node").alias("pivot"), F.col("brief").alias("other")), "pivot")
+    ties = durable(pairs.select("node", "pivot", "brief", "other").mapInArrow(_tie(width, least), "node long, pivot long, tied boolean"))
+    loose = members.where("size > 2").join(ties.where("not tied").select("node", "pivot"), ["node", "pivot"]).select("band", "node")
+    open_ = members.join(loose.select("band").distinct(), "band").select("band", "node")
+    buckets = cross_units(durable(loose.join(brief, "node")), durable(open_.join(brief, "node")), "band", "node", BLOCK)
+    edges = buckets.select("band", "lo", "hi", "role", "node", "brief").mapInArrow(_candidates(width, least), "a long, b long")
+    groups = durable(components(ties.where("tied").select(F.col("node").alias("a"), F.col("pivot").alias("b")).unionByName(edges)))
 
     def regram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, text="text", limit=1 << 20):
@@ -240,19 +304,58 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
 
     chosen = groups.join(classes.select("node", "copy_id", F.col("n_copies").alias("copies")), "node")
     texts = slim.join(chosen, slim["doc_id"].eqNullSafe(chosen["copy_id"])).select("root", "node", "copies", "text")
-    full = texts.mapInArrow(regram, "root long, node long, copies long, grams binary").dropDuplicates(["node"])
-    full = durable(full)
-    verified = durable(units(full, "root", "node", SET_BLOCK).select("root", "lo", "hi", "own", "node", "copies", "grams").mapInArrow(_verify(threshold), "node long, leader long, links long, docs long"))
-    totals = verified.groupBy("node").agg(F.sum("links").alias("n_links"), F.sum("docs").alias("linked"))
-    linked = components(verified.select(F.col("node").alias("a"), F.col("leader").alias("b")))
-    tied = linked.join(classes.select("node", "copy_id"), "node")
-    least_id = tied.groupBy("root").agg(F.min("copy_id").alias("class_id"))
-    found = linked.join(least_id, "root").join(totals, "node").select("node", "class_id", "n_links", "linked")
-    per_class = classes.drop("sig").join(found, "node", "left").select("node", "check", "copy_id", "n_copies", F.coalesce("class_id", "copy_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.coalesce("linked", F.lit(0)) + F.col("n_copies") - 1).alias("n_linked_docs"))
-    return signed.select("doc_id", "node", "check").join(per_class, ["node", "check"]).select("doc_id", "class_id", "copy_id", "n_copies", "n_links", "n_linked_docs")
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents, all columns, without those of a class whose id is another's; see `join`."""
-    others = join(docs, id_col, text_col, **options).where("doc_id <> class_id").select(F.col("doc_id").alias("_other")).distinct()
-    return docs.join(others, docs[id_col].cast("long") == others["_other"], "left_anti")
+    full = durable(texts.mapInArrow(regram, "root long, node long, copies long, grams binary").dropDuplicates(["node"]))
+    pivots = full.where("node = root").select("root", F.col("grams").alias("pivot"))
+    measured = durable(full.join(pivots, "root").select("root", "node", "copies", "grams", "pivot").mapInArrow(_measure(threshold), "root long, node long, copies long, far long, room long"))
+    others = measured.where("node <> root")
+    apart = others.where("2 * far > room").select("root").distinct()
+    some = durable(others.join(apart, "root").join(full.select("node", "grams"), "node").select("root", "node", "copies", "far", "room", "grams"))
+    units = cross_units(some.where("2 * far > room"), some, "root", "node", SET_BLOCK).select("root", "lo", "hi", "role", "node", "copies", "far", "room", "grams")
+    verified = durable(units.mapInArrow(_verify(threshold), "node long, leader long, links long, docs long"))
+    sure = durable(sure_links(measured))
+    totals = verified.select("node", "links", "docs").unionByName(sure).groupBy("node").agg(F.sum("links").alias("n_links"), F.sum("docs").alias("linked"))
+    ends = lambda d, a, b: d.select(F.col(a).alias("a"), F.col(b).alias("b"))
+    linked = durable(components(ends(verified.where("leader <> node"), "node", "leader").unionByName(ends(others.where("far <= room"), "node", "root"))))
+    least_id = linked.join(classes.select("node", "copy_id"), "node").groupBy("root").agg(F.min("copy_id").alias("class_id"))
+    found = linked.join(least_id, "root").join(totals, "node").select("node", "root", "class_id", "n_links", "linked")
+    per_class = classes.drop("bands", "brief").join(found, "node", "left").select("node", "check", "copy_id", "n_copies", F.coalesce("root", "node").alias("tied"), F.coalesce("class_id", "copy_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), (F.coalesce("linked", F.lit(0)) + F.col("n_copies") - 1).alias("n_linked_docs"))
+    return signed.select("doc_id", "body", "node", "check").join(per_class, ["node", "check"]).select("doc_id", "body", "tied", "class_id", "copy_id", "n_copies", "n_links", "n_linked_docs")
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: Fraction = THRESHOLD, recall: float = RECALL, values: int = VALUES) -> DataFrame:
+    """One row per document: doc_id, class_id, copy_id, n_copies, n_links, n_linked_docs.
+
+    copy_id: least doc_id of the documents with the same n-gram set, n_copies of them; n_links: how many
+    other sets are at least `threshold` similar; n_linked_docs: how many documents have one of these, or
+    the same one, besides this; class_id: least doc_id that a chain of links or copies leads to.
+
+    Words are lower-cased and parted by blanks, tabs and line ends.  A text of fewer than n words has
+    one gram of them all; texts without words (null ones too) have the empty set, are copies of each
+    other, and link to no other.  A link is found with probability `recall` at the threshold, and a
+    greater one above it.  Repeated rows are copies; ids that are null have the class null unless others
+    share it.  Texts of any length are read whole.  An empty table gives no rows.
+    """
+    return _classes(docs, id_col, text_col, n, threshold, recall, values).select("doc_id", "class_id", "copy_id", "n_copies", "n_links", "n_linked_docs")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: Fraction = THRESHOLD, recall: float = RECALL, values: int = VALUES) -> DataFrame:
+    """The documents, all columns, one of each class: that of the least doc_id, null ones last, and then of the least hash of its text.
+
+    Rows are told apart by id and text, so a row of another class with the same id stays; of rows equal
+    in both the one with the least hash of its other columns stays.  An empty table gives no rows.
+    """
+    rows = durable(_classes(docs, id_col, text_col, n, threshold, recall, values).select("doc_id", "body", "tied"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("body").alias("body"))
+    first = rows.groupBy("tied").agg(F.min(order).alias("first"))
+    lost = rows.join(first, "tied").where(~(F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("body") == F.col("first.body")))).select(F.col("doc_id").alias("_lost_id"), F.col("body").alias("_lost_body")).distinct()
+    twice = durable(rows.groupBy("doc_id", "body").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("doc_id").alias("_twice_id"), F.col("body").alias("_twice_body")))
+    body = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    kept = docs.join(durable(lost), docs[id_col].cast("long").eqNullSafe(F.col("_lost_id")) & (body == F.col("_lost_body")), "left_anti")
+    if twice.isEmpty():
+        return kept
+    nth, mark = fresh(docs, "_nth"), fresh(docs, "_mark")
+    hashed = F.xxhash64(*(F.col(c) for c in docs.columns if c not in (id_col, text_col)), F.lit(0))
+    same = kept[id_col].cast("long").eqNullSafe(F.col("_twice_id")) & (F.xxhash64(F.coalesce(kept[text_col], F.lit(""))) == F.col("_twice_body"))
+    again = kept.join(twice, same).withColumn(mark, F.col("_twice_body")).drop("_twice_body")
+    again = again.withColumn(nth, F.row_number().over(Window.partitionBy("_twice_id", mark).orderBy(hashed))).where(F.col(nth) == 1).select(*docs.columns)
+    return kept.join(twice, same, "left_anti").unionByName(again)
