@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import duckdb
@@ -203,52 +204,75 @@ def test_bands_reach_the_recall():
         assert 1 - (1 - t**rows) ** bands >= jaccard_join.RECALL or rows == 1
 
 
-def brute_lines(texts, run):
+def brute_lines(rows, run, words=50):
+    """rows: (doc_id, text); places of rows with equal ids are the same."""
     order, windows = {}, []
-    for i, t in enumerate(texts):
+    for k, (i, t) in enumerate(rows):
         lines = [x.strip(" \t\r") for x in (t or "").split("\n")]
         lines = [x for x in lines if x]
         n = len(lines)
+        place = lambda s: (i is not None, i or 0, s)  # noqa: B023, E731
         if 0 < n < run:
-            windows.append((i, 0, (n, *lines)))
-        windows += [(i, s, (run, *lines[s : s + run])) for s in range(n - run + 1)]
+            windows.append((place(0), k, 0, n, (n, *lines)))
+        windows += [(place(s), k, s, run, (run, *lines[s : s + run])) for s in range(n - run + 1)]
+        windows += [(place(s), k, s, 1, ("long", lines[s])) for s in range(n) if len([x for x in re.split("[ \t]+", lines[s])]) >= words]
     gone = {}
-    for i, s, w in windows:
-        if order.setdefault(w, (i, s)) != (i, s):
-            gone.setdefault(i, set()).update(range(s, s + run))
-    out = {}
-    for i, t in enumerate(texts):
+    for at, _, _, _, w in windows:
+        order[w] = min(order.get(w, at), at)
+    for at, k, s, size, w in windows:
+        if order[w] != at:
+            gone.setdefault(k, set()).update(range(s, s + size))
+    out = []
+    for k, (i, t) in enumerate(rows):
         kept, n, removed, runs = [], 0, 0, 0
         for x in (t or "").split("\n"):
             if x.strip(" \t\r"):
-                lost = n in gone.get(i, ())
+                lost = n in gone.get(k, ())
                 removed += lost
-                runs += lost and n - 1 not in gone[i]
+                runs += lost and n - 1 not in gone[k]
                 if not lost:
                     kept.append(x)
                 n += 1
             else:
                 kept.append(x)
-        out[i] = ("\n".join(kept), n, removed, runs)
+        out.append((i, "\n".join(kept), n, removed, runs))
     return out
 
 
-LINES = ["a\nb\nc\n", "x\na\nb\nc", "b\n\n c\t\nz", "a\na\na\na", "q", "q", None, "", "\n\n", "l\n" * 50 + "m", "c\nz\nl\nl", "a\nb"]
+LONG = " ".join(f"word{k}" for k in range(60))
+LINES = ["a\nb\nc\n", "x\na\nb\nc", "b\n\n c\t\nz", "a\na\na\na", "q", "q", None, "", "\n\n", "l\n" * 50 + "m", "c\nz\nl\nl", "a\nb", LONG, f"n1\n  {LONG}\nn2", f"n3\n{LONG}\nn2\nn4", LONG + "\n" + LONG, " ".join(["w"] * 49), "y\n" + " ".join(["w"] * 49)]
 
 
-@pytest.mark.parametrize(("gram", "window"), [(1, 2), (2, 3), (1, 1), (1, 4)])
-def test_line_dedup(spark, gram, window):
+@pytest.mark.parametrize(("gram", "window", "words"), [(1, 2, 50), (2, 3, 10**6), (1, 1, 50), (1, 4, 10**6), (1, 2, 3)])
+def test_line_dedup(spark, gram, window, words):
     texts = LINES + corpus()
-    got = {r[0]: tuple(r)[1:] for r in line_dedup.deduplicate_lines(frame(spark, texts), gram=gram, window=window).collect()}
-    assert got == brute_lines(texts, gram + window - 1)
+    got = {r[0]: tuple(r) for r in line_dedup.deduplicate_lines(frame(spark, texts), gram=gram, window=window, words=words).collect()}
+    assert got == {r[0]: r for r in brute_lines(list(enumerate(texts)), gram + window - 1, words)}
     assert line_dedup.deduplicate_lines(frame(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_line_dedup_odd_rows(spark):
+    """Null and repeated ids, repeated rows, and a text beyond one slice."""
+    rng = random.Random(9)
+    long = "\n".join(f"{rng.randrange(90_000)} some words of a line" for _ in range(60_000))
+    rows = [(1, "a\nb\nc"), (1, "a\nb\nc"), (1, "z\na\nb"), (None, "b\nc\nd"), (None, "b\nc"), (5, "q\nc\nd"), (7, long), (8, "k\n" + long[-500:]), (2, long[1000:2000])]
+    got = [tuple(r) for r in line_dedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string").withColumn("S", F.lit(1)).repartition(3)).collect()]
+    key = lambda r: (str(r[0]), r[1])
+    assert sorted(got, key=key) == sorted(brute_lines(rows, 2), key=key)
+
+
+def test_matches_are_extended_both_ways():
+    line = lambda x: bytes([x]) * 16
+    mine, others = b"".join(map(line, [9, 1, 2, 3, 4, 8, 5, 6])), b"".join(map(line, [7, 7, 1, 2, 3, 4, 0, 5, 6, 9]))
+    assert line_dedup.extend(mine, others, -1, [2, 3]) == [(1, 5)]
+    assert line_dedup.extend(mine, others, -1, [2, 6]) == [(1, 5), (6, 8)]
+
+
 def test_line_sql():
     texts = LINES + corpus()
     con = duckdb.connect()
     con.execute("create table t (doc_id bigint, text varchar)")
     con.executemany("insert into t values (?, ?)", list(enumerate(texts)))
-    want = {i: (n, removed, runs, hashlib.sha256(t.encode()).hexdigest()) for i, (t, n, removed, runs) in brute_lines(texts, 2).items()}
+    want = {i: (n, removed, runs, hashlib.sha256(t.encode()).hexdigest()) for i, t, n, removed, runs in brute_lines(list(enumerate(texts)), 2)}
     columns = "doc_id, n_lines, n_removed, n_runs, kept_sha256"
     assert {r[0]: r[1:] for r in con.sql(f"select {columns} from ({line_dedup.SQL.format(docs='t')})").fetchall()} == want
