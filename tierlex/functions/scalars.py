@@ -14,8 +14,8 @@ FNV_BASIS, FNV_PRIME = 14695981039346656037, 1099511628211
 SPECIFICITY_STEPS = ((1, 3), (3, 2), (5, 1), (10, 0), (20, -1))
 #: The same of numbers of domains, for 2, 1, 0, -1.
 DOMAIN_STEPS = ((3, 2), (10, 1), (50, 0), (150, -1))
-#: Particles that make a two-word term a phrasal verb.
-PARTICLES = ("up", "down", "in", "out", "on", "off", "over", "away", "back", "around", "through", "along", "about", "by", "into")
+#: Particles that end a phrasal verb of two or three words.
+PARTICLES = ("up", "down", "out", "in", "on", "off", "over", "away", "back", "through", "around", "about", "along", "across", "aside", "forth", "together", "apart")
 
 
 @F.pandas_udf(T.LongType())
@@ -111,9 +111,16 @@ def token_count(c: Column) -> Column:
 
 
 def category(c: Column) -> Column:
-    """single, compound, or phrasal_verb: two words, the last one a particle."""
+    """phrasal_verb: two or three words, the last one a particle; compound: other terms with a blank or an underscore; else single."""
     parts = F.split(F.trim(c), r"\s+")
-    return F.when(token_count(c) <= 1, "single").when((F.size(parts) == 2) & F.element_at(parts, -1).isin(*PARTICLES), "phrasal_verb").otherwise("compound")
+    particle = F.lower(F.element_at(parts, -1)).isin(*PARTICLES)
+    many = F.when(F.size(parts).isin(2, 3) & particle, "phrasal_verb").otherwise("compound")
+    return F.when(F.contains(c, F.lit(" ")), many).when(F.contains(c, F.lit("_")), "compound").otherwise("single")
+
+
+def pos_one_hot(pos: Column) -> Column:
+    """1.0 at the place of noun, verb, adj or adv, 0.0 elsewhere; all 0.0 for another or none."""
+    return F.array(*(F.when(pos == p, 1.0).otherwise(0.0) for p in ("noun", "verb", "adj", "adv")))
 
 
 def normalize_name(c: Column) -> Column:

@@ -33,41 +33,66 @@ def lookup(variants: DataFrame) -> DataFrame:
     return variants.withColumn("nth", F.row_number().over(order)).where("nth = 1").drop("nth")
 
 
-def background(word_groups: DataFrame, samples: int = 200, size: int = 15) -> DataFrame:
-    """Mean and population deviation of a group's score over samples of words, drawn with probability by their entries.
+#: Samples of the background model, single words of each, hits that make a group reliable, and the line where fewer than five are.
+SAMPLES, SAMPLE_WORDS, RELIABLE_HITS, LINE = 1000, 15, 30, (0.513, 1.482)
+#: Draws of a sample, of which the first SAMPLE_WORDS different words count; ranges that entries are numbered by.
+DRAWS, RANGES = 64, 256
 
-    Sample s takes the `size` words of the least -ln(u) / entries, u being a hash of (s, word): weighted
-    sampling without replacement that any engine repeats.  Groups that a sample misses score 0 there.
+
+def numbered(word_groups: DataFrame) -> DataFrame:
+    """Entries with contiguous numbers from 0: ranges of words are numbered apart and moved by the counts before them."""
+    rows = word_groups.withColumn("range", F.pmod("word_id", F.lit(RANGES)))
+    sizes = rows.groupBy("range").agg(F.count(F.lit(1)).alias("k")).withColumn("before", F.coalesce(F.sum("k").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    nth = F.row_number().over(Window.partitionBy("range").orderBy("word_id", "grp")) - 1
+    return rows.withColumn("nth", nth).join(F.broadcast(sizes), "range").select("word_id", "grp", (F.col("nth") + F.col("before")).alias("entry"))  # RANGES rows
+
+
+def background(word_groups: DataFrame, words: DataFrame, samples: int = SAMPLES, size: int = SAMPLE_WORDS) -> DataFrame:
+    """Mean and population deviation of a group's score over samples of single words, drawn with probability by their entries.
+
+    Draw j of sample s picks the entry at a hash of (s, j), uniformly over all entries; the first `size`
+    different words of a sample are its words.  That is weighted sampling without replacement, which any
+    engine repeats, and its work grows with samples, not with samples x words.  Groups that a sample
+    misses score 0 there.  words: word_id, word_count.
     """
-    entries = word_groups.groupBy("word_id").agg(F.count(F.lit(1)).alias("entries"))
-    draws = entries.select("word_id", "entries", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("s"))
-    u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.col("s").cast("string"), F.col("word_id").cast("string"))), 1, 8), 16, 10).cast("double") + 1.0) / 4294967297.0
-    keyed = draws.withColumn("k", -F.ln(u) / F.col("entries"))
-    # a row_number filter, so each partition keeps only the first of a sample before the exchange
-    drawn = keyed.withColumn("nth", F.row_number().over(Window.partitionBy("s").orderBy("k", "word_id"))).where(F.col("nth") <= size).select("s", "word_id")
-    sums = drawn.join(word_groups, "word_id").groupBy("s", "grp").agg(F.sum("weight").alias("w"))
+    spark = word_groups.sparkSession
+    single = word_groups.join(words.where("word_count = 1").select("word_id"), "word_id").select("word_id", "grp", "weight")
+    total = single.agg(F.count(F.lit(1)).alias("total"))
+    u = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("s").cast("string"), F.col("j").cast("string"))), 1, 8), 16, 10).cast("double") / 4294967296.0
+    draws = spark.range(samples).withColumnRenamed("id", "s").withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1)))).crossJoin(F.broadcast(total)).select("s", "j", F.floor(u * F.col("total")).alias("entry"))
+    hit = numbered(single).join(F.broadcast(draws), "entry").groupBy("s", "word_id").agg(F.min("j").alias("j"))  # samples x DRAWS rows
+    drawn = hit.withColumn("nth", F.row_number().over(Window.partitionBy("s").orderBy("j"))).where(F.col("nth") <= size).select("s", "word_id")
+    sums = single.join(F.broadcast(drawn), "word_id").groupBy("s", "grp").agg(F.sum("weight").alias("w"))  # samples x size rows
     per = sums.groupBy("grp").agg(F.sum(F.col("w") / 255.0).alias("t"), F.sum((F.col("w") / 255.0) * (F.col("w") / 255.0)).alias("t2"))
     mean = F.coalesce(F.col("t"), F.lit(0.0)) / samples
     var = F.greatest(F.coalesce(F.col("t2"), F.lit(0.0)) / samples - mean * mean, F.lit(0.0))
     return word_groups.select("grp").distinct().join(per, "grp", "left").select("grp", mean.alias("mean"), F.greatest(F.sqrt(var), F.lit(1e-6)).alias("std"))
 
 
+def reliability(stats: DataFrame, sizes: DataFrame, vocabulary: DataFrame, samples: int = SAMPLES, size: int = SAMPLE_WORDS) -> DataFrame:
+    """stats and reliable: whether samples are expected to hit the group RELIABLE_HITS times.  sizes: grp, n_words; vocabulary: one row, n single words with entries."""
+    n = F.coalesce("n_words", F.lit(0))
+    hit = F.lit(1.0) - F.pow(F.lit(1.0) - F.lit(float(size)) / F.greatest(F.col("n"), F.lit(1)), n)
+    return stats.join(sizes, "grp", "left").crossJoin(F.broadcast(vocabulary)).withColumn("reliable", (n > 0) & (F.col("n") > 0) & (hit * samples >= RELIABLE_HITS)).select("grp", "mean", "std", "reliable")
+
+
 def regression(stats: DataFrame) -> DataFrame:
-    """log std on log mean, by least squares, over groups with both above 0.01; fixed values where there are fewer than five."""
-    ok = stats.where("mean > 0.01 and std > 0.01")
+    """log std on log mean, by least squares, over reliable groups with both above 0.01; fixed values where there are fewer than five."""
+    ok = stats.where("reliable and mean > 0.01 and std > 0.01")
     out = ok.agg(F.count(F.lit(1)).alias("n"), F.regr_slope(F.ln("std"), F.ln("mean")).alias("a"), F.regr_intercept(F.ln("std"), F.ln("mean")).alias("b"), F.regr_r2(F.ln("std"), F.ln("mean")).alias("r2"))
-    few = F.col("n") < 5
-    return out.select("n", F.when(few, 0.513).otherwise(F.col("a")).alias("a"), F.when(few, 1.482).otherwise(F.col("b")).alias("b"), F.when(~few, F.col("r2")).alias("r2"))
+    few = (F.col("n") < 5) | F.col("a").isNull()
+    return out.select("n", F.when(few, LINE[0]).otherwise(F.col("a")).alias("a"), F.when(few, LINE[1]).otherwise(F.col("b")).alias("b"), F.when(~few, F.col("r2")).alias("r2"))
+
 
+def adjust_background(stats: DataFrame, specificities: DataFrame) -> DataFrame:
+    """Deviations of unreliable groups come from the regression, at least the reliable ones' median; then / (1 + 0.3 specificity), at least 0.1.
 
-def adjust_background(stats: DataFrame, sizes: DataFrame, specificities: DataFrame, vocabulary: int, samples: int = 1000, words: int = 15) -> DataFrame:
-    """Deviations of groups that samples seldom hit come from the regression, at least the median; then / (1 + 0.3 specificity), at least 0.1."""
+    stats: see `reliability`; specificities: grp, avg_specificity.
+    """
     line = regression(stats).select("a", "b")
-    n = F.coalesce("n_words", F.lit(0))
-    hit = F.lit(1.0) - F.pow(F.lit(1.0 - words / vocabulary), n)
-    rows = stats.join(sizes, "grp", "left").join(specificities, "grp", "left").withColumn("reliable", hit * samples >= 30).crossJoin(F.broadcast(line))
-    middle = stats.select("std").agg(F.sort_array(F.collect_list("std")).alias("s")).select(F.element_at("s", F.expr("cast(size(s) div 2 + 1 as int)")).alias("median"))  # one value a group of the hierarchy
-    rows = rows.crossJoin(F.broadcast(middle))
+    kept = stats.where("reliable and std > 0.01").agg(F.sort_array(F.collect_list("std")).alias("s"))  # one value a group of the hierarchy
+    middle = kept.select(F.coalesce(F.get("s", F.expr("cast(size(s) div 2 as int)")), F.lit(1.0)).alias("median"))
+    rows = stats.join(specificities, "grp", "left").crossJoin(F.broadcast(line)).crossJoin(F.broadcast(middle))
     predicted = F.greatest(F.exp(F.col("a") * F.ln(F.greatest("mean", F.lit(0.01))) + F.col("b")), F.col("median"))
     raw = F.when(~F.col("reliable") & (F.col("std") > 1e-6), predicted).otherwise(F.col("std"))
     damped = F.when(raw > 1e-6, raw / (F.lit(1.0) + 0.3 * F.coalesce("avg_specificity", F.lit(0.0)))).otherwise(raw)

@@ -86,5 +86,5 @@ def flag_stop_words(words: DataFrame, stop: list[str]) -> DataFrame:
 
 
 def domainless(words: DataFrame, members: DataFrame) -> DataFrame:
-    """Words that no group has, tagged as such; single tokens only."""
-    return words.where(~F.col("word").contains("_")).join(members.select("word_id").distinct(), "word_id", "left_anti").select("word_id", F.lit("domainless").alias("domain"))
+    """Embedded words without blank or hyphen that no group has, tagged as such.  words: word_id, word, embedded."""
+    return words.where(F.col("embedded") & ~F.col("word").rlike("[ -]")).join(members.select("word_id").distinct(), "word_id", "left_anti").select("word_id", F.lit("domainless").alias("domain"))

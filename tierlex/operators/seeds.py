@@ -65,14 +65,18 @@ def starve_capitals(predictions: DataFrame, towns: DataFrame) -> DataFrame:
     return out.where("is_capital = 0 or taken is null").select("town_id", "word_id", "score")
 
 
-def island_health(facts: DataFrame, towns: DataFrame) -> DataFrame:
-    """2 x % of words in two islands or fewer + seeds a town / 10 + (100 - % of words in five or more); 0 without seeds."""
+def island_health(facts: DataFrame, towns: DataFrame, islands: DataFrame) -> DataFrame:
+    """2 x % of words in two islands or fewer + seeds a town / 10 + (100 - % of words in five or more); 0 without seeds.  Buckets count nowhere."""
+    kept = F.broadcast(islands.where("is_bucket = 0").select("island_id"))  # a tier of the hierarchy
+    facts, towns = facts.join(kept, "island_id"), towns.join(kept, "island_id")
     spread = facts.groupBy("word_id").agg(F.countDistinct("island_id").alias("k"))
     rows = facts.select("island_id", "town_id", "word_id").distinct().join(spread, "word_id")
     words = rows.groupBy("island_id").agg(F.count(F.lit(1)).alias("seeds"), F.countDistinct("word_id").alias("words"), F.countDistinct(F.when(F.col("k") <= 2, F.col("word_id"))).alias("own"), F.countDistinct(F.when(F.col("k") >= 5, F.col("word_id"))).alias("shared"))
     sizes = towns.groupBy("island_id").agg(F.count(F.lit(1)).alias("towns"))
-    score = 2 * (F.col("own") * 100.0 / F.col("words")) + F.col("seeds") / F.col("towns") / 10 + (F.lit(100.0) - F.col("shared") * 100.0 / F.col("words"))
-    return sizes.join(words, "island_id", "left").select("island_id", "towns", F.coalesce("seeds", F.lit(0)).alias("seeds"), F.coalesce(score, F.lit(0.0)).alias("health"))
+    own, shared = F.col("own") * 100.0 / F.col("words"), F.col("shared") * 100.0 / F.col("words")
+    score = 2 * own + F.col("seeds") / F.col("towns") / 10 + (F.lit(100.0) - shared)
+    nought = lambda c, name: F.coalesce(c, F.lit(0.0)).alias(name)
+    return sizes.join(words, "island_id", "left").select("island_id", "towns", F.coalesce("seeds", F.lit(0)).alias("seeds"), nought(own, "exclusive_pct"), nought(shared, "shared5_pct"), nought(score, "health"))
 
 
 def consolidate(rows: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -57,6 +57,19 @@ def standardise(vectors: DataFrame, dims: DataFrame) -> DataFrame:
     return vectors.crossJoin(F.broadcast(arrays)).withColumn("z", F.zip_with("v", "ms", lambda x, y: (x - y["m"]) / y["s"])).drop("ms")  # one row
 
 
+def cross_town(seeds: DataFrame, threshold: float = 0.010, least_towns: int = 3) -> DataFrame:
+    """vec_id, island_id, std, mean of seeds whose cosines with the centroids of their island's towns differ by less than the threshold.
+
+    Islands of fewer than `least_towns` towns are left out, and so are words of one town alone, if that
+    is no capital.  seeds: vec_id, island_id, town_id, is_capital, v; one row a word and town.
+    """
+    towns = mean_vectors(seeds.withColumn("v", S.unit(F.col("v"))), ["island_id", "town_id"])
+    large = towns.groupBy("island_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_towns).select("island_id")
+    words = seeds.groupBy("island_id", "vec_id").agg(F.first("v").alias("v"), F.count_if(F.col("is_capital") == 0).alias("plain"), F.count_if(F.col("is_capital") == 1).alias("capitals"))
+    sims = words.where("not (plain = 1 and capitals = 0)").join(F.broadcast(towns.join(large, "island_id")), "island_id").withColumn("cos", S.cosine(F.col("v"), F.col("c")))  # towns of an island
+    return sims.groupBy("vec_id", "island_id").agg(F.stddev_pop("cos").alias("std"), F.avg("cos").alias("mean")).where(F.col("std") < threshold)
+
+
 def capital_triage(vectors: DataFrame, margin: float = 0.03) -> DataFrame:
     """Each capital seed of an island with three towns or more: generic, misplaced (and where to), or genuine."""
     plain = vectors.where("is_capital = 0")

@@ -31,9 +31,19 @@ def packed_address(t):
     return t.part.select(F.col("p_partkey").alias("word_id"), a.alias("address"), arch.alias("arch"), reef.alias("reef"))
 
 
-@query("SELECT p_partkey AS word_id, p_name AS word, CASE WHEN len(string_split(p_name, ' ')) <= 1 THEN 'single' ELSE 'compound' END AS category, len(string_split(p_name, ' '))::INT AS n FROM part")
+_TERM = "CASE p_size % 6 WHEN 0 THEN p_name WHEN 1 THEN replace(p_name, ' ', '_') WHEN 2 THEN string_split(p_name, ' ')[1] WHEN 3 THEN string_split(p_name, ' ')[1] || ' ' || part_ WHEN 4 THEN p_name || ' ' || upper(part_) ELSE p_name || ' x ' || part_ END"
+_PARTICLES = ", ".join(f"'{p}'" for p in (*S.PARTICLES, "by", "into"))
+
+
+@query(f"""WITH x AS (SELECT p_partkey, p_name, p_size, [{_PARTICLES}][p_partkey % {len(S.PARTICLES) + 2} + 1] AS part_ FROM part), y AS (SELECT p_partkey, {_TERM} AS word FROM x), z AS (SELECT *, string_split(word, ' ') AS ts FROM y)
+SELECT p_partkey AS word_id, word, CASE WHEN contains(word, ' ') THEN CASE WHEN len(ts) IN (2, 3) AND lower(ts[-1]) IN ({", ".join(f"'{p}'" for p in S.PARTICLES)}) THEN 'phrasal_verb' ELSE 'compound' END WHEN contains(word, '_') THEN 'compound' ELSE 'single' END AS category, len(ts)::INT AS n FROM z""")
 def word_category(t):
-    return t.part.select(F.col("p_partkey").alias("word_id"), F.col("p_name").alias("word"), S.category(F.col("p_name")).alias("category"), S.token_count(F.col("p_name")).alias("n"))
+    """Terms of one to four words made of parts' names, particles (and two words that are none) and underscores, by the part's size."""
+    particles = F.array(*map(F.lit, (*S.PARTICLES, "by", "into")))
+    part_ = F.element_at(particles, (F.col("p_partkey") % (len(S.PARTICLES) + 2) + 1).cast("int"))
+    first, k = F.split("p_name", " ")[0], F.col("p_size") % 6
+    word = F.when(k == 0, F.col("p_name")).when(k == 1, F.translate("p_name", " ", "_")).when(k == 2, first).when(k == 3, F.concat_ws(" ", first, part_)).when(k == 4, F.concat_ws(" ", "p_name", F.upper(part_))).otherwise(F.concat_ws(" ", "p_name", F.lit("x"), part_))
+    return t.part.select(F.col("p_partkey").alias("word_id"), word.alias("word")).select("word_id", "word", S.category(F.col("word")).alias("category"), S.token_count(F.col("word")).alias("n"))
 
 
 @query("SELECT l_partkey AS word_id, sum(round(l_discount*100)::BIGINT)::BIGINT AS x, greatest(least(round_even(sum(round(l_discount*100)::BIGINT)::DOUBLE / 10 * 21, 0), 255), 0)::INT AS q FROM lineitem GROUP BY 1")
@@ -101,9 +111,9 @@ def capital_starving(t):
     return seeds.starve_capitals(t.predictions, t.towns.withColumn("is_capital", first.cast("int")))
 
 
-@query(f"{BASE}, k AS (SELECT word_id, count(DISTINCT island_id) AS k FROM rw GROUP BY 1), s AS (SELECT DISTINCT island_id, town_id, word_id FROM rw), g AS (SELECT island_id, count(*) AS seeds, count(DISTINCT word_id) AS words, count(DISTINCT word_id) FILTER (k <= 2) AS own, count(DISTINCT word_id) FILTER (k >= 5) AS shared FROM s JOIN k USING (word_id) GROUP BY 1), z AS (SELECT island_id, count(*) AS towns FROM tow GROUP BY 1) SELECT island_id, towns, coalesce(seeds, 0) AS seeds, coalesce(2 * (own * 100::DOUBLE / words) + seeds / towns / 10 + (100 - shared * 100::DOUBLE / words), 0) AS health FROM z LEFT JOIN g USING (island_id)")
+@query(f"{BASE}, k AS (SELECT word_id, count(DISTINCT island_id) AS k FROM rw WHERE is_bucket = 0 GROUP BY 1), s AS (SELECT DISTINCT island_id, town_id, word_id FROM rw WHERE is_bucket = 0), g AS (SELECT island_id, count(*) AS seeds, count(DISTINCT word_id) AS words, count(DISTINCT word_id) FILTER (k <= 2) AS own, count(DISTINCT word_id) FILTER (k >= 5) AS shared FROM s JOIN k USING (word_id) GROUP BY 1), z AS (SELECT island_id, count(*) AS towns FROM tow JOIN isl USING (island_id) WHERE is_bucket = 0 GROUP BY 1) SELECT island_id, towns, coalesce(seeds, 0) AS seeds, coalesce(own * 100::DOUBLE / words, 0) AS exclusive_pct, coalesce(shared * 100::DOUBLE / words, 0) AS shared5_pct, coalesce(2 * (own * 100::DOUBLE / words) + seeds / towns / 10 + (100 - shared * 100::DOUBLE / words), 0) AS health FROM z LEFT JOIN g USING (island_id)")
 def island_health(t):
-    return seeds.island_health(t.reef_words(), t.towns)
+    return seeds.island_health(t.reef_words(), t.towns, t.islands)
 
 
 _DOM = f"{TOK}, d AS (SELECT DISTINCT source AS domain, token AS word, CASE length(token) % 5 WHEN 0 THEN 'curated' WHEN 1 THEN 'wordnet' WHEN 2 THEN 'claude' WHEN 3 THEN 'pipeline' ELSE 'xgboost' END AS source FROM tok UNION SELECT DISTINCT source, token, 'xgboost' FROM tok)"
@@ -226,11 +236,20 @@ def capital_triage(t):
     return vectors.capital_triage(t.vectors)
 
 
-@query(f"{_SIM}, s AS (SELECT vec_id, stddev_pop(cos) AS std FROM sim GROUP BY 1) SELECT vec_id, std FROM s JOIN vec USING (vec_id) WHERE std < 0.15 AND is_capital = 1")
+def seeded(t) -> DataFrame:
+    """Seeds of towns: each word of its own town, a fourth of them of the island's capital, and a fifth of the island's next town too."""
+    v = t.vectors.select("vec_id", "island_id", "town_id", "v")
+    more = lambda town, when: v.where(when).withColumn("town_id", town.cast("int"))
+    return v.unionByName(more(F.col("island_id"), "vec_id % 4 = 0")).unionByName(more((F.col("town_id") + 3) % 9, "vec_id % 5 = 0 and town_id < 9")).distinct().withColumn("is_capital", (F.col("town_id") < 3).cast("int"))
+
+
+_SEEDED = f"{VEC}, sd AS (SELECT *, (town_id < 3)::INT AS is_capital FROM (SELECT vec_id, island_id, town_id, v FROM vec UNION SELECT vec_id, island_id, island_id, v FROM vec WHERE vec_id % 4 = 0 UNION SELECT vec_id, island_id, (town_id + 3) % 9, v FROM vec WHERE vec_id % 5 = 0 AND town_id < 9)), p AS (SELECT island_id, town_id, unnest(range(1, 65)) AS i, unnest({UNIT.format(v='v')}) AS x FROM sd), m AS (SELECT island_id, town_id, i, avg(x) AS x FROM p GROUP BY ALL), c0 AS (SELECT island_id, town_id, list(x ORDER BY i) AS v FROM m GROUP BY ALL), cen AS (SELECT island_id, town_id AS other, {UNIT.format(v='v')} AS c FROM c0)"
+
+
+@query(f"{_SEEDED}, big AS (SELECT island_id FROM cen GROUP BY 1 HAVING count(*) >= 3), k AS (SELECT island_id, vec_id, count(DISTINCT town_id) FILTER (is_capital = 0) AS plain, count(*) FILTER (is_capital = 1) AS caps FROM sd GROUP BY ALL), s AS (SELECT vec_id, island_id, stddev_pop({COS.format(a='v', b='c')}) AS std, avg({COS.format(a='v', b='c')}) AS mean FROM (SELECT DISTINCT vec_id, island_id, v FROM sd) JOIN cen USING (island_id) WHERE island_id IN (SELECT island_id FROM big) GROUP BY ALL) SELECT vec_id, island_id, std, mean FROM s JOIN k USING (island_id, vec_id) WHERE std < 0.12 AND NOT (plain = 1 AND caps = 0)")
 def cross_town_words(t):
-    """Words as near to one town as to another, unless one town that is no capital has them alone."""
-    sims = vectors.similarities(t.vectors, town_means(t), "town_id").groupBy("vec_id", "is_capital").agg(F.stddev_pop("cos").alias("std"))
-    return sims.where("std < 0.15 and is_capital = 1").select("vec_id", "std")
+    """Words as near to one town of their island as to another; the threshold is one that these vectors reach."""
+    return vectors.cross_town(seeded(t), threshold=0.12)
 
 
 @query(f"{VEC} SELECT vec_id, generate_subscripts(u, 1) - 1 AS i, unnest(u) AS x FROM (SELECT vec_id, {UNIT.format(v='v[1:16]')} AS u FROM vec)")
@@ -359,30 +378,70 @@ def export_constants(t):
     return n.agg(F.count(F.lit(1)).alias("islands"), F.sum("n").alias("entries"), sizes.alias("sizes"))
 
 
-_BG = f"{_WI}, en AS (SELECT word_id, count(*) AS entries FROM wi GROUP BY 1), dr AS (SELECT s, word_id, row_number() OVER (PARTITION BY s ORDER BY -ln((('0x' || substr(md5(s || ':' || word_id), 1, 8))::BIGINT::DOUBLE + 1) / 4294967297) / entries, word_id) AS k FROM en, range(0, 200) r(s)), su AS (SELECT s, island_id AS grp, sum(weight) / 255::DOUBLE AS x FROM dr JOIN wi USING (word_id) WHERE k <= 15 GROUP BY ALL), pe AS (SELECT grp, sum(x) AS t, sum(x * x) AS t2 FROM su GROUP BY 1), bg AS (SELECT g.grp, coalesce(t, 0) / 200 AS mean, greatest(sqrt(greatest(coalesce(t2, 0) / 200 - (coalesce(t, 0) / 200) * (coalesce(t, 0) / 200), 0)), 1e-6) AS std FROM (SELECT DISTINCT island_id AS grp FROM wi) g LEFT JOIN pe ON pe.grp = g.grp)"
+def background_sql(groups: str, grp: str) -> str:
+    """bg (grp, mean, std), vs (n) and rb (with reliable) of a relation of (word_id, grp, weight)."""
+    return f"""si AS (SELECT word_id, {grp} AS grp, weight FROM {groups} JOIN w USING (word_id) WHERE word_count = 1),
+nb AS (SELECT word_id, row_number() OVER (ORDER BY word_id % 256, word_id, grp) - 1 AS entry FROM si),
+dr AS (SELECT s, j, floor(('0x' || substr(md5(s || ':' || j), 1, 8))::BIGINT::DOUBLE / 4294967296 * (SELECT count(*) FROM si))::BIGINT AS entry FROM range(0, 1000) a(s), range(0, 64) b(j)),
+ht AS (SELECT s, word_id, min(j) AS j FROM dr JOIN nb USING (entry) GROUP BY ALL),
+ch AS (SELECT s, word_id FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY j) AS k FROM ht) WHERE k <= 15),
+su AS (SELECT s, grp, sum(weight) / 255::DOUBLE AS x FROM ch JOIN si USING (word_id) GROUP BY ALL),
+pe AS (SELECT grp, sum(x) AS t, sum(x * x) AS t2 FROM su GROUP BY 1),
+bg AS (SELECT g.grp, coalesce(t, 0) / 1000 AS mean, greatest(sqrt(greatest(coalesce(t2, 0) / 1000 - (coalesce(t, 0) / 1000) * (coalesce(t, 0) / 1000), 0)), 1e-6) AS std FROM (SELECT DISTINCT {grp} AS grp FROM {groups}) g LEFT JOIN pe ON pe.grp = g.grp),
+vs AS (SELECT count(DISTINCT word_id) AS n FROM si),
+rb AS (SELECT bg.*, (1 - pow(1 - 15::DOUBLE / n, n_words)) * 1000 >= 30 AS reliable FROM bg JOIN (SELECT {grp} AS grp, count(*) AS n_words FROM {groups} GROUP BY 1) z ON z.grp = bg.grp, vs),
+li0 AS (SELECT count(*) AS n, regr_slope(ln(std), ln(mean)) AS a, regr_intercept(ln(std), ln(mean)) AS b, regr_r2(ln(std), ln(mean)) AS r2 FROM rb WHERE reliable AND mean > 0.01 AND std > 0.01),
+li AS (SELECT n, CASE WHEN n < 5 THEN 0.513 ELSE a END AS a, CASE WHEN n < 5 THEN 1.482 ELSE b END AS b, CASE WHEN n >= 5 THEN r2 END AS r2 FROM li0),
+md AS (SELECT coalesce(list_sort(list(std))[len(list(std)) // 2 + 1], 1.0) AS median FROM rb WHERE reliable AND std > 0.01),
+sq AS (SELECT {grp} AS grp, avg(specificity) AS sp FROM {groups} JOIN ws USING (word_id) GROUP BY 1),
+rr2 AS (SELECT rb.*, sp, CASE WHEN NOT reliable AND std > 1e-6 THEN greatest(exp(a * ln(greatest(mean, 0.01)) + b), median) ELSE std END AS raw FROM rb LEFT JOIN sq USING (grp), li, md),
+ad AS (SELECT grp, mean, reliable, greatest(CASE WHEN raw > 1e-6 THEN raw / (1 + 0.3 * coalesce(sp, 0)) ELSE raw END, 0.1) AS std FROM rr2)"""
+
+
+_BG = f"{_WI}, {background_sql('wi', 'island_id')}"
+_TOWN = "wt AS (SELECT word_id, town_id, max(weight) AS weight FROM (SELECT word_id, town_id, weight FROM e WHERE town_id IS NOT NULL UNION ALL SELECT word_id, tow.town_id, weight FROM e JOIN tow USING (island_id) WHERE e.town_id IS NULL) GROUP BY ALL)"
+_TBG = f"{FULL}, e AS (SELECT ei.* FROM ei JOIN isl USING (island_id) WHERE is_bucket = 0), {_TOWN}, {background_sql('wt', 'town_id')}"
+
+
+def background_of(t, tier: str = "island_id") -> tuple[DataFrame, DataFrame]:
+    """Words of each group of a tier, and the groups' background with its reliability."""
+    index = index_of(t)
+    groups = (export.word_islands(index, t.islands) if tier == "island_id" else export.word_towns(index, t.towns, t.islands)).withColumnRenamed(tier, "grp")
+    groups = t.kept(groups)
+    single = groups.join(t.words.where("word_count = 1").select("word_id"), "word_id")
+    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n_words"))
+    return groups, export.reliability(t.kept(export.background(groups, t.words)), sizes, single.agg(F.countDistinct("word_id").alias("n")))
 
 
-def background_of(t) -> tuple[DataFrame, DataFrame]:
-    groups = export.word_islands(index_of(t), t.islands).withColumnRenamed("island_id", "grp")
-    return groups, export.background(groups)
+def background_adjusted_of(t, tier: str = "island_id") -> DataFrame:
+    groups, stats_ = background_of(t, tier)
+    ws = levels_of(t)[1].select("word_id", "specificity")
+    return export.adjust_background(stats_, groups.join(ws, "word_id").groupBy("grp").agg(F.avg("specificity").alias("avg_specificity")))
 
 
-@query(f"{_BG} SELECT * FROM bg")
+@query(f"{_BG} SELECT * FROM rb")
 def background_stats(t):
     return background_of(t)[1]
 
 
-@query(f"{_BG} SELECT count(*) AS n, regr_slope(ln(std), ln(mean)) AS a, regr_intercept(ln(std), ln(mean)) AS b, regr_r2(ln(std), ln(mean)) AS r2 FROM bg WHERE mean > 0.01 AND std > 0.01")
+@query(f"{_TBG} SELECT * FROM rb")
+def town_background_stats(t):
+    return background_of(t, "town_id")[1]
+
+
+@query(f"{_BG} SELECT * FROM li")
 def background_regression(t):
     return export.regression(background_of(t)[1])
 
 
-@query(f"{_BG}, li AS (SELECT regr_slope(ln(std), ln(mean)) AS a, regr_intercept(ln(std), ln(mean)) AS b FROM bg WHERE mean > 0.01 AND std > 0.01), md AS (SELECT list_sort(list(std))[len(list(std)) // 2 + 1] AS median FROM bg), sz AS (SELECT island_id AS grp, count(*) AS n_words, avg(specificity) AS sp FROM wi JOIN ws USING (word_id) GROUP BY 1), r AS (SELECT bg.*, sp, (1 - pow(1 - 15::DOUBLE / 20000, n_words)) * 1000 >= 30 AS reliable FROM bg JOIN sz USING (grp)), x AS (SELECT r.*, CASE WHEN NOT reliable AND std > 1e-6 THEN greatest(exp(a * ln(greatest(mean, 0.01)) + b), median) ELSE std END AS raw FROM r, li, md) SELECT grp, mean, reliable, greatest(CASE WHEN raw > 1e-6 THEN raw / (1 + 0.3 * coalesce(sp, 0)) ELSE raw END, 0.1) AS std FROM x")
+@query(f"{_BG} SELECT * FROM ad")
 def background_adjusted(t):
-    groups, bg = background_of(t)
-    ws = levels_of(t)[1].select("word_id", "specificity")
-    per = groups.join(ws, "word_id").groupBy("grp").agg(F.count(F.lit(1)).alias("n_words"), F.avg("specificity").alias("avg_specificity"))
-    return export.adjust_background(bg, per.select("grp", "n_words"), per.select("grp", "avg_specificity"), vocabulary=20_000)
+    return background_adjusted_of(t)
+
+
+@query(f"{_TBG} SELECT * FROM ad")
+def town_background_adjusted(t):
+    return background_adjusted_of(t, "town_id")
 
 
 @query("SELECT n_nationkey AS island_id, sha256(n_nationkey::VARCHAR || '|' || n_name) AS sha256 FROM nation")
@@ -392,7 +451,7 @@ def row_digests(t):
 
 # --- sweeps and models
 
-_NORM = f"{BASE}, r AS (SELECT town_id, word_id, max(cosine_sim) AS raw FROM rw GROUP BY ALL), g AS (SELECT town_id, min(raw) AS lo, max(raw) AS hi, avg(raw) AS m, stddev_pop(raw) AS s, count(*) AS n, list_sort(list(raw)) AS al FROM r GROUP BY 1), h AS (SELECT *, al[floor(n * 0.02)::INT + 1] AS p2, al[least(n - 1, floor(n * 0.98))::INT + 1] AS p98 FROM g) SELECT town_id, word_id, raw, CASE WHEN hi > lo THEN 255 * (raw - lo) / (hi - lo) ELSE 128 END AS minmax, CASE WHEN ln(1 + hi) > ln(1 + lo) THEN 255 * (ln(1 + raw) - ln(1 + lo)) / (ln(1 + hi) - ln(1 + lo)) ELSE 128 END AS log, CASE WHEN p98 > p2 THEN 255 * (least(greatest(raw, p2), p98) - p2) / (p98 - p2) ELSE 128 END AS trimmed, (CASE WHEN s > 0 THEN least(greatest((raw - m) / s, -3), 3) ELSE 0 END + 3) / 6 * 255 AS zscore FROM r JOIN h USING (town_id)"
+_NORM = f"{BASE}, r AS (SELECT town_id, word_id, max(cosine_sim) AS raw FROM rw GROUP BY ALL), g AS (SELECT town_id, min(raw) AS lo, max(raw) AS hi, avg(raw) AS m, stddev_pop(raw) AS s, count(*) AS n, list_sort(list(raw)) AS al FROM r GROUP BY 1), h AS (SELECT *, al[floor(n * 0.02)::INT + 1] AS p2, al[least(n - 1, floor(n * 0.98))::INT + 1] AS p98 FROM g) SELECT town_id, word_id, raw, CASE WHEN hi > lo THEN 255 * (raw - lo) / (hi - lo) ELSE 128 END AS minmax, CASE WHEN ln(1 + hi) > ln(1 + lo) THEN 255 * (ln(1 + raw) - ln(1 + lo)) / (ln(1 + hi) - ln(1 + lo)) ELSE 128 END AS log, CASE WHEN p98 > p2 THEN 255 * (least(greatest(raw, p2), p98) - p2) / (p98 - p2) ELSE 128 END AS trimmed, CASE WHEN s > 0 THEN 255 * (least(greatest((raw - m) / s, -3), 3) + 3) / 6 ELSE 128 END AS zscore FROM r JOIN h USING (town_id)"
 
 
 @query(_NORM)
@@ -401,21 +460,61 @@ def norm_variants(t):
     return sweep.normalised(rows, "town_id")
 
 
-@query("SELECT (row_number() OVER (ORDER BY own, name, floor, blend, power) - 1)::INT AS param_id, own, name, floor, blend, power FROM (SELECT unnest([0.3, 0.4, 0.5, 0.6])::DOUBLE AS own), (SELECT unnest([0.1, 0.2, 0.3, 0.4])::DOUBLE AS name), (SELECT unnest([0.7, 0.9])::DOUBLE AS floor), (SELECT unnest([0.6, 0.8, 1.0])::DOUBLE AS blend), (SELECT unnest([0.2, 0.33, 0.5])::DOUBLE AS power) WHERE own + name <= 0.8 + 1e-9")
+_GRID = """g0 AS (SELECT a.x AS name, b.x AS island, c.x AS alone, d.x AS floor, e.x AS blend, f.x AS power, k.x AS nk, ['minmax', 'log_minmax', 'trimmed_minmax', 'zscore'][k.x] AS norm
+FROM (SELECT unnest([10, 15, 20, 25, 30]) AS x) a, (SELECT unnest([15, 20, 25, 30, 35]) AS x) b, (SELECT unnest([30, 40, 50, 60]) AS x) c, (SELECT unnest([70, 80, 90, 100]) AS x) d, (SELECT unnest([0, 20, 40, 60, 80, 100]) AS x) e, (SELECT unnest([25, 33, 50]) AS x) f, (SELECT unnest([1, 2, 3, 4]) AS x) k WHERE a.x + b.x <= 50),
+g1 AS (SELECT (row_number() OVER (ORDER BY name, island, alone, floor, blend, power, nk) - 1)::INT AS param_id, * FROM g0)"""
+_AS_SHARES = "param_id, name / 100 AS name, island / 100 AS island, alone / 100 AS alone, floor / 100 AS floor, blend / 100 AS blend, power / 100 AS power, norm"
+#: Parameter sets of the coarse sample that is evaluated.
+COARSE = 12
+
+
+@query(f"WITH {_GRID} SELECT {_AS_SHARES} FROM g1")
 def sweep_grid(t):
-    return sweep.grid(t.spark)
+    """All valid parameter sets of the seven axes."""
+    return sweep.frame(t.spark, sweep.grid())
 
 
-@query()
+@query(f"WITH {_GRID} SELECT {_AS_SHARES} FROM g1 WHERE name IN (15, 20, 25) AND island IN (25, 30, 35) AND alone IN (40, 50, 60) AND floor IN (80, 90, 100) AND blend IN (60, 80, 100) AND power IN (25, 33, 50)")
+def sweep_fine(t):
+    """The sets one step around the production parameters, with every normaliser."""
+    return sweep.frame(t.spark, sweep.fine([sweep.PRODUCTION]))
+
+
+_EXPECTED = "xp AS (SELECT query, island_id AS expected FROM (SELECT query, island_id, row_number() OVER (PARTITION BY query ORDER BY sum(c) DESC, island_id) AS k FROM wq JOIN (SELECT word_id, island_id, round(max(cosine_sim) * 1e9)::BIGINT AS c FROM rw GROUP BY ALL) USING (word_id) GROUP BY query, island_id) WHERE k = 1)"
+_MM = "(CASE WHEN hi > lo THEN 255::DOUBLE * (raw - lo) / (hi - lo) ELSE 128 END)"
+
+
+def _norm_sql(p: str) -> str:
+    """A normaliser's value from the moments and places named with a prefix."""
+    c = lambda x: f"{p}{x}"
+    scale = lambda x, lo, hi: f"CASE WHEN {hi} > {lo} THEN 255::DOUBLE * ({x} - {lo}) / ({hi} - {lo}) ELSE 128 END"
+    log = lambda x: f"ln(1 + {x})"
+    return f"CASE norm WHEN 'minmax' THEN {scale('raw', c('lo'), c('hi'))} WHEN 'log_minmax' THEN {scale(log('raw'), log(c('lo')), log(c('hi')))} WHEN 'trimmed_minmax' THEN {scale('least(greatest(raw, ' + c('p2') + '), ' + c('p98') + ')', c('p2'), c('p98'))} ELSE CASE WHEN {c('s')} > 0 THEN 255::DOUBLE * (least(greatest((raw - {c('m')}) / {c('s')}, -3), 3) + 3) / 6 ELSE 128 END END"
+
+
+_PLACES = lambda p, key: f"min(raw) AS {p}lo, max(raw) AS {p}hi, avg(raw) AS {p}m, stddev_pop(raw) AS {p}s, list_sort(list(raw))[floor(count(*) * 0.02)::INT + 1] AS {p}p2, list_sort(list(raw))[least(count(*) - 1, floor(count(*) * 0.98))::INT + 1] AS {p}p98 FROM x2 GROUP BY {key}"
+
+
+@query(f"""{FULL}, wq AS (SELECT DISTINCT l_orderkey AS query, l_partkey AS word_id FROM lineitem), {_GRID}, pr AS (SELECT {_AS_SHARES} FROM (SELECT * FROM g1 ORDER BY md5(concat_ws(':', name, island, alone, floor, blend, power, norm)), param_id LIMIT {COARSE})),
+c0 AS (SELECT reef_id AS grp, island_id, word_id, cosine_sim AS c, reef_cos AS nc, island_cos AS ic, idf, sq FROM q JOIN lv USING (word_id) JOIN ws USING (word_id) WHERE level = 'reef' UNION ALL SELECT town_id::VARCHAR, island_id, word_id, c, tc, ic, idf, sq FROM t0 JOIN ws USING (word_id)),
+x1 AS (SELECT param_id, grp, island_id, word_id, idf * greatest(sq, floor) * ((1 - name - island) * c + name * nc + island * ic) AS raw FROM c0, pr),
+y1 AS (SELECT param_id, island_id, word_id, greatest(0, least(255, round_even({_MM}, 0))) AS weight FROM (SELECT *, min(raw) OVER w AS lo, max(raw) OVER w AS hi FROM x1 WINDOW w AS (PARTITION BY param_id, grp))),
+x2 AS (SELECT pr.*, island_id, word_id, k, log2((SELECT count(*) FROM isl)::DOUBLE / greatest(1, k)) * greatest(sq, floor) * ((1 - alone) * c + alone * ic) AS raw FROM i0, pr),
+l2 AS (SELECT param_id, island_id, {_PLACES('l', 'param_id, island_id')}), w2 AS (SELECT param_id, {_PLACES('g', 'param_id')}),
+y2 AS (SELECT param_id, island_id, word_id, greatest(0, least(255, round_even(((1 - blend) * ({_norm_sql('l')}) + blend * ({_norm_sql('g')})) * pow(greatest(1, k)::DOUBLE, -power), 0))) AS weight FROM x2 JOIN l2 USING (param_id, island_id) JOIN w2 USING (param_id)),
+bw AS (SELECT param_id, island_id, word_id, max(weight) AS weight FROM (SELECT * FROM y1 UNION ALL SELECT * FROM y2) GROUP BY ALL HAVING max(weight) > 0),
+ss AS (SELECT param_id, query, island_id, sum(weight) AS score FROM wq JOIN bw USING (word_id) GROUP BY ALL),
+rk AS (SELECT *, row_number() OVER (PARTITION BY param_id, query ORDER BY score DESC, island_id) AS nth FROM ss),
+wn AS (SELECT param_id, query, max(island_id) FILTER (nth = 1) AS winner, max(score) FILTER (nth = 1) AS w1, max(score) FILTER (nth = 2) AS w2 FROM rk WHERE nth <= 2 GROUP BY ALL), {_EXPECTED}
+SELECT param_id, count(*) FILTER (winner = expected) AS passed, (SELECT count(*) FROM xp) AS questions, sum(CASE WHEN w2 > 0 THEN w1 / w2 ELSE 99 END) / (SELECT count(*) FROM xp) AS mean_margin FROM wn JOIN xp USING (query) GROUP BY param_id""")
 def sweep_evaluate(t):
-    """Passes and mean margins of all the grid's parameter sets on the questions; the expected island has the largest sum of own cosines."""
-    facts, _, _ = levels_of(t)
-    rows = stats.source_quality(facts).groupBy("word_id", "island_id").agg(F.max("cosine_sim").alias("c_own"), F.max("island_cos").alias("c_name"), F.max("source_quality").alias("quality"))
-    n = rows.groupBy("word_id").agg(F.count(F.lit(1)).alias("n"))
-    parts = rows.join(n, "word_id").withColumn("idf", F.log2(F.lit(25.0) / F.col("n")))
+    """Passes and mean margin of a seeded coarse sample of the grid, all three levels replayed; the expected island has the largest sum of own cosines."""
+    facts, ws, levels = levels_of(t)
     asked = questions(t)
-    best = asked.join(parts, "word_id").groupBy("query", "island_id").agg(F.sum("c_own").alias("s")).groupBy("query").agg(F.max_by("island_id", F.struct("s", -F.col("island_id"))).alias("expected"))
-    return sweep.evaluate(parts, sweep.grid(t.spark), asked, best)
+    best = facts.groupBy("word_id", "island_id").agg(F.round(F.max("cosine_sim") * 1e9).cast("long").alias("c"))
+    expected = asked.join(best, "word_id").groupBy("query", "island_id").agg(F.sum("c").alias("s")).groupBy("query").agg(F.max_by("island_id", F.struct("s", -F.col("island_id"))).alias("expected"))
+    parts = sweep.components(facts, ws, levels, t.islands.count())
+    return sweep.evaluate(*map(t.kept, parts), sweep.frame(t.spark, sweep.coarse(sweep.grid(), COARSE)), asked, expected)
 
 
 @query(f"{VEC}, p AS (SELECT vec_id, CASE WHEN island_id = 1 THEN 'sibling' ELSE 'global' END AS pool FROM vec WHERE town_id <> 4), k AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY md5(vec_id || ':42'), vec_id) AS nth FROM p), n AS (SELECT count(*) AS n FROM vec WHERE town_id = 4) SELECT vec_id, pool FROM k, n WHERE nth <= CASE pool WHEN 'sibling' THEN floor(n * 5 / 2) ELSE ceil(n * 5 / 2) END")

@@ -36,7 +36,7 @@ i0 AS (SELECT island_id, word_id, max(cosine_sim) AS c, max(sq) AS sq, max(islan
 i1 AS (SELECT *, log2((SELECT count(*) FROM isl)::DOUBLE / greatest(1, k)) * greatest(sq, 0.9) * (0.5 * c + 0.5 * ic) AS raw FROM i0),
 ix AS (SELECT *, min(raw) OVER (PARTITION BY island_id) AS lo, max(raw) OVER (PARTITION BY island_id) AS hi, min(raw) OVER () AS glo, max(raw) OVER () AS ghi FROM i1),
 iwt AS (SELECT island_id, word_id, round_even(round_even((1 - 0.8::DOUBLE) * 255::DOUBLE * (raw - lo) / (CASE WHEN hi > lo THEN hi - lo ELSE 1 END) + 0.8::DOUBLE * 255::DOUBLE * (raw - glo) / (CASE WHEN ghi > glo THEN ghi - glo ELSE 1 END), 0) * pow(k::DOUBLE, -0.33), 0)::INT AS weight FROM ix),
-ei AS (SELECT 'reef' AS level, island_id, town_id, reef_id, word_id, weight FROM rwt UNION ALL SELECT 'town', island_id, town_id, NULL, word_id, weight FROM twt UNION ALL SELECT 'island', island_id, NULL, NULL, word_id, weight FROM iwt)"""
+ei AS MATERIALIZED (SELECT 'reef' AS level, island_id, town_id, reef_id, word_id, weight FROM rwt UNION ALL SELECT 'town', island_id, town_id, NULL, word_id, weight FROM twt UNION ALL SELECT 'island', island_id, NULL, NULL, word_id, weight FROM iwt)"""
 BASE = f"WITH {fact_sql()}"
 FULL = f"WITH {fact_sql()}, {STATS}, {LEVELS}, {WEIGHTS}"
 #: With this quantity nearly all promotion rules occur.
@@ -49,13 +49,20 @@ def word_stats_of(t: Tables, quantity: int = 45) -> tuple[DataFrame, DataFrame]:
 
 
 def levels_of(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    facts, ws = word_stats_of(t)
-    return facts, ws, promote.export_level(facts, ws)
+    """Facts, words' statistics and levels, made once for all that a query does with them."""
+    if not hasattr(t, "levels_"):
+        facts = t.kept(t.reef_words())
+        ws = t.kept(stats.word_stats(t.words, facts))
+        t.levels_ = facts, ws, t.kept(promote.export_level(facts, ws))
+    return t.levels_
 
 
 def index_of(t: Tables) -> DataFrame:
-    facts, ws, levels = levels_of(t)
-    return promote.export_index(promote.reef_weights(facts, ws, levels), promote.town_weights(facts, ws, levels), promote.island_weights(facts, levels, t.islands.count()))
+    """All three levels' weights, made once."""
+    if not hasattr(t, "index_"):
+        facts, ws, levels = levels_of(t)
+        t.index_ = t.kept(promote.export_index(promote.reef_weights(facts, ws, levels), promote.town_weights(facts, ws, levels), promote.island_weights(facts, levels, t.islands.count())))
+    return t.index_
 
 
 @query(f"{BASE} {SPREAD}")
@@ -189,7 +196,7 @@ def legacy_sub_reefs(t):
 # --- questions over the index
 
 _WORDS_OF = "wq AS (SELECT DISTINCT l_orderkey AS query, l_partkey AS word_id FROM lineitem)"
-_SCORES = "sc AS (SELECT query, island_id, sum(mw)::BIGINT AS score, count(*) AS n_words FROM (SELECT query, island_id, word_id, max(weight) AS mw FROM wq JOIN ei USING (word_id) GROUP BY ALL) GROUP BY ALL)"
+_SCORES = "sc AS MATERIALIZED (SELECT query, island_id, sum(mw)::BIGINT AS score, count(*) AS n_words FROM (SELECT query, island_id, word_id, max(weight) AS mw FROM wq JOIN ei USING (word_id) GROUP BY ALL) GROUP BY ALL)"
 
 
 def questions(t: Tables) -> DataFrame:
@@ -364,9 +371,15 @@ def stop_words(t):
     return prune.flag_stop_words(rows, ["the", "of", "and", "la", "der"]).withColumnRenamed("word", "token")
 
 
-@query(f"{BASE} SELECT word_id, 'domainless' AS domain FROM w WHERE word_id NOT IN (SELECT word_id FROM rw)")
+_SPELLED = "CASE p_size % 4 WHEN 0 THEN replace(p_name, ' ', '-') WHEN 1 THEN p_name ELSE replace(p_name, ' ', '') END"
+
+
+@query(f"WITH {fact_sql(48)} SELECT p_partkey AS word_id, 'domainless' AS domain FROM part WHERE p_size % 5 <> 0 AND {_SPELLED} NOT LIKE '% %' AND {_SPELLED} NOT LIKE '%-%' AND p_partkey NOT IN (SELECT word_id FROM rw)")
 def domainless(t):
-    return prune.domainless(t.words, t.reef_words())
+    """Names are spelt with a hyphen, with a blank, or as one word, and a fifth has no embedding, by the part's size."""
+    size = F.col("p_size") % 4
+    word = F.when(size == 0, F.regexp_replace("p_name", " ", "-")).when(size == 1, F.col("p_name")).otherwise(F.regexp_replace("p_name", " ", ""))
+    return prune.domainless(t.part.select(F.col("p_partkey").alias("word_id"), word.alias("word"), (F.col("p_size") % 5 != 0).alias("embedded")), t.reef_words(48))
 
 
 @query(f"{BASE} SELECT town_id, word_id, score FROM pred LEFT JOIN (SELECT town_id, word_id, max(town_cos) AS dnc FROM rw GROUP BY ALL) USING (town_id, word_id) WHERE dnc IS NULL OR dnc >= 0.2")

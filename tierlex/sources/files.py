@@ -80,18 +80,20 @@ def seeds_from_reply(rows: DataFrame) -> DataFrame:
     return listed("core").unionByName(listed("peripheral"))
 
 
-#: Names of categories that say nothing of a topic.
-NOT_TOPICAL = (r"(?i)\bstubs?\b", r"(?i)^wikipedia", r"(?i)articles", r"(?i)templates?", r"(?i)^lists? of", r"(?i)by (country|year|century|nationality)$")
-#: Names of categories worth following.
-DRILL = (r"(?i)^branches of", r"(?i)by type$", r"(?i)^types of", r"(?i)terminology$")
+#: Patterns, in any case of letters, of names of categories that say nothing of a topic.
+NOT_TOPICAL = (
+    r"\bby (location|country|city|continent|region|state|province|territory|year|decade|century|period|month|date|gender|ethnicity|nationality|sport)\b",
+    r"\bby country\b", r"\blists? of\b", r"\bhistory of\b", r"\bpeople in\b", r"\bpeople by\b", r"\bbiographers?\b", r"\borganizations?\b", r"\bassociations?\b",
+    r"\bcompetitions?\b", r"\bevents?\b", r"\bawards?\b", r"\bmedia\b", r"\bjournalism\b", r"\bphotography of\b", r"\bfilms? (about|set)\b", r"\bfiction\b", r"\bnovels?\b",
+    r"\btelevision\b", r"\bvideo games?\b", r"\bmuseums?\b", r"\beducation\b", r"\bstubs?\b", r"\btemplates?\b", r"\bwikiproject\b", r"\bwikipedia\b", r"\bcommons\b",
+    r"\bcategories\b", r"\bnavboxes\b", r"\binfoboxes\b", r"\barticles\b", r"\bimages\b", r"\bworks about\b", r"\bdepictions\b", r"\bin popular culture\b", r"\bculture and\b",
+    r"\band culture\b", r"\blaw and\b", r"\blegislation\b",
+)
+#: Patterns of names of categories worth following.
+DRILL = (r"^branches of", r"^types of", r"^subfields of", r"^forms of", r"by type$", r"by discipline$", r"by genre$", r"by instrument$", r"by style$", r"by medium$")
 
 
 def topical(names: DataFrame, c: str = "name") -> DataFrame:
     """Names that no pattern excludes; drill: whether to follow them."""
-    excluded = F.lit(False)
-    for p in NOT_TOPICAL:
-        excluded = excluded | F.col(c).rlike(p)
-    drill = F.lit(False)
-    for p in DRILL:
-        drill = drill | F.col(c).rlike(p)
-    return names.where(~excluded).withColumn("drill", drill)
+    any_of = lambda patterns: F.col(c).rlike("(?i)" + "|".join(patterns))
+    return names.where(~any_of(NOT_TOPICAL)).withColumn("drill", any_of(DRILL))
