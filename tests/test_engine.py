@@ -22,7 +22,9 @@ def test_scalars(spark):
     assert column(spark, [0, 3, 4, 10, 11, 50, 51, 150, 151], "int", S.domain_specificity) == [0, 2, 1, 1, 0, 0, -1, -1, -2]
     assert column(spark, ["", "a", None, "é"], "string", S.fnv1a)[:3] == [-3750763034362895579, -5808556873153909620, None]
     assert column(spark, [-1, 5], "long", S.unsigned) == [2**64 - 1, 5]
-    assert column(spark, ["give up", "machine learning", "dog"], "string", S.category) == ["phrasal_verb", "compound", "single"]
+    terms = ["give up", "machine learning", "dog", "come across", "set apart", "stand by", "look_up", "put up Off", "one two three up"]
+    assert column(spark, terms, "string", S.category) == ["phrasal_verb", "compound", "single", "phrasal_verb", "phrasal_verb", "compound", "compound", "phrasal_verb", "compound"]
+    assert column(spark, ["verb", None, "x"], "string", S.pos_one_hot) == [[0.0, 1.0, 0.0, 0.0], [0.0] * 4, [0.0] * 4]
     assert column(spark, [1, 8], "int", S.exclusivity) == pytest.approx([1.0, 8**-0.33])
     row = spark.range(1).select(S.pack(F.lit(2), F.lit(5)), *S.unpack(F.lit(131077).cast("long")), S.cosine(F.array(F.lit(0.0)), F.array(F.lit(1.0)))).first()
     assert tuple(row) == (131077, 2, 5, 0.0)
@@ -117,8 +119,8 @@ def test_readers(spark, tmp_path):
     assert files.seeds_from_reply(reply).count() == 3
     blob = spark.createDataFrame([(bytearray(b"\x00\x00\x80\x3f\x00\x00\x00\x40"),), (None,)], "b binary")
     assert [r[0] for r in blob.select(files.decode_blob("b")).collect()] == [[1.0, 2.0], None]
-    names = spark.createDataFrame([("Lists of birds",), ("Branches of physics",), ("Birds",)], "name string")
-    assert {tuple(r) for r in files.topical(names).collect()} == {("Branches of physics", True), ("Birds", False)}
+    names = spark.createDataFrame([("Lists of birds",), ("Branches of physics",), ("Birds",), ("Video games",), ("Art by genre",), ("Art by Country",)], "name string")
+    assert {tuple(r) for r in files.topical(names).collect()} == {("Branches of physics", True), ("Birds", False), ("Art by genre", True)}
 
 
 def test_sinks(spark, tmp_path):
@@ -126,10 +128,12 @@ def test_sinks(spark, tmp_path):
     for v in values:
         assert sinks.unpack(sinks.pack(v)) == v
     df = spark.createDataFrame([(1, "a", 2.0), (2, None, 3.0)], "id long, name string, w double")
-    sinks.export({"dims": (df, "id")}, f"{tmp_path}/out")
-    assert sinks.verify(f"{tmp_path}/out") == []
-    (tmp_path / "out/dims.bin").write_bytes(b"\x80")
-    assert sinks.verify(f"{tmp_path}/out") == ["dims: checksum"]
+    sinks.export(spark, {"dims": sinks.as_map(df, "id")}, f"{tmp_path}/out")
+    assert sinks.verify(spark, f"{tmp_path}/out") == []
+    sinks.patch(spark, f"{tmp_path}/out", "dims", {3: ["c", 1.0]})
+    assert sinks.verify(spark, f"{tmp_path}/out") == [] and len(sinks.unpack((tmp_path / "out/dims.bin").read_bytes())) == 3
+    sinks.Folder(spark, f"{tmp_path}/out").write("dims.bin", b"\x80")
+    assert sinks.verify(spark, f"{tmp_path}/out") == ["dims: checksum"]
     sinks.append_jsonl(spark.createDataFrame([(1, 2.0), (3, 1.0)], "passed int, margin double"), f"{tmp_path}/log")
     assert files.best_results(spark, f"{tmp_path}/log", 1).first().passed == 3
     sinks.write_xml(df, f"{tmp_path}/xml", "islands", "island")

@@ -360,22 +360,9 @@ def word_detail(t):
     return index_of(t).select("word_id", code.alias("code"), "island_id", F.coalesce("town_id", F.lit(-1)).alias("town_id"), F.coalesce("reef_id", F.lit("")).alias("reef_id"), "weight")
 
 
-@query(f"{BASE} SELECT island_id, island, row_number() OVER (ORDER BY arch_id, island) - 1 AS export_id FROM isl WHERE is_bucket = 0")
+@query(f"{BASE} SELECT island_id, island, row_number() OVER (ORDER BY island_id) - 1 AS export_id FROM isl WHERE is_bucket = 0")
 def id_remap(t):
-    return export.remap(t.islands.where("is_bucket = 0").select("island_id", "island", "arch_id"), ["arch_id", "island"]).drop("arch_id")
-
-
-@query(f"{_WI} SELECT island_id, count(*) AS n_words, round(avg(specificity), 4) AS avg_specificity, 128 AS iqf FROM wi JOIN ws USING (word_id) GROUP BY 1")
-def island_meta(t):
-    facts, ws, _ = levels_of(t)
-    return export.word_islands(index_of(t), t.islands).join(ws.select("word_id", "specificity"), "word_id").groupBy("island_id").agg(F.count(F.lit(1)).alias("n_words"), F.round(F.avg("specificity"), 4).alias("avg_specificity"), F.lit(128).alias("iqf"))
-
-
-@query(f"{_WI}, n AS (SELECT island_id, count(*) AS n FROM wi GROUP BY 1) SELECT count(*) AS islands, sum(n)::BIGINT AS entries, string_agg(n::VARCHAR, ',' ORDER BY island_id) AS sizes FROM n")
-def export_constants(t):
-    n = export.word_islands(index_of(t), t.islands).groupBy("island_id").agg(F.count(F.lit(1)).alias("n"))
-    sizes = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("island_id", "n"))), lambda s: s["n"].cast("string")), ",")
-    return n.agg(F.count(F.lit(1)).alias("islands"), F.sum("n").alias("entries"), sizes.alias("sizes"))
+    return export.remap(t.islands.where("is_bucket = 0").select("island_id", "island"), ["island_id"])
 
 
 def background_sql(groups: str, grp: str) -> str:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import category
+
 
 def domain_tsv(spark: SparkSession, path: str) -> DataFrame:
     """synset and domain from lines `synset<TAB>domain domain ...`."""
@@ -44,11 +48,28 @@ def vocabulary_json(spark: SparkSession, path: str) -> DataFrame:
     return listed("core").unionByName(listed("peripheral"))
 
 
+METRICS = "precision double, recall double, f1 double, auc_pr double"
+
+
+def _results(spark: SparkSession, path: str) -> DataFrame:
+    one = METRICS.replace(" double", ": double")
+    features = "array<struct<dim_id: int, importance: double, reef_name: string>>"
+    return spark.read.option("multiLine", True).json(path, schema=f"domain string, metrics struct<{one}>, fold_metrics array<struct<{one}>>, n_positive int, n_negative int, n_folds int, top_features {features}")
+
+
 def metrics_json(spark: SparkSession, path: str) -> DataFrame:
     """domain, fold and the fold's metrics of classifier result files."""
-    one = "precision double, recall double, f1 double, auc_pr double"
-    raw = spark.read.option("multiLine", True).json(path, schema=f"domain string, metrics struct<{one.replace(' double', ': double')}>, fold_metrics array<struct<{one.replace(' double', ': double')}>>, n_positive int, n_negative int, n_folds int")
-    return raw.select("domain", F.posexplode("fold_metrics").alias("fold", "m")).select("domain", "fold", "m.*")
+    return _results(spark, path).select("domain", F.posexplode("fold_metrics").alias("fold", "m")).select("domain", "fold", "m.*")
+
+
+def summary_json(spark: SparkSession, path: str) -> DataFrame:
+    """domain, its metrics over all folds, n_positive, n_negative and n_folds of the same files."""
+    return _results(spark, path).select("domain", "metrics.*", "n_positive", "n_negative", "n_folds")
+
+
+def features_json(spark: SparkSession, path: str) -> DataFrame:
+    """domain, place, dim_id, importance and reef_name of each classifier's top features."""
+    return _results(spark, path).select("domain", F.posexplode("top_features").alias("place", "f")).select("domain", "place", "f.*")
 
 
 def mapping_json(spark: SparkSession, path: str) -> DataFrame:
@@ -67,6 +88,69 @@ def decode_blob(blobs: pd.Series) -> pd.Series:
     return blobs.map(lambda b: None if b is None else np.frombuffer(b, "<f4").tolist())
 
 
+def npy_batches(spark: SparkSession, path: str) -> DataFrame:
+    """file, row and v of .npy files of float vectors, one row a vector; read whole by executors."""
+
+    def read(batches):
+        for table in batches:
+            for file, content in zip(table["path"], table["content"], strict=True):
+                rows = np.load(io.BytesIO(content)).astype(np.float64)
+                yield pd.DataFrame({"file": [file.rsplit("/", 1)[-1]] * len(rows), "row": range(len(rows)), "v": list(rows)})
+
+    files_ = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").load(path).select("path", "content")
+    return files_.mapInPandas(read, "file string, row long, v array<double>")
+
+
+def resume_index(batches: DataFrame) -> DataFrame:
+    """One row: batches done, rows in them, and the number after the last batch, which is next.  Files are named batch_NNNNN.npy."""
+    number = F.regexp_extract("file", r"batch_(\d+)\.npy$", 1).cast("int")
+    return batches.agg(F.countDistinct("file").alias("batches"), F.count(F.lit(1)).alias("rows"), (F.coalesce(F.max(number), F.lit(-1)) + 1).alias("next"))
+
+
+def lemma_words(senses: DataFrame) -> DataFrame:
+    """word, pos (the most frequent, of equal ones the first of noun, verb, adj, adv), senses and category of each lemma, lower-cased, blanks for underscores.
+
+    senses: lemma, pos, one row a sense; pos is n, v, a, s (an adjective) or r; others are left out.
+    """
+    pos = F.when(F.col("pos") == "n", 0).when(F.col("pos") == "v", 1).when(F.col("pos").isin("a", "s"), 2).when(F.col("pos") == "r", 3)
+    n = senses.select(F.lower(F.translate("lemma", "_", " ")).alias("word"), pos.alias("at")).where("at is not null").groupBy("word", "at").agg(F.count(F.lit(1)).alias("n"))
+    best = F.max_by("at", F.struct("n", -F.col("at")))
+    label = F.element_at(F.array(*map(F.lit, ("noun", "verb", "adj", "adv"))), best + 1)
+    return n.groupBy("word").agg(label.alias("pos"), F.sum("n").alias("senses")).withColumn("category", category(F.col("word")))
+
+
+def listed_words(words: DataFrame, c: str = "word") -> DataFrame:
+    """Distinct words without digits; of single letters only a and i."""
+    return words.select(c).where(~F.col(c).rlike(r"\d") & ((F.length(c) != 1) | F.col(c).isin("a", "i"))).distinct()
+
+
+def category_members(spark: SparkSession, path: str) -> DataFrame:
+    """category and title from saved replies of a wiki's category query, one JSON object a line: a page of members, or several, has its category's name as `category`."""
+    raw = spark.read.json(path, schema="category string, query struct<categorymembers: array<struct<title: string>>>")
+    return raw.select("category", F.explode("query.categorymembers.title").alias("title")).select("category", F.regexp_replace("title", "^Category:", "").alias("title")).distinct()
+
+
+def failed_domains(spark: SparkSession, path: str) -> DataFrame:
+    """domain and tried (the category that was looked for) from a Markdown report: list items below a heading that says Failed or Not found, up to the next heading."""
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"), F.xxhash64("value").alias("file"))
+    heading = F.when(F.col("line").rlike("^#+ "), F.struct("at", F.col("line").rlike("(?i)^#+ .*(failed|not found)").alias("failed")))
+    section = F.last(heading, ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
+    item = lines.withColumn("section", section).where("section.failed").select(F.regexp_extract("line", r"^[-*] +\*{0,2}([^*(]+?)\*{0,2} *(?:\(tried: *([^)]*)\))? *$", 1).alias("domain"), F.regexp_extract("line", r"\(tried: *([^)]*)\)", 1).alias("tried"))
+    return item.where("domain <> ''")
+
+
+def wiki_report(found: DataFrame) -> DataFrame:
+    """status, domains, categories and, as Markdown, the lines of each status.  found: domain, status, categories (array)."""
+    line = F.concat(F.lit("- "), "domain", F.lit(": "), F.array_join(F.array_sort("categories"), ", "))
+    body = F.array_join(F.array_sort(F.collect_list(line)), "\n")
+    return found.groupBy("status").agg(F.count(F.lit(1)).alias("domains"), F.sum(F.size("categories")).alias("categories"), F.concat(F.lit("## "), F.first("status"), F.lit("\n"), body).alias("report"))
+
+
+def catalog_of(df: DataFrame) -> DataFrame:
+    """position, name and type of the columns that a table has."""
+    return df.sparkSession.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)], "position int, name string, type string")
+
+
 def not_done(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What a checkpoint table doesn't have yet."""
     return rows.join(done.select(key).distinct(), key, "left_anti")

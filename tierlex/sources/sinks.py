@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
-from pathlib import Path
+import time
+from collections.abc import Iterator
+from decimal import Decimal
+from xml.etree import ElementTree
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Records of a message-packed file; it is a dimension or a lookup made for one reader, not a fact table.
@@ -78,42 +81,152 @@ def unpack(raw: bytes):
     return one(0)[0]
 
 
-def write_packed(df: DataFrame, key: str, path: Path) -> dict:
-    """Rows as one map from key to the other columns; refuses more than MOST.  Returns the manifest's entry."""
+#: Files of both export formats, and their versions.
+FILES = ("word_lookup", "word_islands", "word_towns", "island_meta", "background", "constants", "compounds", "word_detail", "town_meta", "reef_meta", "bucket_words")
+LEGACY_FILES = ("word_lookup", "word_reefs", "reef_meta", "island_meta", "background", "compounds", "constants", "reef_edges", "word_reef_detail", "sub_reef_meta")
+VERSION, LEGACY_VERSION = "3.1", "7.0"
+#: Keys that records must have.
+REQUIRED = {"island_meta": ("arch_id", "name", "n_words", "iqf", "avg_specificity", "noun_frac", "verb_frac", "adj_frac", "adv_frac"), "constants": ("N_ISLANDS", "N_TOWNS", "N_REEFS", "N_ARCHS", "domainless_word_ids", "bucket_only_word_ids")}
+LEGACY_REQUIRED = {"reef_meta": ("hierarchy_addr", "n_words", "name", "valence", "avg_specificity", "noun_frac", "verb_frac", "adj_frac", "adv_frac"), "constants": ("N_REEFS", "N_ISLANDS", "N_ARCHS")}
+U16 = 65535
+
+
+class Folder:
+    """Whole files in a folder of any file system that Spark can reach."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm, self.path = spark.sparkContext._jvm, path.rstrip("/")
+        where = self._jvm.org.apache.hadoop.fs.Path(self.path)
+        self._fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._fs.mkdirs(where)
+
+    def _at(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def write(self, name: str, raw: bytes) -> None:
+        out = self._fs.create(self._at(name), True)
+        out.write(bytearray(raw))
+        out.close()
+
+    def read(self, name: str) -> bytes | None:
+        if not self._fs.exists(self._at(name)):
+            return None
+        stream = self._fs.open(self._at(name))
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        finally:
+            stream.close()
+
+
+def plain(x):
+    """Rows as lists and decimals as integers, for packing."""
+    if isinstance(x, (list, tuple)):
+        return [plain(y) for y in x]
+    return int(x) if isinstance(x, Decimal) else x
+
+
+def bounded(df: DataFrame) -> Iterator:
+    """The rows one by one; refuses more than MOST."""
     if df.limit(MOST + 1).count() > MOST:
         raise ValueError(f"more than {MOST} records: write Parquet instead")
+    return df.toLocalIterator()
+
+
+def as_map(df: DataFrame, key: str) -> dict:
+    """One map from key to the list of the other columns' values."""
     others = [c for c in df.columns if c != key]
-    raw = pack({r[key]: [r[c] for c in others] for r in df.toLocalIterator()})
-    path.write_bytes(raw)
-    return {"sha256": hashlib.sha256(raw).hexdigest(), "bytes": len(raw)}
-
-
-def export(tables: dict[str, tuple[DataFrame, str]], folder: str, version: str = "3.1") -> dict:
-    """Every table as a message-packed file and as Parquet, with a manifest of checksums."""
-    out = Path(folder)
-    out.mkdir(parents=True, exist_ok=True)
-    manifest = {"version": version, "files": {}}
-    for name, (df, key) in sorted(tables.items()):
-        df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
-        manifest["files"][name] = write_packed(df, key, out / f"{name}.bin")
-    (out / "manifest.json").write_text(json.dumps(manifest, sort_keys=True))
+    return {plain(r[key]): [plain(r[c]) for c in others] for r in bounded(df)}
+
+
+def as_records(df: DataFrame, order: str, names: dict[str, str] | None = None) -> list[dict]:
+    """One map a row, in the order of a column, which itself is left out."""
+    names = names or {}
+    return [{names.get(c, c): plain(r[c]) for c in df.columns if c != order} for r in bounded(df.orderBy(order))]
+
+
+def as_sparse(df: DataFrame, top: int) -> list:
+    """A list of entries at each word's place, empty ones where a word has none.  df: word_id, entries."""
+    out: list = [[] for _ in range(top + 1)]
+    for r in bounded(df):
+        out[r["word_id"]] = plain(r["entries"])
+    return out
+
+
+def as_pairs(df: DataFrame, *columns: str) -> list:
+    """Lists of the columns' values, in the order of the last one."""
+    return [[plain(r[c]) for c in columns] for r in bounded(df.orderBy(columns[-1]))]
+
+
+def export(spark: SparkSession, files: dict[str, object], folder: str, version: str = VERSION, stats: dict | None = None) -> dict:
+    """Every value as a message-packed file, and a manifest of checksums, with the time and `stats`."""
+    out, sums = Folder(spark, folder), {}
+    for name, value in files.items():
+        raw = pack(value)
+        out.write(f"{name}.bin", raw)
+        sums[f"{name}.bin"] = hashlib.sha256(raw).hexdigest()
+    manifest = {"version": version, "format": "msgpack", "build_timestamp": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), "files": sums, "stats": stats or {}}
+    out.write("manifest.json", json.dumps(manifest, indent=2, sort_keys=True).encode())
     return manifest
 
 
-def verify(folder: str) -> list[str]:
-    """What is wrong with an export: missing files, checksums, contents that can't be read."""
-    out, wrong = Path(folder), []
-    for name, entry in json.loads((out / "manifest.json").read_text())["files"].items():
-        path = out / f"{name}.bin"
-        if not path.exists():
+def patch(spark: SparkSession, folder: str, name: str, more: dict) -> None:
+    """Put more keys into a file that holds a map, and its new checksum into the manifest."""
+    out = Folder(spark, folder)
+    raw = pack(unpack(out.read(f"{name}.bin")) | more)
+    out.write(f"{name}.bin", raw)
+    manifest = json.loads(out.read("manifest.json"))
+    manifest["files"][f"{name}.bin"] = hashlib.sha256(raw).hexdigest()
+    out.write("manifest.json", json.dumps(manifest, indent=2, sort_keys=True).encode())
+
+
+def verify(spark: SparkSession, folder: str, names: tuple[str, ...] | None = None, required: dict[str, tuple[str, ...]] | None = None, limits: dict[str, int] | None = None) -> list[str]:
+    """What is wrong with an export: missing files, checksums, contents that can't be read, keys that lack, counts of stats that aren't from 1 to a limit."""
+    out, wrong, read = Folder(spark, folder), [], {}
+    raw = out.read("manifest.json")
+    if raw is None:
+        return ["manifest: missing"]
+    manifest = json.loads(raw)
+    for name in names or [f.removesuffix(".bin") for f in sorted(manifest["files"])]:
+        raw = out.read(f"{name}.bin")
+        if raw is None:
             wrong.append(f"{name}: missing")
-        elif hashlib.sha256(raw := path.read_bytes()).hexdigest() != entry["sha256"]:
+            continue
+        if hashlib.sha256(raw).hexdigest() != manifest["files"].get(f"{name}.bin"):
             wrong.append(f"{name}: checksum")
-        elif not isinstance(unpack(raw), dict):
-            wrong.append(f"{name}: no map")
+        try:
+            read[name] = unpack(raw)
+        except (IndexError, struct.error, KeyError, UnicodeDecodeError):
+            wrong.append(f"{name}: can't be read")
+    for name, keys in (required or {}).items():
+        value = read.get(name)
+        first = value[0] if isinstance(value, list) and value else value
+        if first:
+            wrong += [f"{name}: no {k}" for k in keys if k not in first]
+    for key, most in (limits or {}).items():
+        if not 0 < manifest["stats"].get(key, 0) <= most:
+            wrong.append(f"{key}: {manifest['stats'].get(key, 0)} of 1 to {most}")
     return wrong
 
 
+def write_tree_xml(spark: SparkSession, rows: DataFrame, folder: str, name: str, outer: str, inner: str) -> None:
+    """One XML file of outer elements with their inner ones, each with a name.  rows: outer, inner (null: none); they are dimensions."""
+    tree = ElementTree.Element(f"{outer}s")
+    nodes: dict[str, ElementTree.Element] = {}
+    for r in bounded(rows.orderBy(outer, inner)):
+        node = nodes.get(r[outer])
+        if node is None:
+            node = nodes[r[outer]] = ElementTree.SubElement(tree, outer, name=str(r[outer]))
+        if r[inner] is not None:
+            ElementTree.SubElement(node, inner, name=str(r[inner]))
+    ElementTree.indent(tree)
+    Folder(spark, folder).write(name, ElementTree.tostring(tree, "utf-8", xml_declaration=True))
+
+
+def replace_partitions(new: DataFrame, path: str, key: str) -> None:
+    """Rows of the keys that `new` has take the place of all rows with these keys; other keys' rows stay.  Writing twice changes nothing."""
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+
 def write_xml(df: DataFrame, path: str, root: str, row: str) -> None:
     df.write.mode("overwrite").format("xml").option("rootTag", root).option("rowTag", row).save(path)
 
