@@ -37,7 +37,7 @@ OWN, BROAD = 60_000, 400_000
 TAIL, TAILS = 3, 4096
 #: Classes of context words in all, and those of them that are tails.
 CONTEXTS, CONTEXT_TAILS = 1024, 255
-DIM, NOISE, BATCH, RATE, WARM = 16, 256, 1024, 0.03, 1.0
+DIM, NOISE, BATCH, RATE, WARM = 16, 128, 1024, 0.03, 1.0
 ROUNDS, SHARD_TOKENS = 4, 2_000_000
 #: Tokens that are shuffled together before they are learned from.
 BUFFER = 1 << 17
@@ -140,7 +140,9 @@ class Model:
         real = np.einsum("ij,ij->i", q, r) + self.b[w, 0] - self.noise[w]
         false = q @ rn.T + (self.b[noise, 0] - self.noise[noise])
         g = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        gn = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
+        gn = np.maximum(false, -30, out=false)
+        np.exp(np.negative(gn, out=gn), out=gn)
+        np.divide(-1, np.add(gn, 1, out=gn), out=gn)
         gq = g[:, None] * r + gn @ rn
         self._step("P", np.argsort(c1, kind="stable"), c1, gq)
         self._step("Q", np.argsort(c2, kind="stable"), c2, gq)
