@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,11 +69,49 @@ def brute_repeats(texts, length):
     return out
 
 
+def removed(spark, docs, **options):
+    """The operator's rows as brute force gives them."""
+    out = []
+    for r in suffix_dedup.deduplicate(docs, **options).collect():
+        lost = sum(s.b - s.a for s in r.spans)
+        out.append((r.doc_id, (len(r.kept) + lost, lost, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())))
+    return out
+
+
 @pytest.mark.parametrize(("length", "gram", "group"), [(200, 40, 20_000), (30, 7, 20_000), (30, 7, 1), (8, 8, 20_000)])
 def test_suffix_dedup(spark, length, gram, group):
     texts = corpus()
-    got = {r[0]: tuple(r)[1:] for r in suffix_dedup.deduplicate(frame(spark, texts), length=length, gram=gram, group=group).collect()}
-    assert got == dict(enumerate(brute_repeats(texts, length)))
+    assert dict(removed(spark, frame(spark, texts), length=length, gram=gram, group=group)) == dict(enumerate(brute_repeats(texts, length)))
+
+
+def test_suffix_dedup_of_long_runs_and_long_texts(spark):
+    """Runs of few bytes are cut into few contexts; tiles' borders, repeated rows and null ids don't matter."""
+    rng = random.Random(17)
+    some = "".join(rng.choice("abcdefgh ") for _ in range(1_300_000))
+    base = (1 << 20) - 150  # a repeat over the border of two tiles
+    rows = [(1, " " * 5000), (2, "ab" * 900 + "x" * 700), (3, some), (4, "q" + some[base : base + 400] + "r"), (5, "abcdefghijklmnopqrst" * 30 + "!"), (None, "tail " + some[-260:]), (6, "z" * 210), (6, "z" * 210), (7, "u" * 199 + "v")]
+    got = sorted(removed(spark, spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1)).repartition(3)), key=str)
+    assert got == sorted(((i, x) for (i, _), x in zip(rows, brute_repeats([t for _, t in rows], 200), strict=True)), key=str)
+    for t in (b" " * 100_000, b"ab" * 50_000, b"abcdefghijklmnopqrst" * 5_000):
+        _, _, start, n = suffix_dedup.contexts(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
+        assert (n + 199).sum() < 4 * len(t)
+        assert sorted(x for s, k in zip(start, n, strict=True) for x in range(s, s + k)) == list(range(len(t) - 199))
+
+
+def test_repeat_groups_have_all_occurrences(spark):
+    """Every window that occurs twice is in a repeat at each of its places, and a repeat's string stands at all places given."""
+    texts = [t or "" for t in corpus()]
+    length = 30
+    groups = {}
+    for r in suffix_dedup.repeat_groups(frame(spark, texts), length=length, gram=7).collect():
+        groups.setdefault((r.r1, r.r2), []).append((r.doc_id, r.start, r.length))
+    raw = [t.encode() for t in texts]
+    covered = set()
+    for places in groups.values():
+        assert len(places) > 1 and len({raw[i][s : s + n] for i, s, n in places}) == 1
+        covered.update((i, s + k) for i, s, n in places for k in range(n - length + 1))
+    seen = Counter(t[i : i + length] for t in raw for i in range(len(t) - length + 1))
+    assert covered == {(d, i) for d, t in enumerate(raw) for i in range(len(t) - length + 1) if seen[t[i : i + length]] > 1}
 
 
 def test_maximal_repeats_have_all_occurrences():

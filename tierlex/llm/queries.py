@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +19,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def _digests(raw: bytes, spans: list[list[int]]) -> tuple[int, int, int, str]:
+    kept = suffix_dedup.without(raw, spans)
+    return len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.deduplicate(_read(spark, sf_dir, "documents"))
+    digests = suffix_dedup.Output("n_bytes long, n_removed long, n_spans long, kept_sha256 string", _digests)
+    return suffix_dedup.deduplicate(_read(spark, sf_dir, "documents"), output=digests)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

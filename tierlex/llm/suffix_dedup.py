@@ -1,8 +1,8 @@
 """Removal of every long repeated byte string, with an enhanced suffix array.
 
-Of the GRAM-byte strings in a window of LENGTH bytes the one with the least hash, the leftmost of equal
-ones, is the window's anchor; equal windows have equal anchors at the same place.  So windows are dealt
-out by anchor: a context is a maximal row of windows with the same anchor place, and windows of
+Of the GRAM-byte strings in a window of LENGTH bytes the one with the least hash is the window's anchor;
+equal windows have equal anchors.  So windows are dealt out by anchor: a context is a row of windows
+around one place of an anchor, which stays theirs as long as it is in the window, and windows of
 contexts with different anchors are different.  Contexts whose anchor occurs once hold no repeat.
 Equal contexts are counted as one; different ones with the same anchor go to one task, which sorts the
 suffixes that may begin a repeat, computes their common prefixes, and scans the array with a stack: each
@@ -16,12 +16,15 @@ An anchor with more than GROUP different contexts doesn't go to one task: its wi
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from .jaccard_join import groups_of
 from .shared import bound_batches, durable, forget
@@ -67,23 +70,30 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """anchor hash, row, first window (place in the text) and number of windows of every context."""
+    """anchor, row, first window (place in the text) and number of windows of every context."""
+    low = U64((1 << 21) - 1)
     out: list[tuple] = []
     for base in range(0, max(1, len(data) - length + 1), TILE):
         tile = data[base : base + TILE + length - 1]
         if len(tile) < length:
             continue
-        h = mix(rolling(tile, gram))
-        packed = (h & ~U64((1 << 21) - 1)) | np.arange(len(h), dtype=U64)
-        chosen = (sliding_min(packed, length - gram + 1) & U64((1 << 21) - 1)).astype(np.int64)
-        s = np.arange(base, base + len(chosen))
-        row = np.searchsorted(at, s, side="right") - 1
-        ok = s + length <= at[row + 1]
-        s, row, chosen = s[ok], row[ok], chosen[ok]
-        if not len(s):
+        h = mix(rolling(tile, gram)) & ~low
+        least = sliding_min(h | (low - np.arange(len(h), dtype=U64)), length - gram + 1)
+        value, last = least & ~low, (low - (least & low)).astype(np.int64)  # the last place of the least hash
+        place = np.arange(len(value))
+        row = np.searchsorted(at, base + place, side="right") - 1
+        ok = base + place + length <= at[row + 1]
+        value, last, place, row = value[ok], last[ok], place[ok], row[ok]
+        if not len(place):
             continue
-        new = np.flatnonzero(np.append(True, (chosen[1:] != chosen[:-1]) | (row[1:] != row[:-1])))
-        out.append((h[chosen[new]], row[new], s[new] - at[row[new]], np.diff(np.append(new, len(s)))))
+        cut = np.append(True, (value[1:] != value[:-1]) | (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1))
+        begin = np.flatnonzero(cut)
+        end = np.append(begin[1:], len(place))
+        while len(begin):  # an anchor stays as long as it is in the window, so a run of one byte changes it only now and then
+            upto = np.minimum(end, begin + last[begin] - place[begin] + 1)
+            out.append((mix(value[begin]), row[begin], base + place[begin] - at[row[begin]], upto - begin))
+            more = upto < end
+            begin, end = upto[more], end[more]
     if not out:
         return np.zeros(0, U64), *(np.zeros(0, np.int64) for _ in range(3))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -218,17 +228,42 @@ def _windows(length: int):
     return run
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+class Output(NamedTuple):
+    """What a document's bytes and removed spans are turned into, where they are at hand."""
 
-    Texts are UTF-8 bytes, null being empty; what is left of a text may be no UTF-8.  Every byte that a
-    string of `length` bytes covers which also begins at another place of any document goes, the first
-    occurrence too; a shorter text stays whole.  Repeated rows repeat each other.  Other columns are
-    not looked at; an empty table gives no rows.
-    """
+    schema: str
+    of: Callable[[bytes, list[list[int]]], tuple]
+
+
+def without(raw: bytes, spans: list[list[int]]) -> bytes:
+    """The bytes outside the spans."""
+    return b"".join(raw[a:b] for a, b in zip([0, *(s[1] for s in spans)], [*(s[0] for s in spans), len(raw)], strict=True))
+
+
+#: The operator's own output: the removed spans, and the bytes that are left.
+KEPT = Output(f"spans {RANGES}, kept binary", lambda raw, spans: ([{"a": a, "b": b} for a, b in spans], without(raw, spans)))
+
+
+class _Parts(NamedTuple):
+    """Documents cut into contexts: `parted` as it was written, the contexts' places, the different contexts, and how many each anchor has."""
+
+    parted: DataFrame
+    places: DataFrame
+    distinct: DataFrame
+    sizes: DataFrame
+
+
+def _struct(output: Output) -> tuple[pa.DataType, list[str], str]:
+    """The output's columns as one Arrow struct, their names, and the struct's type in SQL."""
+    kind = StructType.fromDDL(output.schema)
+    return to_arrow_type(kind), kind.names, kind.simpleString()
+
+
+def _cut(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, output: Output) -> _Parts:
     bound_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), text.alias("text"))
+    kind, names, struct = _struct(output)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, limit=TILE):
@@ -244,34 +279,44 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     forget(again)
 
     def slice_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of a document without parts its result, else its text and its contexts; a task gives the bytes of equal contexts once."""
+        """Of a document without parts its output, else its text and its contexts; a task gives the bytes of equal contexts once."""
         seen: set[bytes] = set()
         for batch in small_batches(batches, limit=1 << 20):
-            of, anchors, starts, d1, d2, bytes_, whole = [], [], [], [], [], [], []
+            of, anchors, starts, d1, d2, bytes_, whole, outs = [], [], [], [], [], [], [], []
             for row, (t, parts) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 raw = t.encode("utf-8", "surrogatepass")
-                of.append(row), anchors.append(None), starts.append(len(raw)), d1.append(None), d2.append(None)
-                bytes_.append(None if parts else hashlib.sha256(raw).digest()), whole.append(t if parts else None)
+                of.append(row), anchors.append(None), starts.append(len(raw)), d1.append(None), d2.append(None), bytes_.append(None)
+                whole.append(t if parts else None), outs.append(None if parts else dict(zip(names, output.of(raw, []), strict=True)))
                 for start, n, anchor in {(p["start"], p["n"], p["anchor"]) for p in parts or ()}:
                     x = raw[start : start + n + length - 1]
                     digest = hashlib.blake2b(x, digest_size=16).digest()
                     if len(seen) > 100_000:
                         seen.clear()
-                    of.append(row), anchors.append(anchor), starts.append(start), whole.append(None)
+                    of.append(row), anchors.append(anchor), starts.append(start), whole.append(None), outs.append(None)
                     d1.append(int.from_bytes(digest[:8], "little", signed=True)), d2.append(int.from_bytes(digest[8:], "little", signed=True))
                     bytes_.append(None if digest in seen else x)
                     seen.add(digest)
             keys = batch.select([0, 1]).take(pa.array(of, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(anchors, pa.int64()), pa.array(starts, pa.int32()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(bytes_, pa.binary()), pa.array(whole, pa.string())], ["doc_id", "body", "anchor", "start", "d1", "d2", "bytes", "text"])
+            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(anchors, pa.int64()), pa.array(starts, pa.int32()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(bytes_, pa.binary()), pa.array(whole, pa.string()), pa.array(outs, kind)], ["doc_id", "body", "anchor", "start", "d1", "d2", "bytes", "text", "out"])
 
-    kind = "doc_id long, body long, anchor long, start int, d1 long, d2 long, bytes binary, text string"
+    schema = f"doc_id long, body long, anchor long, start int, d1 long, d2 long, bytes binary, text string, out {struct}"
     theirs = mine.select(F.col("doc_id").alias("id"), F.col("body").alias("of"), "parts")
-    parted = durable(rows.join(theirs, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("of")), "left").select("doc_id", "body", "text", "parts").mapInArrow(slice_, kind))
+    parted = durable(rows.join(theirs, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("of")), "left").select("doc_id", "body", "text", "parts").mapInArrow(slice_, schema))
     forget(mine)
-    places = parted.where("anchor is not null")
-
+    places = parted.where("anchor is not null").drop("text", "out")
     distinct = durable(places.groupBy("anchor", "d1", "d2").agg(F.count(F.lit(1)).alias("copies"), F.max("bytes").alias("bytes")))
-    sizes = durable(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")))
+    return _Parts(parted, places, distinct, durable(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"))))
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP, output: Output = KEPT) -> DataFrame:
+    """One row per document: doc_id and the output's columns; by default spans, the maximal removed runs [a, b) of bytes, and kept.
+
+    Texts are UTF-8 bytes, null being empty; what is left of a text may be no UTF-8.  Every byte that a
+    string of `length` bytes covers which also begins at another place of any document goes, the first
+    occurrence too; a shorter text stays whole, and texts of any length are read whole.  Repeated rows
+    repeat each other.  Other columns are not looked at; an empty table gives no rows.
+    """
+    parted, places, distinct, sizes = _cut(docs, id_col, text_col, length, gram, output)
     one = F.array(F.struct(F.lit(0).alias("a"), F.octet_length("bytes").cast("int").alias("b")))
     copied = distinct.where("copies > 1").select("anchor", "d1", "d2", one.alias("ranges"))
     single = distinct.select("anchor", "d1", "d2", "bytes").join(sizes.where(f"contexts > 1 and contexts <= {group}").select("anchor"), "anchor")
@@ -286,21 +331,42 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shifted = F.transform("ranges", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"]).alias("b")))
     lost = places.select("doc_id", "body", "anchor", "d1", "d2", "start").join(ranges, ["anchor", "d1", "d2"]).groupBy("doc_id", "body").agg(F.flatten(F.collect_list(shifted)).alias("ranges"))
     lost = lost.select(F.col("doc_id").alias("id"), F.col("body").alias("of"), "ranges")
+    kind, names, struct = _struct(output)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, limit=1 << 20):
-            out: list[list] = [[], [], [], []]
-            for t, ranges_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                raw = t.encode("utf-8", "surrogatepass")
-                spans = _spans((r["a"], r["b"]) for r in ranges_ or ())
-                kept = b"".join(raw[a:b] for a, b in zip([0, *(s[1] for s in spans)], [*(s[0] for s in spans), len(raw)], strict=True))
-                for column, value in zip(out, (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()), strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            found = (output.of(t.encode("utf-8", "surrogatepass"), _spans((r["a"], r["b"]) for r in ranges_ or ())) for t, ranges_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([dict(zip(names, x, strict=True)) for x in found], kind)], ["doc_id", "out"])
 
     texts = parted.where("anchor is null and text is not null").select("doc_id", "body", "text")
     touched = texts.join(lost, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("of")), "left").select("doc_id", "text", "ranges")
-    done = touched.mapInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    zero = F.lit(0).cast("long")
-    clean = parted.where("anchor is null and text is null").select("doc_id", F.col("start").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.lower(F.hex("bytes")).alias("kept_sha256"))
-    return done.unionByName(clean)
+    done = touched.mapInArrow(remove, f"doc_id long, out {struct}")
+    return done.unionByName(parted.where("anchor is null and text is null").select("doc_id", "out")).select("doc_id", "out.*")
+
+
+def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """Maximal repeats inside contexts with all their occurrences: r1, r2 (digest of the string), length, doc_id, start.
+
+    A context holds at most length + (length - gram) bytes around its anchor, so a longer repeat comes as
+    several that overlap.  An anchor's contexts meet in one task.  Documents are as in `deduplicate`.
+    """
+    _, places, distinct, sizes = _cut(docs, id_col, text_col, length, gram, KEPT)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in groups_of(batches, 1):
+            texts, copies = t["bytes"].to_pylist(), t["copies"].to_pylist()
+            joined, begin = b"".join(texts), np.cumsum([0, *map(len, texts)])
+            found = maximal_repeats(texts, [len(x) - length + 1 for x in texts], length)
+            found += [(len(x), begin[[i]]) for i, x in enumerate(texts) if copies[i] > 1]
+            out: set[tuple] = set()
+            for size, at in found:
+                digest = hashlib.blake2b(joined[at[0] : at[0] + size], digest_size=16).digest()
+                r1, r2 = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
+                out.update((int(k), r1, r2, size, int(p - begin[k])) for p in at for k in [np.searchsorted(begin, p, side="right") - 1])
+            cols = list(zip(*sorted(out), strict=True)) if out else [[]] * 5
+            of = pa.Table.from_batches(t.select(["anchor", "d1", "d2"]).combine_chunks().to_batches(), t.select(["anchor", "d1", "d2"]).schema).take(pa.array(cols[0], pa.int64())).combine_chunks()
+            yield pa.RecordBatch.from_arrays([*(pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in of.columns), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.int32())], ["anchor", "d1", "d2", "r1", "r2", "length", "at"])
+
+    several = distinct.join(sizes.select("anchor", "contexts"), "anchor").where("contexts > 1 or copies > 1")
+    repeats = several.select("anchor", "d1", "d2", "bytes", "copies").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(scan, "anchor long, d1 long, d2 long, r1 long, r2 long, length int, at int")
+    return places.select("doc_id", "anchor", "d1", "d2", "start").join(repeats, ["anchor", "d1", "d2"]).select("r1", "r2", "length", "doc_id", (F.col("start") + F.col("at")).alias("start")).distinct()
