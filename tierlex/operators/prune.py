@@ -81,6 +81,15 @@ def ubiquity_preview(predictions: DataFrame, towns: int = UBIQUITOUS) -> DataFra
     return rows.agg(F.countDistinct("word_id").alias("words"), F.count_if(s < DROP_BELOW).alias("deleted"), F.count_if((s >= DROP_BELOW) & (s < HALVE_BELOW)).alias("halved"), F.count_if(s >= HALVE_BELOW).alias("kept"))
 
 
+#: Fixed value: least cosine of a predicted member with its domain's name.
+NAME_FLOOR = 0.65
+
+
+def name_floor(rows: DataFrame, floor: float = NAME_FLOOR) -> DataFrame:
+    """Rows without predicted ones whose name cosine is known and below the floor.  rows: source, name_cos."""
+    return rows.where(~((F.col("source") == "xgboost") & F.col("name_cos").isNotNull() & (F.col("name_cos") < floor)))
+
+
 def flag_stop_words(words: DataFrame, stop: list[str]) -> DataFrame:
     return words.withColumn("is_stop", F.lower("word").isin(*stop).cast("int"))
 

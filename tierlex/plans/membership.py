@@ -250,10 +250,10 @@ def town_leaderboard(t):
     return questions(t).join(index_of(t).where("town_id is not null"), "word_id").groupBy("query", "town_id").agg(F.sum("weight").alias("score"), F.count(F.lit(1)).alias("n"), ids.alias("words"))
 
 
-@query(f"{FULL} SELECT w.word, level, island, town, reef_id, weight FROM ei JOIN w USING (word_id) JOIN isl USING (island_id) LEFT JOIN tow USING (town_id) WHERE ei.word_id IN (5, 17, 99)")
+@query(f"{FULL} SELECT w.word, level, island, town, reef_id, weight FROM ei JOIN w USING (word_id) JOIN isl USING (island_id) LEFT JOIN tow USING (town_id)")
 def word_placements(t):
-    """All placements of some words, by weight."""
-    words = t.words.where(F.col("word_id").isin(5, 17, 99)).select("word_id", "word")
+    """All placements of all words, by word and weight."""
+    words = t.words.select("word_id", "word")
     return index_of(t).join(words, "word_id").join(F.broadcast(t.islands.select("island_id", "island")), "island_id").join(t.towns.select("town_id", "town"), "town_id", "left").orderBy("word", F.desc("weight")).select("word", "level", "island", "town", "reef_id", "weight")
 
 
@@ -286,12 +286,6 @@ def compound_list(t):
     return t.words.where(F.col("word").contains(" ") & F.col("word").ilike("%BLUE%")).select("word_id", "word")
 
 
-@query(f"WITH {fact_sql(50)} SELECT tow.town_id, count(rw.word_id) AS seeds FROM tow LEFT JOIN rw ON rw.town_id = tow.town_id AND source = 'curated' GROUP BY 1 HAVING count(rw.word_id) < 3")
-def unseeded_towns(t):
-    seeds = t.reef_words(50).where("source = 'curated'").select("town_id", "word_id")
-    return t.towns.join(seeds, "town_id", "left").groupBy("town_id").agg(F.count("word_id").alias("seeds")).where("seeds < 3")
-
-
 @query(f"{BASE}, {STATS} SELECT count(*) AS rows, count(*) FILTER (specificity IS NULL) AS null_specificity, count(*) FILTER (pos IS NULL) AS null_pos, count(*) FILTER (reef_count = 0) AS without_reef FROM ws")
 def null_audit(t):
     ws = word_stats_of(t)[1]
@@ -382,8 +376,8 @@ def domainless(t):
     return prune.domainless(t.part.select(F.col("p_partkey").alias("word_id"), word.alias("word"), (F.col("p_size") % 5 != 0).alias("embedded")), t.reef_words(48))
 
 
-@query(f"{BASE} SELECT town_id, word_id, score FROM pred LEFT JOIN (SELECT town_id, word_id, max(town_cos) AS dnc FROM rw GROUP BY ALL) USING (town_id, word_id) WHERE dnc IS NULL OR dnc >= 0.2")
+@query(f"{BASE} SELECT reef_id, word_id, source, CASE WHEN word_id % 9 <> 0 THEN reef_cos END AS name_cos FROM rw WHERE NOT (source = 'xgboost' AND word_id % 9 <> 0 AND reef_cos < 0.65)")
 def name_cosine_floor(t):
-    """Predictions whose name cosine is known and below the floor go."""
-    name = t.reef_words().groupBy("town_id", "word_id").agg(F.max("town_cos").alias("dnc"))
-    return t.predictions.join(name, ["town_id", "word_id"], "left").where("dnc is null or dnc >= 0.2").select("town_id", "word_id", "score")
+    """Predicted members whose name cosine is known and below the floor go; it is unknown for each ninth word."""
+    rows = t.reef_words().select("reef_id", "word_id", "source", F.when(F.col("word_id") % 9 != 0, F.col("reef_cos")).alias("name_cos"))
+    return prune.name_floor(rows)
