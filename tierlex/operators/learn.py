@@ -74,12 +74,20 @@ def tune(vectors: DataFrame, town: int, depths=(2, 3), rounds=(4, 8)) -> DataFra
 
 
 def metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Precision, recall, F1 and accuracy; 0 where nothing is predicted."""
+    """Precision, recall, F1, accuracy and area under the precision-recall curve; 0 where nothing is predicted."""
     yes, true = F.col("score") >= threshold, F.col("label") == 1
     n = scored.agg(F.count_if(yes & true).alias("tp"), F.count_if(yes & ~true).alias("fp"), F.count_if(~yes & true).alias("fn"), F.count(F.lit(1)).alias("n"))
     ratio = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
     tp, fp, fn = (F.col(c) for c in ("tp", "fp", "fn"))
-    return n.select(ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1"), ratio(F.col("n") - fp - fn, F.col("n")).alias("accuracy"))
+    return n.select(ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1"), ratio(F.col("n") - fp - fn, F.col("n")).alias("accuracy")).crossJoin(F.broadcast(average_precision(scored)))  # one row
+
+
+def average_precision(scored: DataFrame) -> DataFrame:
+    """One row, auc_pr: precision at each distinct score, weighted by the recall it adds; null without positives.  Equal scores are counted first."""
+    values = scored.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("p"), F.count(F.lit(1)).alias("n"))
+    down = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)  # distinct scores, of one town's sample
+    run = values.withColumn("tp", F.sum("p").over(down)).withColumn("seen", F.sum("n").over(down))
+    return run.agg(F.try_divide(F.sum(F.col("p") * F.col("tp") / F.col("seen")), F.sum("p")).alias("auc_pr"))
 
 
 def communities(edges: DataFrame, group: str, least: int = 3, resolution: float = 1.0) -> DataFrame:

@@ -57,6 +57,13 @@ def standardise(vectors: DataFrame, dims: DataFrame) -> DataFrame:
     return vectors.crossJoin(F.broadcast(arrays)).withColumn("z", F.zip_with("v", "ms", lambda x, y: (x - y["m"]) / y["s"])).drop("ms")  # one row
 
 
+def spread_percentiles(seeds: DataFrame, towns: DataFrame) -> DataFrame:
+    """island_id, p25, p50 of the population deviation of each seed's cosines with its island's centroids.  towns: island_id, c."""
+    sims = seeds.select("island_id", "vec_id", "v").join(F.broadcast(towns.select("island_id", "c")), "island_id").withColumn("cos", S.cosine(F.col("v"), F.col("c")))  # towns of an island
+    std = sims.groupBy("island_id", "vec_id").agg(F.stddev_pop("cos").alias("std"))
+    return std.groupBy("island_id").agg(F.percentile("std", 0.25).alias("p25"), F.percentile("std", 0.5).alias("p50"))
+
+
 def cross_town(seeds: DataFrame, threshold: float = 0.010, least_towns: int = 3) -> DataFrame:
     """vec_id, island_id, std, mean of seeds whose cosines with the centroids of their island's towns differ by less than the threshold.
 

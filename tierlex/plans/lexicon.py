@@ -182,10 +182,10 @@ def town_centroid(t):
     return town_means(t).select("town_id", F.posexplode("c").alias("i", "x"))
 
 
-@query(f"{VEC}, p AS (SELECT island_id, vec_id % 5 + 1 AS w, unnest(range(0, 64)) AS i, unnest(v) AS x FROM vec) SELECT island_id, i, sum(x * w) / sum(w) AS x FROM p GROUP BY ALL")
+@query(f"{VEC}, p AS (SELECT island_id, vec_id % 5 + 1 AS w, unnest(range(0, 64)) AS i, unnest(v) AS x FROM vec), m AS (SELECT island_id, i, sum(x * w) / sum(w) AS x FROM p GROUP BY ALL), n AS (SELECT island_id, sqrt(sum(x * x)) AS n FROM m GROUP BY 1) SELECT island_id, i, x / n AS x FROM m JOIN n USING (island_id)")
 def weighted_centroid(t):
     rows = t.vectors.withColumn("w", F.col("vec_id") % 5 + 1)
-    return vectors.mean_vectors(rows, ["island_id"], weight="w", normalise=False).select("island_id", F.posexplode("c").alias("i", "x"))
+    return vectors.mean_vectors(rows, ["island_id"], weight="w").select("island_id", F.posexplode("c").alias("i", "x"))
 
 
 @query(f"{_SIM} SELECT vec_id, other, cos FROM sim")
@@ -198,10 +198,11 @@ def cosine_std(t):
     return vectors.similarities(t.vectors, town_means(t), "town_id").groupBy("vec_id").agg(F.stddev_pop("cos").alias("std"), F.avg("cos").alias("mean"))
 
 
-@query(f"{_SIM} SELECT town_id, quantile_cont(cos, 0.25) AS p25, quantile_cont(cos, 0.5) AS p50 FROM sim WHERE town_id = other GROUP BY 1")
+@query(f"{_CENT}, tw AS (SELECT DISTINCT town_id AS other, island_id FROM vec WHERE is_capital = 0), s AS (SELECT vec.island_id, vec_id, stddev_pop({COS.format(a='v', b='c')}) AS std FROM vec JOIN tw ON tw.island_id = vec.island_id JOIN cen USING (other) WHERE is_capital = 0 GROUP BY ALL) SELECT island_id, quantile_cont(std, 0.25) AS p25, quantile_cont(std, 0.5) AS p50 FROM s GROUP BY 1")
 def name_percentiles(t):
-    own = vectors.similarities(t.vectors, town_means(t), "town_id").where("town_id = other")
-    return own.groupBy("town_id").agg(F.percentile("cos", 0.25).alias("p25"), F.percentile("cos", 0.5).alias("p50"))
+    """By island the percentiles of how much non-capital seeds' cosines with its non-capital towns differ."""
+    plain = t.vectors.where("is_capital = 0")
+    return vectors.spread_percentiles(plain, vectors.mean_vectors(plain, ["island_id", "town_id"]))
 
 
 @query(f"{_SIM} SELECT vec_id, other AS nearest, cos AS best FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cos DESC, other) AS k FROM sim) WHERE k = 1")
@@ -259,14 +260,17 @@ def truncated_vectors(t):
 
 # --- texts
 
-_TW = f"{TOK}, tk AS (SELECT DISTINCT doc_id, token FROM tok), g AS (SELECT source AS grp, token, count(DISTINCT doc_id) AS n FROM tok GROUP BY ALL), gw AS (SELECT grp, token, least(255, n * 10) AS weight FROM g WHERE n >= 2), bg AS (SELECT grp, avg(weight) / 255 AS mean, stddev_pop(weight) / 255 AS std FROM gw GROUP BY 1)"
+_TW = f"{TOK}, tk AS (SELECT DISTINCT doc_id, token FROM tok), g AS (SELECT source AS grp, token, count(DISTINCT doc_id) AS n FROM tok GROUP BY ALL), gw AS (SELECT grp, token, least(255, n * 10) AS weight FROM g), bg AS (SELECT grp, avg(weight) / 255 AS mean, stddev_pop(weight) / 255 AS std FROM gw GROUP BY 1)"
 
 
 def text_parts(t) -> tuple[DataFrame, DataFrame, DataFrame]:
-    n = t.tokens.groupBy(F.col("source").alias("grp"), "token").agg(F.countDistinct("doc_id").alias("n")).where("n >= 2")
-    weights = n.select("grp", "token", F.least(F.lit(255), F.col("n") * 10).alias("weight"))
-    background = weights.groupBy("grp").agg((F.avg("weight") / 255.0).alias("mean"), (F.stddev_pop("weight") / 255.0).alias("std"))
-    return t.tokens.select("doc_id", "token").distinct(), weights, background
+    if not hasattr(t, "parts_"):
+        once = t.kept(t.tokens.select("doc_id", "source", "token").distinct())  # texts are cut into tokens once
+        n = once.groupBy(F.col("source").alias("grp"), "token").agg(F.countDistinct("doc_id").alias("n"))
+        weights = t.kept(n.select("grp", "token", F.least(F.lit(255), F.col("n") * 10).alias("weight")))
+        background = weights.groupBy("grp").agg((F.avg("weight") / 255.0).alias("mean"), (F.stddev_pop("weight") / 255.0).alias("std"))
+        t.parts_ = once.select("doc_id", "token").distinct(), weights, background
+    return t.parts_
 
 
 @query(f"{_TW} SELECT doc_id, grp, count(*) AS n_words, sum(weight) / 255::DOUBLE AS score, (sum(weight) / 255::DOUBLE - any_value(mean)) / greatest(any_value(std), 1e-6) AS z FROM tk JOIN gw USING (token) JOIN bg USING (grp) GROUP BY doc_id, grp")
@@ -280,15 +284,15 @@ def score_trace(t):
     return text.trace(tokens, weights)
 
 
-@query("WITH a AS (SELECT doc_id, regexp_extract_all(lower(text), '([a-z]+)', 1) AS w FROM documents), p AS (SELECT doc_id, unnest(range(0, len(w))) AS pos, unnest(w) AS token FROM a), b AS (SELECT doc_id, pos, token || ' ' || lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS compound FROM p) SELECT doc_id, pos, compound FROM b WHERE compound IN ('of the', 'in the', 'de la')")
+@query("WITH a AS (SELECT doc_id, regexp_extract_all(lower(text), '(\\p{L}+)', 1) AS w FROM documents), p AS (SELECT doc_id, unnest(range(0, len(w))) AS pos, unnest(w) AS token FROM a), b AS (SELECT doc_id, pos, token || ' ' || lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS compound FROM p) SELECT doc_id, pos, compound FROM b WHERE compound IN ('of the', 'in the', 'de la')")
 def compound_match(t):
-    rows = t.documents.select("doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)).alias("pos", "token"))
+    rows = t.documents.select("doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1)).alias("pos", "token"))
     return text.compounds_in(rows, F.broadcast(t.spark.createDataFrame([("of the",), ("in the",), ("de la",)], "compound string")))
 
 
-@query(f"{TOK}, m AS (SELECT DISTINCT source, token FROM tok WHERE length(token) >= 6), n AS (SELECT source, count(*) AS n FROM m GROUP BY 1), p AS (SELECT x.source AS a, y.source AS b, count(*) AS n_both FROM m x JOIN m y USING (token) WHERE x.source < y.source GROUP BY ALL) SELECT * FROM (SELECT a, b, n_both, log2((n_both * (SELECT count(DISTINCT token) FROM m)::DOUBLE) / (x.n * y.n::DOUBLE)) AS pmi FROM p JOIN n x ON x.source = a JOIN n y ON y.source = b) WHERE pmi > 0")
+@query(f"{TOK}, m AS (SELECT DISTINCT source, token FROM tok), n AS (SELECT source, count(*) AS n FROM m GROUP BY 1), p AS (SELECT x.source AS a, y.source AS b, count(*) AS n_both FROM m x JOIN m y USING (token) WHERE x.source < y.source GROUP BY ALL) SELECT * FROM (SELECT a, b, n_both, log2((n_both * (SELECT count(DISTINCT token) FROM m)::DOUBLE) / (x.n * y.n::DOUBLE)) AS pmi FROM p JOIN n x ON x.source = a JOIN n y ON y.source = b) WHERE pmi > 0")
 def pmi_pairs(t):
-    return text.pmi(t.tokens.where("length(token) >= 6").select("source", "token"), "source", "token")
+    return text.pmi(t.tokens.select("source", "token"), "source", "token")
 
 
 _RANKS = f"{_TW}, x AS (SELECT doc_id, grp, sum(weight)::DOUBLE AS score FROM tk JOIN gw USING (token) GROUP BY ALL), y AS (SELECT doc_id, grp, count(*)::DOUBLE AS score FROM tk JOIN gw USING (token) GROUP BY ALL), r AS (SELECT doc_id, grp, x.score AS x, y.score AS y, rank() OVER (PARTITION BY doc_id ORDER BY x.score DESC) + (count(*) OVER (PARTITION BY doc_id, x.score) - 1) / 2 AS rx, rank() OVER (PARTITION BY doc_id ORDER BY y.score DESC) + (count(*) OVER (PARTITION BY doc_id, y.score) - 1) / 2 AS ry, row_number() OVER (PARTITION BY doc_id ORDER BY x.score DESC, grp) <= 10 AS tx, row_number() OVER (PARTITION BY doc_id ORDER BY y.score DESC, grp) <= 10 AS ty FROM x JOIN y USING (doc_id, grp)), ag AS (SELECT doc_id, count(*) AS n, corr(rx, ry) AS rho, count(*) FILTER (tx AND ty) AS overlap FROM r GROUP BY 1 HAVING count(*) >= 3)"
@@ -521,7 +525,8 @@ def reef_communities(t):
     return learn.communities(edges, "town_id")
 
 
-@query(f"{VEC}, s AS (SELECT vec_id, town_id = 4 AS label, v[1] > 0.1 AS yes FROM vec) SELECT coalesce(count(*) FILTER (yes AND label) / nullif(count(*) FILTER (yes), 0), 0) AS precision, coalesce(count(*) FILTER (yes AND label) / nullif(count(*) FILTER (label), 0), 0) AS recall, coalesce(2 * count(*) FILTER (yes AND label) / nullif(count(*) FILTER (yes) + count(*) FILTER (label), 0), 0) AS f1, count(*) FILTER (yes = label) / count(*) AS accuracy FROM s")
+@query(f"{VEC}, s AS (SELECT vec_id, town_id = 4 AS label, v[1] > 0.1 AS yes, round(v[1] + 0.4, 2) AS score FROM vec), sc AS (SELECT score, count(*) FILTER (label) AS p, count(*) AS n FROM s GROUP BY 1), ap AS (SELECT score, sum(p) OVER w AS tp, sum(p) OVER w - p AS before, sum(n) OVER w AS seen, sum(p) OVER () AS total FROM sc WINDOW w AS (ORDER BY score DESC)) SELECT coalesce(count(*) FILTER (yes AND label) / nullif(count(*) FILTER (yes), 0), 0) AS precision, coalesce(count(*) FILTER (yes AND label) / nullif(count(*) FILTER (label), 0), 0) AS recall, coalesce(2 * count(*) FILTER (yes AND label) / nullif(count(*) FILTER (yes) + count(*) FILTER (label), 0), 0) AS f1, count(*) FILTER (yes = label) / count(*) AS accuracy, (SELECT sum((tp - before) / total::DOUBLE * tp / seen) FROM ap) AS auc_pr FROM s")
 def classification_metrics(t):
-    rows = t.vectors.select((F.col("town_id") == 4).cast("int").alias("label"), F.when(F.col("v")[0] > 0.1, 1.0).otherwise(0.0).alias("score"))
-    return learn.metrics(rows)
+    rows = t.vectors.select((F.col("town_id") == 4).cast("int").alias("label"), F.col("v")[0].alias("x"))
+    metrics = learn.metrics(rows.select("label", F.when(F.col("x") > 0.1, 1.0).otherwise(0.0).alias("score")))
+    return metrics.drop("auc_pr").crossJoin(F.broadcast(learn.average_precision(rows.select("label", F.round(F.col("x") + 0.4, 2).alias("score")))))

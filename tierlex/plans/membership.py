@@ -359,7 +359,7 @@ def towns_histogram(t):
     return stats.cumulative(n.groupBy("towns").agg(F.count(F.lit(1)).alias("words")), "towns", "words")
 
 
-@query("SELECT doc_id, token, (token IN ('the', 'of', 'and', 'la', 'der'))::INT AS is_stop FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '([a-z]+)', 1)) AS token FROM documents)")
+@query("SELECT doc_id, token, (token IN ('the', 'of', 'and', 'la', 'der'))::INT AS is_stop FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '(\\p{L}+)', 1)) AS token FROM documents)")
 def stop_words(t):
     rows = t.tokens.select("doc_id", F.col("token").alias("word")).distinct()
     return prune.flag_stop_words(rows, ["the", "of", "and", "la", "der"]).withColumnRenamed("word", "token")

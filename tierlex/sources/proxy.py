@@ -71,8 +71,8 @@ class Tables:
 
     @property
     def tokens(self) -> DataFrame:
-        """doc_id, lang, source and each [a-z]+ token of the lower-cased text."""
-        return self.documents.select("doc_id", "lang", "source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1)).alias("token"))
+        """doc_id, lang, source and each run of letters of the lower-cased text."""
+        return self.documents.select("doc_id", "lang", "source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1)).alias("token"))
 
     @property
     def vectors(self) -> DataFrame:
@@ -96,5 +96,5 @@ rw AS MATERIALIZED (SELECT arch_id, island_id, is_bucket, town_id, town_id || '/
 pred AS (SELECT l_suppkey AS town_id, l_partkey AS word_id, max(round(l_discount*100)::BIGINT) / 10::DOUBLE AS score FROM lineitem GROUP BY ALL)"""
 
 
-TOKENS_SQL = "tok AS (SELECT doc_id, lang, source, unnest(regexp_extract_all(lower(text), '([a-z]+)', 1)) AS token FROM documents)"
+TOKENS_SQL = "tok AS (SELECT doc_id, lang, source, unnest(regexp_extract_all(lower(text), '(\\p{L}+)', 1)) AS token FROM documents)"
 VECTORS_SQL = "vec AS (SELECT vec_id, label AS town_id, label % 3 AS island_id, (label < 3)::INT AS is_capital, embedding::DOUBLE[] AS v FROM embeddings)"

@@ -20,7 +20,7 @@ def score_stream(texts: DataFrame, weights: DataFrame, background: DataFrame, si
     """Score every micro-batch with the batch operator; the sink gets its rows and number."""
 
     def each(batch: DataFrame, number: int) -> None:
-        tokens = batch.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1))).alias("token"))
+        tokens = batch.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1))).alias("token"))
         sink(text_scores(tokens, weights, background), number)
 
     return texts.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
