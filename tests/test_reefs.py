@@ -123,18 +123,32 @@ def test_every_town_has_rows(spark):
     assert [(r.town_id, r.f1) for r in got] == [(0, 1.0), (1, 1.0), (2, 1.0)]
 
 
-def test_sweep_margins(spark):
-    parts = spark.createDataFrame([(1, 1, 1.0, 1.0, 0.9, 0.0, 1), (1, 2, 1.0, 1.0, 0.3, 0.0, 1), (2, 1, 1.0, 1.0, 0.0, 0.0, 1), (2, 2, 1.0, 1.0, 0.6, 0.0, 1)], "word_id int, island_id int, idf double, quality double, c_own double, c_name double, n int")
-    params = sweep.grid(spark, {"own": (0.5,), "name": (0.1,), "floor": (0.9,), "blend": (1.0, 0.8), "power": (0.5,)})
-    asked = spark.createDataFrame([("q", 1), ("r", 2)], "query string, word_id int")
-    expected = spark.createDataFrame([("q", 1), ("r", 1)], "query string, expected int")
-    got = {r.param_id: (r.passed, r.questions, r.mean_margin) for r in sweep.evaluate(parts, params, asked, expected).collect()}
-    assert got == {0: (1, 2, 255 / 85), 1: (1, 2, 255 / 68)}
+def test_sweep_grid():
+    """Seven axes; both names weigh half at most; a fine grid is a step around; a sample is the same every time."""
+    sets = sweep.grid()
+    assert len(sets) == 19 * 4 * 4 * 6 * 3 * 4 == len({x[1:] for x in sets})
+    assert all(x[1] + x[2] <= 50 for x in sets)
+    near = sweep.fine([sweep.PRODUCTION])
+    assert {x[7] for x in near} == set(sweep.GRID["norm"]) and {x[1] for x in near} == {15, 20, 25} and {x[5] for x in near} == {60, 80, 100}
+    assert len(sweep.fine([sweep.PRODUCTION, sweep.PRODUCTION | {"blend": 55}])) > len(near)
+    assert sweep.coarse(sets, 5) == sweep.coarse(sets[::-1], 5)
+
 
+def test_normalisers(spark):
+    rows = [("a", float(x)) for x in range(100)] + [("b", 2.0), ("b", 2.0), ("c", 0.0), ("c", 1.0)]
+    got = {(r.g, r.raw): r for r in sweep.normalised(spark.createDataFrame(rows, "g string, raw double"), "g").collect()}
+    assert (got["a", 1.0].trimmed, got["a", 98.0].trimmed, got["a", 50.0].trimmed) == (0.0, 255.0, 127.5)
+    assert got["b", 2.0][2:] == (128.0, 128.0, 128.0, 128.0)
+    assert got["c", 1.0].log == 255.0 and got["c", 1.0].zscore == 170.0
 
-def test_sweep_evaluates_the_whole_grid(spark):
-    from tierlex import plans
 
-    got = plans.QUERIES["sweep_evaluate"](spark, "/root/testdata/sf0.001")
-    assert {r.param_id for r in got.collect()} == {r.param_id for r in sweep.grid(spark).collect()}
-    assert "mean_margin" in got.columns
+def test_sweep_margins(spark):
+    """Reef and island levels by hand: a word's best weight in an island counts; a question without weights has margin 0."""
+    grouped = spark.createDataFrame([("r1", 1, 1, 0.9, 0.0, 0.0, 1.0, 1.0), ("r1", 1, 2, 0.3, 0.0, 0.0, 1.0, 1.0), ("r2", 2, 1, 0.2, 0.0, 0.0, 1.0, 1.0), ("r2", 2, 3, 0.8, 0.0, 0.0, 1.0, 1.0)], "grp string, island_id int, word_id int, own double, named double, isl double, idf double, quality double")
+    alone = spark.createDataFrame([(1, 4, 0.5, 0.5, 1.0, 1.0, 1), (2, 4, 0.2, 0.2, 1.0, 1.0, 4), (2, 5, 0.4, 0.4, 1.0, 1.0, 1)], "island_id int, word_id int, own double, isl double, idf double, quality double, n int")
+    params = spark.createDataFrame([(0, 0.1, 0.15, 0.5, 0.9, 0.0, 0.5, "minmax"), (1, 0.1, 0.15, 0.5, 0.9, 1.0, 0.5, "minmax")], "param_id int, name double, island double, alone double, floor double, blend double, power double, norm string")
+    asked = spark.createDataFrame([("q", 1), ("q", 4), ("r", 3), ("r", 5), ("none", 99)], "query string, word_id int")
+    expected = spark.createDataFrame([("q", 1), ("r", 1), ("none", 1)], "query string, expected int")
+    got = {r.param_id: (r.passed, r.questions, round(r.mean_margin, 6)) for r in sweep.evaluate(grouped, alone, params, asked, expected).collect()}
+    # set 0: q has 255 + 128 in island 1 and nothing else; r 255 + 255 in island 2; set 1: word 4 has 255 in island 1, 0 in 2; word 5 170
+    assert got == {0: (1, 3, 66.0), 1: (1, 3, 66.0)}

@@ -144,6 +144,12 @@ def sense_texts(senses: DataFrame, prefix: str) -> DataFrame:
     return rows.select("word_id", nth.alias("nth"), F.concat(F.lit(prefix), "word", F.lit(": "), "sense").alias("text"))
 
 
+def domain_texts(rows: DataFrame, prefix: str) -> DataFrame:
+    """word_id, text: prefix, domain, word; a domain equal to its word is left out.  rows: word_id, word, domain."""
+    domain = F.lower(F.translate("domain", "_", " "))
+    return rows.where(domain != F.col("word")).select("word_id", F.concat(F.lit(prefix), domain, F.lit(" "), "word").alias("text"))
+
+
 def hashed_vectors(rows: DataFrame, c: str, size: int) -> DataFrame:
     """c, i, x: each text's letter trigrams add plus or minus 1 at a hashed place; scaled to length 1, places of 0 left out.
 

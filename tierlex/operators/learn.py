@@ -10,6 +10,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
+from ..sources.scratch import kept
+from .stats import dim_stats
+from .vectors import standardise
+
 #: Negatives per positive, half of them from sibling towns; folds.
 NEGATIVES, FOLDS, SEED = 5, 7, 42
 
@@ -19,31 +24,130 @@ def order_key(*cols):
     return F.md5(F.concat_ws(":", *cols, F.lit(str(SEED))))
 
 
-def negatives(vectors: DataFrame, town: int, per: int = NEGATIVES) -> DataFrame:
-    """For one town: half of `per` negatives a positive from other towns of its island, the rest from elsewhere, without replacement."""
+def negatives(vectors: DataFrame, town: int, per: int = NEGATIVES, siblings: bool = True) -> DataFrame:
+    """For one town: half of `per` negatives a positive from other towns of its island (or none), the rest from elsewhere, without replacement, the first of a seeded order.
+
+    Each pool is counted, and only what lies below the hash that its need asks for is put in order.
+    """
     home = vectors.where(F.col("town_id") == town).agg(F.count(F.lit(1)).alias("positives"), F.first("island_id").alias("home"))
-    rest = vectors.where(F.col("town_id") != town).crossJoin(F.broadcast(home)).withColumn("pool", F.when(F.col("island_id") == F.col("home"), "sibling").otherwise("global"))
-    rest = rest.withColumn("nth", F.row_number().over(Window.partitionBy("pool").orderBy(order_key(F.col("vec_id").cast("string")), "vec_id")))
-    need = F.when(F.col("pool") == "sibling", F.floor(F.col("positives") * per / 2)).otherwise(F.ceil(F.col("positives") * per / 2))
-    return rest.where(F.col("nth") <= need).select("vec_id", "pool")
+    place = F.conv(F.substring(order_key(F.col("vec_id").cast("string")), 1, 8), 16, 10).cast("double") / 4294967296.0
+    pool = F.when(F.lit(siblings) & (F.col("island_id") == F.col("home")), "sibling").otherwise("global")
+    rest = vectors.where(F.col("town_id") != town).select("vec_id", "island_id").crossJoin(F.broadcast(home)).select("vec_id", "positives", pool.alias("pool"), place.alias("place"))
+    half = F.col("positives") * per / 2
+    need = F.when(F.col("pool") == "sibling", F.floor(half)).otherwise(F.ceil(half) if siblings else F.ceil(half * 2))
+    sizes = rest.groupBy("pool").agg(F.count(F.lit(1)).alias("size"))
+    few = rest.join(F.broadcast(sizes), "pool").where(F.col("place") <= (need * 1.2 + 100) / F.col("size"))  # two rows
+    nth = F.row_number().over(Window.partitionBy("pool").orderBy(order_key(F.col("vec_id").cast("string")), "vec_id"))
+    return few.withColumn("nth", nth).where(F.col("nth") <= need).select("vec_id", "pool")
+
+
+def folds_of(rows: DataFrame, label: str = "label", group: str = "vec_id", folds: int = FOLDS) -> DataFrame:
+    """rows and fold: each class's groups are dealt out in turn in a seeded order, so folds have equal shares of the classes and no group is in two.
+
+    rows are one town's sample; a group with both classes goes with its larger label.
+    """
+    groups = rows.groupBy(group).agg(F.max(label).alias("_label"))
+    nth = F.row_number().over(Window.partitionBy("_label").orderBy(order_key(F.col(group).cast("string")), group)) - 1
+    return rows.join(groups.withColumn("fold", (nth % folds).cast("int")).drop("_label"), group)
+
+
+#: Positives whose vectors are sent along to measure nearness; a town of more compares with these, the first of a seeded order.
+MOST_POSITIVES = 20_000
+
+
+def features(vectors: DataFrame, positives: DataFrame, dims: DataFrame, k: int = 5) -> DataFrame:
+    """vectors and x: z-scores by dimension, the one-hot tag, the mean cosine of the k nearest positives, and the cosine with their centroid.
+
+    vectors: vec_id, v, and pos if there are tags; positives: vec_id, v.  A positive isn't its own neighbour.
+    """
+    chosen = positives.orderBy(order_key(F.col("vec_id").cast("string")), "vec_id").limit(MOST_POSITIVES).select("vec_id", "v").toPandas()  # bounded
+    if len(chosen):
+        x = np.stack(chosen["v"])
+        x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        middle = x.mean(0)
+        middle = middle / max(np.linalg.norm(middle), 1e-12)
+    else:
+        x, middle = np.zeros((0, 1)), None
+    sent = vectors.sparkSession.sparkContext.broadcast((chosen["vec_id"].to_numpy() if len(chosen) else np.zeros(0, int), x, middle))
+
+    @F.pandas_udf("array<double>")
+    def near(ids: pd.Series, vs: pd.Series) -> pd.Series:
+        own, x, middle = sent.value
+        if middle is None:
+            return pd.Series([[0.0, 0.0]] * len(ids))
+        y = np.stack(vs)
+        y = y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-12)
+        cos = y @ x.T
+        cos[ids.to_numpy()[:, None] == own[None, :]] = -np.inf
+        top = -np.sort(-cos, axis=1)[:, :k]
+        top = np.where(np.isfinite(top), top, np.nan)
+        mean = np.where(np.isnan(top).all(1), 0.0, np.nanmean(np.where(np.isnan(top).all(1, keepdims=True), 0.0, top), axis=1))
+        return pd.Series(list(np.stack([mean, y @ middle], 1)))
+
+    tag = S.pos_one_hot(F.col("pos")) if "pos" in vectors.columns else F.array(*[F.lit(0.0)] * 4)
+    return standardise(vectors, dims).withColumn("x", F.concat("z", tag, near("vec_id", "v"))).drop("z")
+
+
+def sample_of(vectors: DataFrame, town: int, dims: DataFrame | None = None) -> DataFrame:
+    """vec_id, label, weight (negatives over positives for a positive), fold, features of one town's positives and negatives."""
+    from pyspark.ml.functions import array_to_vector
 
+    positives = vectors.where(F.col("town_id") == town)
+    chosen = negatives(vectors, town).select("vec_id").union(positives.select("vec_id"))
+    rows = features(vectors.join(chosen, "vec_id"), positives, dim_stats(vectors) if dims is None else dims)
+    rows = folds_of(rows.withColumn("label", (F.col("town_id") == town).cast("double")))
+    share = rows.agg(F.try_divide(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).alias("share"))
+    return rows.crossJoin(F.broadcast(share)).select("vec_id", "label", F.when(F.col("label") == 1, F.coalesce("share", F.lit(1.0))).otherwise(1.0).alias("weight"), "fold", array_to_vector("x").alias("features"))
 
-def fold(c, folds: int = FOLDS):
-    return F.pmod(F.crc32(c.cast("string")), F.lit(folds))
 
+#: Rounds of boosting at most, depth of a tree, and the least gain on the held-out fold with which it goes on.
+ROUNDS, DEPTH, GAIN = 8, 3, 0.005
 
-def train_town(vectors: DataFrame, town: int):
-    """A gradient-boosted classifier of one town's words; fold 0 of the ids is held out.  (model, scored rows)"""
+
+def train_town(vectors: DataFrame, town: int, dims: DataFrame | None = None):
+    """A gradient-boosted classifier of one town's words, which stops early on fold 0, held out.  (model, scored rows)"""
     from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import vector_to_array
 
-    chosen = negatives(vectors, town).select("vec_id").union(vectors.where(F.col("town_id") == town).select("vec_id"))
-    rows = vectors.join(chosen, "vec_id").select("vec_id", (F.col("town_id") == town).cast("double").alias("label"), array_to_vector("v").alias("features"), fold(F.col("vec_id")).alias("fold"))
-    model = GBTClassifier(maxIter=8, maxDepth=3, seed=SEED).fit(rows.where("fold <> 0"))
-    scored = model.transform(rows).select("vec_id", "label", (F.col("fold") == 0).alias("held_out"), vector_to_array("probability")[1].alias("score"))
+    rows = kept(sample_of(vectors, town, dims).withColumn("held_out", F.col("fold") == 0))
+    model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=SEED, weightCol="weight", validationIndicatorCol="held_out", validationTol=GAIN).fit(rows)
+    scored = model.transform(rows).select("vec_id", "label", "held_out", vector_to_array("probability")[1].alias("score"))
     return model, scored
 
 
+def train_or_load(vectors: DataFrame, town: int, path: str, dims: DataFrame | None = None):
+    """The town's classifier: the one saved at path, else a new one, which is saved there; None for fewer than LEAST_POSITIVES words."""
+    from pyspark.ml.classification import GBTClassificationModel
+
+    jvm, spark = vectors.sparkSession.sparkContext._jvm, vectors.sparkSession
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return GBTClassificationModel.load(path)
+    if vectors.where(F.col("town_id") == town).limit(LEAST_POSITIVES).count() < LEAST_POSITIVES:
+        return None
+    model, _ = train_town(vectors, town, dims)
+    model.write().overwrite().save(path)
+    return model
+
+
+#: Fixed value: fewest positives of a classifier.
+LEAST_POSITIVES = 10
+
+
+def predict(model, vectors: DataFrame, town: int, dims: DataFrame | None = None) -> DataFrame:
+    """town_id, word_id, score of all words, by one town's classifier."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    rows = features(vectors, vectors.where(F.col("town_id") == town), dim_stats(vectors) if dims is None else dims)
+    scored = model.transform(rows.select("vec_id", array_to_vector("x").alias("features")))
+    return scored.select(F.lit(town).cast("long").alias("town_id"), F.col("vec_id").alias("word_id"), vector_to_array("probability")[1].alias("score"))
+
+
+def feature_names(dims: int) -> list[str]:
+    """Labels of a classifier's features by place."""
+    return [*(f"dim_{i}" for i in range(dims)), "pos_noun", "pos_verb", "pos_adj", "pos_adv", "knn_mean", "centroid_cos"]
+
+
 def each_town(vectors: DataFrame, rows_of: Callable[[int], DataFrame]) -> DataFrame:
     """The rows of every town, its id before them; towns are a tier of the hierarchy."""
     towns = [r.town_id for r in vectors.where("town_id is not null").select("town_id").distinct().orderBy("town_id").collect()]
@@ -51,21 +155,21 @@ def each_town(vectors: DataFrame, rows_of: Callable[[int], DataFrame]) -> DataFr
 
 
 def importances(spark, model, k: int = 15) -> DataFrame:
-    """dim, importance of the k features that a classifier uses most; there are as many as a vector has dimensions."""
-    rows = sorted(((float(x), -i) for i, x in enumerate(model.featureImportances.toArray())), reverse=True)[:k]
-    return spark.createDataFrame([(f"dim_{-i}", x) for x, i in rows], "dim string, importance double")
+    """dim, importance of the k features that a classifier uses most, by their labels."""
+    values = model.featureImportances.toArray()
+    names = feature_names(len(values) - 6)
+    rows = sorted(((float(x), -i) for i, x in enumerate(values)), reverse=True)[:k]
+    return spark.createDataFrame([(names[-i], x) for x, i in rows], "dim string, importance double")
 
 
-def tune(vectors: DataFrame, town: int, depths=(2, 3), rounds=(4, 8)) -> DataFrame:
-    """depth, rounds, f1 of one town's classifier for each setting, by cross-validation over folds of ids."""
+def tune(vectors: DataFrame, town: int, depths=(2, 3), rounds=(4, 8), dims: DataFrame | None = None) -> DataFrame:
+    """depth, rounds, f1 of one town's classifier for each setting, by cross-validation over three stratified folds."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.functions import array_to_vector
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    chosen = negatives(vectors, town).select("vec_id").union(vectors.where(F.col("town_id") == town).select("vec_id"))
-    rows = vectors.join(chosen, "vec_id").select((F.col("town_id") == town).cast("double").alias("label"), array_to_vector("v").alias("features"), fold(F.col("vec_id"), 3).cast("int").alias("fold"))
-    trees = GBTClassifier(seed=SEED)
+    rows = kept(sample_of(vectors, town, dims).withColumn("fold", (F.col("fold") % 3).cast("int")))
+    trees = GBTClassifier(seed=SEED, weightCol="weight")
     settings = ParamGridBuilder().addGrid(trees.maxDepth, list(depths)).addGrid(trees.maxIter, list(rounds)).build()
     f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
     fitted = CrossValidator(estimator=trees, estimatorParamMaps=settings, evaluator=f1, numFolds=3, foldCol="fold").fit(rows)

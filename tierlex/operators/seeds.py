@@ -18,8 +18,11 @@ def add_missing(linked: DataFrame, words: DataFrame) -> DataFrame:
     """Words for seeds of one token that have none, numbered after the largest id in the order of their texts."""
     top = words.agg(F.coalesce(F.max("word_id"), F.lit(0)).alias("top"))
     new = linked.where(F.col("word_id").isNull() & ~F.col("word").rlike("[ -]")).select(F.lower("word").alias("word")).distinct()
-    # ids need one order; the new words alone are few beside the vocabulary
-    return new.withColumn("nth", F.row_number().over(Window.orderBy("word"))).crossJoin(F.broadcast(top)).select((F.col("top") + F.col("nth")).alias("word_id"), "word")
+    # ranges of words are numbered apart and moved by the counts before them
+    new = new.withColumn("head", F.substring("word", 1, 2))
+    sizes = new.groupBy("head").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    nth = F.row_number().over(Window.partitionBy("head").orderBy("word"))
+    return new.withColumn("nth", nth).join(sizes, "head").crossJoin(F.broadcast(top)).select((F.col("top") + F.col("before") + F.col("nth")).alias("word_id"), "word")
 
 
 def linkage(linked: DataFrame, key: str = "source") -> DataFrame:

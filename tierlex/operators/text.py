@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +38,44 @@ def compounds_in(tokens: DataFrame, compounds: DataFrame) -> DataFrame:
     return tokens.join(nxt, ["doc_id", "pos"]).select("doc_id", "pos", F.concat_ws(" ", "token", "token2").alias("compound")).join(compounds, "compound", "left_semi")
 
 
+#: Compounds up to this number are broadcast to the texts; more are refused.
+MOST_COMPOUNDS = 2_000_000
+
+
+def matched_terms(docs: DataFrame, compounds: DataFrame, stop: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, token, n: how often each term stands in a text: known compounds, the longest first from left to right, else single words; stop words are left out.
+
+    compounds: compound, lower-cased words joined by blanks; stop: word.  A text's words are its
+    runs of letters, lower-cased; null texts have none.
+    """
+    listed = [r[0] for r in compounds.select("compound").distinct().limit(MOST_COMPOUNDS + 1).toLocalIterator()]
+    if len(listed) > MOST_COMPOUNDS:
+        raise ValueError(f"more than {MOST_COMPOUNDS} compounds")
+    lengths: dict[str, list[int]] = {}
+    for c in listed:
+        words = c.split(" ")
+        lengths[words[0]] = sorted({*lengths.get(words[0], []), len(words)}, reverse=True)
+    sent = docs.sparkSession.sparkContext.broadcast((frozenset(listed), lengths))
+
+    @F.pandas_udf("array<string>")
+    def terms(column: pd.Series) -> pd.Series:
+        known, starts = sent.value
+
+        def of(words):
+            out, i = [], 0
+            while i < len(words):
+                size = next((n for n in starts.get(words[i], ()) if n <= len(words) - i and " ".join(words[i : i + n]) in known), 1)
+                out.append(" ".join(words[i : i + size]))
+                i += size
+            return out
+
+        return column.map(lambda w: None if w is None else of(list(w)))
+
+    words = F.regexp_extract_all(F.lower(text_col), F.lit("(\\p{L}+)"), 1)
+    each = docs.select(F.col(id_col).alias("doc_id"), F.explode(terms(words)).alias("token"))
+    return each.join(stop.select(F.col("word").alias("token")), "token", "left_anti").groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
 def rank_agreement(a: DataFrame, b: DataFrame, key: str, item: str, k: int = 10) -> DataFrame:
     """Spearman's rho over the items that both rankings have (null where one ranks them all alike), and how many of the first k they share."""
     both = a.select(key, item, F.col("score").alias("x")).join(b.select(key, item, F.col("score").alias("y")), [key, item])

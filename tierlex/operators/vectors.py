@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,12 +40,36 @@ def nearest(sims: DataFrame) -> DataFrame:
     return sims.groupBy("vec_id").agg(F.max_by("other", F.struct("cos", -F.col("other"))).alias("nearest"), F.max("cos").alias("best"))
 
 
+#: Words of a block; a unit of work compares two blocks.
+BLOCK = 2048
+
+
 def neighbours(vectors: DataFrame, k: int = 5, key: str = "town_id") -> DataFrame:
-    """The k most similar other words of the same group, in blocks of the group's words."""
-    a = vectors.select(key, F.col("vec_id").alias("a"), F.col("v").alias("va"))
-    b = vectors.select(key, F.col("vec_id").alias("b"), F.col("v").alias("vb"))
-    pairs = a.join(b, key).where("a <> b").withColumn("cos", S.cosine(F.col("va"), F.col("vb"))).drop("va", "vb")
-    order = Window.partitionBy("a").orderBy(F.desc(F.round("cos", 9)), "b")
+    """The k most similar other words of the same group: key, a, b, cos, nth.
+
+    A group is cut into blocks, and each pair of blocks is one product of matrices that gives the k best
+    of its rows only; what windows compare are k rows a word and block.  Cosines are rounded to 9 places.
+    """
+    sizes = vectors.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = vectors.select(key, "vec_id", "v").join(sizes, key).withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).withColumn("all", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    a = rows.select(F.col(key).alias("k"), F.col("own").alias("lo"), F.col("all").alias("hi"), F.col("vec_id").alias("id"), F.col("v").alias("x"))
+    b = rows.select(F.col(key).alias("k2"), F.col("all").alias("lo2"), F.col("own").alias("hi2"), F.col("vec_id").alias("id2"), F.col("v").alias("x2"))
+
+    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        if len(a) and len(b):
+            b = b.sort_values("id2")
+            x, y, ids = np.stack(a["x"]), np.stack(b["x2"]), b["id2"].to_numpy()
+            n = np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(y, axis=1)[None, :]
+            cos = np.round(np.where(n == 0, 0.0, x @ y.T / np.where(n == 0, 1.0, n)), 9)
+            for i, word in enumerate(a["id"].tolist()):
+                row = np.where(ids == word, -np.inf, cos[i])
+                out += [(a["k"].iloc[0], word, ids[j], row[j]) for j in np.argsort(-row, kind="stable")[:k] if row[j] > -np.inf]
+        return pd.DataFrame(out, columns=[key, "a", "b", "cos"])
+
+    kind = f"{key} {dict(vectors.dtypes)[key]}, a long, b long, cos double"
+    pairs = a.groupBy("k", "lo", "hi").cogroup(b.groupBy("k2", "lo2", "hi2")).applyInPandas(best, kind)
+    order = Window.partitionBy("a").orderBy(F.desc("cos"), "b")
     return pairs.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
 
 
@@ -57,6 +85,19 @@ def standardise(vectors: DataFrame, dims: DataFrame) -> DataFrame:
     return vectors.crossJoin(F.broadcast(arrays)).withColumn("z", F.zip_with("v", "ms", lambda x, y: (x - y["m"]) / y["s"])).drop("ms")  # one row
 
 
+def embed_missing(texts: DataFrame, path: str, key: str, c: str, encode: Callable[[DataFrame, str], DataFrame]) -> None:
+    """Add to the table at path the vectors of the texts whose key it doesn't have yet.
+
+    encode takes distinct texts and the name of their column, and gives that column and v; a text that it gives no vector is left out.
+    """
+    spark = texts.sparkSession
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    left = texts.select(key, c)
+    if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        left = left.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti")
+    left.join(encode(left.select(c).distinct(), c), c).select(key, c, "v").write.mode("append").parquet(path)
+
+
 def spread_percentiles(seeds: DataFrame, towns: DataFrame) -> DataFrame:
     """island_id, p25, p50 of the population deviation of each seed's cosines with its island's centroids.  towns: island_id, c."""
     sims = seeds.select("island_id", "vec_id", "v").join(F.broadcast(towns.select("island_id", "c")), "island_id").withColumn("cos", S.cosine(F.col("v"), F.col("c")))  # towns of an island

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import export, learn, seeds, stats, sweep, text, vectors
+from ..operators import export, learn, reports, seeds, stats, sweep, text, vectors
 from ..sources.proxy import TOKENS_SQL, VECTORS_SQL, fact_sql
 from .catalog import query
 from .membership import FULL, index_of, levels_of, questions
@@ -284,6 +284,15 @@ def score_trace(t):
     return text.trace(tokens, weights)
 
 
+@query()
+def matched_terms(t):
+    """Terms of all texts with compounds, of which every pair of words that stands in twenty texts is one, and without stop words."""
+    pairs = t.documents.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1).alias("w")).select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.try_element_at("w", i), F.try_element_at("w", i + 1)))).alias("compound"))
+    often = pairs.where(F.contains("compound", F.lit(" "))).groupBy("compound").agg(F.countDistinct("doc_id").alias("n")).where("n >= 20")
+    stop = t.spark.createDataFrame([(w,) for w in ("the", "of", "and", "la", "der")], "word string")
+    return text.matched_terms(t.documents, often, stop)
+
+
 @query("WITH a AS (SELECT doc_id, regexp_extract_all(lower(text), '(\\p{L}+)', 1) AS w FROM documents), p AS (SELECT doc_id, unnest(range(0, len(w))) AS pos, unnest(w) AS token FROM a), b AS (SELECT doc_id, pos, token || ' ' || lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS compound FROM p) SELECT doc_id, pos, compound FROM b WHERE compound IN ('of the', 'in the', 'de la')")
 def compound_match(t):
     rows = t.documents.select("doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1)).alias("pos", "token"))
@@ -516,7 +525,25 @@ def negative_sample(t):
 @query()
 def town_classifier(t):
     """Held-out metrics of every town's classifier."""
-    return learn.each_town(t.vectors, lambda town: learn.metrics(learn.train_town(t.vectors, town)[1].where("held_out")))
+    words, dims = tagged_vectors(t)
+    return learn.each_town(words, lambda town: learn.metrics(learn.train_town(words, town, dims)[1].where("held_out")))
+
+
+def tagged_vectors(t) -> tuple[DataFrame, DataFrame]:
+    """Embedded words with tags, by their ids, and the dimensions' moments."""
+    tag = F.element_at(F.array(*map(F.lit, ("noun", "verb", "adj", "adv"))), (F.col("vec_id") % 4 + 1).cast("int"))
+    words = t.kept(t.vectors.withColumn("pos", tag))
+    return words, t.kept(stats.dim_stats(words))
+
+
+@query()
+def town_predictions(t):
+    """What the classifiers of island 1's towns predict of all words, without their seeds, the words of town 9 as a bucket's, and stop words."""
+    words, dims = tagged_vectors(t)
+    island = words.where("island_id = 1")
+    scores = learn.each_town(island, lambda town: learn.predict(learn.train_town(words, town, dims)[0], words, town, dims).select("word_id", "score"))
+    seeds_ = words.select("town_id", F.col("vec_id").alias("word_id"))
+    return reports.accepted(scores, seeds_, seeds_.where("town_id = 9"), seeds_.where("word_id % 50 = 0")).select("town_id", "word_id", "score")
 
 
 @query()

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import stemming
 from ..operators import learn, reefs, vectors
+from ..sources import scratch
 from .catalog import query
-from .lexicon import _SIM, _TW, COS, TOK, text_parts, town_means
+from .lexicon import _SIM, _TW, COS, TOK, tagged_vectors, text_parts, town_means
 
 CORE = 0.25  # a word is core if its cosine with its town's mean is this or more
 
@@ -62,8 +63,12 @@ def reef_summary(t):
 
 @query()
 def town_clusters(t):
-    """Towns put together by the similarity of their means."""
-    return reefs.group_clusters(t.vectors, None)
+    """Towns put together by the similarity of their means and by the words that they share."""
+    both = memberships(t)
+    shared = reefs.context_vectors(both, "town_id", "vec_id")
+    by_town = both.join(shared, "vec_id").select(F.col("town_id").cast("long").alias("vec_id"), F.explode("m").alias("b", "x")).groupBy("vec_id", "b").agg(F.avg("x").alias("x"))
+    contexts = by_town.groupBy("vec_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("b", "x")))).alias("m"))
+    return reefs.group_clusters(t.vectors, contexts)
 
 
 _BUCKET = f"{_SIM}, p0 AS (SELECT town_id, unnest(range(1, 65)) AS i, unnest(list_transform(v, lambda x: x / sqrt(list_dot_product(v, v)))) AS x FROM vec), m0 AS (SELECT town_id, list(x ORDER BY i) AS m FROM (SELECT town_id, i, avg(x) AS x FROM p0 GROUP BY ALL) GROUP BY 1), k0 AS (SELECT vec_id, town_id, row_number() OVER (PARTITION BY town_id ORDER BY round({COS.format(a='v', b='m')}, 9) DESC, vec_id) AS nth FROM vec JOIN m0 USING (town_id))"
@@ -114,6 +119,14 @@ def sense_texts(t):
     return S.sense_texts(senses, "classification: ")
 
 
+@query("SELECT p_partkey AS word_id, 'classification: ' || lower(domain) || ' ' || word AS text FROM (SELECT p_partkey, string_split(p_name, ' ')[2] AS word, unnest([p_type, string_split(p_name, ' ')[2]]) AS domain FROM part) WHERE lower(domain) <> word")
+def domain_texts(t):
+    """A text for each domain of a word, the domain before the word; a domain that is the word itself is left out."""
+    word = F.split("p_name", " ")[1]
+    rows = t.part.select(F.col("p_partkey").alias("word_id"), word.alias("word"), F.explode(F.array(F.col("p_type"), word)).alias("domain"))
+    return S.domain_texts(rows, "classification: ")
+
+
 _GRAM = "g AS (SELECT token, unnest(list_transform(range(1, length('<' || token || '>') - 1), lambda i: substr('<' || token || '>', i, 3))) AS gram FROM x), h AS (SELECT token, ('0x' || substr(md5(gram), 1, 7))::BIGINT AS h FROM g), d AS (SELECT token, h % 32 AS i, sum(CASE WHEN (h // 32) % 2 = 0 THEN 1 ELSE -1 END)::DOUBLE AS x FROM h GROUP BY ALL), n AS (SELECT token, sqrt(sum(x * x)) AS n FROM d GROUP BY 1)"
 
 
@@ -123,13 +136,38 @@ def hashed_vectors(t):
     return S.hashed_vectors(t.tokens.select("token").distinct(), "token", 32)
 
 
+@query(f"{TOK}, x AS (SELECT DISTINCT token FROM tok UNION SELECT DISTINCT source FROM documents WHERE source IS NOT NULL), {_GRAM}, u AS MATERIALIZED (SELECT token, list(coalesce(x / nullif(n, 0), 0) ORDER BY i) AS v FROM (SELECT token, n, unnest(range(0, 32)) AS i FROM n) LEFT JOIN d USING (token, i) GROUP BY 1), pr AS MATERIALIZED (SELECT DISTINCT source, token FROM tok WHERE source IS NOT NULL), sv AS MATERIALIZED (SELECT token AS source, v AS w FROM u WHERE token IN (SELECT source FROM documents)), pv AS MATERIALIZED (SELECT pr.source, pr.token, v FROM pr JOIN u USING (token)) SELECT source AS domain, token AS word, list_dot_product(v, w) AS cos FROM pv JOIN sv USING (source) WHERE abs(list_dot_product(v, w)) > 1e-12")
+def name_cosines(t):
+    """Cosine of each word's vector with the vector of its domain's name, where it isn't 0."""
+    pairs = t.tokens.where("source is not null").select("source", "token").distinct()
+    names = t.documents.where("source is not null").select(F.col("source").alias("token")).distinct()
+    found = S.hashed_vectors(t.tokens.select("token").union(names).distinct(), "token", 32)
+    domain = found.join(F.broadcast(names), "token").select(F.col("token").alias("source"), "i", F.col("x").alias("y"))  # names of the top tier
+    return pairs.join(found, "token").join(F.broadcast(domain), ["source", "i"]).groupBy(F.col("source").alias("domain"), F.col("token").alias("word")).agg(F.sum(F.col("x") * F.col("y")).alias("cos")).where("abs(cos) > 1e-12")
+
+
+@query("SELECT count(*) AS texts, count(DISTINCT word_id) AS words, count(*) AS vectors FROM (SELECT p_partkey AS word_id, unnest(string_split(p_type, ' ')) AS ps, p_name FROM part) WHERE lower(p_name) <> lower(ps)")
+def embedded_senses(t):
+    """Sense texts embedded in two runs, the second of which finds half of them done: texts, words, and vectors written."""
+    senses = t.part.select(F.col("p_partkey").alias("word_id"), F.col("p_name").alias("word"), F.explode(F.split("p_type", " ")).alias("sense"))
+    texts = S.sense_texts(senses, "classification: ").withColumn("key", F.concat_ws("/", "word_id", "nth"))
+    path = scratch.new_path(t.spark, "vectors")
+    encode = lambda rows, c: S.hashed_vectors(rows, c, 32).groupBy(c).agg(F.map_from_entries(F.collect_list(F.struct("i", "x"))).alias("v"))
+    for part in (texts.where("word_id % 2 = 0"), texts):
+        vectors.embed_missing(part, path, "key", "text", encode)
+    done = t.spark.read.parquet(path)
+    return texts.agg(F.count(F.lit(1)).alias("texts"), F.countDistinct("word_id").alias("words")).crossJoin(F.broadcast(done.agg(F.count(F.lit(1)).alias("vectors"))))
+
+
 @query()
 def feature_importances(t):
     """The fifteen dimensions that each town's classifier uses most."""
-    return learn.each_town(t.vectors, lambda town: learn.importances(t.spark, learn.train_town(t.vectors, town)[0]))
+    words, dims = tagged_vectors(t)
+    return learn.each_town(words, lambda town: learn.importances(t.spark, learn.train_town(words, town, dims)[0]))
 
 
 @query()
 def classifier_tuning(t):
     """F1 of each setting of every town's classifier, by folds of ids."""
-    return learn.each_town(t.vectors, lambda town: learn.tune(t.vectors, town))
+    words, dims = tagged_vectors(t)
+    return learn.each_town(words, lambda town: learn.tune(words, town, dims=dims))
