@@ -455,4 +455,50 @@ def test_pipeline(spark, tmp_path):
     near_ids = {47 + k: (40 + k if k < 7 else k) for k in range(10)}
     assert left[2] == left[1] - set(near_ids)
     assert left[3] == left[2] - {57}
-    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} <= left[3]
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # the last stage on what the fourth left, by its SQL
+    con = duckdb.connect()
+    con.execute("create table t (doc_id bigint, text varchar, lang varchar, source varchar)")
+    con.executemany("insert into t values (?, ?, ?, ?)", [(i, texts[i], "en", f"src{i % 8}") for i in sorted(left[3])])
+    want = con.sql(f"select doc_id, copies from ({mixing.SQL.format(docs='t')}) where copies > 0").fetchall()
+    assert sorted((r.doc_id, r.copies) for r in got) == sorted(want)
+
+
+def test_pipeline_odd_tables(spark, tmp_path):
+    """An empty table, and one with null and repeated ids, equal rows, empty and very long texts."""
+    import corpus_pipeline
+
+    rng = random.Random(23)
+    long = " ".join(rng.choice(EN) + rng.choice("abcdefghij") for _ in range(60_000))
+    other = " ".join(rng.choice(EN) + rng.choice("klmnopq") for _ in range(60))
+    spark.createDataFrame([(0, "x y"), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/a/benchmark.parquet")
+    rows = [(1, long), (1, long), (1, other), (None, other + " end"), (None, None), (2, ""), (3, None), (4, long + " tail"), (5, "12 34")]
+    df = spark.createDataFrame([(i, t, "en", None, 7, "k") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, COPIES string")
+    df.write.parquet(f"{tmp_path}/a/documents.parquet")
+    kept = {(r.doc_id, len(r.text)) for r in corpus_pipeline.run(spark, f"{tmp_path}/a").collect()}
+    assert kept <= {(1, len(long)), (1, len(other)), (None, len(other) + 4), (4, len(long) + 5)}
+    docs = df
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, f"{tmp_path}/a").cache()
+        assert docs.columns == df.columns
+    assert sorted(len(r.text) for r in docs.collect()) == sorted([len(long), len(other)])  # one of each group of near copies
+    spark.createDataFrame([], df.schema).write.parquet(f"{tmp_path}/b/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/b/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/b").count() == 0
+
+
+def test_repeated_rows_and_null_ids(spark):
+    """Mixing, token counts, scores and languages of rows that come twice or have no id."""
+    public = pytest.importorskip("public_tokenizers")
+    text = "the of and that with " * 3
+    docs = spark.createDataFrame([(1, text, "en", "src1"), (1, text, "en", "src1"), (None, text, "en", "src1"), (None, None, None, None), (2, "würde schön straße " * 4, "de", "src2")], "doc_id long, text string, lang string, source string")
+    mixed = mixing.mix(docs).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in mixed) == [("1", 15), ("1", 15), ("2", 12), ("None", 0), ("None", 15)]
+    counts = token_counts.token_counts(docs, public.path("piece_bpe_32k.model")).collect()
+    assert len(counts) == 5 and len({r.n_tokens for r in counts if r.n_bytes == len(text)}) == 1
+    scores = [r for r in lm_scoring.score(docs).collect() if r.n_tokens == 16]
+    assert len(scores) == 3 and not any(r.held_out for r in scores if r.doc_id is None)
+    assert len({round(r.base_score, 9) for r in scores}) == 1
+    trees = language_id.learn(docs)
+    found = language_id.identify(docs, trees).collect()
+    assert sorted((str(r.doc_id), r.lang_pred) for r in found) == [("1", "en"), ("1", "en"), ("2", "de"), ("None", "en"), ("None", "und")]

@@ -47,6 +47,9 @@ def _forget(spark: SparkSession, path: str) -> None:
         pass
 
 
+_written: list[str] = []  # paths of durable tables of this process, in the order of writing
+
+
 def durable(df: DataFrame) -> DataFrame:
     """The same rows as a table in the shared folder: lost executors cost no more than what reads it."""
     spark = df.sparkSession
@@ -55,10 +58,24 @@ def durable(df: DataFrame) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     # the plan that was run is garbage now: without it Spark drops its shuffle files
     spark.sparkContext._jvm.System.gc()
+    _written.append(path)
     atexit.register(_forget, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tables_written() -> int:
+    return len(_written)
+
+
+def settled(df: DataFrame, since: int) -> DataFrame:
+    """A durable table of the rows, which takes the place of all that were written after the first `since`: what it was made of is deleted."""
+    out = durable(df)
+    for path in _written[since:-1]:
+        _forget(df.sparkSession, path)
+    del _written[since:-1]
+    return out
+
+
 def forget(df: DataFrame) -> None:
     """Delete a durable table that nothing reads any more."""
     for path in {os.path.dirname(f) for f in df.inputFiles()}:
