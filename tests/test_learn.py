@@ -107,3 +107,21 @@ def test_missing_vectors_are_added_once(spark, tmp_path):
         vectors.embed_missing(texts, f"{tmp_path}/v", "key", "text", encode)
     assert seen == [["t0", "t1"], ["t0", "t1", "t2"], []]
     assert sorted(r.key for r in spark.read.parquet(f"{tmp_path}/v").collect()) == list(range(6))
+
+
+def test_communities_are_connected_and_better_than_singles(spark):
+    """Planted groups are found; every community hangs together by its own links."""
+    rng = random.Random(8)
+    edges = [(1, a, b, 1.0) for a in range(60) for b in range(a + 1, 60) if rng.random() < (0.6 if a // 15 == b // 15 else 0.03)]
+    edges += [(1, 100 + k, 101 + k, 1.0) for k in range(12)]
+    got = {r.node: r.community for r in learn.communities(spark.createDataFrame(edges, "town_id long, a long, b long, w double"), "town_id").collect()}
+    assert all(len({got[k] for k in range(15 * g, 15 * g + 15)}) == 1 for g in range(4)) and len({got[k] for k in range(60)}) == 4
+    for c in set(got.values()) - {-1}:
+        nodes = {x for x in got if got[x] == c}
+        seen, front = set(), [min(nodes)]
+        while front:
+            x = front.pop()
+            if x not in seen:
+                seen.add(x)
+                front += [b if a == x else a for _, a, b, _ in edges if x in (a, b) and {a, b} <= nodes]
+        assert seen == nodes

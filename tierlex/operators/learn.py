@@ -194,45 +194,61 @@ def average_precision(scored: DataFrame) -> DataFrame:
     return run.agg(F.try_divide(F.sum(F.col("p") * F.col("tp") / F.col("seen")), F.sum("p")).alias("auc_pr"))
 
 
+def _moved(links: list[dict[int, float]], degree: np.ndarray, label: np.ndarray, resolution: float, within: np.ndarray | None = None) -> np.ndarray:
+    """Labels after moving nodes to the neighbouring label of the best modularity until none gains; with `within`, only nodes that are alone move, and only inside their group of it."""
+    label, whole = label.copy(), degree.sum()
+    total = np.bincount(label, degree, len(links))
+    size = np.bincount(label, minlength=len(links))
+    moved = True
+    while moved:
+        moved = False
+        for i in range(len(links)):
+            own = label[i]
+            if within is not None and size[own] > 1:
+                continue
+            near: dict[int, float] = {}
+            for j, z in links[i].items():
+                if j != i and (within is None or within[j] == within[i]):
+                    near[label[j]] = near.get(label[j], 0.0) + z
+            total[own] -= degree[i]
+            gain = lambda c: near.get(c, 0.0) - resolution * degree[i] * total[c] / whole  # noqa: B023, E731
+            best = max(sorted({*near, own}), key=lambda c: (round(gain(c), 12), c == own))
+            total[best] += degree[i]
+            if best != own:
+                size[own] -= 1
+                size[best] += 1
+                label[i], moved = best, True
+        if within is not None:
+            break
+    return label
+
+
 def communities(edges: DataFrame, group: str, least: int = 3, resolution: float = 1.0) -> DataFrame:
-    """group, node, community of each group's weighted graph: modularity by moving nodes, then merging, until nothing improves.
+    """group, node, community of each group's weighted graph: modularity by moving nodes, refining each community, and merging what was refined, until nothing improves.
 
+    Refined parts are built from single nodes along links inside a community, so communities are connected.
     Groups are towns, whose words a task can hold; communities of fewer than `least` nodes are -1.
     """
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         nodes = np.unique(np.concatenate([pdf["a"], pdf["b"]]))
         a, b, w = np.searchsorted(nodes, pdf["a"]), np.searchsorted(nodes, pdf["b"]), np.maximum(pdf["w"].to_numpy(), 1e-9)
-        members = np.arange(len(nodes))
+        members, label = np.arange(len(nodes)), np.arange(len(nodes))
         while True:
-            n = int(members.max()) + 1
+            n = len(label)
             links = [dict() for _ in range(n)]
             for x, y, z in zip(members[a], members[b], w, strict=True):
                 links[x][y] = links[x].get(y, 0.0) + z
                 links[y][x] = links[y].get(x, 0.0) + z
             degree = np.array([sum(x.values()) for x in links])
-            label, total, whole = np.arange(n), degree.copy(), degree.sum()
-            moved = True
-            while moved:
-                moved = False
-                for i in range(n):
-                    near: dict[int, float] = {}
-                    for j, z in links[i].items():
-                        if j != i:
-                            near[label[j]] = near.get(label[j], 0.0) + z
-                    own = label[i]
-                    total[own] -= degree[i]
-                    gain = lambda c: near.get(c, 0.0) - resolution * degree[i] * total[c] / whole  # noqa: B023, E731
-                    best = max(sorted({*near, own}), key=lambda c: (round(gain(c), 12), c == own))
-                    total[best] += degree[i]
-                    if best != own:
-                        label[i], moved = best, True
-            _, label = np.unique(label, return_inverse=True)
-            if label.max() + 1 == n:
+            label = _moved(links, degree, label, resolution)
+            _, first, part = np.unique(_moved(links, degree, np.arange(n), resolution, label), return_index=True, return_inverse=True)
+            if len(first) == n:
                 break
-            members = label[members]
-        sizes = np.bincount(members)
-        out = np.where(sizes[members] >= least, members, -1)
-        return pd.DataFrame({group: pdf[group].iloc[0], "node": nodes, "community": out})
+            members = part[members]
+            _, label = np.unique(label[first], return_inverse=True)
+        _, found = np.unique(label[members], return_inverse=True)
+        sizes = np.bincount(found)
+        return pd.DataFrame({group: pdf[group].iloc[0], "node": nodes, "community": np.where(sizes[found] >= least, found, -1)})
 
     return edges.groupBy(group).applyInPandas(split, f"{group} long, node long, community int")
