@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..sources.files import not_done
 
 
 def mean_vectors(vectors: DataFrame, key: list[str], weight: str | None = None, normalise: bool = True) -> DataFrame:
@@ -94,7 +95,7 @@ def embed_missing(texts: DataFrame, path: str, key: str, c: str, encode: Callabl
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     left = texts.select(key, c)
     if where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        left = left.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti")
+        left = not_done(left, spark.read.parquet(path), key)
     left.join(encode(left.select(c).distinct(), c), c).select(key, c, "v").write.mode("append").parquet(path)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import scalars as S
 from ..operators import promote, prune, stats
 from ..sources.proxy import Tables, fact_sql
 from .catalog import query
