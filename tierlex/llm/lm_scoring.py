@@ -130,9 +130,14 @@ class Model:
         ranked = rows[order]
         begin = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
         total, of = np.add.reduceat(grad[order], begin, axis=0), ranked[begin]
-        self.sums[name][of] += (total * total).mean(1)
+        self.sums[name][of] += np.einsum("ij,ij->i", total, total) / total.shape[1]
         getattr(self, name)[of] += RATE * total / np.sqrt(self.sums[name][of])[:, None]
 
+    @staticmethod
+    def _order(rows: np.ndarray, size: int) -> np.ndarray:
+        """What sorts the rows; numbers of two bytes are sorted by their digits."""
+        return np.argsort(rows.astype(np.uint16) if size <= 1 << 16 else rows, kind="stable")
+
     def learn(self, w: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> None:
         """One noise-contrastive step on a batch; all its tokens share the noise words."""
         noise = np.minimum(np.searchsorted(self.upto, self.rng.random(NOISE)), len(self.b) - 1)
@@ -144,10 +149,10 @@ class Model:
         np.exp(np.negative(gn, out=gn), out=gn)
         np.divide(-1, np.add(gn, 1, out=gn), out=gn)
         gq = g[:, None] * r + gn @ rn
-        self._step("P", np.argsort(c1, kind="stable"), c1, gq)
-        self._step("Q", np.argsort(c2, kind="stable"), c2, gq)
+        self._step("P", self._order(c1, len(self.P)), c1, gq)
+        self._step("Q", self._order(c2, len(self.Q)), c2, gq)
         both = np.concatenate([w, noise])
-        order = np.argsort(both, kind="stable")
+        order = self._order(both, len(self.R))
         self._step("R", order, both, np.concatenate([g[:, None] * q, gn.T @ q]))
         self._step("b", order, both, np.concatenate([g, gn.sum(0)])[:, None])
 
