@@ -172,7 +172,7 @@ def tune(vectors: DataFrame, town: int, depths=(2, 3), rounds=(4, 8), dims: Data
     trees = GBTClassifier(seed=SEED, weightCol="weight")
     settings = ParamGridBuilder().addGrid(trees.maxDepth, list(depths)).addGrid(trees.maxIter, list(rounds)).build()
     f1 = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
-    fitted = CrossValidator(estimator=trees, estimatorParamMaps=settings, evaluator=f1, numFolds=3, foldCol="fold").fit(rows)
+    fitted = CrossValidator(estimator=trees, estimatorParamMaps=settings, evaluator=f1, numFolds=3, foldCol="fold", parallelism=4).fit(rows)
     found = [(p[trees.maxDepth], p[trees.maxIter], float(x)) for p, x in zip(settings, fitted.avgMetrics, strict=True)]
     return vectors.sparkSession.createDataFrame(found, "depth int, rounds int, f1 double")
 

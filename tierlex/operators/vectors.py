@@ -49,7 +49,7 @@ def neighbours(vectors: DataFrame, k: int = 5, key: str = "town_id") -> DataFram
     """The k most similar other words of the same group: key, a, b, cos, nth.
 
     A group is cut into blocks, and each pair of blocks is one product of matrices that gives the k best
-    of its rows only; what windows compare are k rows a word and block.  Cosines are rounded to 9 places.
+    of its rows only; what windows compare are k rows a word and block.  Cosines are compared at 9 places.
     """
     sizes = vectors.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     rows = vectors.select(key, "vec_id", "v").join(sizes, key).withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).withColumn("all", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -62,15 +62,15 @@ def neighbours(vectors: DataFrame, k: int = 5, key: str = "town_id") -> DataFram
             b = b.sort_values("id2")
             x, y, ids = np.stack(a["x"]), np.stack(b["x2"]), b["id2"].to_numpy()
             n = np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(y, axis=1)[None, :]
-            cos = np.round(np.where(n == 0, 0.0, x @ y.T / np.where(n == 0, 1.0, n)), 9)
+            cos = np.where(n == 0, 0.0, x @ y.T / np.where(n == 0, 1.0, n))
             for i, word in enumerate(a["id"].tolist()):
-                row = np.where(ids == word, -np.inf, cos[i])
-                out += [(a["k"].iloc[0], word, ids[j], row[j]) for j in np.argsort(-row, kind="stable")[:k] if row[j] > -np.inf]
+                row = np.where(ids == word, -np.inf, np.round(cos[i], 9))
+                out += [(a["k"].iloc[0], word, ids[j], cos[i, j]) for j in np.argsort(-row, kind="stable")[:k] if row[j] > -np.inf]
         return pd.DataFrame(out, columns=[key, "a", "b", "cos"])
 
     kind = f"{key} {dict(vectors.dtypes)[key]}, a long, b long, cos double"
     pairs = a.groupBy("k", "lo", "hi").cogroup(b.groupBy("k2", "lo2", "hi2")).applyInPandas(best, kind)
-    order = Window.partitionBy("a").orderBy(F.desc("cos"), "b")
+    order = Window.partitionBy("a").orderBy(F.desc(F.round("cos", 9)), "b")
     return pairs.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
 
 
