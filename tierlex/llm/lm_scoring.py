@@ -39,6 +39,8 @@ TAIL, TAILS = 3, 4096
 CONTEXTS, CONTEXT_TAILS = 1024, 255
 DIM, NOISE, BATCH, RATE, WARM = 16, 128, 1024, 0.03, 1.0
 ROUNDS, SHARD_TOKENS = 4, 2_000_000
+#: Bytes of text that are cut into words at once.
+SLICE = 1 << 20
 #: Tokens that are shuffled together before they are learned from.
 BUFFER = 1 << 17
 #: Rows that averaging ends with before the last.
@@ -184,7 +186,7 @@ def count_tokens(train: DataFrame) -> DataFrame:
     """(token, tail, n) over all texts; a token is the hash of a word or of the end, tail its class by the last bytes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, limit=SLICE):
             hashes, tails, _ = sequence(Words(*flat(batch.column(0))))
             tokens, at, n = np.unique(hashes, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(tails[at].astype(np.int32)), pa.array(n)], ["token", "tail", "n"])
@@ -220,7 +222,7 @@ def fit(train: DataFrame, vocab: Vocabulary, dim: int = DIM, rounds: int | None
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = shared()
         kind = np.uint16 if vocab.size <= 1 << 16 else np.int32
-        for batch in small_batches(batches, limit=1 << 21):
+        for batch in small_batches(batches, limit=SLICE):
             tokens, tails, first = sequence(Words(*flat(batch.column(2))))
             rows = vocab.rows(vocab.find(tokens), tails).astype(kind)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([rows[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], ["shard", "mark", "rows"])
@@ -308,7 +310,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own:
         model.set_parameters(parameters)
         base_of = np.log10(vocab.count + 1.0) - floor
         tail_of = np.where((vocab.row > 0) & (vocab.row <= TAILS), np.log10(vocab.count + 1.0), 0.0)
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, limit=SLICE):
             tokens, tails, first = sequence(Words(*flat(batch.column(3))))
             at = vocab.find(tokens)
             w = vocab.rows(at, tails)
