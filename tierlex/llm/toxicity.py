@@ -47,7 +47,7 @@ def unique_features(rows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, n
 def fit(texts: pa.Array, labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray, float]:
     """Places and values of the weights that aren't nought, and the bias; the same rows give the same model."""
     examples: list[np.ndarray] = []
-    for batch in small_batches(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
+    for batch in small_batches(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), limit=1 << 20):
         rows, places = unique_features(*features(Words(*flat(batch.column(0)))))
         examples += [x.astype(np.int32) for x in np.split(places, np.searchsorted(rows, np.arange(1, batch.num_rows)))]
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)  # the last is the bias
@@ -116,7 +116,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], id_col:
         table = np.zeros(1 << BITS)
         table[places] = values
         used = table != 0
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, limit=1 << 20):
             rows, at = features(Words(*flat(batch.column(2))))
             hit = used[at]
             rows, at = unique_features(rows[hit], at[hit])
