@@ -51,16 +51,23 @@ def levels_of(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Facts, words' statistics and levels, made once for all that a query does with them."""
     if not hasattr(t, "levels_"):
         facts = t.kept(t.reef_words())
-        ws = t.kept(stats.word_stats(t.words, facts))
-        t.levels_ = facts, ws, t.kept(promote.export_level(facts, ws))
+        ws = stats.word_stats(t.words, facts)
+        both = t.kept(ws.join(promote.export_level(facts, ws).select("word_id", "level"), "word_id", "left"))
+        levels = both.where("level is not null").select("word_id", "specificity", "town_count", "island_count", "level")
+        t.levels_ = facts, both.drop("level"), levels
     return t.levels_
 
 
+def whole_index(t: Tables) -> DataFrame:
+    """All three levels' weights."""
+    facts, ws, levels = levels_of(t)
+    return promote.export_index(promote.reef_weights(facts, ws, levels), promote.town_weights(facts, ws, levels), promote.island_weights(facts, levels, t.islands.count()))
+
+
 def index_of(t: Tables) -> DataFrame:
-    """All three levels' weights, made once."""
+    """The index as a table, made once."""
     if not hasattr(t, "index_"):
-        facts, ws, levels = levels_of(t)
-        t.index_ = t.kept(promote.export_index(promote.reef_weights(facts, ws, levels), promote.town_weights(facts, ws, levels), promote.island_weights(facts, levels, t.islands.count())))
+        t.index_ = t.kept(whole_index(t))
     return t.index_
 
 
@@ -166,7 +173,7 @@ def island_weights(t):
 
 @query(f"{FULL} SELECT * FROM ei")
 def export_index(t):
-    return index_of(t)
+    return whole_index(t)
 
 
 @query(f"{FULL} SELECT 'reef-town' AS pair, count(*) AS n FROM (SELECT word_id FROM rwt INTERSECT SELECT word_id FROM twt) UNION ALL SELECT 'reef-island', count(*) FROM (SELECT word_id FROM rwt INTERSECT SELECT word_id FROM iwt) UNION ALL SELECT 'town-island', count(*) FROM (SELECT word_id FROM twt INTERSECT SELECT word_id FROM iwt)")
