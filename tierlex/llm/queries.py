@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, jaccard_join, language_id, line_dedup, lm_scoring, mixing, suffix_dedup, token_counts, toxicity
+from . import decontamination, divergence, exact_dedup, jaccard_join, language_id, line_dedup, lm_scoring, mixing, packing, suffix_dedup, token_counts, toxicity, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,10 +65,30 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.learn(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_suffix_dedup, op3_mixing, op4_jaccard_join, op5_toxicity, op6_exact_dedup, op7_token_counts, op8_decontamination, op9_lm_scoring, op10_language_id)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
+OPERATORS = (
+    op1_line_dedup, op2_suffix_dedup, op3_mixing, op4_jaccard_join, op5_toxicity, op6_exact_dedup, op7_token_counts,
+    op8_decontamination, op9_lm_scoring, op10_language_id, op11_whitening, op12_packing, op13_divergence,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.SQL.format(docs="documents"),
+    "op13_divergence": divergence.SQL.format(docs="documents"),
     "op3_mixing": mixing.SQL.format(docs="documents"),
     "op6_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
