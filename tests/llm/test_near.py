@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tierlex.llm import exact_dedup, jaccard_join, line_dedup, suffix_dedup
+from tierlex.llm import exact_dedup, jaccard_join, line_dedup, queries, suffix_dedup
 from tierlex.llm.shared import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, kept string, group_size int, ID string"
@@ -93,11 +93,36 @@ def test_suffix_dedup_of_long_runs_and_long_texts(spark):
     got = sorted(removed(spark, spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit(1)).repartition(3)), key=str)
     assert got == sorted(((i, x) for (i, _), x in zip(rows, brute_repeats([t for _, t in rows], 200), strict=True)), key=str)
     for t in (b" " * 100_000, b"ab" * 50_000, b"abcdefghijklmnopqrst" * 5_000):
-        _, _, start, n = suffix_dedup.contexts(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
+        _, _, start, n, _ = suffix_dedup.contexts(np.frombuffer(t, np.uint8), np.array([0, len(t)]))
         assert (n + 199).sum() < 4 * len(t)
         assert sorted(x for s, k in zip(start, n, strict=True) for x in range(s, s + k)) == list(range(len(t) - 199))
 
 
+def test_repeats_inside_one_context(spark):
+    """Periodic texts, each alone with its anchors: repeats closer to each other than they are long."""
+    words = "The of lorem ipsum Straße naïve one a".split()
+    texts = ["The " + "x" * 230, ("a phrase of forty-one bytes, said again; " * 6)[:241], "y" * 200, "z" * 201, "-" * 199]
+    texts += [f"{i} " + f"{w}{i} " * 20 * (1 + i) + f" end{i}" for i, w in enumerate(words)] + ["".join(chr(97 + i) * 30 + f"{i}" for i in range(20))]
+    want = dict(enumerate(brute_repeats(texts, 200)))
+    assert want[0][1] == 230 and want[1][1] == 241 and want[2][1] == 0 and want[3][1] == 201
+    for group in (20_000, 0):
+        assert dict(removed(spark, frame(spark, texts), group=group)) == want
+    length, groups = 30, {}
+    for r in suffix_dedup.repeat_groups(frame(spark, texts), length=length, gram=7).collect():
+        groups.setdefault((r.r1, r.r2), []).append((r.doc_id, r.start, r.length))
+    covered = {(i, s + k) for places in groups.values() for i, s, n in places for k in range(n - length + 1)}
+    raw = [t.encode() for t in texts]
+    seen = Counter(t[i : i + length] for t in raw for i in range(len(t) - length + 1))
+    assert covered == {(d, i) for d, t in enumerate(raw) for i in range(len(t) - length + 1) if seen[t[i : i + length]] > 1}
+
+
+def test_suffix_dedup_query_on_a_whole_table(spark):
+    texts = dict(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect())
+    want = dict(zip(texts, brute_repeats(list(texts.values()), 200), strict=True))
+    found = {r[0]: tuple(r[1:]) for r in queries.op2_suffix_dedup(spark, "/root/testdata/sf0.01").collect()}
+    assert found == want
+
+
 def test_repeat_groups_have_all_occurrences(spark):
     """Every window that occurs twice is in a repeat at each of its places, and a repeat's string stands at all places given."""
     texts = [t or "" for t in corpus()]

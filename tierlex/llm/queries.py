@@ -89,6 +89,7 @@ QUERIES = {f.__name__: f for f in OPERATORS}
 ORACLE_SQL = {
     "op1_line_dedup": line_dedup.SQL.format(docs="documents"),
     "op13_divergence": divergence.SQL.format(docs="documents"),
+    "op2_suffix_dedup": suffix_dedup.SQL.format(docs="documents"),
     "op3_mixing": mixing.SQL.format(docs="documents"),
     "op6_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256

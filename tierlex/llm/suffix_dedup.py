@@ -3,7 +3,8 @@
 Of the GRAM-byte strings in a window of LENGTH bytes the one with the least hash is the window's anchor;
 equal windows have equal anchors.  So windows are dealt out by anchor: a context is a row of windows
 around one place of an anchor, which stays theirs as long as it is in the window, and windows of
-contexts with different anchors are different.  Contexts whose anchor occurs once hold no repeat.
+contexts with different anchors are different.  A context alone with its anchor holds a repeat only if its
+first and its last window see the anchor's string at different places, as in a phrase that goes on and on.
 Equal contexts are counted as one; different ones with the same anchor go to one task, which sorts the
 suffixes that may begin a repeat, computes their common prefixes, and scans the array with a stack: each
 common-prefix interval of LENGTH bytes or more whose members differ in the byte before them is a maximal
@@ -70,7 +71,11 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """anchor, row, first window (place in the text) and number of windows of every context."""
+    """anchor, row, first window (place in the text), number of windows, and whether the anchor's string is there twice, of every context.
+
+    Two equal windows of a context hold its anchor at places as far apart as they are; the last window then
+    has a later place of it than the first.
+    """
     low = U64((1 << 21) - 1)
     out: list[tuple] = []
     for base in range(0, max(1, len(data) - length + 1), TILE):
@@ -91,11 +96,11 @@ def contexts(data: np.ndarray, at: np.ndarray, length: int = LENGTH, gram: int =
         end = np.append(begin[1:], len(place))
         while len(begin):  # an anchor stays as long as it is in the window, so a run of one byte changes it only now and then
             upto = np.minimum(end, begin + last[begin] - place[begin] + 1)
-            out.append((mix(value[begin]), row[begin], base + place[begin] - at[row[begin]], upto - begin))
+            out.append((mix(value[begin]), row[begin], base + place[begin] - at[row[begin]], upto - begin, last[upto - 1] > last[begin]))
             more = upto < end
             begin, end = upto[more], end[more]
     if not out:
-        return np.zeros(0, U64), *(np.zeros(0, np.int64) for _ in range(3))
+        return np.zeros(0, U64), *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, bool)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -267,14 +272,14 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, ou
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, limit=TILE):
-            anchor, row, start, n = contexts(*flat(batch.column(2)), length, gram)
+            anchor, row, start, n, twice = contexts(*flat(batch.column(2)), length, gram)
             of = batch.select([0, 1]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([*of.columns, pa.array(anchor.view(np.int64)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))], ["doc_id", "body", "anchor", "start", "n"])
+            yield pa.RecordBatch.from_arrays([*of.columns, pa.array(anchor.view(np.int64)), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(twice)], ["doc_id", "body", "anchor", "start", "n", "twice"])
 
-    found = durable(rows.mapInArrow(cut, "doc_id long, body long, anchor long, start int, n int"))
+    found = durable(rows.mapInArrow(cut, "doc_id long, body long, anchor long, start int, n int, twice boolean"))
     # a table of its own, so that adaptive execution can split the join at anchors of many places
-    again = durable(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"))
-    mine = durable(found.join(again, "anchor").groupBy("doc_id", "body").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("parts")))
+    again = durable(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("times"), F.max("twice").alias("twice")).where("times > 1 or twice").select("anchor"))
+    mine = durable(found.join(again, "anchor").groupBy("doc_id", "body").agg(F.collect_list(F.struct("start", "n", "anchor", "twice")).alias("parts")))
     forget(found)
     forget(again)
 
@@ -282,30 +287,30 @@ def _cut(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, ou
         """Of a document without parts its output, else its text and its contexts; a task gives the bytes of equal contexts once."""
         seen: set[bytes] = set()
         for batch in small_batches(batches, limit=1 << 20):
-            of, anchors, starts, d1, d2, bytes_, whole, outs = [], [], [], [], [], [], [], []
+            of, anchors, starts, twice, d1, d2, bytes_, whole, outs = [], [], [], [], [], [], [], [], []
             for row, (t, parts) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
                 raw = t.encode("utf-8", "surrogatepass")
-                of.append(row), anchors.append(None), starts.append(len(raw)), d1.append(None), d2.append(None), bytes_.append(None)
+                of.append(row), anchors.append(None), starts.append(len(raw)), twice.append(None), d1.append(None), d2.append(None), bytes_.append(None)
                 whole.append(t if parts else None), outs.append(None if parts else dict(zip(names, output.of(raw, []), strict=True)))
-                for start, n, anchor in {(p["start"], p["n"], p["anchor"]) for p in parts or ()}:
+                for start, n, anchor, again_ in {(p["start"], p["n"], p["anchor"], p["twice"]) for p in parts or ()}:
                     x = raw[start : start + n + length - 1]
                     digest = hashlib.blake2b(x, digest_size=16).digest()
                     if len(seen) > 100_000:
                         seen.clear()
-                    of.append(row), anchors.append(anchor), starts.append(start), whole.append(None), outs.append(None)
+                    of.append(row), anchors.append(anchor), starts.append(start), twice.append(again_), whole.append(None), outs.append(None)
                     d1.append(int.from_bytes(digest[:8], "little", signed=True)), d2.append(int.from_bytes(digest[8:], "little", signed=True))
                     bytes_.append(None if digest in seen else x)
                     seen.add(digest)
             keys = batch.select([0, 1]).take(pa.array(of, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(anchors, pa.int64()), pa.array(starts, pa.int32()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(bytes_, pa.binary()), pa.array(whole, pa.string()), pa.array(outs, kind)], ["doc_id", "body", "anchor", "start", "d1", "d2", "bytes", "text", "out"])
+            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(anchors, pa.int64()), pa.array(starts, pa.int32()), pa.array(twice, pa.bool_()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(bytes_, pa.binary()), pa.array(whole, pa.string()), pa.array(outs, kind)], ["doc_id", "body", "anchor", "start", "twice", "d1", "d2", "bytes", "text", "out"])
 
-    schema = f"doc_id long, body long, anchor long, start int, d1 long, d2 long, bytes binary, text string, out {struct}"
+    schema = f"doc_id long, body long, anchor long, start int, twice boolean, d1 long, d2 long, bytes binary, text string, out {struct}"
     theirs = mine.select(F.col("doc_id").alias("id"), F.col("body").alias("of"), "parts")
     parted = durable(rows.join(theirs, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("of")), "left").select("doc_id", "body", "text", "parts").mapInArrow(slice_, schema))
     forget(mine)
     places = parted.where("anchor is not null").drop("text", "out")
-    distinct = durable(places.groupBy("anchor", "d1", "d2").agg(F.count(F.lit(1)).alias("copies"), F.max("bytes").alias("bytes")))
-    return _Parts(parted, places, distinct, durable(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"))))
+    distinct = durable(places.groupBy("anchor", "d1", "d2").agg(F.count(F.lit(1)).alias("copies"), F.max("bytes").alias("bytes"), F.max("twice").alias("twice")))
+    return _Parts(parted, places, distinct, durable(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"), F.max("twice").alias("twice"))))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP, output: Output = KEPT) -> DataFrame:
@@ -319,7 +324,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parted, places, distinct, sizes = _cut(docs, id_col, text_col, length, gram, output)
     one = F.array(F.struct(F.lit(0).alias("a"), F.octet_length("bytes").cast("int").alias("b")))
     copied = distinct.where("copies > 1").select("anchor", "d1", "d2", one.alias("ranges"))
-    single = distinct.select("anchor", "d1", "d2", "bytes").join(sizes.where(f"contexts > 1 and contexts <= {group}").select("anchor"), "anchor")
+    single = distinct.select("anchor", "d1", "d2", "bytes").join(sizes.where(f"(contexts > 1 or twice) and contexts <= {group}").select("anchor"), "anchor")
     sorted_ = single.select("anchor", "d1", "d2", "bytes").repartition("anchor").sortWithinPartitions("anchor")
     ranges = copied.unionByName(sorted_.mapInArrow(_ranges_of_groups(length), f"anchor long, d1 long, d2 long, ranges {RANGES}"))
     if sizes.where(f"contexts > {group}").limit(1).count():
@@ -367,6 +372,25 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             of = pa.Table.from_batches(t.select(["anchor", "d1", "d2"]).combine_chunks().to_batches(), t.select(["anchor", "d1", "d2"]).schema).take(pa.array(cols[0], pa.int64())).combine_chunks()
             yield pa.RecordBatch.from_arrays([*(pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in of.columns), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.int32())], ["anchor", "d1", "d2", "r1", "r2", "length", "at"])
 
-    several = distinct.join(sizes.select("anchor", "contexts"), "anchor").where("contexts > 1 or copies > 1")
+    several = distinct.drop("twice").join(sizes, "anchor").where("contexts > 1 or copies > 1 or twice")
     repeats = several.select("anchor", "d1", "d2", "bytes", "copies").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(scan, "anchor long, d1 long, d2 long, r1 long, r2 long, length int, at int")
     return places.select("doc_id", "anchor", "d1", "d2", "start").join(repeats, ["anchor", "d1", "d2"]).select("r1", "r2", "length", "doc_id", (F.col("start") + F.col("at")).alias("start")).distinct()
+
+
+#: Every window of 200 bytes by its digest, as hexadecimal digits.
+SQL = """
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS digits FROM {docs}),
+windows AS (
+  SELECT row, i, md5(substr(digits, 2 * i + 1, 400)) AS digest
+  FROM (SELECT row, digits, unnest(range(0, greatest(0, length(digits) // 2 - 199))) AS i FROM texts)),
+repeated AS (SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY digest) > 1),
+islands AS (SELECT row, i, sum(CASE WHEN i <= before + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY row ORDER BY i) AS island
+            FROM (SELECT row, i, lag(i) OVER (PARTITION BY row ORDER BY i) AS before FROM repeated)),
+spans AS (SELECT row, min(i) AS a, max(i) + 200 AS b FROM islands GROUP BY row, island),
+parts AS (
+  SELECT s.row, s.a, s.b, substr(t.digits, 2 * coalesce(lag(s.b) OVER w, 0) + 1, 2 * (s.a - coalesce(lag(s.b) OVER w, 0))) AS kept
+  FROM spans s JOIN texts t USING (row) WINDOW w AS (PARTITION BY s.row ORDER BY s.a)),
+lost AS (SELECT row, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS upto, string_agg(kept, '' ORDER BY a) AS kept FROM parts GROUP BY row)
+SELECT doc_id, (length(digits) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(digits, 2 * coalesce(upto, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN lost USING (row)"""
