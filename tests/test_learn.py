@@ -1,11 +1,13 @@
 """Classifiers, their samples and features, neighbours by blocks, and terms with compounds, against plain versions."""
 
+import hashlib
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tierlex.operators import learn, text, vectors
+from tierlex.operators import boost, learn, text, vectors
 from tierlex.operators.stats import dim_stats
 
 
@@ -36,25 +38,37 @@ def test_neighbours_in_blocks(spark, monkeypatch, block):
 
 def test_negatives_and_folds(spark):
     rows, df = words(spark)
-    positives = sum(r[1] == 4 for r in rows)
-    pools = {}
-    for r in learn.negatives(df, 4, per=2).collect():
-        pools.setdefault(r.pool, set()).add(r.vec_id)
-    by = {r[0]: r for r in rows}
-    assert (len(pools["sibling"]), len(pools["global"])) == (min(positives, sum(r[1] == 1 for r in rows)), positives)
-    assert all(by[i][1] != 4 and (by[i][2] == 1) == (pool == "sibling") for pool, ids in pools.items() for i in ids)
-    assert {r.pool for r in learn.negatives(df, 4, per=2, siblings=False).collect()} == {"global"}
-    sample = learn.sample_of(df, 4, dim_stats(df)).collect()
-    for label in (0.0, 1.0):
-        sizes = [sum(r.fold == k and r.label == label for r in sample) for k in range(learn.FOLDS)]
-        assert max(sizes) - min(sizes) <= 1
-    assert {r.weight for r in sample if r.label == 1} == {sum(r.label == 0 for r in sample) / positives}
+    both = [(5, 77, 2, 0, [1.0] * 6, None), (6, 78, 1, 0, [1.0] * 6, None)]  # words of two towns
+    rows, df = rows + both, df.union(spark.createDataFrame(both, df.schema))
+    island = {r[1]: r[2] for r in rows}
+    members = {t: {r[0] for r in rows if r[1] == t} for t in island}
+    at = {i: {r[0] for r in rows if r[2] == i} for i in set(island.values())}
+    every = {r[0] for r in rows}
+    for siblings in (True, False):
+        pools = {}
+        for r in learn.negatives(df, per=2, siblings=siblings).collect():
+            pools.setdefault((r.town_id, r.pool), []).append(r.vec_id)
+        for town, own in members.items():
+            hard, easy = (at[island[town]] - own, every - at[island[town]]) if siblings else (set(), every - own)
+            order = lambda i: hashlib.md5(f"{i}:{learn.SEED}".encode()).hexdigest()
+            n = min(len(hard), len(own))
+            assert sorted(pools.get((town, "sibling"), [])) == sorted(sorted(hard, key=order)[:n])
+            assert sorted(pools.get((town, "global"), [])) == sorted(sorted(easy, key=order)[: 2 * len(own) - n])
+    sample = learn.samples(df, dim_stats(df)).collect()
+    assert {r.town_id for r in sample} == {t for t, own in members.items() if len(own) >= learn.LEAST_POSITIVES}
+    for town in {r.town_id for r in sample}:
+        mine = [r for r in sample if r.town_id == town]
+        for label in (0.0, 1.0):
+            sizes = [sum(r.fold == k and r.label == label for r in mine) for k in range(learn.FOLDS)]
+            assert max(sizes) - min(sizes) <= 1
+        assert {r.weight for r in mine if r.label == 1} == {sum(r.label == 0 for r in mine) / len(members[town])}
 
 
 def test_features_are_plain(spark):
     rows, df = words(spark, 60)
+    pairs = df.drop("town_id").crossJoin(spark.createDataFrame([(2,), (99,)], "town_id long"))
+    got = {(r.town_id, r.vec_id): r.x for r in learn.features(pairs, df, dim_stats(df), k=3).collect()}
     own = [r for r in rows if r[1] == 2]
-    got = {r.vec_id: r.x for r in learn.features(df, df.where("town_id = 2"), dim_stats(df), k=3).collect()}
     x = np.array([r[4] for r in rows])
     z = (x - x.mean(0)) / x.std(0)
     unit = lambda v: np.asarray(v) / np.linalg.norm(v)
@@ -62,20 +76,113 @@ def test_features_are_plain(spark):
     for k, r in enumerate(rows):
         near = sorted((float(unit(r[4]) @ unit(o[4])) for o in own if o[0] != r[0]), reverse=True)[:3]
         want = [*z[k], *(float(r[5] == p) for p in ("noun", "verb", "adj", "adv")), np.mean(near), float(unit(r[4]) @ middle)]
-        assert got[r[0]] == pytest.approx(want)
+        assert got[2, r[0]] == pytest.approx(want)
+        assert got[99, r[0]] == pytest.approx([*want[:-2], 0.0, 0.0])
     assert learn.feature_names(6)[6:] == ["pos_noun", "pos_verb", "pos_adj", "pos_adv", "knn_mean", "centroid_cos"]
-    assert len(learn.features(df, df.limit(0), dim_stats(df)).first().x) == 12
 
 
-def test_classifier_is_saved_and_predicts_all_words(spark, tmp_path):
+def plain_trees(x, y, w, out, s, edges):
+    """Boosting of one model row by row, without Spark: (tree, node) to feature, bin and value; and the rounds that count."""
+    bins = np.stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(edges)], 1)
+    z, nodes, best, tree = np.zeros(len(x)), {}, (np.inf, 0), 0
+    while True:
+        p = 1 / (1 + np.exp(-z))
+        loss = -(w * np.log(np.where(y == 1, p, 1 - p)))[out].sum() / w[out].sum()
+        if loss < best[0] - 1e-12:
+            best = loss, tree
+        if tree >= s.rounds or tree - best[1] > s.patience:
+            return nodes, best[1]
+        g, h, here = w * (p - y), w * p * (1 - p), {0: np.flatnonzero(~out)}
+        soft = lambda v: max(abs(v) - s.alpha, 0.0)
+        score = lambda i: soft(g[i].sum()) ** 2 / (h[i].sum() + s.penalty)  # noqa: E731, B023
+        at = np.zeros(len(x), int)
+        for level in range(s.depth + 1):
+            for n, rows in sorted(here.items()):
+                value = -s.rate * np.sign(g[rows].sum()) * soft(g[rows].sum()) / (h[rows].sum() + s.penalty)
+                found = []
+                for f in range(x.shape[1]) if level < s.depth else ():
+                    for b in sorted(set(bins[rows, f])):
+                        left, right = rows[bins[rows, f] <= b], rows[bins[rows, f] > b]
+                        if len(left) and len(right) and h[left].sum() >= s.least_child and h[right].sum() >= s.least_child:
+                            found.append((round(score(left) + score(right) - score(rows), 9), -f, -b))
+                gain, f, b = max(found, default=(0, 0, 0))
+                nodes[tree, n] = (-f, -b, value) if gain > 0 else (-1, 0, value)
+                if gain > 0:
+                    mine = at == n
+                    at[mine] = 2 * n + 1 + (bins[mine, -f] > -b)
+            here = {n: np.flatnonzero(~out & (at == n)) for n in set(at[~out].tolist()) if (tree, n) not in nodes}
+        z += np.array([nodes[tree, n][2] for n in at])
+        tree += 1
+
+
+@pytest.mark.parametrize("keep", [16, 2])
+def test_trees_of_many_models_equal_plain_ones(spark, monkeypatch, keep):
+    monkeypatch.setattr(boost, "KEEP", keep)
+    rng = np.random.default_rng(4)
+    data, settings = {}, {}
+    for m in range(5):
+        n = 60 + 30 * m
+        x = np.round(rng.standard_normal((n, 4)), 2)
+        y = (x[:, m % 4] + 0.5 * x[:, (m + 1) % 4] + rng.normal(0, 0.3, n) > 0.4).astype(float)
+        data[f"m{m}"] = x, y, np.where(y == 1, 2.0, 1.0), np.arange(n) % 5 == 0
+        settings[f"m{m}"] = boost.Setting(depth=2 + m % 2, rounds=3 + m, rate=0.4, rows=1.0, columns=1.0, patience=2 + m)
+    rows = [(m, i, float(y[i]), float(w[i]), bool(out[i]), [float(v) for v in x[i]]) for m, (x, y, w, out) in data.items() for i in range(len(y))]
+    df = spark.createDataFrame(rows, "model string, vec_id long, label double, weight double, held_out boolean, x array<double>").repartition(5)
+    edges = np.tile(np.linspace(-2, 2, boost.BINS - 1), (4, 1))
+    model = boost.train(df, settings, edges)
+    found = {}
+    for r in model.trees.collect():
+        found.setdefault(r.model, {})[r.tree, r.node] = r
+    scores = {(r.model, r.vec_id): r.score for r in boost.predict(model.trees, df.select("model", "vec_id", "x")).collect()}
+    for m, (x, y, w, out) in data.items():
+        nodes, rounds = plain_trees(x, y, w, out, settings[m], edges)
+        assert model.rounds[m] == rounds > 0
+        want = {k: v for k, v in nodes.items() if k[0] < rounds}
+        assert set(found[m]) == set(want)
+        for k, (f, b, value) in want.items():
+            assert (found[m][k].feature, found[m][k].bin if f >= 0 else 0) == (f, b) and found[m][k].value == pytest.approx(value)
+        bins = np.stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(edges)], 1)
+        for i in range(len(y)):
+            z = 0.0
+            for t in range(rounds):
+                n = 0
+                while want[t, n][0] >= 0:
+                    n = 2 * n + 1 + (bins[i, want[t, n][0]] > want[t, n][1])
+                z += want[t, n][2]
+            assert scores[m, i] == pytest.approx(1 / (1 + np.exp(-z)))
+    monkeypatch.setattr(boost, "MOST_NODES", 20)
+    again = {(r.model, r.vec_id): r.score for r in boost.predict(model.trees, df.unionByName(df.limit(3).withColumn("model", F.lit("none"))).select("model", "vec_id", "x")).collect()}
+    assert {k: v for k, v in again.items() if k[0] != "none"} == scores and {v for k, v in again.items() if k[0] == "none"} == {0.5}
+
+
+def test_rounds_with_shares_of_rows_and_columns(spark):
+    """Rows and columns of a round are drawn by seeded hashes: the same trees however rows are spread, and only columns that were drawn."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((200, 10))
+    rows = [("a", i, float(x[i, 0] > 0), 1.0, i % 7 == 0, x[i].tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "model string, vec_id long, label double, weight double, held_out boolean, x array<double>")
+    setting, edges = boost.Setting(depth=3, rounds=4, rate=0.3), boost.edges_of(df)
+    trees = lambda d: sorted((r.tree, r.node, r.feature, r.bin, round(r.value, 9)) for r in boost.train(d, setting, edges).trees.collect())
+    first = trees(df.repartition(1))
+    assert first == trees(df.repartition(7))
+    for tree in {t for t, *_ in first}:
+        assert {f for t, _, f, *_ in first if t == tree and f >= 0} <= set(np.flatnonzero(boost._columns(10, 0.84, tree)).tolist())
+    assert boost.train(df.limit(0), setting, edges).trees.count() == 0
+
+
+def test_classifiers_are_saved_and_predict_all_words(spark, tmp_path):
     rows, df = words(spark)
-    model = learn.train_or_load(df, 1, f"{tmp_path}/m")
-    again = learn.train_or_load(df.limit(0), 1, f"{tmp_path}/m")
-    assert again.toDebugString == model.toDebugString
-    assert learn.train_or_load(df.limit(5), 1, f"{tmp_path}/few") is None
-    scores = {r.word_id: r.score for r in learn.predict(model, df, 1).collect()}
-    assert len(scores) == len(rows)
-    assert np.mean([scores[r[0]] for r in rows if r[1] == 1]) > 0.5 + np.mean([scores[r[0]] for r in rows if r[1] != 1])
+    dims = dim_stats(df)
+    some = learn.train_or_load(df.where("town_id < 2"), f"{tmp_path}/m", dims)
+    assert {r.model for r in some.collect()} == {"0", "1"}
+    trees = learn.train_or_load(df, f"{tmp_path}/m", dims)
+    assert {r.model for r in trees.collect()} == {str(t) for t in range(6)}
+    assert learn.train_or_load(df, f"{tmp_path}/m", dims).count() == trees.count()
+    assert learn.train_or_load(df.limit(5), f"{tmp_path}/few", dims).count() == 0
+    scores = {(r.town_id, r.word_id): r.score for r in learn.predict_all(trees, df, df, dims).collect()}
+    assert len(scores) == 6 * len(rows)
+    for t in range(6):
+        assert np.mean([scores[t, r[0]] for r in rows if r[1] == t]) > 0.3 + np.mean([scores[t, r[0]] for r in rows if r[1] != t])
 
 
 def test_average_precision(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tierlex.functions import scalars as S
 from tierlex.functions import stemming
-from tierlex.operators import learn, reefs, sweep
+from tierlex.operators import boost, learn, reefs, sweep
 
 VECTORS = "town_id long, vec_id long, v array<double>"
 
@@ -111,16 +111,18 @@ def test_hashed_vectors(spark):
 
 def test_importances_and_tuning(spark):
     rows = spark.createDataFrame([(i, i % 2, 0, [float(i % 2), float(i % 5)]) for i in range(60)], "vec_id long, town_id long, island_id long, v array<double>")
-    model, _ = learn.train_town(rows, 1)
-    assert learn.importances(spark, model).first().dim == "dim_0"
-    tuned = learn.tune(rows, 1, depths=(2,), rounds=(1, 2)).collect()
-    assert [r.f1 for r in tuned] == [1.0, 1.0]
+    sample = learn.samples(rows)
+    model, _ = learn.train_towns(sample)
+    names = learn.feature_names(2)
+    assert {r.dim for r in boost.importances(model.trees, names).collect()} <= {"dim_0", "knn_mean", "centroid_cos"}
+    tuned = {r.town_id: r for r in learn.tuned(sample, {"b": learn.QUICK._replace(depth=2, rounds=2), "a": learn.QUICK._replace(depth=1, rounds=1)}).collect()}
+    assert {(k, r.setting, r.cv_f1, r.f1) for k, r in tuned.items()} == {(0, "a", 1.0, 1.0), (1, "a", 1.0, 1.0)}
 
 
 def test_every_town_has_rows(spark):
     rows = spark.createDataFrame([(i, i % 3, 0, [float(i % 3), float(i % 5)]) for i in range(90)], "vec_id long, town_id long, island_id long, v array<double>")
-    got = learn.each_town(rows, lambda town: learn.metrics(learn.train_town(rows, town)[1])).collect()
-    assert [(r.town_id, r.f1) for r in got] == [(0, 1.0), (1, 1.0), (2, 1.0)]
+    got = learn.metrics(learn.train_towns(learn.samples(rows))[1], keys=["town_id"]).collect()
+    assert sorted((r.town_id, r.f1, r.auc_pr) for r in got) == [(0, 1.0, 1.0), (1, 1.0, 1.0), (2, 1.0, 1.0)]
 
 
 def test_sweep_grid():

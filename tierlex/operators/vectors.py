@@ -45,16 +45,18 @@ def nearest(sims: DataFrame) -> DataFrame:
 BLOCK = 2048
 
 
-def neighbours(vectors: DataFrame, k: int = 5, key: str = "town_id") -> DataFrame:
-    """The k most similar other words of the same group: key, a, b, cos, nth.
+def nearest_of(queries: DataFrame, points: DataFrame, k: int = 5, key: str = "town_id") -> DataFrame:
+    """For each query (key, vec_id, v) the k most similar points of its group but itself: key, a, b, cos, nth.
 
     A group is cut into blocks, and each pair of blocks is one product of matrices that gives the k best
-    of its rows only; what windows compare are k rows a word and block.  Cosines are compared at 9 places.
+    of its rows only; what windows compare are k rows a query and block.  Cosines are compared at 9 places.
     """
-    sizes = vectors.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    rows = vectors.select(key, "vec_id", "v").join(sizes, key).withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).withColumn("all", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    a = rows.select(F.col(key).alias("k"), F.col("own").alias("lo"), F.col("all").alias("hi"), F.col("vec_id").alias("id"), F.col("v").alias("x"))
-    b = rows.select(F.col(key).alias("k2"), F.col("all").alias("lo2"), F.col("own").alias("hi2"), F.col("vec_id").alias("id2"), F.col("v").alias("x2"))
+    blocks = lambda rows, name: rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+    sizes = blocks(queries, "lows").join(blocks(points, "highs"), key)
+    number = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = queries.select(key, "vec_id", "v").join(sizes, key).select(F.col(key).alias("k"), number("lows").alias("lo"), each("highs").alias("hi"), F.col("vec_id").alias("id"), F.col("v").alias("x"))
+    b = points.select(key, "vec_id", "v").join(sizes, key).select(F.col(key).alias("k2"), each("lows").alias("lo2"), number("highs").alias("hi2"), F.col("vec_id").alias("id2"), F.col("v").alias("x2"))
 
     def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -68,12 +70,17 @@ def neighbours(vectors: DataFrame, k: int = 5, key: str = "town_id") -> DataFram
                 out += [(a["k"].iloc[0], word, ids[j], cos[i, j]) for j in np.argsort(-row, kind="stable")[:k] if row[j] > -np.inf]
         return pd.DataFrame(out, columns=[key, "a", "b", "cos"])
 
-    kind = f"{key} {dict(vectors.dtypes)[key]}, a long, b long, cos double"
+    kind = f"{key} {dict(queries.dtypes)[key]}, a long, b long, cos double"
     pairs = a.groupBy("k", "lo", "hi").cogroup(b.groupBy("k2", "lo2", "hi2")).applyInPandas(best, kind)
-    order = Window.partitionBy("a").orderBy(F.desc(F.round("cos", 9)), "b")
+    order = Window.partitionBy(key, "a").orderBy(F.desc(F.round("cos", 9)), "b")
     return pairs.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
 
 
+def neighbours(vectors: DataFrame, k: int = 5, key: str = "town_id") -> DataFrame:
+    """The k most similar other words of the same group: key, a, b, cos, nth; see `nearest_of`."""
+    return nearest_of(vectors, vectors, k, key)
+
+
 def knn_graph(vectors: DataFrame, k: int = 15, key: str = "town_id") -> DataFrame:
     """Edges a < b with their cosine: b among the k nearest of a, or a among those of b."""
     n = neighbours(vectors, k, key)

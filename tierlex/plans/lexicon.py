@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import export, learn, reports, seeds, stats, sweep, text, vectors
+from ..sources import scratch
 from ..sources.proxy import TOKENS_SQL, VECTORS_SQL, fact_sql
 from .catalog import query
 from .membership import FULL, index_of, levels_of, questions
@@ -517,16 +518,30 @@ def sweep_evaluate(t):
     return sweep.evaluate(*map(t.kept, parts), sweep.frame(t.spark, sweep.coarse(sweep.grid(), COARSE)), asked, expected)
 
 
-@query(f"{VEC}, p AS (SELECT vec_id, CASE WHEN island_id = 1 THEN 'sibling' ELSE 'global' END AS pool FROM vec WHERE town_id <> 4), k AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY md5(vec_id || ':42'), vec_id) AS nth FROM p), n AS (SELECT count(*) AS n FROM vec WHERE town_id = 4) SELECT vec_id, pool FROM k, n WHERE nth <= CASE pool WHEN 'sibling' THEN floor(n * 5 / 2) ELSE ceil(n * 5 / 2) END")
+_NEGATIVES = f"""{VEC}, wd AS (SELECT vec_id, list(DISTINCT island_id) AS islands FROM vec GROUP BY 1), own AS (SELECT DISTINCT town_id, island_id, vec_id FROM vec),
+inl AS (SELECT island_id, count(DISTINCT vec_id) AS k FROM vec GROUP BY 1), tw AS (SELECT town_id, island_id, count(*) AS n FROM own GROUP BY ALL),
+pl AS (SELECT t.town_id, t.n, t.island_id, w.vec_id, CASE WHEN list_contains(w.islands, t.island_id) THEN 'sibling' ELSE 'global' END AS pool FROM tw t, wd w WHERE NOT EXISTS (FROM own o WHERE o.town_id = t.town_id AND o.vec_id = w.vec_id)),
+nm AS (SELECT town_id, vec_id, pool, n, island_id, row_number() OVER (PARTITION BY town_id, pool ORDER BY md5(vec_id || ':42'), vec_id) AS nth FROM pl),
+ng AS (SELECT town_id, vec_id, pool FROM nm JOIN inl USING (island_id) WHERE nth <= CASE pool WHEN 'sibling' THEN least(n * 5 // 2, k - n) ELSE n * 5 - least(n * 5 // 2, k - n) END)"""
+
+
+@query(f"{_NEGATIVES} SELECT * FROM ng")
 def negative_sample(t):
-    return learn.negatives(t.vectors, 4)
+    """The negatives of every town."""
+    return learn.negatives(t.vectors)
 
 
-@query()
-def town_classifier(t):
-    """Held-out metrics of every town's classifier."""
-    words, dims = tagged_vectors(t)
-    return learn.each_town(words, lambda town: learn.metrics(learn.train_town(words, town, dims)[1].where("held_out")))
+@query(f"{VEC}, wd AS (SELECT DISTINCT vec_id FROM vec), own AS (SELECT DISTINCT town_id, vec_id FROM vec), tw AS (SELECT town_id, count(*) AS n FROM own GROUP BY 1), nm AS (SELECT t.town_id, w.vec_id, n, row_number() OVER (PARTITION BY t.town_id ORDER BY md5(w.vec_id || ':42'), w.vec_id) AS nth FROM tw t, wd w WHERE NOT EXISTS (FROM own o WHERE o.town_id = t.town_id AND o.vec_id = w.vec_id)) SELECT town_id, vec_id, 'global' AS pool FROM nm WHERE nth <= n * 5")
+def global_negatives(t):
+    """The negatives of every town where siblings don't count."""
+    return learn.negatives(t.vectors, siblings=False)
+
+
+@query(f"{_NEGATIVES}, sm AS (SELECT town_id, vec_id, 1 AS label FROM own UNION ALL SELECT town_id, vec_id, 0 FROM ng) SELECT town_id, vec_id, label, ((row_number() OVER (PARTITION BY town_id, label ORDER BY md5(vec_id || ':42'), vec_id) - 1) % 7)::INT AS fold FROM sm")
+def sample_folds(t):
+    """The folds of every town's sample."""
+    positives = t.vectors.select("town_id", "vec_id", F.lit(1).alias("label")).distinct()
+    return learn.folds_of(positives.unionByName(learn.negatives(t.vectors).select("town_id", "vec_id", F.lit(0).alias("label")))).select("town_id", "vec_id", "label", "fold")
 
 
 def tagged_vectors(t) -> tuple[DataFrame, DataFrame]:
@@ -536,12 +551,27 @@ def tagged_vectors(t) -> tuple[DataFrame, DataFrame]:
     return words, t.kept(stats.dim_stats(words))
 
 
+@query()
+def town_classifier(t):
+    """Held-out metrics of every town's classifier."""
+    scored = learn.train_towns(t.kept(learn.samples(*tagged_vectors(t))))[1]
+    return learn.metrics(scored.where("held_out"), keys=["town_id"])
+
+
+@query()
+def domain_classifier(t):
+    """Held-out metrics of every town's classifier whose negatives are words of any other town."""
+    scored = learn.train_towns(t.kept(learn.samples(*tagged_vectors(t), siblings=False)))[1]
+    return learn.metrics(scored.where("held_out"), keys=["town_id"])
+
+
 @query()
 def town_predictions(t):
-    """What the classifiers of island 1's towns predict of all words, without their seeds, the words of town 9 as a bucket's, and stop words."""
+    """What all towns' classifiers predict of all words, without their seeds, the words of town 9 as a bucket's, and stop words; the second run finds the classifiers saved."""
     words, dims = tagged_vectors(t)
-    island = words.where("island_id = 1")
-    scores = learn.each_town(island, lambda town: learn.predict(learn.train_town(words, town, dims)[0], words, town, dims).select("word_id", "score"))
+    path = scratch.new_path(t.spark, "classifiers")
+    learn.train_or_load(words, path, dims)
+    scores = t.kept(learn.predict_all(learn.train_or_load(words, path, dims), words, words, dims))
     seeds_ = words.select("town_id", F.col("vec_id").alias("word_id"))
     return reports.accepted(scores, seeds_, seeds_.where("town_id = 9"), seeds_.where("word_id % 50 = 0")).select("town_id", "word_id", "score")
 

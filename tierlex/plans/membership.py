@@ -241,13 +241,28 @@ def island_winner(t):
     return winners(island_scores(questions(t), index_of(t)))
 
 
-@query(f"{FULL}, {_WORDS_OF}, {_SCORES}, {_WIN}, e AS (SELECT query, island_id AS expected FROM (SELECT query, island_id, row_number() OVER (PARTITION BY query ORDER BY sum(weight) DESC, island_id) AS k FROM wq JOIN ei USING (word_id) GROUP BY query, island_id) WHERE k = 1) SELECT query, expected, winner, margin, CASE WHEN winner = expected AND margin >= 1.05 THEN 'PASS' ELSE 'FAIL' END AS status FROM wn JOIN e USING (query)")
+#: Fixed value: a passed question whose margin is below this is thin.
+THIN = 1.05
+
+_BATTERY = """, sums AS (SELECT query, island_id, sum(weight) AS whole FROM wq JOIN ei USING (word_id) GROUP BY ALL),
+e AS (SELECT query, arg_min(island_id, (-whole, island_id)) AS expected FROM sums GROUP BY query)
+SELECT query, expected, winner, coalesce(margin, 0) AS margin, CASE WHEN winner = expected THEN 'PASS' ELSE 'FAIL' END AS status, coalesce(winner = expected AND margin < 1.05, false) AS thin
+FROM (SELECT DISTINCT query FROM wq) LEFT JOIN wn USING (query) LEFT JOIN e USING (query)"""
+
+
+@query(f"{FULL}, {_WORDS_OF}, {_SCORES}, {_WIN}{_BATTERY}")
 def battery_margin(t):
-    """Pass or fail of each question: the island of the largest sum of all weights is the one expected."""
-    scores = island_scores(questions(t), index_of(t))
+    """Pass or fail of each question: the island of the largest sum of all weights is the one expected.
+
+    The winner alone decides; a pass by a small margin is thin.  A question without any hit has no winner and fails with margin 0.
+    """
+    asked = questions(t)
+    scores = t.kept(island_scores(asked, index_of(t)))
     top = scores.groupBy("query").agg(F.max_by("island_id", F.struct("whole", -F.col("island_id"))).alias("expected"))
-    won = winners(scores).join(top, "query")
-    return won.select("query", "expected", "winner", "margin", F.when((F.col("winner") == F.col("expected")) & (F.col("margin") >= 1.05), "PASS").otherwise("FAIL").alias("status"))
+    won = asked.select("query").distinct().join(winners(scores), "query", "left").join(top, "query", "left")
+    passed = F.coalesce(F.col("winner") == F.col("expected"), F.lit(False))
+    margin = F.coalesce("margin", F.lit(0.0))
+    return won.select("query", "expected", "winner", margin.alias("margin"), F.when(passed, "PASS").otherwise("FAIL").alias("status"), (passed & (margin < THIN)).alias("thin"))
 
 
 @query(f"{FULL}, {_WORDS_OF} SELECT query, town_id, sum(weight)::BIGINT AS score, count(*) AS n, string_agg(word_id::VARCHAR, ',' ORDER BY word_id) AS words FROM wq JOIN ei USING (word_id) WHERE town_id IS NOT NULL GROUP BY query, town_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions import stemming
-from ..operators import learn, reefs, vectors
+from ..operators import boost, learn, reefs, vectors
 from ..sources import scratch
 from .catalog import query
 from .lexicon import _SIM, _TW, COS, TOK, tagged_vectors, text_parts, town_means
@@ -161,13 +161,18 @@ def embedded_senses(t):
 
 @query()
 def feature_importances(t):
-    """The fifteen dimensions that each town's classifier uses most."""
+    """The fifteen features that each town's classifier uses most."""
     words, dims = tagged_vectors(t)
-    return learn.each_town(words, lambda town: learn.importances(t.spark, learn.train_town(words, town, dims)[0]))
+    model, _ = learn.train_towns(t.kept(learn.samples(words, dims)))
+    names = learn.feature_names(dims.count())
+    return boost.importances(model.trees, names).select(F.col("model").cast("long").alias("town_id"), "dim", "importance")
+
+
+#: Settings that the tuning compares: depth and rounds of `learn.QUICK`.
+SETTINGS = {f"depth {d}, rounds {r}": learn.QUICK._replace(depth=d, rounds=r) for d in (2, 3) for r in (4, 8)}
 
 
 @query()
 def classifier_tuning(t):
-    """F1 of each setting of every town's classifier, by folds of ids."""
-    words, dims = tagged_vectors(t)
-    return learn.each_town(words, lambda town: learn.tune(words, town, dims=dims))
+    """The best setting of every town's classifier by cross-validation, and how it does when it is trained anew with it."""
+    return learn.tuned(learn.samples(*tagged_vectors(t)), SETTINGS)
