@@ -1,5 +1,6 @@
 """Operators on small fixtures worked out by hand, connectors, streaming, and the queries' contract."""
 
+import io
 import json
 import os
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tierlex import plans
 from tierlex.functions import scalars as S
 from tierlex.operators import learn, promote, prune, seeds, stats, text
-from tierlex.sources import files, sinks
+from tierlex.sources import files, packed, sinks
 from tierlex.streaming import scorer
 
 
@@ -128,12 +129,14 @@ def test_sinks(spark, tmp_path):
     for v in values:
         assert sinks.unpack(sinks.pack(v)) == v
     df = spark.createDataFrame([(1, "a", 2.0), (2, None, 3.0)], "id long, name string, w double")
-    sinks.export(spark, {"dims": sinks.as_map(df, "id")}, f"{tmp_path}/out")
-    assert sinks.verify(spark, f"{tmp_path}/out") == []
-    sinks.patch(spark, f"{tmp_path}/out", "dims", {3: ["c", 1.0]})
-    assert sinks.verify(spark, f"{tmp_path}/out") == [] and len(sinks.unpack((tmp_path / "out/dims.bin").read_bytes())) == 3
-    sinks.Folder(spark, f"{tmp_path}/out").write("dims.bin", b"\x80")
-    assert sinks.verify(spark, f"{tmp_path}/out") == ["dims: checksum"]
+    assert all(packed.Decoder(io.BytesIO(sinks.pack(v))).value() == v for v in values)
+    out = f"{tmp_path}/out"
+    packed.export(spark, {"dims": {"a": packed.spread(df, packed.MAP, "id")}}, out)
+    assert packed.verify(spark, out).count() == 0
+    packed.patch(spark, out, "dims", {"c": ["c", 1.0]})
+    assert packed.verify(spark, out).count() == 0 and sinks.unpack((tmp_path / "out/dims.bin").read_bytes()) == {"a": {1: ["a", 2.0], 2: [None, 3.0]}, "c": ["c", 1.0]}
+    sinks.Folder(spark, out).write("dims.bin", b"\x80")
+    assert [tuple(r) for r in packed.verify(spark, out).collect()] == [("dims", "checksum")]
     sinks.append_jsonl(spark.createDataFrame([(1, 2.0), (3, 1.0)], "passed int, margin double"), f"{tmp_path}/log")
     assert files.best_results(spark, f"{tmp_path}/log", 1).first().passed == 3
     sinks.write_xml(df, f"{tmp_path}/xml", "islands", "island")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tierlex.operators import boost, learn, text, vectors
+from tierlex.operators import boost, communities, learn, text, vectors
 from tierlex.operators.stats import dim_stats
 
 
@@ -232,3 +232,49 @@ def test_communities_are_connected_and_better_than_singles(spark):
                 seen.add(x)
                 front += [b if a == x else a for _, a, b, _ in edges if x in (a, b) and {a, b} <= nodes]
         assert seen == nodes
+
+
+def plain_modularity(edges, label):
+    whole = 2 * sum(w for *_, w in edges)
+    inside, total = {}, {}
+    for a, b, w in edges:
+        for x in (a, b):
+            total[label[x]] = total.get(label[x], 0.0) + w
+        if label[a] == label[b]:
+            inside[label[a]] = inside.get(label[a], 0.0) + 2 * w
+    return sum(inside.get(c, 0.0) / whole - (t / whole) ** 2 for c, t in total.items())
+
+
+def test_modularity_is_plain(spark):
+    rng = random.Random(1)
+    edges = list({(a, b): (a, b, rng.random()) for a, b in (sorted(rng.sample(range(40), 2)) for _ in range(200))}.values())
+    label = {x: rng.randrange(5) for x in range(40)}
+    both = spark.createDataFrame([(7, *e) for e in edges] + [(7, b, a, w) for a, b, w in edges], "grp long, a long, b long, w double")
+    labels = spark.createDataFrame([(7, *x) for x in label.items()], "grp long, node long, label long")
+    assert communities.modularity(both, labels).first().q == pytest.approx(plain_modularity(edges, label))
+
+
+def test_rounds_are_as_good_as_one_task(spark):
+    """One graph in one group of many tasks: planted groups, a chain, a star and a pair; connected, and within 1 % of the moves one by one."""
+    rng = random.Random(5)
+    edges = [(a, b, rng.choice([1.0, 0.5])) for a in range(120) for b in range(a + 1, 120) if rng.random() < (0.5 if a // 20 == b // 20 else 0.03)]
+    edges += [(200 + k, 201 + k, 1.0) for k in range(30)] + [(300, 301 + k, 1.0) for k in range(40)] + [(400, 401, 1.0)]
+    df = spark.createDataFrame([(1, *e) for e in edges], "town_id long, a long, b long, w double").repartition(6)
+    label = lambda rows: {r.node: r.community if r.community >= 0 else -r.node - 1 for r in rows}
+    bulk = communities.bulk_communities(df, "town_id", least=1).collect()
+    task = learn.communities(df, "town_id", least=1).collect()
+    assert plain_modularity(edges, label(bulk)) >= 0.99 * plain_modularity(edges, label(task)) > 0.5
+    got = label(bulk)
+    assert set(got) == {x for a, b, _ in edges for x in (a, b)}
+    for c in set(got.values()):
+        nodes = {x for x in got if got[x] == c}
+        assert c == min(nodes)
+        seen, front = set(), [min(nodes)]
+        while front:
+            x = front.pop()
+            if x not in seen:
+                seen.add(x)
+                front += [b if a == x else a for a, b, _ in edges if x in (a, b) and {a, b} <= nodes]
+        assert seen == nodes
+    assert {r.community for r in learn.communities(df, "town_id", most=0).collect() if r.node in (400, 401)} == {-1}
+    assert communities.bulk_communities(df.limit(0), "town_id").count() == 0

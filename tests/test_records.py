@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tierlex.operators import records
 from tierlex.plans import records as plans
-from tierlex.sources import files, sinks
+from tierlex.sources import files, packed, sinks
 from tierlex.sources.proxy import Tables
 
 DATA = "/root/testdata/sf0.001"
@@ -21,38 +21,80 @@ needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the drive
 def test_export_has_eleven_files(spark, tmp_path):
     t, out = Tables(spark, DATA), f"{tmp_path}/v3"
     manifest = plans.write_export(t, out)
-    assert sorted(os.listdir(out)) == sorted([*(f"{x}.bin" for x in sinks.FILES), "manifest.json", *(f for f in os.listdir(out) if f.endswith(".crc"))])
+    assert sorted(os.listdir(out)) == sorted([*(f"{x}.bin" for x in sinks.FILES), "index.json", "manifest.json", *(f for f in os.listdir(out) if f.endswith(".crc"))])
     limits = {"n_islands": sinks.U16, "n_archs": sinks.U16, "n_reefs": sinks.U16}
-    assert sinks.verify(spark, out, sinks.FILES, sinks.REQUIRED, limits) == []
+    assert packed.verify(spark, out, sinks.FILES, sinks.REQUIRED, limits).count() == 0
     read = lambda name: sinks.unpack(sinks.Folder(spark, out).read(f"{name}.bin"))
     words = {r.word_id: r for r in t.words.collect()}
-    assert len(read("word_islands")) == max(words) + 1 and manifest["stats"]["n_words"] == len(words)
+    assert len(read("word_islands")) == max(words) + 1 and manifest["stats"]["n_words"] == manifest["stats"]["n_lookup_entries"] == len(words)
     index = {(r.word_id, r.island_id): r.weight for r in plans.export.word_islands(plans.index_of(t), t.islands).collect()}
     numbers = {r.island_id: r.island_no for r in plans.ids_of(t)[1].collect()}
     assert {(w, i): x for w, e in enumerate(read("word_islands")) for i, x in e} == {(w, numbers[i]): x for (w, i), x in index.items()}
-    constants = read("constants")
+    constants, record = read("constants"), plans.constants_of(t).first().asDict()
     assert constants["N_ISLANDS"] == len(read("island_meta")) and constants["FNV1A_OFFSET"] == 14695981039346656037
+    assert {k: v for k, v in constants.items() if not k.startswith("FNV")} == {k: v for k, v in record.items() if not k.startswith("FNV")}
     background = read("background")
     assert len(background["bg_std"]) == constants["N_ISLANDS"] and len(background["town_bg_mean"]) == constants["N_TOWNS"]
-    assert len(read("word_lookup")) == len(words)
+    lookup = read("word_lookup")
+    assert len(lookup) == len(words) and list(lookup) == sorted(lookup)
+    assert read("compounds") == sorted(([r.word, r.word_id] for r in plans.export_compounds(t).collect()), key=lambda x: x[1])
+    problems = lambda **k: {tuple(r) for r in packed.verify(spark, out, **k).collect()}
     sinks.Folder(spark, out).write("compounds.bin", b"\x91")
-    assert sinks.verify(spark, out) == ["compounds: checksum", "compounds: can't be read"]
+    sinks.Folder(spark, out).write("island_meta.bin", sinks.pack([{"name": "x"}, {"name": "y", "iqf": 1}]))
+    wrong = {("compounds", "checksum"), ("compounds", "can't be read"), ("island_meta", "checksum")}
+    assert problems() == wrong
+    assert problems(required={"island_meta": ("name", "iqf", "n_words")}) == wrong | {("island_meta", "no iqf"), ("island_meta", "no n_words")}
     os.remove(f"{out}/town_meta.bin")
-    assert "town_meta: missing" in sinks.verify(spark, out, limits={"n_words": 1})
-    assert sinks.verify(spark, f"{tmp_path}/none") == ["manifest: missing"]
+    assert problems(limits={"n_words": 1}) == wrong | {("town_meta", "missing"), ("n_words", f"{len(words)} of 1 to 1")}
+    assert [tuple(r) for r in packed.verify(spark, f"{tmp_path}/none").collect()] == [("manifest", "missing")]
 
 
 @needs_data
 def test_older_export_has_ten_files(spark, tmp_path):
     t, out = Tables(spark, DATA), f"{tmp_path}/v2"
     plans.write_legacy_export(t, out)
-    assert sinks.verify(spark, out, sinks.LEGACY_FILES, sinks.LEGACY_REQUIRED, {"n_reefs": sinks.U16, "n_archs": sinks.U16}) == []
+    assert packed.verify(spark, out, sinks.LEGACY_FILES, sinks.LEGACY_REQUIRED, {"n_reefs": sinks.U16, "n_archs": sinks.U16}).count() == 0
     read = lambda name: sinks.unpack(sinks.Folder(spark, out).read(f"{name}.bin"))
     constants, reefs = read("constants"), read("word_reefs")
     empty = [i for i, e in enumerate(reefs) if not e]
     assert constants["domainless_word_ids"] == empty
     assert all(e == read_ for e, read_ in zip([sorted(x) for x in reefs[:50]], reefs[:50], strict=True))
-    assert sum(constants["reef_n_words"]) == sum(map(len, reefs))
+    assert sum(constants["reef_n_words"]) == sum(map(len, reefs)) and constants["avg_reef_words"] == pytest.approx(sum(constants["reef_n_words"]) / len(read("reef_meta")))
+    assert list(constants) == sorted(constants)
+
+
+@pytest.mark.parametrize("tasks", [1, 5])
+def test_packed_files_round_trip(spark, tmp_path, tasks, monkeypatch):
+    """Values of every size through parts, one file, and rows; read by parts and from the start alike."""
+    monkeypatch.setattr(packed, "BLOCK", 7)
+    out = f"{tmp_path}/x"
+    rows = [(k, [k, -k * 1000, 1 << k], "é" * k if k else None, k / 7, k % 2 == 0) for k in range(60)]
+    df = spark.createDataFrame(rows, "k long, a array<long>, s string, d double, b boolean").repartition(tasks)
+    big = spark.createDataFrame([(str(1 << 63), "x" * 70_000), ("18446744073709551615", "")], "h string, s string").selectExpr("cast(h as decimal(20, 0)) h", "s")
+    files = {
+        "list": packed.spread(df, packed.LIST, "k"), "map": packed.spread(df, packed.MAP, "k"), "records": packed.spread(df, packed.RECORDS, "k"), "one": packed.spread(df.select("k", "s"), packed.LIST, "k"),
+        "big": packed.spread(big, packed.MAP, "h"), "none": packed.spread(df.limit(0), packed.LIST, "k"), "tree": {"z": packed.spread(df.select("k", "d"), packed.LIST, "k"), "a": 5, "m": packed.spread(df.select("s", "k").where("k > 0"), packed.MAP, "s")}, "plain": [1, [None, True]],
+    }
+    manifest = packed.export(spark, files, out, stats={"entries": "list"})
+    assert manifest["stats"] == {"entries": 60} and packed.verify(spark, out).count() == 0
+    raw = lambda name: sinks.unpack((tmp_path / "x" / f"{name}.bin").read_bytes())
+    assert raw("list") == [list(r[1:]) for r in rows] and raw("one") == [r[2] for r in rows] and raw("none") == []
+    assert raw("map") == {r[0]: list(r[1:]) for r in rows} and raw("records") == [dict(zip("asdb", r[1:], strict=True)) for r in rows]
+    assert raw("tree") == {"a": 5, "m": {r[2]: [r[0]] for r in rows[1:]}, "z": [r[3] for r in rows]} and raw("plain") == [1, [None, True]]
+    for _ in range(2):
+        back = lambda name, kind, schema: sorted(map(tuple, packed.read(spark, f"{out}/{name}.bin", kind, schema).collect()))
+        assert back("list", packed.LIST, "k long, a array<long>, s string, d double, b boolean") == rows
+        assert back("map", packed.MAP, "k long, a array<long>, s string, d double, b boolean") == rows
+        assert back("records", packed.RECORDS, "place long, d double, missing string, s string") == [(r[0], r[3], None, r[2]) for r in rows]
+        assert back("one", packed.LIST, "k long, s string") == [(r[0], r[2]) for r in rows]
+        assert back("big", packed.MAP, "h decimal(20,0), s string") == sorted((r.h, r.s) for r in big.collect())
+        assert back("tree", packed.OBJECT, "a long, z array<double>") == [(5, [r[3] for r in rows])]
+        assert back("none", packed.LIST, "k long, s string") == []
+        assert [tuple(r) for r in packed.read(spark, f"{out}/tree.bin", packed.KEYS).collect()] == [(0, ["a", "m", "z"])]
+        os.remove(f"{out}/index.json") if os.path.exists(f"{out}/index.json") else None  # the second time every file is read from its start
+    packed.patch(spark, out, "tree", {"b": packed.spread(df.select("k", "b"), packed.LIST, "k"), "a": 6})
+    assert raw("tree") == {"a": 6, "b": [r[4] for r in rows], "m": {r[2]: [r[0]] for r in rows[1:]}, "z": [r[3] for r in rows]}
+    assert packed.verify(spark, out).count() == 0
 
 
 def test_meta_of_empty_groups(spark):

@@ -172,7 +172,8 @@ def _sums(rows: DataFrame, at: _Pass) -> DataFrame:
                         sums[k] += np.bincount(place.ravel(), np.repeat(v[here], columns.sum()), x.shape[1] * BINS).reshape(-1, BINS)
         yield from hand_on()
 
-    return rows.mapInArrow(run, _HISTOGRAM).groupBy("model", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    # tasks have added up already, so one shuffle serves the sums and the windows over a feature's bins
+    return rows.mapInArrow(run, _HISTOGRAM).repartition("model", "node", "feature").groupBy("model", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
 
 
 def best_splits(sums: DataFrame, alpha: float, penalty: float, least: float) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..sources.scratch import kept
 from . import boost
+from .communities import bulk_communities
 from .stats import dim_stats
 from .vectors import mean_vectors, nearest_of, standardise
 
@@ -119,7 +120,7 @@ def samples(vectors: DataFrame, dims: DataFrame | None = None, per: int = NEGATI
 
 
 #: What the queries train: shallower and fewer trees than `boost.Setting()`, at a higher rate, for the time that they take.
-QUICK = boost.Setting(depth=3, rounds=10, rate=0.3, rows=1.0, columns=1.0, patience=3)
+QUICK = boost.Setting(depth=3, rounds=8, rate=0.3, rows=1.0, columns=1.0, patience=3)
 #: Fixed value: fewest positives of a classifier.
 LEAST_POSITIVES = 10
 
@@ -236,12 +237,21 @@ def _moved(links: list[dict[int, float]], degree: np.ndarray, label: np.ndarray,
     return label
 
 
-def communities(edges: DataFrame, group: str, least: int = 3, resolution: float = 1.0) -> DataFrame:
+#: Edges of a group that one task takes; larger groups go through rounds over all tasks.
+TASK_EDGES = 200_000
+
+
+def communities(edges: DataFrame, group: str, least: int = 3, resolution: float = 1.0, most: int = TASK_EDGES) -> DataFrame:
     """group, node, community of each group's weighted graph: modularity by moving nodes, refining each community, and merging what was refined, until nothing improves.
 
-    Refined parts are built from single nodes along links inside a community, so communities are connected.
-    Groups are towns, whose words a task can hold; communities of fewer than `least` nodes are -1.
+    Refined parts are built from single nodes along links inside a community, so communities are connected;
+    those of fewer than `least` nodes are -1.  Groups of up to `most` edges are tasks of their own, larger
+    ones go through `bulk_communities`, which does the same in rounds.
     """
+    sizes = edges.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    large = kept(sizes.where(F.col("_n") > most).select(group))
+    many = large.limit(1).count() > 0
+    small = edges.join(large, group, "left_anti") if many else edges
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         nodes = np.unique(np.concatenate([pdf["a"], pdf["b"]]))
@@ -264,4 +274,5 @@ def communities(edges: DataFrame, group: str, least: int = 3, resolution: float
         sizes = np.bincount(found)
         return pd.DataFrame({group: pdf[group].iloc[0], "node": nodes, "community": np.where(sizes[found] >= least, found, -1)})
 
-    return edges.groupBy(group).applyInPandas(split, f"{group} long, node long, community int")
+    found = small.groupBy(group).applyInPandas(split, f"{group} long, node long, community long")
+    return found.unionByName(bulk_communities(edges.join(large, group), group, least, resolution)) if many else found

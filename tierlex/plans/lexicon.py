@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import export, learn, reports, seeds, stats, sweep, text, vectors
+from ..operators.communities import bulk_communities, modularity
 from ..sources import scratch
 from ..sources.proxy import TOKENS_SQL, VECTORS_SQL, fact_sql
 from .catalog import query
@@ -582,6 +583,24 @@ def reef_communities(t):
     return learn.communities(edges, "town_id")
 
 
+@query()
+def word_communities(t):
+    """Communities of all words: their neighbours within islands as one graph, in rounds over all tasks."""
+    return bulk_communities(vectors.knn_graph(t.vectors, 8, "island_id").withColumn("whole", F.lit(0).cast("long")), "whole").drop("whole")
+
+
+@query(f"{VEC}, nr AS (SELECT x.island_id AS grp, x.vec_id AS a, y.vec_id AS b, row_number() OVER (PARTITION BY x.vec_id ORDER BY round({COS.format(a='x.v', b='y.v')}, 9) DESC, y.vec_id) AS nth, round({COS.format(a='x.v', b='y.v')}, 9) AS w FROM vec x JOIN vec y ON x.island_id = y.island_id AND x.vec_id <> y.vec_id), "
+       "ed AS (SELECT DISTINCT grp, least(a, b) AS a, greatest(a, b) AS b, greatest(w, 1e-9) AS w FROM nr WHERE nth <= 8), bo AS (SELECT grp, a, b, w FROM ed UNION ALL SELECT grp, b, a, w FROM ed), "
+       "ps AS (SELECT bo.grp, y.town_id AS label, sum(w) AS total, sum(CASE WHEN x.town_id = y.town_id THEN w ELSE 0 END) AS inside FROM bo JOIN vec x ON x.vec_id = bo.a JOIN vec y ON y.vec_id = bo.b GROUP BY ALL), wh AS (SELECT grp, sum(total) AS whole FROM ps GROUP BY 1) "
+       "SELECT grp AS island_id, round(sum(inside / whole - (total / whole) * (total / whole)), 9) AS q FROM ps JOIN wh USING (grp) GROUP BY grp")
+def town_modularity(t):
+    """How well towns part the graph of their island's neighbours: the modularity of towns as communities."""
+    edges = vectors.knn_graph(t.vectors, 8, "island_id").join(t.vectors.select(F.col("vec_id").alias("a"), F.col("island_id").alias("grp")), "a").withColumn("w", F.greatest("w", F.lit(1e-9)))
+    both = edges.select("grp", "a", "b", "w").unionByName(edges.select("grp", F.col("b").alias("a"), F.col("a").alias("b"), "w"))
+    labels = t.vectors.select(F.col("island_id").alias("grp"), F.col("vec_id").alias("node"), F.col("town_id").alias("label"))
+    return modularity(both, labels).select(F.col("grp").alias("island_id"), F.round("q", 9).alias("q"))
+
+
 @query(f"{VEC}, s AS (SELECT vec_id, town_id = 4 AS label, v[1] > 0.1 AS yes, round(v[1] + 0.4, 2) AS score FROM vec), sc AS (SELECT score, count(*) FILTER (label) AS p, count(*) AS n FROM s GROUP BY 1), ap AS (SELECT score, sum(p) OVER w AS tp, sum(p) OVER w - p AS before, sum(n) OVER w AS seen, sum(p) OVER () AS total FROM sc WINDOW w AS (ORDER BY score DESC)) SELECT coalesce(count(*) FILTER (yes AND label) / nullif(count(*) FILTER (yes), 0), 0) AS precision, coalesce(count(*) FILTER (yes AND label) / nullif(count(*) FILTER (label), 0), 0) AS recall, coalesce(2 * count(*) FILTER (yes AND label) / nullif(count(*) FILTER (yes) + count(*) FILTER (label), 0), 0) AS f1, count(*) FILTER (yes = label) / count(*) AS accuracy, (SELECT sum((tp - before) / total::DOUBLE * tp / seen) FROM ap) AS auc_pr FROM s")
 def classification_metrics(t):
     rows = t.vectors.select((F.col("town_id") == 4).cast("int").alias("label"), F.col("v")[0].alias("x"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions import stemming
 from ..operators import export, records, stats, text
-from ..sources import sinks
+from ..sources import packed, scratch, sinks
 from .catalog import query
 from .lexicon import _TBG, TOK, background_adjusted_of
 from .membership import BASE, FULL, STATS, index_of, levels_of
@@ -179,34 +179,51 @@ def word_entries(t) -> dict[str, DataFrame]:
     }
 
 
+def _pairs(df: DataFrame, *columns: str) -> tuple[DataFrame, str, str]:
+    """Lists of the columns' values, in the order of the last one."""
+    return df.select(F.col(columns[-1]).alias("_at"), *columns), packed.LIST, "_at"
+
+
+def _ids(df: DataFrame) -> tuple[DataFrame, str, str]:
+    return _pairs(df.select("word_id").distinct(), "word_id")
+
+
+def _fields(parts: dict[str, packed.Spread], prefix: str) -> dict[str, packed.Spread]:
+    """The parts whose names begin with the prefix, without it."""
+    return {name.removeprefix(prefix): x for name, x in parts.items() if name.startswith(prefix)}
+
+
 def write_export(t, folder: str) -> dict:
     """All eleven files of the export and its manifest."""
     words = t.kept(vocabulary_of(t))
     top = words.agg(F.max("word_id")).first()[0] or 0
-    lookup = records.word_lookup(words.withColumn("word_hash", F.col("word_hash")), t.spark.createDataFrame([], "hash decimal(20,0), word_id long, source string"))
-    fixed = constants_of(t).first().asDict()
-    fixed["FNV1A_OFFSET"], fixed["FNV1A_PRIME"] = int(fixed["FNV1A_OFFSET"]), int(fixed["FNV1A_PRIME"])
-    numbers = {"island_id": ids_of(t)[1].select(F.col("island_id").alias("grp"), F.col("island_no").alias("at")), "town_id": ids_of(t)[2].select(F.col("town_id").alias("grp"), F.col("town_no").alias("at"))}
-    background = {}
+    lookup = records.word_lookup(words, t.spark.createDataFrame([], "hash decimal(20,0), word_id long, source string"))
+    _, islands, towns, reefs = ids_of(t)
+    numbers = {"island_id": islands.select(F.col("island_id").alias("grp"), F.col("island_no").alias("at")), "town_id": towns.select(F.col("town_id").alias("grp"), F.col("town_no").alias("at"))}
+    domainless, town_domainless, bucket_only = _id_lists(t)
+    metas = {"island": t.kept(island_meta(t)), "town": t.kept(town_meta(t)), "reef": t.kept(reef_meta(t))}
+    jobs = {
+        "word_lookup": (lookup, packed.MAP, "hash"),
+        **{name: (packed.filled(rows, top), packed.LIST, "word_id") for name, rows in word_entries(t).items()},
+        **{f"{x}_meta": (rows, packed.RECORDS, f"{x}_no") for x, rows in metas.items()},
+        **{f"constants.{x}_n_words": (metas[x].select(f"{x}_no", "n_words"), packed.LIST, f"{x}_no") for x in ("island", "town")},
+        "constants.domainless_word_ids": _ids(domainless), "constants.town_domainless_word_ids": _ids(town_domainless), "constants.bucket_only_word_ids": _ids(bucket_only),
+        "constants.bucket_island_names": _pairs(t.islands.where("is_bucket = 1"), "island"),
+        "compounds": _pairs(export_compounds(t), "word", "word_id"),
+    }
     for tier, prefix in (("island_id", ""), ("town_id", "town_")):
-        rows = sorted(map(tuple, numbers[tier].join(background_adjusted_of(t, tier), "grp", "left").select("at", F.coalesce("mean", F.lit(0.0)), F.coalesce("std", F.lit(0.1))).collect()))  # a row a group of the hierarchy
-        background |= {f"{prefix}bg_mean": [r[1] for r in rows], f"{prefix}bg_std": [r[2] for r in rows]}
-    files = {
-        "word_lookup": sinks.as_map(lookup, "hash"),
-        **{name: sinks.as_sparse(rows, top) for name, rows in word_entries(t).items()},
-        "island_meta": sinks.as_records(island_meta(t), "island_no"),
-        "town_meta": sinks.as_records(town_meta(t), "town_no"),
-        "reef_meta": sinks.as_records(reef_meta(t), "reef_no"),
-        "background": background,
-        "constants": {k: sinks.plain(v) for k, v in fixed.items()},
-        "compounds": sinks.as_pairs(export_compounds(t), "word", "word_id"),
-    }
-    counts = {"n_words": words.count(), "n_lookup_entries": len(files["word_lookup"]), "n_compounds": len(files["compounds"]), "n_islands": fixed["N_ISLANDS"], "n_towns": fixed["N_TOWNS"], "n_reefs": fixed["N_REEFS"], "n_archs": fixed["N_ARCHS"]}
-    return sinks.export(t.spark, {name: files[name] for name in sinks.FILES}, folder, sinks.VERSION, counts)
-
-
-def write_legacy_export(t, folder: str) -> dict:
-    """All ten files of the older export and its manifest; words are numbered in their order, and reefs within a domain are the tokens' first letters."""
+        rows = t.kept(numbers[tier].join(background_adjusted_of(t, tier), "grp", "left").select("at", F.coalesce("mean", F.lit(0.0)).alias("mean"), F.coalesce("std", F.lit(0.1)).alias("std")))
+        jobs |= {f"background.{prefix}bg_{c}": (rows.select("at", c), packed.LIST, "at") for c in ("mean", "std")}
+    parts = packed.spread_all(jobs)
+    counts = {"N_ISLANDS": islands.count(), "N_TOWNS": towns.count(), "N_REEFS": reefs.count(), "N_ARCHS": ids_of(t)[0].count()}
+    scales = {"IDF_SCALE": records.IDF_SCALE, "WEIGHT_SCALE": records.WEIGHT_SCALE, "FNV1A_OFFSET": S.FNV_BASIS, "FNV1A_PRIME": S.FNV_PRIME}
+    files: dict[str, packed.Content] = parts | {"constants": counts | scales | _fields(parts, "constants."), "background": _fields(parts, "background.")}
+    stated = {"n_words": words.count(), "n_lookup_entries": "word_lookup", "n_compounds": "compounds", "n_islands": counts["N_ISLANDS"], "n_towns": counts["N_TOWNS"], "n_reefs": counts["N_REEFS"], "n_archs": counts["N_ARCHS"]}
+    return packed.export(t.spark, {name: files[name] for name in sinks.FILES}, folder, sinks.VERSION, stated)
+
+
+def legacy_entries(t) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Of the older export: domains, words by number, entries (word, domain, weight, part of the domain), and the parts."""
     scores, words, archs = legacy_scores(t)
     domains = t.kept(records.legacy_domains(scores, words, archs))
     listed = t.kept(records._number(records.legacy_words(words, scores).withColumn("_range", F.substring("word", 1, 2)), "_range", ["word"], "no").drop("_range"))
@@ -214,30 +231,39 @@ def write_legacy_export(t, folder: str) -> dict:
     subs = t.kept(records._number(rows.select("domain_no", "label").distinct(), "domain_no", ["label"], "sub"))
     bounds = rows.groupBy("domain_no").agg(F.min("idf").alias("lo"), F.max("idf").alias("hi"))
     entries = t.kept(rows.join(subs, ["domain_no", "label"]).join(bounds, "domain_no").select(F.col("no").alias("word_id"), "domain_no", S.min_max_u8(F.col("idf"), F.col("lo"), F.col("hi"), 255.0).alias("weight"), "sub").where("weight > 0"))
+    return domains, listed, entries, subs
+
+
+def write_legacy_export(t, folder: str) -> dict:
+    """All ten files of the older export and its manifest; words are numbered in their order, and reefs within a domain are the tokens' first letters."""
+    domains, listed, entries, subs = legacy_entries(t)
     top = listed.agg(F.max("no")).first()[0] or 0
-    kept = sinks.as_records(domains.select("domain_no", F.lit(0).alias("x"), *[c for c in domains.columns if c not in ("domain_no", "arch")]).drop("x"), "domain_no")
-    islands = sinks.as_records(domains.select("domain_no", F.col("arch").alias("arch_id"), "name"), "domain_no")
     several = entries.join(entries.groupBy("word_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word_id"), "word_id")
     hashed = listed.select("no", "specificity", "idf_q", S.unsigned(S.fnv1a(F.col("word"))).alias("hash"))
-    sizes = {r[0]: r[1] for r in entries.groupBy("domain_no").agg(F.count(F.lit(1))).collect()}  # a row a domain
-    n = [sizes.get(i, 0) for i in range(len(kept))]
-    files = {
-        "word_lookup": sinks.as_map(hashed.select("hash", F.col("hash").alias("word_hash"), F.col("no").alias("word_id"), "specificity", "idf_q"), "hash"),
-        "word_reefs": sinks.as_sparse(records.sparse(entries, "domain_no", "weight", "sub"), top),
-        "reef_meta": kept,
-        "island_meta": islands,
-        "background": {"bg_mean": [0.0] * len(kept), "bg_std": [1.0] * len(kept)},
-        "compounds": sinks.as_pairs(legacy_compounds(t), "word", "word_id"),
-        "constants": {"N_REEFS": len(kept), "N_ISLANDS": len(islands), "N_ARCHS": len({i["arch_id"] for i in islands}), "N_SUB_REEFS": subs.count(), "avg_reef_words": sum(n) / max(1, len(n)), "IDF_SCALE": records.IDF_SCALE, "WEIGHT_SCALE": records.WEIGHT_SCALE, "FNV1A_OFFSET": S.FNV_BASIS, "FNV1A_PRIME": S.FNV_PRIME, "reef_total_dims": [0] * len(kept), "reef_n_words": n},
-        "reef_edges": [],
-        "word_reef_detail": sinks.as_sparse(records.sparse(several, "domain_no", "sub", "weight"), top),
-        "sub_reef_meta": sinks.as_records(subs.select("sub", F.col("domain_no").alias("reef_id"), F.col("label").alias("name")), "sub"),
-    }
-    counts = {"n_reefs": len(kept), "n_islands": len(islands), "n_archs": files["constants"]["N_ARCHS"], "n_words": top + 1, "n_lookup_entries": len(files["word_lookup"]), "n_compounds": len(files["compounds"]), "n_sub_reefs": files["constants"]["N_SUB_REEFS"], "n_edges": 0}
-    manifest = sinks.export(t.spark, {name: files[name] for name in sinks.LEGACY_FILES}, folder, sinks.LEGACY_VERSION, counts)
-    unplaced = listed.select("no").subtract(entries.select(F.col("word_id").alias("no")))
-    sinks.patch(t.spark, folder, "constants", {"domainless_word_ids": sorted(r[0] for r in sinks.bounded(unplaced))})
-    return manifest
+    sizes = t.kept(domains.select("domain_no").join(entries.groupBy("domain_no").agg(F.count(F.lit(1)).alias("n")), "domain_no", "left").na.fill(0, ["n"]))
+    some = domains.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("arch").alias("archs")).first()
+    mean = sizes.agg(F.coalesce(F.avg("n"), F.lit(0.0))).first()[0]
+    of_domains = lambda x: (domains.select("domain_no", x.alias("x")), packed.LIST, "domain_no")
+    sparse = lambda rows, *columns: (packed.filled(records.sparse(rows, *columns), top), packed.LIST, "word_id")
+    unplaced = listed.select(F.col("no").alias("word_id")).subtract(entries.select("word_id"))
+    parts = packed.spread_all({
+        "word_lookup": (hashed.select("hash", F.col("hash").alias("word_hash"), F.col("no").alias("word_id"), "specificity", "idf_q"), packed.MAP, "hash"),
+        "word_reefs": sparse(entries, "domain_no", "weight", "sub"), "word_reef_detail": sparse(several, "domain_no", "sub", "weight"),
+        "reef_meta": (domains.drop("arch"), packed.RECORDS, "domain_no"),
+        "island_meta": (domains.select("domain_no", F.col("arch").alias("arch_id"), "name"), packed.RECORDS, "domain_no"),
+        "sub_reef_meta": (subs.select("sub", F.col("domain_no").alias("reef_id"), F.col("label").alias("name")), packed.RECORDS, "sub"),
+        "background.bg_mean": of_domains(F.lit(0.0)), "background.bg_std": of_domains(F.lit(1.0)),
+        "constants.reef_total_dims": of_domains(F.lit(0)), "constants.reef_n_words": (sizes, packed.LIST, "domain_no"),
+        "compounds": _pairs(legacy_compounds(t), "word", "word_id"),
+        "more.domainless_word_ids": _ids(unplaced),
+    })
+    counts = {"N_REEFS": some.n, "N_ISLANDS": some.n, "N_ARCHS": some.archs, "N_SUB_REEFS": subs.count()}
+    scales = {"IDF_SCALE": records.IDF_SCALE, "WEIGHT_SCALE": records.WEIGHT_SCALE, "FNV1A_OFFSET": S.FNV_BASIS, "FNV1A_PRIME": S.FNV_PRIME}
+    files: dict[str, packed.Content] = parts | {"background": _fields(parts, "background."), "constants": counts | scales | {"avg_reef_words": mean} | _fields(parts, "constants."), "reef_edges": []}
+    stated = {"n_reefs": some.n, "n_islands": some.n, "n_archs": some.archs, "n_words": top + 1, "n_lookup_entries": "word_lookup", "n_compounds": "compounds", "n_sub_reefs": counts["N_SUB_REEFS"], "n_edges": 0}
+    packed.export(t.spark, {name: files[name] for name in sinks.LEGACY_FILES}, folder, sinks.LEGACY_VERSION, stated)
+    packed.patch(t.spark, folder, "constants", _fields(parts, "more."))
+    return packed.manifest_of(t.spark, folder)
 
 
 @query(f"{_TBG}, {_IDS}, b AS (SELECT town_no, mean, std FROM ad JOIN tt ON tt.town_id = ad.grp) SELECT count(*) AS towns, sum(mean) AS mean, sum(std) AS std FROM b")
@@ -255,3 +281,76 @@ def export_entries(t):
         n = rows.agg(F.coalesce(F.sum(F.size("entries")), F.lit(0)).cast("long").alias("entries"), F.count(F.lit(1)).alias("words")).select(F.lit(name).alias("file"), "entries", "words")
         out = n if out is None else out.unionByName(n)
     return out
+
+
+# --- the exports, written and read back
+
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def exported(t, write=write_export) -> str:
+    """Folder of the export of these tables, which this application writes once."""
+    key = t.spark.sparkContext.applicationId, t.folder, write.__name__
+    if key not in _written:
+        folder = scratch.new_path(t.spark, "export")
+        write(t, folder)
+        _written[key] = folder
+    return _written[key]
+
+
+#: Fields of the sparse files' entries.
+ENTRIES = {"word_islands": ("island_no", "weight"), "word_towns": ("town_no", "weight"), "bucket_words": ("at", "weight"), "word_detail": ("code", "at", "weight")}
+
+
+@query(f"""{_OUT}, wi AS (SELECT word_id, island_no, max(weight) AS weight FROM e JOIN ii USING (island_id) GROUP BY ALL), bw AS (SELECT word_id, island_id, max(weight) AS weight FROM eb GROUP BY ALL),
+wd AS (SELECT word_id, CASE level WHEN 'reef' THEN 0 WHEN 'town' THEN 1 ELSE 2 END AS code, CASE level WHEN 'reef' THEN reef_no WHEN 'town' THEN tt.town_no ELSE ii.island_no END AS place, weight FROM e JOIN ii USING (island_id) LEFT JOIN tt USING (town_id) LEFT JOIN rf ON rf.reef_id = e.reef_id)
+SELECT 'word_islands' AS file, word_id, NULL::INT AS code, island_no AS place, weight FROM wi UNION ALL SELECT 'bucket_words', word_id, NULL, island_id, weight FROM bw UNION ALL SELECT 'word_detail', word_id, code, place, weight FROM wd""")
+def exported_entries(t):
+    """Entries of the sparse files by words and islands, as the written export gives them back."""
+    folder, out = exported(t), None
+    for name in ("word_islands", "bucket_words", "word_detail"):
+        kind = ", ".join(f"{c}: int" for c in ENTRIES[name])
+        rows = packed.read(t.spark, f"{folder}/{name}.bin", packed.LIST, f"word_id long, entries array<struct<{kind}>>").select("word_id", F.explode("entries").alias("e")).select("word_id", "e.*")
+        code = F.col("code") if name == "word_detail" else F.lit(None).cast("int")
+        rows = rows.select(F.lit(name).alias("file"), "word_id", code.alias("code"), F.col(ENTRIES[name][-2]).alias("place"), "weight")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+_META = ", ".join(f"round(coalesce({c}, 0), 4) AS {c}" for c in ("avg_specificity", "noun_frac", "verb_frac", "adj_frac", "adv_frac"))
+
+
+@query(f"{BASE}, {STATS}, {_IDS}, {_tier_sql('island_id')} SELECT island_no, arch AS arch_id, island AS name, coalesce(word_count, 0) AS n_words, 128 AS iqf, {_META} FROM ii LEFT JOIN ro USING (island_id)")
+def exported_islands(t):
+    """The islands' records, as the written export gives them back."""
+    folder = exported(t)
+    fractions = ", ".join(f"{c} double" for c in ("avg_specificity", "noun_frac", "verb_frac", "adj_frac", "adv_frac"))
+    return packed.read(t.spark, f"{folder}/island_meta.bin", packed.RECORDS, f"island_no int, arch_id int, name string, n_words long, iqf int, {fractions}")
+
+
+@query(f"""{_OUT}, n AS (SELECT (SELECT count(*) FROM w) AS words, (SELECT max(word_id) + 1 FROM w) AS places)
+SELECT file, entries, 0::BIGINT AS problems FROM (SELECT 'word_lookup' AS file, words AS entries FROM n UNION ALL SELECT unnest(['word_islands', 'word_towns', 'word_detail', 'bucket_words']), places FROM n
+UNION ALL SELECT 'island_meta', (SELECT count(*) FROM ii) UNION ALL SELECT 'town_meta', (SELECT count(*) FROM tt) UNION ALL SELECT 'reef_meta', (SELECT count(*) FROM rf)
+UNION ALL SELECT 'background', 4 UNION ALL SELECT 'constants', 14 UNION ALL SELECT 'compounds', (SELECT count(*) FROM w WHERE word_count > 1 AND p_size <> 50))""")
+def verified_export(t):
+    """Every file of the written export, its entries, and how many problems the checks find in it."""
+    folder = exported(t)
+    most = {"n_islands": sinks.U16, "n_archs": sinks.U16, "n_reefs": sinks.U16}
+    problems = packed.verify(t.spark, folder, sinks.FILES, sinks.REQUIRED, most).groupBy("file").agg(F.count(F.lit(1)).alias("problems"))
+    return packed.scanned(t.spark, folder, sinks.FILES).join(problems, "file", "left").select("file", "entries", F.coalesce("problems", F.lit(0).cast("long")).alias("problems"))
+
+
+@query(f"{_TBG}, {_IDS}, b AS (SELECT town_no, mean, std FROM ad JOIN tt ON tt.town_id = ad.grp) SELECT town_no, coalesce(mean, 0) AS mean, coalesce(std, 0.1::DOUBLE) AS std FROM tt LEFT JOIN b USING (town_no)")
+def exported_background(t):
+    """Every town's background, as the written export gives it back."""
+    lists = packed.read(t.spark, f"{exported(t)}/background.bin", packed.OBJECT, "town_bg_mean array<double>, town_bg_std array<double>")
+    return lists.select(F.posexplode(F.arrays_zip("town_bg_mean", "town_bg_std")).alias("town_no", "x")).select("town_no", F.col("x.town_bg_mean").alias("mean"), F.col("x.town_bg_std").alias("std"))
+
+
+@query()
+def legacy_export(t):
+    """Every file of the written older export, its checksum as stated and found, its entries, and how many problems the checks find in it."""
+    folder = exported(t, write_legacy_export)
+    most = {"n_reefs": sinks.U16, "n_archs": sinks.U16}
+    problems = packed.verify(t.spark, folder, sinks.LEGACY_FILES, sinks.LEGACY_REQUIRED, most).groupBy("file").agg(F.count(F.lit(1)).alias("problems"))
+    return packed.scanned(t.spark, folder, sinks.LEGACY_FILES).join(problems, "file", "left").select("file", "stated", "sum", "entries", F.coalesce("problems", F.lit(0).cast("long")).alias("problems"))

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
 import struct
-import time
 from collections.abc import Iterator
 from decimal import Decimal
 from xml.etree import ElementTree
@@ -13,7 +10,7 @@ from xml.etree import ElementTree
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Records of a message-packed file; it is a dimension or a lookup made for one reader, not a fact table.
+#: Elements of an XML tree, which is a dimension's.
 MOST = 5_000_000
 
 
@@ -53,6 +50,21 @@ def _head(n: int, fix: int, fixed: int, codes: tuple) -> bytes:
     raise OverflowError(n)
 
 
+def header(n: int, kind: str) -> bytes:
+    """The head of a map or list of n entries."""
+    return _head(n, *((0x80, 16, (None, 0xDE, 0xDF)) if kind == "map" else (0x90, 16, (None, 0xDC, 0xDD))))
+
+
+def tail_of(c: int) -> int:
+    """Bytes after the first one, c, of a value that isn't a container; below 0: bytes of a length, which comes first."""
+    if c < 0x80 or c >= 0xE0 or c in (0xC0, 0xC2, 0xC3):
+        return 0
+    if 0xA0 <= c < 0xC0:
+        return c & 31
+    sizes = {0xC4: -1, 0xC5: -2, 0xC6: -4, 0xCB: 8, 0xCC: 1, 0xCD: 2, 0xCE: 4, 0xCF: 8, 0xD0: 1, 0xD1: 2, 0xD2: 4, 0xD3: 8, 0xD9: -1, 0xDA: -2, 0xDB: -4}
+    return sizes[c]
+
+
 def unpack(raw: bytes):
     """The inverse of pack, for checks."""
 
@@ -126,88 +138,12 @@ def plain(x):
 
 
 def bounded(df: DataFrame) -> Iterator:
-    """The rows one by one; refuses more than MOST."""
+    """The rows of a dimension one by one; refuses more than MOST."""
     if df.limit(MOST + 1).count() > MOST:
-        raise ValueError(f"more than {MOST} records: write Parquet instead")
+        raise ValueError(f"more than {MOST} elements in one XML file: write them as a table")
     return df.toLocalIterator()
 
 
-def as_map(df: DataFrame, key: str) -> dict:
-    """One map from key to the list of the other columns' values."""
-    others = [c for c in df.columns if c != key]
-    return {plain(r[key]): [plain(r[c]) for c in others] for r in bounded(df)}
-
-
-def as_records(df: DataFrame, order: str, names: dict[str, str] | None = None) -> list[dict]:
-    """One map a row, in the order of a column, which itself is left out."""
-    names = names or {}
-    return [{names.get(c, c): plain(r[c]) for c in df.columns if c != order} for r in bounded(df.orderBy(order))]
-
-
-def as_sparse(df: DataFrame, top: int) -> list:
-    """A list of entries at each word's place, empty ones where a word has none.  df: word_id, entries."""
-    out: list = [[] for _ in range(top + 1)]
-    for r in bounded(df):
-        out[r["word_id"]] = plain(r["entries"])
-    return out
-
-
-def as_pairs(df: DataFrame, *columns: str) -> list:
-    """Lists of the columns' values, in the order of the last one."""
-    return [[plain(r[c]) for c in columns] for r in bounded(df.orderBy(columns[-1]))]
-
-
-def export(spark: SparkSession, files: dict[str, object], folder: str, version: str = VERSION, stats: dict | None = None) -> dict:
-    """Every value as a message-packed file, and a manifest of checksums, with the time and `stats`."""
-    out, sums = Folder(spark, folder), {}
-    for name, value in files.items():
-        raw = pack(value)
-        out.write(f"{name}.bin", raw)
-        sums[f"{name}.bin"] = hashlib.sha256(raw).hexdigest()
-    manifest = {"version": version, "format": "msgpack", "build_timestamp": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), "files": sums, "stats": stats or {}}
-    out.write("manifest.json", json.dumps(manifest, indent=2, sort_keys=True).encode())
-    return manifest
-
-
-def patch(spark: SparkSession, folder: str, name: str, more: dict) -> None:
-    """Put more keys into a file that holds a map, and its new checksum into the manifest."""
-    out = Folder(spark, folder)
-    raw = pack(unpack(out.read(f"{name}.bin")) | more)
-    out.write(f"{name}.bin", raw)
-    manifest = json.loads(out.read("manifest.json"))
-    manifest["files"][f"{name}.bin"] = hashlib.sha256(raw).hexdigest()
-    out.write("manifest.json", json.dumps(manifest, indent=2, sort_keys=True).encode())
-
-
-def verify(spark: SparkSession, folder: str, names: tuple[str, ...] | None = None, required: dict[str, tuple[str, ...]] | None = None, limits: dict[str, int] | None = None) -> list[str]:
-    """What is wrong with an export: missing files, checksums, contents that can't be read, keys that lack, counts of stats that aren't from 1 to a limit."""
-    out, wrong, read = Folder(spark, folder), [], {}
-    raw = out.read("manifest.json")
-    if raw is None:
-        return ["manifest: missing"]
-    manifest = json.loads(raw)
-    for name in names or [f.removesuffix(".bin") for f in sorted(manifest["files"])]:
-        raw = out.read(f"{name}.bin")
-        if raw is None:
-            wrong.append(f"{name}: missing")
-            continue
-        if hashlib.sha256(raw).hexdigest() != manifest["files"].get(f"{name}.bin"):
-            wrong.append(f"{name}: checksum")
-        try:
-            read[name] = unpack(raw)
-        except (IndexError, struct.error, KeyError, UnicodeDecodeError):
-            wrong.append(f"{name}: can't be read")
-    for name, keys in (required or {}).items():
-        value = read.get(name)
-        first = value[0] if isinstance(value, list) and value else value
-        if first:
-            wrong += [f"{name}: no {k}" for k in keys if k not in first]
-    for key, most in (limits or {}).items():
-        if not 0 < manifest["stats"].get(key, 0) <= most:
-            wrong.append(f"{key}: {manifest['stats'].get(key, 0)} of 1 to {most}")
-    return wrong
-
-
 def write_tree_xml(spark: SparkSession, rows: DataFrame, folder: str, name: str, outer: str, inner: str) -> None:
     """One XML file of outer elements with their inner ones, each with a name.  rows: outer, inner (null: none); they are dimensions."""
     tree = ElementTree.Element(f"{outer}s")
