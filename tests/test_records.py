@@ -153,11 +153,46 @@ def test_wiki_files(spark, tmp_path):
     (tmp_path / "replies.json").write_text("\n".join(map(json.dumps, pages)))
     members = files.category_members(spark, f"{tmp_path}/replies.json")
     assert {(r.title, r.drill) for r in files.topical(members, "title").collect()} == {("Branches of art", True), ("Painting", False)}
-    (tmp_path / "report.md").write_text("# Report\n- **ok** \n## Failed domains\n- **alchemy** (tried: Alchemy)\n- chess\n\n## Found\n- art\n# Not found\n* polo\n")
-    assert {tuple(r) for r in files.failed_domains(spark, f"{tmp_path}/report.md").collect()} == {("alchemy", "Alchemy"), ("chess", ""), ("polo", "")}
-    found = spark.createDataFrame([("b", "matched", ["y", "x"]), ("a", "matched", ["z"]), ("c", "failed", [])], "domain string, status string, categories array<string>")
-    got = {r.status: r for r in files.wiki_report(found).collect()}
-    assert got["matched"].report == "## matched\n- a: z\n- b: x, y" and (got["failed"].domains, got["failed"].categories) == (1, 0)
+    text = """## Summary
+
+| Metric | Count |
+|--------|-------|
+| Domains queried | 4 |
+| Wikipedia match found | 2 |
+| No match found | 1 |
+| Skipped (non-topical) | 1 |
+| Total subcategories found | 4 |
+
+## Domains With No Wikipedia Category Match (1)
+
+- **alchemy** (tried: `Alchemy`)
+
+## Skipped Domains \u2014 Non-Topical (1)
+
+- euphemism
+
+## Domain \u2192 Wikipedia Subcategories
+
+### art
+**Wikipedia:** `Category:Arts` \u2014 5 raw \u2192 2 filtered subcategories
+
+- **Branches**
+  - Music
+  - Dance
+- Crafts
+
+"""
+    art = [("Branches", ["Music", "Dance"]), ("Crafts", [])]
+    rows = [("art", "Arts", "found", 5, art), ("zen", "Zen", "found", 0, []), ("alchemy", "Alchemy", "not_found", 0, None), ("euphemism", "E", "skipped", 0, None)]
+    found = spark.createDataFrame(rows, "domain string, wiki_category string, status string, raw_count long, subcats array<struct<name: string, children: array<string>>>")
+    lines = files.wiki_report(found.repartition(3))
+    assert "".join(r.line + "\n" for r in lines.orderBy("place").collect()) == text
+    files.write_report(lines, f"{tmp_path}/report")
+    more = "# x\n- **no**\n## Domains With No Wikipedia Category Match (3)\n- **chess**\n- plain\n### No Wikipedia page\n- **polo** (tried: `Polo sports`)\n## Rest\n- **yes**\n"
+    (tmp_path / "report" / "more.txt").write_text(more)
+    assert {tuple(r) for r in files.failed_domains(spark, f"{tmp_path}/report/*.txt").collect()} == {("alchemy", "Alchemy"), ("chess", "chess"), ("polo", "Polo sports")}
+    empty = files.wiki_report(found.limit(0)).orderBy("place").collect()
+    assert empty[4].line == "| Domains queried | 0 |" and len(empty) == 12
 
 
 def test_classifier_results(spark, tmp_path):

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import kept
 
-#: Rounds that are made, and written, at once; pairs without a better modularity that end the moves; pairs of a refinement; gain of a level with which it goes on.
-AT_ONCE, PATIENCE, REFINING, GAIN = 2, 1, 2, 1e-4
+#: Rounds that are made, and written, at once; pairs of a refinement; gains of modularity with which a level's moves, and the levels, go on.
+AT_ONCE, REFINING, STEP, GAIN = 2, 2, 0.005, 1e-4
 LEAST_WEIGHT = 1e-9
 
 
@@ -93,16 +93,18 @@ def bulk_communities(edges: DataFrame, group: str, least: int = 3, resolution: f
     one = edges.select(F.col(group).alias("grp"), F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), w.alias("w"))
     graph = _graph(one.unionByName(one.select("grp", F.col("b").alias("a"), F.col("a").alias("b"), "w")))
     members = graph.nodes.select("grp", "node", F.col("node").alias("part"))
+    if not graph.nodes.limit(1).count():
+        return graph.nodes.select(F.col("grp").alias(group), "node", F.col("node").alias("community"))
     labels = graph.nodes.select("grp", "node", F.col("node").alias("label"))
     best, turn = _quality(graph, labels, resolution), 0
     while True:
-        before, stale, now = best, 0, labels
-        while stale < PATIENCE:
-            now, turn = kept(_rounds(graph, now, resolution, turn)), turn + AT_ONCE
-            if (q := _quality(graph, now, resolution)) > best + 1e-9:
-                best, labels, stale = q, now, 0
-            else:
-                stale += 1
+        before, more = best, True
+        while more:
+            now, turn = kept(_rounds(graph, labels, resolution, turn)), turn + AT_ONCE
+            q = _quality(graph, now, resolution)
+            more = q > best + STEP
+            if q > best:
+                best, labels = q, now
         ends = lambda end, name: labels.select("grp", F.col("node").alias(end), F.col("label").alias(name))  # noqa: B023, E731
         inside = kept(graph.edges.where("a <> b").join(ends("a", "la"), ["grp", "a"]).join(ends("b", "lb"), ["grp", "b"]).where("la = lb").select("grp", "a", "b", "w"))
         parts = graph.nodes.select("grp", "node", F.col("node").alias("label"))

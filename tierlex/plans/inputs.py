@@ -167,20 +167,46 @@ def category_members(t):
     return files.category_members(t.spark, _text(t, pages.select(F.to_json(F.struct("category", "query")))))
 
 
-@query("SELECT CASE WHEN n_nationkey % 4 = 0 THEN 'failed' ELSE 'matched' END AS status, count(*) AS domains, sum(CASE WHEN n_nationkey % 4 = 0 THEN 0 ELSE 2 END)::BIGINT AS categories, '## ' || CASE WHEN n_nationkey % 4 = 0 THEN 'failed' ELSE 'matched' END || chr(10) || string_agg('- ' || n_name || ': ' || CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE 'Branches of ' || n_name || ', ' || n_name || ' by type' END, chr(10) ORDER BY '- ' || n_name || ': ') AS report FROM nation GROUP BY n_nationkey % 4 = 0")
+def _explored(t):
+    """Parts' types as domains, their brands as subcategories and the sizes of large parts as children of those; some types have no match, some are skipped."""
+    named = t.part.select(F.regexp_replace("p_type", " ", "_").alias("domain"), F.initcap("p_type").alias("wiki_category"), "p_brand", "p_size", "p_partkey")
+    subs = named.groupBy("domain", "p_brand").agg(F.array_sort(F.collect_set(F.when(F.col("p_size") > 40, F.concat(F.lit("size "), "p_size")))).alias("children"), F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("least"), F.first("wiki_category").alias("wiki_category"))
+    found = subs.groupBy("domain", "wiki_category").agg(F.array_sort(F.collect_list(F.struct(F.col("p_brand").alias("name"), "children"))).alias("subcats"), F.sum("n").alias("raw_count"), F.min("least").alias("least"))
+    status = F.when(F.col("least") % 5 == 0, files.NOT_FOUND).when(F.col("least") % 5 == 1, files.SKIPPED).otherwise(files.FOUND)
+    out = found.withColumn("status", status)
+    return out.withColumn("subcats", F.when(F.col("status") == files.FOUND, F.col("subcats"))).drop("least")
+
+
+_EXPLORED = """
+WITH su AS (SELECT replace(p_type, ' ', '_') AS domain, p_type, p_brand AS name, list_sort(list(DISTINCT 'size ' || p_size) FILTER (p_size > 40)) AS children, count(*) AS n, min(p_partkey) AS least FROM part GROUP BY ALL),
+ex AS (SELECT domain, array_to_string(list_transform(string_split(p_type, ' '), lambda x: upper(x[1]) || lower(x[2:])), ' ') AS wiki_category, sum(n)::BIGINT AS raw_count, count(*) AS filtered, sum(1 + coalesce(len(children), 0))::BIGINT AS total,
+       CASE min(least) % 5 WHEN 0 THEN 'not_found' WHEN 1 THEN 'skipped' ELSE 'found' END AS status,
+       string_agg(CASE WHEN coalesce(len(children), 0) > 0 THEN '- **' || name || '**' || chr(10) || '  - ' || array_to_string(children, chr(10) || '  - ') ELSE '- ' || name END, chr(10) ORDER BY name) AS topics FROM su GROUP BY domain, p_type)"""
+
+
+@query(f"""{_EXPLORED}, pieces AS (
+SELECT 0 AS section, '' AS domain, '## Summary' || chr(10) || chr(10) || '| Metric | Count |' || chr(10) || '|--------|-------|' || chr(10) || '| Domains queried | ' || count(*) || ' |' || chr(10) || '| Wikipedia match found | ' || count(*) FILTER (status = 'found') || ' |' || chr(10) || '| No match found | ' || count(*) FILTER (status = 'not_found') || ' |' || chr(10) || '| Skipped (non-topical) | ' || count(*) FILTER (status = 'skipped') || ' |' || chr(10) || '| Total subcategories found | ' || coalesce(sum(total) FILTER (status = 'found'), 0) || ' |' || chr(10) AS text FROM ex
+UNION ALL SELECT 1, '', '## Domains With No Wikipedia Category Match (' || count(*) || ')' || chr(10) FROM ex WHERE status = 'not_found' HAVING count(*) > 0
+UNION ALL SELECT 2, domain, '- **' || domain || '** (tried: `' || wiki_category || '`)' FROM ex WHERE status = 'not_found'
+UNION ALL SELECT 3, '', '' FROM ex WHERE status = 'not_found' HAVING count(*) > 0
+UNION ALL SELECT 4, '', '## Skipped Domains — Non-Topical (' || count(*) || ')' || chr(10) FROM ex WHERE status = 'skipped' HAVING count(*) > 0
+UNION ALL SELECT 5, domain, '- ' || domain FROM ex WHERE status = 'skipped'
+UNION ALL SELECT 6, '', '' FROM ex WHERE status = 'skipped' HAVING count(*) > 0
+UNION ALL SELECT 7, '', '## Domain → Wikipedia Subcategories' || chr(10)
+UNION ALL SELECT 8, domain, '### ' || domain || chr(10) || '**Wikipedia:** `Category:' || wiki_category || '` — ' || raw_count || ' raw → ' || filtered || ' filtered subcategories' || chr(10) || chr(10) || topics || chr(10) FROM ex WHERE status = 'found'),
+ln AS (SELECT section, domain, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS nth FROM pieces)
+SELECT section || '/' || domain || '/' || lpad(nth::VARCHAR, 6, '0') AS place, line FROM ln""")
 def wiki_report(t):
-    """Domains by status with their categories, as Markdown."""
-    none = F.col("n_nationkey") % 4 == 0
-    categories = F.when(none, F.array().cast("array<string>")).otherwise(F.array(F.concat("n_name", F.lit(" by type")), F.concat(F.lit("Branches of "), "n_name")))
-    return files.wiki_report(t.nation.select(F.col("n_name").alias("domain"), F.when(none, "failed").otherwise("matched").alias("status"), categories.alias("categories")))
+    """The Markdown report of all domains, by line."""
+    return files.wiki_report(_explored(t))
 
 
-@query("SELECT n_name AS domain, upper(n_name) AS tried FROM nation WHERE n_nationkey % 4 = 0")
+@query(f"{_EXPLORED} SELECT domain, wiki_category AS tried FROM ex WHERE status = 'not_found'")
 def failed_domains(t):
-    """The failed domains of a Markdown report, as a retry reads them."""
-    item = lambda when: F.array_join(F.sort_array(F.collect_list(F.when(when, F.concat(F.lit("- **"), "n_name", F.lit("** (tried: "), F.upper("n_name"), F.lit(")"))))), "\n")
-    none = F.col("n_nationkey") % 4 == 0
-    return files.failed_domains(t.spark, _text(t, t.nation.agg(F.concat(F.lit("# Report\n## Matched\n"), item(~none), F.lit("\n## Failed domains\n"), item(none), F.lit("\n## Notes\n- none\n")).alias("value"))))
+    """The domains without a match, as a retry reads them from the report that was written."""
+    path = scratch.new_path(t.spark, "report")
+    files.write_report(files.wiki_report(_explored(t)), path)
+    return files.failed_domains(t.spark, path)
 
 
 @query("SELECT column_name AS name FROM (DESCRIBE lineitem)")

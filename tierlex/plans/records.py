@@ -340,11 +340,11 @@ def verified_export(t):
     return packed.scanned(t.spark, folder, sinks.FILES).join(problems, "file", "left").select("file", "entries", F.coalesce("problems", F.lit(0).cast("long")).alias("problems"))
 
 
-@query(f"{_TBG}, {_IDS}, b AS (SELECT town_no, mean, std FROM ad JOIN tt ON tt.town_id = ad.grp) SELECT town_no, coalesce(mean, 0) AS mean, coalesce(std, 0.1::DOUBLE) AS std FROM tt LEFT JOIN b USING (town_no)")
+@query(f"{_TBG}, {_IDS}, b AS (SELECT town_no, mean, std FROM ad JOIN tt ON tt.town_id = ad.grp) SELECT town_no, round(coalesce(mean, 0), 9) AS mean, round(coalesce(std, 0.1::DOUBLE), 9) AS std FROM tt LEFT JOIN b USING (town_no)")
 def exported_background(t):
     """Every town's background, as the written export gives it back."""
     lists = packed.read(t.spark, f"{exported(t)}/background.bin", packed.OBJECT, "town_bg_mean array<double>, town_bg_std array<double>")
-    return lists.select(F.posexplode(F.arrays_zip("town_bg_mean", "town_bg_std")).alias("town_no", "x")).select("town_no", F.col("x.town_bg_mean").alias("mean"), F.col("x.town_bg_std").alias("std"))
+    return lists.select(F.posexplode(F.arrays_zip("town_bg_mean", "town_bg_std")).alias("town_no", "x")).select("town_no", F.round("x.town_bg_mean", 9).alias("mean"), F.round("x.town_bg_std", 9).alias("std"))
 
 
 @query()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -130,20 +131,62 @@ def category_members(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("category", F.explode("query.categorymembers.title").alias("title")).select("category", F.regexp_replace("title", "^Category:", "").alias("title")).distinct()
 
 
+#: Statuses of a domain whose categories were looked for, and what the report's headings say.
+FOUND, NOT_FOUND, SKIPPED = "found", "not_found", "skipped"
+NO_MATCH, TOPICS = "No Wikipedia Category Match", "Domain \u2192 Wikipedia Subcategories"
+
+
 def failed_domains(spark: SparkSession, path: str) -> DataFrame:
-    """domain and tried (the category that was looked for) from a Markdown report: list items below a heading that says Failed or Not found, up to the next heading."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"), F.xxhash64("value").alias("file"))
-    heading = F.when(F.col("line").rlike("^#+ "), F.struct("at", F.col("line").rlike("(?i)^#+ .*(failed|not found)").alias("failed")))
-    section = F.last(heading, ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
-    item = lines.withColumn("section", section).where("section.failed").select(F.regexp_extract("line", r"^[-*] +\*{0,2}([^*(]+?)\*{0,2} *(?:\(tried: *([^)]*)\))? *$", 1).alias("domain"), F.regexp_extract("line", r"\(tried: *([^)]*)\)", 1).alias("tried"))
-    return item.where("domain <> ''")
+    """domain and tried (the category that was looked for) from Markdown reports: bold items below a line that says NO_MATCH, up to the next heading.
+
+    The category stands between back-quotes; an item without one tried its own name.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"))
+    begins = F.contains("line", F.lit(NO_MATCH))
+    ends = F.startswith("line", F.lit("##")) & ~F.contains("line", F.lit("No Wikipedia"))
+    mark = F.when(begins, True).when(ends, False)
+    inside = F.coalesce(F.last(mark, ignorenulls=True).over(Window.partitionBy("file").orderBy("at")), F.lit(False))
+    item = lines.withColumn("inside", inside).where(F.col("inside") & ~begins & F.startswith("line", F.lit("- **")))
+    name, quoted = F.get(F.split("line", r"\*\*"), F.lit(1)), F.get(F.split("line", "`"), F.lit(1))
+    return item.select(name.alias("domain"), F.coalesce(quoted, name).alias("tried"))
 
 
 def wiki_report(found: DataFrame) -> DataFrame:
-    """status, domains, categories and, as Markdown, the lines of each status.  found: domain, status, categories (array)."""
-    line = F.concat(F.lit("- "), "domain", F.lit(": "), F.array_join(F.array_sort("categories"), ", "))
-    body = F.array_join(F.array_sort(F.collect_list(line)), "\n")
-    return found.groupBy("status").agg(F.count(F.lit(1)).alias("domains"), F.sum(F.size("categories")).alias("categories"), F.concat(F.lit("## "), F.first("status"), F.lit("\n"), body).alias("report"))
+    """place and line of the Markdown report: a summary, the domains without a match, those skipped, and every domain's categories with their children.
+
+    found: domain, wiki_category, status, raw_count, subcats (array of name and children), whose size is the
+    number that was left.  Places are texts in the lines' order: section, domain, and number within it.
+    """
+    size = F.coalesce(F.size("subcats"), F.lit(0))
+    total = F.sum(F.aggregate(F.coalesce("subcats", F.array().cast(found.schema["subcats"].dataType)), F.lit(0).cast("long"), lambda n, s: n + 1 + F.size(s["children"])))
+    counts = found.agg(F.count(F.lit(1)).alias("all"), *[F.count_if(F.col("status") == s).alias(s) for s in (FOUND, NOT_FOUND, SKIPPED)], F.coalesce(total, F.lit(0)).alias("total"))
+    cell = lambda label, c: F.concat(F.lit(f"| {label} | "), F.col(c).cast("string"), F.lit(" |"))
+    summary = F.array(F.lit("## Summary"), F.lit(""), F.lit("| Metric | Count |"), F.lit("|--------|-------|"), cell("Domains queried", "all"), cell("Wikipedia match found", FOUND), cell("No match found", NOT_FOUND), cell("Skipped (non-topical)", SKIPPED), cell("Total subcategories found", "total"), F.lit(""))
+
+    def lines(df: DataFrame, section: int, domain, texts) -> DataFrame:
+        each = df.select(domain.alias("domain"), F.posexplode(texts).alias("nth", "line"))
+        return each.select(F.concat_ws("/", F.lit(str(section)), F.col("domain"), F.lpad(F.col("nth").cast("string"), 6, "0")).alias("place"), "line")
+
+    none = F.lit("")
+    some = lambda c: counts.where(F.col(c) > 0)
+    heading = lambda text, c: F.concat(F.lit(f"## {text} ("), F.col(c).cast("string"), F.lit(")"))
+    tried = F.concat(F.lit("- **"), "domain", F.lit("** (tried: `"), "wiki_category", F.lit("`)"))
+    children = lambda s: F.concat(F.array(F.concat(F.lit("- **"), s["name"], F.lit("**"))), F.transform(s["children"], lambda c: F.concat(F.lit("  - "), c)))
+    topics = F.flatten(F.transform("subcats", lambda s: F.when(F.size(s["children"]) > 0, children(s)).otherwise(F.array(F.concat(F.lit("- "), s["name"])))))
+    head = F.array(F.concat(F.lit("### "), "domain"), F.concat(F.lit("**Wikipedia:** `Category:"), "wiki_category", F.lit("` \u2014 "), F.col("raw_count").cast("string"), F.lit(" raw \u2192 "), size.cast("string"), F.lit(" filtered subcategories")), F.lit(""))
+    of = lambda status: found.where(F.col("status") == status)
+    parts = [
+        lines(counts, 0, none, summary),
+        lines(some(NOT_FOUND), 1, none, F.array(heading(f"Domains With {NO_MATCH}", NOT_FOUND), none)), lines(of(NOT_FOUND), 2, F.col("domain"), F.array(tried)), lines(some(NOT_FOUND), 3, none, F.array(none)),
+        lines(some(SKIPPED), 4, none, F.array(heading("Skipped Domains \u2014 Non-Topical", SKIPPED), none)), lines(of(SKIPPED), 5, F.col("domain"), F.array(F.concat(F.lit("- "), "domain"))), lines(some(SKIPPED), 6, none, F.array(none)),
+        lines(counts, 7, none, F.array(F.lit(f"## {TOPICS}"), none)), lines(of(FOUND).where(size > 0), 8, F.col("domain"), F.concat(head, topics, F.array(none))),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_report(lines: DataFrame, path: str) -> None:
+    """The report's lines in order, as one text file in the folder: a page for one reader."""
+    lines.coalesce(1).sortWithinPartitions("place").select("line").write.mode("overwrite").text(path)
 
 
 def catalog_of(df: DataFrame) -> DataFrame:
