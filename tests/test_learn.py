@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -201,6 +202,33 @@ def test_terms_are_longest_compounds(spark):
     assert got == {(1, "new york city"): 1, (1, "hall"): 1, (1, "new york"): 1, (1, "and"): 1, (1, "york city"): 1, (4, "über größe"): 1, (4, "new"): 1}
 
 
+def plain_terms(words, compounds):
+    out, i = [], 0
+    while i < len(words):
+        n = max([k for k in range(2, len(words) - i + 1) if " ".join(words[i : i + k]) in compounds], default=1)
+        out.append(" ".join(words[i : i + n]))
+        i += n
+    return out
+
+
+def test_terms_equal_a_walk_from_left_to_right(spark):
+    """Random texts over few words, compounds up to six words, some of which begin like others; then no compounds at all."""
+    rng = random.Random(12)
+    draw = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    known = {draw(rng.randint(2, 6)) for _ in range(40)} | {"a a a a a a", "a a"}
+    texts = [draw(rng.randint(0, 40)) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    stop = spark.createDataFrame([("a",), ("a a",)], "word string")
+    for compounds in (known, set()):
+        got = {(r.doc_id, r.token): r.n for r in text.matched_terms(docs, spark.createDataFrame([(c,) for c in compounds], "compound string"), stop).collect()}
+        assert got == Counter((i, w) for i, t in enumerate(texts) for w in plain_terms(t.split(), compounds) if w not in ("a", "a a"))
+    weights = spark.createDataFrame([("g", "b", 51), ("g", "c d", 102), ("h", "zz", 5)], "grp string, token string, weight int")
+    background = spark.createDataFrame([("g", 0.1, 0.5), ("h", 0.0, 0.0)], "grp string, mean double, std double")
+    one = spark.createDataFrame([(1, "C d b b"), (2, "zz"), (3, None)], "doc_id long, text string")
+    scores = {(r.doc_id, r.grp): (r.n_words, round(r.score, 9), round(r.z, 3)) for r in text.score_texts(one, spark.createDataFrame([("c d",)], "compound string"), stop, weights, background).collect()}
+    assert scores == {(1, "g"): (2, 0.6, 1.0), (2, "h"): (1, round(5 / 255, 9), round(5 / 255 / 1e-6, 3))}
+
+
 def test_missing_vectors_are_added_once(spark, tmp_path):
     texts = spark.createDataFrame([(i, f"t{i % 3}") for i in range(6)], "key long, text string")
     seen = []

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
+
 
 def pmi(members: DataFrame, group: str, word: str) -> DataFrame:
     """Positive pointwise mutual information of pairs of groups that share words; probabilities are over all words."""
@@ -38,42 +39,60 @@ def compounds_in(tokens: DataFrame, compounds: DataFrame) -> DataFrame:
     return tokens.join(nxt, ["doc_id", "pos"]).select("doc_id", "pos", F.concat_ws(" ", "token", "token2").alias("compound")).join(compounds, "compound", "left_semi")
 
 
-#: Compounds up to this number are broadcast to the texts; more are refused.
-MOST_COMPOUNDS = 2_000_000
+def prefixes(compounds: DataFrame) -> DataFrame:
+    """A trie of the compounds as a table: prefix (its words joined by blanks), size, whole (it is a compound), more (longer ones begin with it)."""
+    parts = F.split("compound", " ")
+    each = compounds.select("compound").distinct().select(parts.alias("w")).select(F.size("w").alias("n"), F.explode(F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.struct(i.alias("size"), F.array_join(F.slice("w", 1, i), " ").alias("prefix")))).alias("p"))
+    return each.groupBy("p.prefix", "p.size").agg(F.max(F.col("n") == F.col("p.size")).alias("whole"), F.max(F.col("n") > F.col("p.size")).alias("more"))
+
+
+def longest_at(words: DataFrame, trie: DataFrame) -> DataFrame:
+    """doc_id, pos, size, term: the longest compound of two words or more that begins at each place, if there is one.
+
+    words: doc_id, pos, word.  Places walk down the trie a word at a time, and only those whose words so far
+    begin a longer compound go on, so what is joined shrinks with each step.
+    """
+    deepest = trie.where("more").agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
+    at = words.select("doc_id", "pos", F.col("word").alias("term"))
+    found = None
+    for size in range(1, deepest + 1):
+        going = trie.where((F.col("size") == size) & F.col("more")).select(F.col("prefix").alias("term"))
+        ahead = words.select("doc_id", (F.col("pos") - size).alias("pos"), "word")
+        at = kept(at.join(going, "term", "left_semi").join(ahead, ["doc_id", "pos"]).select("doc_id", "pos", F.concat_ws(" ", "term", "word").alias("term")).join(trie.where(F.col("size") == size + 1).select(F.col("prefix").alias("term"), "whole"), "term"))
+        here = at.where("whole").select("doc_id", "pos", F.lit(size + 1).alias("size"), "term")
+        found = here if found is None else found.unionByName(here)
+        at = at.drop("whole")
+    if found is None:
+        return words.select("doc_id", "pos", F.lit(1).alias("size"), F.col("word").alias("term")).limit(0)
+    return found.groupBy("doc_id", "pos").agg(F.max("size").alias("size"), F.max_by("term", "size").alias("term"))
+
+
+def chosen(matches: DataFrame) -> DataFrame:
+    """The matches of each text that are taken from left to right: one that begins inside a taken one isn't.  A text's matches are one array, in order."""
+    rows = matches.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "size", "term"))).alias("all"))
+    empty = F.struct(F.lit(0).alias("free"), F.array().cast("array<int>").alias("taken"))
+    step = lambda s, m: F.when(m["pos"] >= s["free"], F.struct((m["pos"] + m["size"]).alias("free"), F.concat(s["taken"], F.array(m["pos"])).alias("taken"))).otherwise(s)
+    taken = rows.select("doc_id", F.explode(F.aggregate("all", empty, step)["taken"]).alias("pos"))
+    return matches.join(taken, ["doc_id", "pos"])
 
 
 def matched_terms(docs: DataFrame, compounds: DataFrame, stop: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, token, n: how often each term stands in a text: known compounds, the longest first from left to right, else single words; stop words are left out.
 
-    compounds: compound, lower-cased words joined by blanks; stop: word.  A text's words are its
-    runs of letters, lower-cased; null texts have none.
+    compounds: compound, lower-cased words joined by blanks, any number of them; stop: word.  A text's words
+    are its runs of letters, lower-cased; null texts have none.
     """
-    listed = [r[0] for r in compounds.select("compound").distinct().limit(MOST_COMPOUNDS + 1).toLocalIterator()]
-    if len(listed) > MOST_COMPOUNDS:
-        raise ValueError(f"more than {MOST_COMPOUNDS} compounds")
-    lengths: dict[str, list[int]] = {}
-    for c in listed:
-        words = c.split(" ")
-        lengths[words[0]] = sorted({*lengths.get(words[0], []), len(words)}, reverse=True)
-    sent = docs.sparkSession.sparkContext.broadcast((frozenset(listed), lengths))
-
-    @F.pandas_udf("array<string>")
-    def terms(column: pd.Series) -> pd.Series:
-        known, starts = sent.value
-
-        def of(words):
-            out, i = [], 0
-            while i < len(words):
-                size = next((n for n in starts.get(words[i], ()) if n <= len(words) - i and " ".join(words[i : i + n]) in known), 1)
-                out.append(" ".join(words[i : i + size]))
-                i += size
-            return out
-
-        return column.map(lambda w: None if w is None else of(list(w)))
-
-    words = F.regexp_extract_all(F.lower(text_col), F.lit("(\\p{L}+)"), 1)
-    each = docs.select(F.col(id_col).alias("doc_id"), F.explode(terms(words)).alias("token"))
-    return each.join(stop.select(F.col("word").alias("token")), "token", "left_anti").groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    runs = F.regexp_extract_all(F.lower(text_col), F.lit("(\\p{L}+)"), 1)
+    words = kept(docs.select(F.col(id_col).alias("doc_id"), F.posexplode(runs).alias("pos", "word")))
+    several = kept(chosen(longest_at(words, kept(prefixes(compounds)))))
+    covered = several.select("doc_id", F.explode(F.sequence("pos", F.col("pos") + F.col("size") - 1)).alias("pos"))
+    terms = words.join(covered, ["doc_id", "pos"], "left_anti").select("doc_id", F.col("word").alias("token")).unionByName(several.select("doc_id", F.col("term").alias("token")))
+    return terms.join(stop.select(F.col("word").alias("token")), "token", "left_anti").groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def score_texts(docs: DataFrame, compounds: DataFrame, stop: DataFrame, weights: DataFrame, background: DataFrame, text_col: str = "text") -> DataFrame:
+    """From texts to scores: doc_id, grp, n_words, score and z of each text's distinct terms, compounds among them and stop words not; see `matched_terms` and `text_scores`."""
+    return text_scores(matched_terms(docs, compounds, stop, text_col=text_col).select("doc_id", "token"), weights, background)
 
 
 def rank_agreement(a: DataFrame, b: DataFrame, key: str, item: str, k: int = 10) -> DataFrame:

@@ -286,13 +286,53 @@ def score_trace(t):
     return text.trace(tokens, weights)
 
 
-@query()
+def compounds_of(t) -> DataFrame:
+    """Runs of two or three words that stand in twenty texts or more."""
+    words = t.documents.select("doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1)).alias("pos", "word"))
+    row = Window.partitionBy("doc_id").orderBy("pos")
+    runs = words.select("doc_id", "word", F.lead("word", 1).over(row).alias("w2"), F.lead("word", 2).over(row).alias("w3"))
+    both = F.concat_ws(" ", "word", "w2")
+    each = runs.where("w2 is not null").select("doc_id", F.explode(F.when(F.col("w3").isNull(), F.array(both)).otherwise(F.array(both, F.concat_ws(" ", "word", "w2", "w3")))).alias("compound"))
+    return each.distinct().groupBy("compound").agg(F.count(F.lit(1)).alias("n")).where("n >= 20").select("compound")
+
+
+def stop_list(t) -> DataFrame:
+    """Tokens that stand in a fifth of all texts or more."""
+    once = t.tokens.select("doc_id", "token").distinct()
+    total = t.documents.agg((F.countDistinct("doc_id") / 5).alias("least"))
+    return once.groupBy("token").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(total)).where("n >= least").select(F.col("token").alias("word"))  # one row
+
+
+def scorer_parts(t) -> tuple[DataFrame, DataFrame]:
+    return t.kept(compounds_of(t)), t.kept(stop_list(t))
+
+
+#: A text's terms in SQL: places walk from left to right, each to the one after its longest compound.
+_TERMS = f"""{TOK.replace('WITH', 'WITH RECURSIVE')}, ws AS MATERIALIZED (SELECT doc_id, source, unnest(range(0, len(a))) AS pos, unnest(a) AS w1, unnest(a[2:] || [NULL]) AS w2, unnest(a[3:] || [NULL, NULL]) AS w3 FROM (SELECT doc_id, source, regexp_extract_all(lower(text), '(\\p{{L}}+)', 1) AS a FROM documents) WHERE len(a) > 1 UNION ALL SELECT doc_id, source, 0, a[1], NULL, NULL FROM (SELECT doc_id, source, regexp_extract_all(lower(text), '(\\p{{L}}+)', 1) AS a FROM documents) WHERE len(a) = 1),
+cp AS MATERIALIZED (SELECT compound FROM (SELECT DISTINCT doc_id, w1 || ' ' || w2 AS compound FROM ws WHERE w2 IS NOT NULL UNION ALL SELECT DISTINCT doc_id, w1 || ' ' || w2 || ' ' || w3 FROM ws WHERE w3 IS NOT NULL) GROUP BY 1 HAVING count(*) >= 20),
+sp AS MATERIALIZED (SELECT token FROM (SELECT DISTINCT doc_id, token FROM tok) GROUP BY 1 HAVING count(*) >= (SELECT count(DISTINCT doc_id) / 5 FROM documents)),
+lg AS MATERIALIZED (SELECT doc_id, pos, CASE WHEN c3.compound IS NOT NULL THEN 3 WHEN c2.compound IS NOT NULL THEN 2 ELSE 1 END AS size, coalesce(c3.compound, c2.compound, w1) AS term FROM ws LEFT JOIN cp c2 ON c2.compound = w1 || ' ' || w2 LEFT JOIN cp c3 ON c3.compound = w1 || ' ' || w2 || ' ' || w3),
+wk(doc_id, pos) AS (SELECT doc_id, 0 FROM lg WHERE pos = 0 UNION ALL SELECT lg.doc_id, lg.pos + lg.size FROM wk JOIN lg ON lg.doc_id = wk.doc_id AND lg.pos = wk.pos),
+tm AS MATERIALIZED (SELECT doc_id, term AS token, count(*) AS n FROM wk JOIN lg USING (doc_id, pos) WHERE term NOT IN (FROM sp) GROUP BY ALL)"""
+
+
+@query(f"{_TERMS} SELECT * FROM tm")
 def matched_terms(t):
-    """Terms of all texts with compounds, of which every pair of words that stands in twenty texts is one, and without stop words."""
-    pairs = t.documents.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("(\\p{L}+)"), 1).alias("w")).select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.try_element_at("w", i), F.try_element_at("w", i + 1)))).alias("compound"))
-    often = pairs.where(F.contains("compound", F.lit(" "))).groupBy("compound").agg(F.countDistinct("doc_id").alias("n")).where("n >= 20")
-    stop = t.spark.createDataFrame([(w,) for w in ("the", "of", "and", "la", "der")], "word string")
-    return text.matched_terms(t.documents, often, stop)
+    """Terms of all texts with compounds and without stop words."""
+    return text.matched_terms(t.documents, *scorer_parts(t))
+
+
+@query(f"""{_TERMS}, so AS (SELECT DISTINCT doc_id, source AS grp FROM documents WHERE source IS NOT NULL), gv AS (SELECT grp, token, least(255, count(DISTINCT doc_id) * 10) AS weight FROM tm JOIN so USING (doc_id) GROUP BY ALL),
+bv AS (SELECT grp, avg(weight) / 255 AS mean, stddev_pop(weight) / 255 AS std FROM gv GROUP BY 1)
+SELECT doc_id, grp, count(*) AS n_words, sum(weight) / 255::DOUBLE AS score, (sum(weight) / 255::DOUBLE - any_value(mean)) / greatest(any_value(std), 1e-6) AS z FROM tm JOIN gv USING (token) JOIN bv USING (grp) GROUP BY doc_id, grp""")
+def text_z(t):
+    """From texts to z-scores: terms with compounds and without stop words, scored against sources by how many of their texts hold each term."""
+    compounds, stop = scorer_parts(t)
+    terms = t.kept(text.matched_terms(t.documents, compounds, stop).select("doc_id", "token"))
+    held = terms.join(t.documents.select("doc_id", F.col("source").alias("grp")).distinct(), "doc_id").where("grp is not null")
+    weights = t.kept(held.groupBy("grp", "token").agg(F.countDistinct("doc_id").alias("n")).select("grp", "token", F.least(F.lit(255), F.col("n") * 10).alias("weight")))
+    background = weights.groupBy("grp").agg((F.avg("weight") / 255.0).alias("mean"), (F.stddev_pop("weight") / 255.0).alias("std"))
+    return text.score_texts(t.documents, compounds, stop, weights, background)
 
 
 @query("WITH a AS (SELECT doc_id, regexp_extract_all(lower(text), '(\\p{L}+)', 1) AS w FROM documents), p AS (SELECT doc_id, unnest(range(0, len(w))) AS pos, unnest(w) AS token FROM a), b AS (SELECT doc_id, pos, token || ' ' || lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS compound FROM p) SELECT doc_id, pos, compound FROM b WHERE compound IN ('of the', 'in the', 'de la')")
