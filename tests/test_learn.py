@@ -306,3 +306,20 @@ def test_rounds_are_as_good_as_one_task(spark):
                 front += [b if a == x else a for a, b, _ in edges if x in (a, b) and {a, b} <= nodes]
         assert seen == nodes
     assert communities.bulk_communities(df.limit(0), "town_id").count() == 0
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_nearest_of_many_centroids_is_proven(spark, monkeypatch, block):
+    """Any number of centroids: equal to comparing all pairs, with ties, copies, opposite vectors and one of length 0."""
+    monkeypatch.setattr(vectors, "BLOCK", block)
+    rng = np.random.default_rng(block)
+    c = np.concatenate([rng.standard_normal((80, 5)), np.eye(5), -np.eye(5), np.eye(5)[:2]])
+    v = np.concatenate([rng.standard_normal((120, 5)), np.eye(5), c[:20], np.zeros((1, 5))])
+    words_ = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, v array<double>").repartition(3)
+    groups = spark.createDataFrame([(int(i), x.tolist()) for i, x in enumerate(c)], "grp long, c array<double>").repartition(2)
+    unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    cos = unit(v) @ unit(c).T
+    got = {r.vec_id: (r.nearest, r.best) for r in vectors.nearest_centroid(words_, groups, "grp").collect()}
+    assert {i: x for i, (x, _) in got.items()} == dict(enumerate(np.round(cos, 9).argmax(1).tolist()))
+    assert all(b == pytest.approx(cos[i].max(), abs=1e-9) for i, (_, b) in got.items())
+    assert vectors.nearest_centroid(words_, groups.limit(0), "grp").count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..sources.files import not_done
+from ..sources.scratch import kept
 
 
 def mean_vectors(vectors: DataFrame, key: list[str], weight: str | None = None, normalise: bool = True) -> DataFrame:
@@ -41,6 +43,101 @@ def nearest(sims: DataFrame) -> DataFrame:
     return sims.groupBy("vec_id").agg(F.max_by("other", F.struct("cos", -F.col("other"))).alias("nearest"), F.max("cos").alias("best"))
 
 
+#: Groups of centroids that are broadcast, as many as there are centroids of them each; angles closer than this are looked at as equal.
+MOST_HEADS, CLOSE = 20_000, 1e-6
+
+
+def _unit_rows(column) -> np.ndarray:
+    x = np.stack(column)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+
+def nearest_centroid(vectors: DataFrame, centroids: DataFrame, key: str) -> DataFrame:
+    """vec_id, nearest, best: the centroid of the largest cosine, of any number of them; equal cosines (9 places) go to the least key.
+
+    An inverted file of two levels: some centroids, the first of a seeded order and about the root of their
+    number, are heads, and every centroid belongs to the nearest head, at most a radius away.  A word looks at the
+    centroids of its nearest head; by the triangle inequality of angles a head whose angle less its radius
+    is above the best angle so far holds no better one, and only the other heads' centroids are looked at too.
+    A vector of length 0 has cosine 0 with all.  vectors: vec_id, v; centroids: key, c.
+    """
+    spark = vectors.sparkSession
+    rows = centroids.select(F.col(key).cast("long").alias("other"), "c")
+    n = rows.count()
+    if n > MOST_HEADS**2:
+        raise ValueError(f"more than {MOST_HEADS ** 2} centroids")
+    wanted = max(1, math.isqrt(n))
+    place = F.pmod(F.xxhash64("other"), F.lit(1 << 32))
+    chosen = rows.where(place < math.ceil((1.2 * wanted + 10) / max(n, 1) * (1 << 32))).orderBy(place, "other").limit(wanted).toPandas()  # at most MOST_HEADS
+    if not len(chosen):
+        return vectors.select("vec_id", F.lit(None).cast("long").alias("nearest"), F.lit(None).cast("double").alias("best")).limit(0)
+    heads = spark.sparkContext.broadcast(_unit_rows(chosen["c"]))
+
+    @F.pandas_udf("struct<head: int, angle: double>")
+    def head_of(c: pd.Series) -> pd.DataFrame:
+        cos = _unit_rows(c) @ heads.value.T
+        best = cos.argmax(1)
+        return pd.DataFrame({"head": best.astype(np.int32), "angle": np.arccos(np.clip(cos[np.arange(len(best)), best], -1, 1))})
+
+    listed = kept(rows.withColumn("h", head_of("c")).select("other", "c", "h.head", "h.angle"))
+    found = listed.groupBy("head").agg(F.max("angle").alias("radius")).collect()  # a row a head
+    radius = np.full(len(chosen), -1.0)  # of a head without centroids: it is never looked at
+    for r in found:
+        radius[r["head"]] = r.radius
+    sent = spark.sparkContext.broadcast(radius)
+
+    def block_of(c: str):
+        """Blocks of a head's centroids and of the words that look at it, by hash, so that neither has to fit a task."""
+        return F.pmod(F.xxhash64(c), F.col("blocks")).cast("int")
+
+    blocks = listed.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    stored = kept(listed.join(F.broadcast(blocks), "head").select("head", block_of("other").alias("block"), "other", "c"))  # a row a head
+
+    def looked(asked: DataFrame) -> DataFrame:
+        """vec_id, nearest, best among the centroids of the heads that a word asks for.  asked: vec_id, v, head."""
+
+        def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            if not len(left) or not len(right):
+                return pd.DataFrame({"vec_id": [], "nearest": [], "best": []})
+            right = right.sort_values("other")
+            y, ids = _unit_rows(right["c"]), right["other"].to_numpy()
+            out = []
+            for lo in range(0, len(left), BLOCK):
+                part = left.iloc[lo : lo + BLOCK]
+                cos = _unit_rows(part["v"]) @ y.T
+                top = np.round(cos, 9).argmax(1)
+                out.append(pd.DataFrame({"vec_id": part["vec_id"].to_numpy(), "nearest": ids[top], "best": cos[np.arange(len(top)), top]}))
+            return pd.concat(out)
+
+        spread = asked.join(F.broadcast(blocks), "head").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)).cast("int"))
+        salted = stored.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        pairs = spread.select("head", "block", "salt", "vec_id", "v").groupBy("head", "block", "salt").cogroup(salted.groupBy("head", "block", "salt"))
+        each = pairs.applyInPandas(best, "vec_id long, nearest long, best double")
+        order = F.struct(F.round("best", 9), -F.col("nearest"))
+        return each.groupBy("vec_id").agg(F.max_by("nearest", order).alias("nearest"), F.max_by("best", order).alias("best"))
+
+    @F.pandas_udf("int")
+    def first_head(v: pd.Series) -> pd.Series:
+        cos = _unit_rows(v) @ heads.value.T
+        return pd.Series(np.where(sent.value >= 0, cos, -2).argmax(1).astype(np.int32))
+
+    words = kept(vectors.select("vec_id", "v").withColumn("head", first_head("v")))
+    first = kept(looked(words))
+
+    @F.pandas_udf("array<int>")
+    def others(v: pd.Series, head: pd.Series, best: pd.Series) -> pd.Series:
+        angle = np.arccos(np.clip(_unit_rows(v) @ heads.value.T, -1, 1))
+        able = (angle - sent.value <= np.arccos(np.clip(best.to_numpy(), -1, 1))[:, None] + CLOSE) & (sent.value >= 0)
+        able[np.arange(len(head)), head.to_numpy()] = False
+        return pd.Series([np.flatnonzero(row).astype(np.int32) for row in able])
+
+    more = words.join(first, "vec_id").select("vec_id", "v", F.explode(others("v", "head", "best")).alias("head"))
+    order = F.struct(F.round("best", 9), -F.col("nearest"))
+    return first.unionByName(looked(more)).groupBy("vec_id").agg(F.max_by("nearest", order).alias("nearest"), F.max_by("best", order).alias("best"))
+
+
+#: Parts of the words that look at a head, so that a popular one is many units of work.
+SALTS = 4
 #: Words of a block; a unit of work compares two blocks.
 BLOCK = 2048
 

@@ -212,6 +212,13 @@ def nearest_town(t):
     return vectors.nearest(vectors.similarities(t.vectors, town_means(t), "town_id"))
 
 
+@query(f"{VEC}, gv AS (SELECT vec_id, island_id * 100000 + vec_id % 150 AS g, v FROM vec), p AS (SELECT g, unnest(range(1, 65)) AS i, unnest(v) AS x FROM gv), m AS (SELECT g, i, avg(x) AS x FROM p GROUP BY ALL), c0 AS (SELECT g, list(x ORDER BY i) AS v FROM m GROUP BY 1), si AS (SELECT vec_id, g, {COS.format(a='vec.v', b='c0.v')} AS cos FROM vec, c0) SELECT vec_id, arg_min(g, (-round(cos, 9), g))::BIGINT AS nearest, round(max(cos), 8) AS best FROM si GROUP BY vec_id")
+def nearest_part(t):
+    """The nearest of many centroids, parts of islands, of each word: an inverted file with a bound that proves the winner."""
+    parts = t.vectors.select(F.col("island_id").cast("long") * 100000 + F.col("vec_id") % 150, "v").toDF("part", "v")
+    return vectors.nearest_centroid(t.vectors, t.kept(vectors.mean_vectors(parts, ["part"])), "part").select("vec_id", "nearest", F.round("best", 8).alias("best"))
+
+
 @query(f"{VEC}, s AS (SELECT a.town_id, a.vec_id AS a, b.vec_id AS b, {COS.format(a='a.v', b='b.v')} AS cos FROM vec a JOIN vec b ON a.town_id = b.town_id AND a.vec_id <> b.vec_id) SELECT a, avg(cos) AS mean5 FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(cos, 9) DESC, b) AS k FROM s) WHERE k <= 5 GROUP BY a")
 def knn_top5(t):
     return vectors.neighbours(t.vectors, 5).groupBy("a").agg(F.avg("cos").alias("mean5"))
