@@ -143,7 +143,14 @@ def test_sinks(spark, tmp_path):
     assert spark.read.format("xml").option("rowTag", "island").load(f"{tmp_path}/xml").count() == 2
     both = sinks.insert_or_ignore(df, spark.createDataFrame([(2, "z", 0.0), (3, "b", 1.0), (3, "c", 1.0)], df.schema), ["id"])
     assert {(r.id, r.name) for r in both.collect()} == {(1, "a"), (2, None), (3, "b")}
-    assert sinks.violations(both, ["id"], ("w",)) == 0
+    assert sinks.violations(both, ["id"], ("w",)).first().n == 0
+    wrong = spark.createDataFrame([(1, 300), (1, 5), (2, -1), (3, None)], "id int, w int")
+    assert sinks.violations(wrong, ["id"], ("w",)).first().n == 3 and sinks.violations(wrong, ["id"]).first().n == 1
+    vectors = spark.createDataFrame([([float(i), i / 2],) for i in range(25)], "v array<double>").repartition(4)
+    written = {r["batch"]: r["rows"] for r in sinks.write_npy_batches(vectors, f"{tmp_path}/npy", 10).collect()}
+    assert written == {0: 10, 1: 10, 2: 5}
+    back = files.npy_batches(spark, f"{tmp_path}/npy")
+    assert sorted(tuple(r.v) for r in back.collect()) == [(float(i), i / 2) for i in range(25)] and tuple(files.resume_index(back).first()) == (3, 25, 3)
 
 
 def test_streaming(spark, tmp_path):

@@ -233,3 +233,19 @@ def replaced_partitions(t):
     for _ in range(2):
         sinks.replace_partitions(towns.where("part = 0").unionByName(towns.where("part = 0")), path, "part")
     return t.spark.read.parquet(path).groupBy("town_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("WITH o AS (SELECT p_type, p_brand, min(p_partkey) AS p_partkey FROM part WHERE p_size <= 5 GROUP BY ALL), n AS (SELECT p_type, p_brand, min(p_partkey) AS p_partkey FROM part WHERE p_size > 5 GROUP BY ALL) SELECT * FROM o UNION ALL SELECT * FROM n WHERE NOT EXISTS (FROM o WHERE o.p_type = n.p_type AND o.p_brand = n.p_brand)")
+def ignored_inserts(t):
+    """Types and brands of small parts, and those of the others that are new, with the first part of each."""
+    rows = t.part.select("p_type", "p_brand", "p_partkey", "p_size")
+    old = rows.where("p_size <= 5").groupBy("p_type", "p_brand").agg(F.min("p_partkey").alias("p_partkey"))
+    return sinks.insert_or_ignore(old, rows.where("p_size > 5").drop("p_size"), ["p_type", "p_brand"])
+
+
+@query("SELECT i, count(*) AS n, round(sum(x), 6) AS x FROM (SELECT unnest(range(0, 64)) AS i, unnest(embedding::DOUBLE[]) AS x FROM embeddings) GROUP BY i")
+def npy_vectors(t):
+    """Sums of the vectors' dimensions, as .npy batches of them give them back."""
+    path = scratch.new_path(t.spark, "npy")
+    sinks.write_npy_batches(t.embeddings.select(F.col("embedding").alias("v")), path).write.format("noop").mode("overwrite").save()
+    return files.npy_batches(t.spark, path).select(F.posexplode("v").alias("i", "x")).groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("x"), 6).alias("x"))

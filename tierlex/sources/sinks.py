@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import io
 import struct
+import uuid
 from collections.abc import Iterator
 from decimal import Decimal
 from xml.etree import ElementTree
 
+import numpy as np
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,7 +185,36 @@ def insert_or_ignore(old: DataFrame, new: DataFrame, key: list[str]) -> DataFram
     return old.unionByName(fresh, allowMissingColumns=True)
 
 
-def violations(df: DataFrame, key: list[str], u8: tuple[str, ...] = ()) -> int:
-    """Rows against a primary key, and weights outside 0 to 255."""
-    twice = df.groupBy(*key).count().where("count > 1").count()
-    return twice + sum(df.where(~F.col(c).between(0, 255)).count() for c in u8)
+def violations(df: DataFrame, key: list[str], u8: tuple[str, ...] = ()) -> DataFrame:
+    """One row, n: keys that stand in several rows, and weights outside 0 to 255."""
+    twice = df.groupBy(*key).agg(F.count(F.lit(1)).alias("k")).agg(F.count_if(F.col("k") > 1).alias("twice"))
+    beyond = sum((F.count_if(~F.col(c).between(0, 255)) for c in u8), F.lit(0))
+    return df.agg(beyond.alias("beyond")).crossJoin(F.broadcast(twice)).select((F.col("beyond") + F.col("twice")).cast("long").alias("n"))  # one row
+
+
+def write_npy_batches(vectors: DataFrame, path: str, size: int = 10_000) -> DataFrame:
+    """The column v (vectors of one length) as .npy files batch_NNNNN.npy of float32, `size` rows at most; number and rows of each file.
+
+    Rows are dealt out by ranges of their numbers; a batch is written by one task, under another name until it is whole.
+    """
+    from pyspark.sql import Window
+
+    tasks = vectors.select("v", F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("task"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = tasks.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")).withColumn("before", before)  # a row a task
+    numbered = tasks.join(F.broadcast(counts), "task").withColumn("nth", F.col("before") + F.col("at") - F.col("first"))
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        number = int(pdf["batch"].iloc[0])
+        where, folder = fs.FileSystem.from_uri(path)
+        where.create_dir(folder, recursive=True)
+        raw = io.BytesIO()
+        np.save(raw, np.stack(pdf.sort_values("nth")["v"]).astype("<f4"))
+        temporary = f"{folder}/.{uuid.uuid4().hex}"
+        with where.open_output_stream(temporary) as out:
+            out.write(raw.getbuffer())
+        where.move(temporary, f"{folder}/batch_{number:05d}.npy")
+        return pd.DataFrame({"batch": [number], "rows": [len(pdf)]})
+
+    batches = numbered.select("v", "nth", F.expr(f"nth div {size}").alias("batch"))
+    return batches.groupBy("batch").applyInPandas(write, "batch long, rows long")
