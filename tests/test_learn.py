@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tierlex.operators import boost, communities, learn, text, vectors
+from tierlex.operators import boost, communities, learn, ranks, text, vectors
 from tierlex.operators.stats import dim_stats
 
 
@@ -323,3 +323,20 @@ def test_nearest_of_many_centroids_is_proven(spark, monkeypatch, block):
     assert {i: x for i, (x, _) in got.items()} == dict(enumerate(np.round(cos, 9).argmax(1).tolist()))
     assert all(b == pytest.approx(cos[i].max(), abs=1e-9) for i, (_, b) in got.items())
     assert vectors.nearest_centroid(words_, groups.limit(0), "grp").count() == 0
+
+
+@pytest.mark.parametrize("buckets", [4096, 2])
+def test_quantiles_are_exact(spark, monkeypatch, buckets):
+    """Ties, one value, far apart values, negative ones, nulls and NaN; few buckets take more passes."""
+    monkeypatch.setattr(ranks, "BUCKETS", buckets)
+    rng = random.Random(buckets)
+    groups = {"a": [rng.gauss(0, 1) for _ in range(101)], "b": [1.0] * 9 + [2.0], "c": [3.5], "d": [1e-300, 1e300, -1e300, 0.0], "e": [float(rng.randint(0, 3)) for _ in range(50)]}
+    rows = [(g, x) for g, xs in groups.items() for x in xs] + [("a", None), ("a", float("nan")), ("f", None)]
+    df = spark.createDataFrame(rows, "grp string, x double").repartition(3)
+    shares = {"least": 0.0, "p25": 0.25, "half": 0.5, "p99": 0.99, "most": 1.0}
+    got = {r.grp: r for r in ranks.quantiles(df, ["grp"], "x", shares).collect()}
+    assert set(got) == set(groups)
+    for g, xs in groups.items():
+        for name, p in shares.items():
+            assert got[g][name] == pytest.approx(float(np.quantile(np.array(xs), p)), rel=1e-12), (g, name)
+    assert ranks.quantiles(df.limit(0), ["grp"], "x", shares).count() == 0

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..sources.files import not_done
 from ..sources.scratch import kept
+from .ranks import quantiles
 
 
 def mean_vectors(vectors: DataFrame, key: list[str], weight: str | None = None, normalise: bool = True) -> DataFrame:
@@ -207,7 +208,7 @@ def spread_percentiles(seeds: DataFrame, towns: DataFrame) -> DataFrame:
     """island_id, p25, p50 of the population deviation of each seed's cosines with its island's centroids.  towns: island_id, c."""
     sims = seeds.select("island_id", "vec_id", "v").join(F.broadcast(towns.select("island_id", "c")), "island_id").withColumn("cos", S.cosine(F.col("v"), F.col("c")))  # towns of an island
     std = sims.groupBy("island_id", "vec_id").agg(F.stddev_pop("cos").alias("std"))
-    return std.groupBy("island_id").agg(F.percentile("std", 0.25).alias("p25"), F.percentile("std", 0.5).alias("p50"))
+    return quantiles(std, ["island_id"], "std", {"p25": 0.25, "p50": 0.5})
 
 
 def cross_town(seeds: DataFrame, threshold: float = 0.010, least_towns: int = 3) -> DataFrame:

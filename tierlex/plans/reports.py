@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import reports, seeds
+from ..operators import ranks, reports, seeds
 from ..sources import sinks
 from ..sources.proxy import fact_sql
 from .catalog import query
@@ -179,3 +179,11 @@ def tag_features(t):
 def key_violations(t):
     """Lines against the key of order and number, and weights beyond a byte."""
     return sinks.violations(t.lineitem.withColumn("w", F.col("l_linenumber") * 40), ["l_orderkey", "l_linenumber"], ("w",))
+
+
+@query("SELECT l_returnflag AS flag, l_suppkey % 7 AS part, round(quantile_cont(l_extendedprice::DOUBLE, 0.1), 4) AS p10, round(quantile_cont(l_extendedprice::DOUBLE, 0.5), 4) AS p50, round(quantile_cont(l_extendedprice::DOUBLE, 0.999), 4) AS p999 FROM lineitem GROUP BY ALL")
+def price_quantiles(t):
+    """Exact quantiles of lines' prices by flag and part of the suppliers, by refined histograms."""
+    rows = t.lineitem.select(F.col("l_returnflag").alias("flag"), (F.col("l_suppkey") % 7).alias("part"), "l_extendedprice")
+    found = ranks.quantiles(rows, ["flag", "part"], "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p999": 0.999})
+    return found.select("flag", "part", *[F.round(c, 4).alias(c) for c in ("p10", "p50", "p999")])
