@@ -173,17 +173,17 @@ def test_rounds_with_shares_of_rows_and_columns(spark):
 
 def test_classifiers_are_saved_and_predict_all_words(spark, tmp_path):
     rows, df = words(spark)
-    dims = dim_stats(df)
-    some = learn.train_or_load(df.where("town_id < 2"), f"{tmp_path}/m", dims)
+    dims, setting = dim_stats(df), learn.QUICK._replace(rounds=3)
+    some = learn.train_or_load(df.where("town_id < 2"), f"{tmp_path}/m", dims, setting)
     assert {r.model for r in some.collect()} == {"0", "1"}
-    trees = learn.train_or_load(df, f"{tmp_path}/m", dims)
+    trees = learn.train_or_load(df, f"{tmp_path}/m", dims, setting)
     assert {r.model for r in trees.collect()} == {str(t) for t in range(6)}
-    assert learn.train_or_load(df, f"{tmp_path}/m", dims).count() == trees.count()
-    assert learn.train_or_load(df.limit(5), f"{tmp_path}/few", dims).count() == 0
+    assert learn.train_or_load(df, f"{tmp_path}/m", dims, setting).count() == trees.count()
+    assert learn.train_or_load(df.limit(5), f"{tmp_path}/few", dims, setting).count() == 0
     scores = {(r.town_id, r.word_id): r.score for r in learn.predict_all(trees, df, df, dims).collect()}
     assert len(scores) == 6 * len(rows)
     for t in range(6):
-        assert np.mean([scores[t, r[0]] for r in rows if r[1] == t]) > 0.3 + np.mean([scores[t, r[0]] for r in rows if r[1] != t])
+        assert np.mean([scores[t, r[0]] for r in rows if r[1] == t]) > 0.2 + np.mean([scores[t, r[0]] for r in rows if r[1] != t])
 
 
 def test_average_precision(spark):

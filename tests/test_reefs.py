@@ -112,7 +112,7 @@ def test_hashed_vectors(spark):
 def test_importances_and_tuning(spark):
     rows = spark.createDataFrame([(i, i % 2, 0, [float(i % 2), float(i % 5)]) for i in range(60)], "vec_id long, town_id long, island_id long, v array<double>")
     sample = learn.samples(rows)
-    model, _ = learn.train_towns(sample)
+    model, _ = learn.train_towns(sample, learn.QUICK._replace(rounds=2))
     names = learn.feature_names(2)
     assert {r.dim for r in boost.importances(model.trees, names).collect()} <= {"dim_0", "knn_mean", "centroid_cos"}
     tuned = {r.town_id: r for r in learn.tuned(sample, {"b": learn.QUICK._replace(depth=2, rounds=2), "a": learn.QUICK._replace(depth=1, rounds=1)}).collect()}
@@ -121,7 +121,7 @@ def test_importances_and_tuning(spark):
 
 def test_every_town_has_rows(spark):
     rows = spark.createDataFrame([(i, i % 3, 0, [float(i % 3), float(i % 5)]) for i in range(90)], "vec_id long, town_id long, island_id long, v array<double>")
-    got = learn.metrics(learn.train_towns(learn.samples(rows))[1], keys=["town_id"]).collect()
+    got = learn.metrics(learn.train_towns(learn.samples(rows), learn.QUICK._replace(depth=2, rounds=2))[1], keys=["town_id"]).collect()
     assert sorted((r.town_id, r.f1, r.auc_pr) for r in got) == [(0, 1.0, 1.0), (1, 1.0, 1.0), (2, 1.0, 1.0)]
 
 
