@@ -53,6 +53,19 @@ def test_hybrid(spark, rows):
     assert math.isclose(sims[1, 4], 0.0, abs_tol=1e-12)  # no context: 0
 
 
+def test_hybrid_graph_is_that_of_all_pairs(spark, monkeypatch):
+    """Blocks of three words, ties, vectors without length, words without contexts, a group of one word, an empty table."""
+    v = [(1 + i % 2, i, [float(i % 5), float(i % 3), 0.5 * (i % 2)]) for i in range(40)] + [(3, 99, [1.0, 0.0, 0.0]), (1, 50, [0.0, 0.0, 0.0])]
+    rows = spark.createDataFrame(v, VECTORS)
+    contexts = spark.createDataFrame([(i, {j: float(1 + i * j % 4) for j in range(i % 4)} | {9: 0.0}) for i in range(0, 40, 3)], "vec_id long, m map<bigint,double>")
+    wanted = {tuple(r) for r in reefs.graph(reefs.hybrid(rows, contexts), k=4).collect()}
+    for block in (2048, 3):
+        monkeypatch.setattr(reefs.vectors, "BLOCK", block)
+        got = [tuple(r) for r in reefs.hybrid_graph(rows, contexts, k=4).collect()]
+        assert len(got) == len(set(got)) == len(wanted) and set(got) == wanted
+    assert reefs.hybrid_graph(rows.limit(0), contexts).count() == 0
+
+
 def test_context_vectors(spark):
     members = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (3, 3)], "town_id long, vec_id long")
     got = {r.vec_id: r.m for r in reefs.context_vectors(members, "town_id", "vec_id").collect()}

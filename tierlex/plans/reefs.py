@@ -41,11 +41,23 @@ def names_of(t) -> DataFrame:
     return t.vectors.select("vec_id", F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("name"))
 
 
-@query(f"{_MEM}, dots AS (SELECT p.vec_id AS a, q.vec_id AS b, sum(p.x * q.x) AS d FROM cx p JOIN cx q USING (b) JOIN vec va ON va.vec_id = p.vec_id JOIN vec vb ON vb.vec_id = q.vec_id AND va.town_id = vb.town_id WHERE p.vec_id < q.vec_id GROUP BY ALL) SELECT x.town_id, x.vec_id AS a, y.vec_id AS b, 0.7 * {COS.format(a='x.v', b='y.v')} + 0.3 * coalesce(d / (ca.n * cb.n), 0) AS sim FROM vec x JOIN vec y ON x.town_id = y.town_id AND x.vec_id < y.vec_id LEFT JOIN dots ON a = x.vec_id AND b = y.vec_id LEFT JOIN cn ca ON ca.vec_id = x.vec_id LEFT JOIN cn cb ON cb.vec_id = y.vec_id")
+_HYBRID = (
+    f"{_MEM}, dots AS (SELECT p.vec_id AS a, q.vec_id AS b, sum(p.x * q.x) AS d FROM cx p JOIN cx q USING (b) JOIN vec va ON va.vec_id = p.vec_id JOIN vec vb ON vb.vec_id = q.vec_id AND va.town_id = vb.town_id WHERE p.vec_id < q.vec_id GROUP BY ALL), "
+    f"hs AS (SELECT x.town_id, x.vec_id AS a, y.vec_id AS b, 0.7 * {COS.format(a='x.v', b='y.v')} + 0.3 * coalesce(d / (ca.n * cb.n), 0) AS sim FROM vec x JOIN vec y ON x.town_id = y.town_id AND x.vec_id < y.vec_id LEFT JOIN dots ON a = x.vec_id AND b = y.vec_id LEFT JOIN cn ca ON ca.vec_id = x.vec_id LEFT JOIN cn cb ON cb.vec_id = y.vec_id)"
+)
+
+
+@query(f"{_HYBRID} SELECT * FROM hs")
 def hybrid_similarity(t):
     return reefs.hybrid(t.vectors, contexts_of(t))
 
 
+@query(f"{_HYBRID}, en AS (SELECT town_id, a, b, sim FROM hs UNION ALL SELECT town_id, b, a, sim FROM hs), nb AS (SELECT *, row_number() OVER (PARTITION BY town_id, a ORDER BY round(sim, 9) DESC, b) AS nth FROM en) SELECT DISTINCT town_id, least(a, b) AS a, greatest(a, b) AS b, greatest(round(sim, 9), 0) AS w FROM nb WHERE nth <= 15")
+def hybrid_graph(t):
+    """Each word with its fifteen most similar words of its town, found by blocks instead of all pairs."""
+    return reefs.hybrid_graph(t.vectors, contexts_of(t))
+
+
 @query()
 def reef_assignment(t):
     return clustered(t)[1]
