@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import promote, prune, stats
+from ..operators import promote, prune, refresh, stats
 from ..sources.proxy import Tables, fact_sql
 from .catalog import query
 
@@ -402,3 +404,43 @@ def name_cosine_floor(t):
     """Predicted members whose name cosine is known and below the floor go; it is unknown for each ninth word."""
     rows = t.reef_words().select("reef_id", "word_id", "source", F.when(F.col("word_id") % 9 != 0, F.col("reef_cos")).alias("name_cos"))
     return prune.name_floor(rows)
+
+
+# --- refresh after deletions
+
+
+def _after(sql: str) -> str:
+    """The same SQL over the facts that the clean-up leaves."""
+    return re.sub(r"\brw\b", "rk", sql)
+
+
+_GONE = f"{_PRED}, gone AS (SELECT town_id, word_id FROM a WHERE adjusted < 0.4), rk AS MATERIALIZED (SELECT * FROM rw WHERE NOT (source = 'xgboost' AND EXISTS (SELECT 1 FROM gone WHERE gone.town_id = rw.town_id AND gone.word_id = rw.word_id))), {_after(STATS)}, {_after(LEVELS)}"
+
+
+def refreshed(t: Tables) -> refresh.Model:
+    """The model after the pruned predictions' facts went, from the model before and these facts alone."""
+    old = refresh.Model(*map(t.kept, refresh.build(t.words, t.kept(t.reef_words()))))
+    pruned = prune.idf_adjusted(t.predictions).where(F.col("adjusted") < 0.4).select("town_id", "word_id")
+    gone = old.facts.where("source = 'xgboost'").join(pruned, ["town_id", "word_id"], "left_semi").select("reef_id", "word_id")
+    return refresh.refresh(t.words, old, gone)
+
+
+@query(f"{_GONE} SELECT ws.word_id, ws.reef_count, ws.town_count, ws.island_count, ws.specificity, level, idf FROM ws LEFT JOIN lv USING (word_id)")
+def refreshed_words(t):
+    """Counts, levels and idf of all words after pruning, of which only the touched ones are counted again."""
+    return refresh.word_rows(t.words, refreshed(t))
+
+
+def _tier_after(name: str, c: str) -> str:
+    once = f"SELECT {c}, word_id FROM rk GROUP BY ALL"
+    return f"SELECT '{name}' AS tier, {c}::VARCHAR AS grp, count(*) AS word_count, {_PROFILE} FROM ({once}) JOIN ws USING (word_id) GROUP BY {c}"
+
+
+@query(f"{_GONE} {' UNION ALL '.join(_tier_after(name, c) for name, c in refresh.TIERS.items())}")
+def refreshed_rollups(t):
+    """Rollups of reefs, towns and islands after pruning, of which only those with a touched word are made again."""
+    model, out = refreshed(t), None
+    for name, key in refresh.TIERS.items():
+        rows = getattr(model, name).select(F.lit(name).alias("tier"), F.col(key).cast("string").alias("grp"), "word_count", "noun_frac", "verb_frac", "adj_frac", "adv_frac", "avg_specificity")
+        out = rows if out is None else out.unionByName(rows)
+    return out
