@@ -167,3 +167,24 @@ def test_sweep_margins(spark):
     got = {r.param_id: (r.passed, r.questions, round(r.mean_margin, 6)) for r in sweep.evaluate(grouped, alone, params, asked, expected).collect()}
     # set 0: q has 255 + 128 in island 1 and nothing else; r 255 + 255 in island 2; set 1: word 4 has 255 in island 1, 0 in 2; word 5 170
     assert got == {0: (1, 3, 66.0), 1: (1, 3, 66.0)}
+
+
+def test_sweep_of_a_grid_equals_sets_one_by_one(spark, monkeypatch):
+    """Sets of all axes at once; words in several islands and groups, ties, questions in units of two words, and questions that nothing weighs."""
+    import random
+
+    rng = random.Random(7)
+    x = lambda: rng.randrange(11) / 10
+    grouped = spark.createDataFrame(sorted({(f"r{i % 9}", i % 9 % 4, w): (f"r{i % 9}", i % 9 % 4, w, x(), x(), x(), 1.0 + w % 3, (0.7, 0.9, 1.0)[w % 3]) for i in range(80) for w in [rng.randrange(20)]}.values()), "grp string, island_id int, word_id int, own double, named double, isl double, idf double, quality double")
+    alone = spark.createDataFrame([(i, 20 + w, x(), x(), 0.5 + i, (0.7, 0.9)[w % 2], 1 + w % 4) for w in range(12) for i in range(4) if (w + i) % 3], "island_id int, word_id int, own double, isl double, idf double, quality double, n int")
+    asked = spark.createDataFrame(sorted({(q, rng.randrange(34)) for q in range(25) for _ in range(5)}) + [(99, 500)], "query long, word_id int")
+    expected = spark.createDataFrame([(q, q % 4) for q in range(25)] + [(99, 1)], "query long, expected int")
+    sets = sweep.coarse(sweep.grid(), 23)
+    assert len({s[-1] for s in sets}) == 4
+    wanted = {r.param_id: (r.passed, r.questions, round(r.mean_margin, 9)) for r in sweep.evaluate(grouped, alone, sweep.frame(spark, sets), asked, expected).collect()}
+    for unit, together in ((2_000, 64), (2, 5)):
+        monkeypatch.setattr(sweep, "UNIT", unit)
+        monkeypatch.setattr(sweep, "TOGETHER", together)
+        got = {r.param_id: (r.passed, r.questions, round(r.mean_margin, 9)) for r in sweep.evaluate_grid(grouped, alone, sets, asked, expected).collect()}
+        assert got == wanted and len(got) == 23
+    assert sweep.evaluate_grid(grouped, alone, sets, asked.limit(0), expected).count() == 0

@@ -513,8 +513,8 @@ _GRID = """g0 AS (SELECT a.x AS name, b.x AS island, c.x AS alone, d.x AS floor,
 FROM (SELECT unnest([10, 15, 20, 25, 30]) AS x) a, (SELECT unnest([15, 20, 25, 30, 35]) AS x) b, (SELECT unnest([30, 40, 50, 60]) AS x) c, (SELECT unnest([70, 80, 90, 100]) AS x) d, (SELECT unnest([0, 20, 40, 60, 80, 100]) AS x) e, (SELECT unnest([25, 33, 50]) AS x) f, (SELECT unnest([1, 2, 3, 4]) AS x) k WHERE a.x + b.x <= 50),
 g1 AS (SELECT (row_number() OVER (ORDER BY name, island, alone, floor, blend, power, nk) - 1)::INT AS param_id, * FROM g0)"""
 _AS_SHARES = "param_id, name / 100 AS name, island / 100 AS island, alone / 100 AS alone, floor / 100 AS floor, blend / 100 AS blend, power / 100 AS power, norm"
-#: Parameter sets of the coarse sample that is evaluated.
-COARSE = 12
+#: Parameter sets of the small coarse sample, and of the published one.
+COARSE, PUBLISHED = 12, 500
 
 
 @query(f"WITH {_GRID} SELECT {_AS_SHARES} FROM g1")
@@ -544,7 +544,9 @@ def _norm_sql(p: str) -> str:
 _PLACES = lambda p, key: f"min(raw) AS {p}lo, max(raw) AS {p}hi, avg(raw) AS {p}m, stddev_pop(raw) AS {p}s, list_sort(list(raw))[floor(count(*) * 0.02)::INT + 1] AS {p}p2, list_sort(list(raw))[least(count(*) - 1, floor(count(*) * 0.98))::INT + 1] AS {p}p98 FROM x2 GROUP BY {key}"
 
 
-@query(f"""{FULL}, wq AS (SELECT DISTINCT l_orderkey AS query, l_partkey AS word_id FROM lineitem), {_GRID}, pr AS (SELECT {_AS_SHARES} FROM (SELECT * FROM g1 ORDER BY md5(concat_ws(':', name, island, alone, floor, blend, power, norm)), param_id LIMIT {COARSE})),
+def _sweep_sql(n: int) -> str:
+    """The sweep of the first n sets of the seeded order."""
+    return f"""{FULL}, wq AS (SELECT DISTINCT l_orderkey AS query, l_partkey AS word_id FROM lineitem), {_GRID}, pr AS (SELECT {_AS_SHARES} FROM (SELECT * FROM g1 ORDER BY md5(concat_ws(':', name, island, alone, floor, blend, power, norm)), param_id LIMIT {n})),
 c0 AS (SELECT reef_id AS grp, island_id, word_id, cosine_sim AS c, reef_cos AS nc, island_cos AS ic, idf, sq FROM q JOIN lv USING (word_id) JOIN ws USING (word_id) WHERE level = 'reef' UNION ALL SELECT town_id::VARCHAR, island_id, word_id, c, tc, ic, idf, sq FROM t0 JOIN ws USING (word_id)),
 x1 AS (SELECT param_id, grp, island_id, word_id, idf * greatest(sq, floor) * ((1 - name - island) * c + name * nc + island * ic) AS raw FROM c0, pr),
 y1 AS (SELECT param_id, island_id, word_id, greatest(0, least(255, round_even({_MM}, 0))) AS weight FROM (SELECT *, min(raw) OVER w AS lo, max(raw) OVER w AS hi FROM x1 WINDOW w AS (PARTITION BY param_id, grp))),
@@ -555,15 +557,50 @@ bw AS (SELECT param_id, island_id, word_id, max(weight) AS weight FROM (SELECT *
 ss AS (SELECT param_id, query, island_id, sum(weight) AS score FROM wq JOIN bw USING (word_id) GROUP BY ALL),
 rk AS (SELECT *, row_number() OVER (PARTITION BY param_id, query ORDER BY score DESC, island_id) AS nth FROM ss),
 wn AS (SELECT param_id, query, max(island_id) FILTER (nth = 1) AS winner, max(score) FILTER (nth = 1) AS w1, max(score) FILTER (nth = 2) AS w2 FROM rk WHERE nth <= 2 GROUP BY ALL), {_EXPECTED}
-SELECT param_id, count(*) FILTER (winner = expected) AS passed, (SELECT count(*) FROM xp) AS questions, sum(CASE WHEN w2 > 0 THEN w1 / w2 ELSE 99 END) / (SELECT count(*) FROM xp) AS mean_margin FROM wn JOIN xp USING (query) GROUP BY param_id""")
-def sweep_evaluate(t):
-    """Passes and mean margin of a seeded coarse sample of the grid, all three levels replayed; the expected island has the largest sum of own cosines."""
+SELECT param_id, count(*) FILTER (winner = expected) AS passed, (SELECT count(*) FROM xp) AS questions, sum(CASE WHEN w2 > 0 THEN w1 / w2 ELSE 99 END) / (SELECT count(*) FROM xp) AS mean_margin FROM wn JOIN xp USING (query) GROUP BY param_id"""
+
+
+def sweep_parts(t) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What sweeps evaluate: members of groups and of islands, the orders as questions, and the island of the largest sum of own cosines, which is the expected one."""
     facts, ws, levels = levels_of(t)
-    asked = questions(t)
+    asked = t.kept(questions(t))
     best = facts.groupBy("word_id", "island_id").agg(F.round(F.max("cosine_sim") * 1e9).cast("long").alias("c"))
     expected = asked.join(best, "word_id").groupBy("query", "island_id").agg(F.sum("c").alias("s")).groupBy("query").agg(F.max_by("island_id", F.struct("s", -F.col("island_id"))).alias("expected"))
-    parts = sweep.components(facts, ws, levels, t.islands.count())
-    return sweep.evaluate(*map(t.kept, parts), sweep.frame(t.spark, sweep.coarse(sweep.grid(), COARSE)), asked, expected)
+    return *map(t.kept, sweep.components(facts, ws, levels, t.islands.count())), asked, t.kept(expected)
+
+
+def _best_first() -> tuple:
+    return F.desc("passed"), F.desc(F.round("mean_margin", 9)), "param_id"
+
+
+def swept(parts: tuple, sets: list[tuple]) -> DataFrame:
+    grouped, alone, asked, expected = parts
+    return sweep.evaluate_grid(grouped, alone, sets, asked, expected)
+
+
+@query(_sweep_sql(COARSE))
+def sweep_evaluate(t):
+    """Passes and mean margin of a small coarse sample of the grid, all three levels replayed."""
+    return swept(sweep_parts(t), sweep.coarse(sweep.grid(), COARSE))
+
+
+@query()
+def sweep_coarse(t):
+    """The coarse sample at its published size, on all questions."""
+    return swept(sweep_parts(t), sweep.coarse(sweep.grid(), PUBLISHED))
+
+
+@query()
+def sweep_search(t):
+    """The coarse sample, and then every set one step around its three best: phase, nth by passes and then margin, and the results of both."""
+    parts, sets = sweep_parts(t), sweep.coarse(sweep.grid(), PUBLISHED)
+    first = t.kept(swept(parts, sets))
+    by_id = {x[0]: dict(zip(sweep.GRID, x[1:])) for x in sets}
+    best = [by_id[r.param_id] for r in first.orderBy(*_best_first()).limit(3).collect()]  # three rows
+    both = first.withColumn("phase", F.lit("coarse"))
+    if best:
+        both = both.unionByName(swept(parts, sweep.fine(best)).withColumn("phase", F.lit("fine")))
+    return both.withColumn("nth", F.row_number().over(Window.partitionBy("phase").orderBy(*_best_first())))
 
 
 _NEGATIVES = f"""{VEC}, wd AS (SELECT vec_id, list(DISTINCT island_id) AS islands FROM vec GROUP BY 1), own AS (SELECT DISTINCT town_id, island_id, vec_id FROM vec),
